@@ -1,5 +1,5 @@
 """Queries over the test tables, each beside the SQL that must give the same rows."""
 
-from checks import cdc
+from checks import cdc, messages, rows
 
-ALL = (cdc.checks,)
+ALL = (cdc.checks, rows.checks, messages.checks)

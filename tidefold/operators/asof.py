@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefold.operators.skew import HOT_SHARE, hot_ranges, piece_of
+from tidefold.operators.skew import HOT_SHARE, as_number, hot_ranges, piece_of
 
 
 def asof_join(
@@ -45,12 +45,12 @@ def asof_join(
     if share is None:
         run = run.withColumn("_piece", F.lit(0))
     else:
-        axis = left.select(*on, F.col(left_time).alias("_at")).unionByName(
-            right.select(*on, F.col(right_time).alias("_at"))
+        axis = left.select(*on, as_number(left, left_time).alias("_axis")).unionByName(
+            right.select(*on, as_number(right, right_time).alias("_axis"))
         )
         # Fewer than 1 / share rows, whatever the size of the data.
-        hot = F.broadcast(hot_ranges(axis, keys, "_at", share))
-        run = run.join(hot, keys, "left").withColumn("_piece", piece_of(F.col("_at")))
+        hot = F.broadcast(hot_ranges(axis, keys, "_axis", share))
+        run = run.join(hot, keys, "left").withColumn("_piece", piece_of(as_number(run, "_at")))
 
     so_far = (
         Window.partitionBy(*keys, "_piece")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot when it holds more than this share of all rows, so there are fewer than
 # 1 / HOT_SHARE hot keys however large the data is: that bounds what is broadcast.
@@ -26,8 +27,14 @@ def hot_ranges(df: DataFrame, keys: Sequence[str], axis: str, share: float = HOT
     return hot.select(*keys, "_low", "_high", F.ceil(F.col("_rows") / limit).alias("_pieces"))
 
 
+def as_number(df: DataFrame, column: str) -> Column:
+    """A time or number as a double that grows with it."""
+    if isinstance(df.schema[column].dataType, (T.TimestampNTZType, T.DateType)):
+        return F.col(column).cast("timestamp").cast("double")
+    return F.col(column).cast("double")
+
+
 def piece_of(axis: Column) -> Column:
     """Which piece of its key's span a row falls into; 0 for keys that are not hot."""
-    low, high = F.col("_low").cast("double"), F.col("_high").cast("double")
-    share = (axis.cast("double") - low) / (high - low)
+    share = (axis - F.col("_low")) / (F.col("_high") - F.col("_low"))
     return F.coalesce(F.floor(share * F.col("_pieces")), F.lit(0)).cast("int")

@@ -31,6 +31,7 @@ def local_session(app: str, cores: str = "8", **conf: str) -> SparkSession:
         SparkSession.builder.appName(app)
         .master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.driver.memory", "12g")
     )

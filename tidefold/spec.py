@@ -82,8 +82,21 @@ class Cdc:
         object.__setattr__(self, "ruled", tuple(r.column for r in self.rules))
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "long": T.LongType(),
+    "decimal(18,0)": T.DecimalType(18, 0),
+}
+
+
+def schema_of(columns: str) -> T.StructType:
+    """``name type [not null], …`` as a schema, without needing a running session."""
+    fields = []
+    for column in columns.split(", "):
+        name, kind, *required = column.split(" ")
+        fields.append(T.StructField(name, _TYPES[kind], not required))
+    return T.StructType(fields)
 
 
 _KEY = "pat_enc_csn_id decimal(18,0) not null"
@@ -135,7 +148,7 @@ def _child(name: str) -> TableSpec:
         ]
     )
     natural = ("pat_enc_csn_id", "msg_tm", *payload)
-    return TableSpec(name, _schema(ddl), ("pat_enc_csn_id",), "msg_tm", natural)
+    return TableSpec(name, schema_of(ddl), ("pat_enc_csn_id",), "msg_tm", natural)
 
 
 CHILDREN = tuple(_CHILD)
@@ -144,14 +157,14 @@ TABLES: dict[str, TableSpec] = {
     for spec in (
         TableSpec(
             "adt_hist",
-            _schema(f"{_ENCOUNTER}, pregnancy_flg string"),
+            schema_of(f"{_ENCOUNTER}, pregnancy_flg string"),
             ("pat_enc_csn_id",),
             "msg_tm",
             ("msg_nm",),
         ),
         TableSpec(
             "adt_dtl",
-            _schema(f"{_ENCOUNTER}, cncl_admsn_flg string, pregnancy_flg string"),
+            schema_of(f"{_ENCOUNTER}, cncl_admsn_flg string, pregnancy_flg string"),
             ("pat_enc_csn_id",),
             "msg_nm",
             ("pat_enc_csn_id",),
@@ -159,8 +172,8 @@ TABLES: dict[str, TableSpec] = {
         ),
         *(_child(name) for name in CHILDREN),
         *(_child(f"{name}_hist") for name in CHILDREN),
-        TableSpec("flwsht", _schema(_FLOWSHEET), ("pat_enc_csn_id",), "msg_tm", ("msg_nm", "flwsht_nm")),
-        TableSpec("med_admn", _schema(_MEDICATION), ("pat_enc_csn_id",), "msg_tm", ("msg_nm",)),
+        TableSpec("flwsht", schema_of(_FLOWSHEET), ("pat_enc_csn_id",), "msg_tm", ("msg_nm", "flwsht_nm")),
+        TableSpec("med_admn", schema_of(_MEDICATION), ("pat_enc_csn_id",), "msg_tm", ("msg_nm",)),
     )
 }
 

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.functions.frames import audit_stamp, conform, require_keys
@@ -15,10 +14,10 @@ from tidefold.operators.latest import dedup_by_id
 from tidefold.operators.observe import batch_metrics
 from tidefold.plans import messages
 from tidefold.sources.mirror import DirectoryMirror, JdbcMirror
-from tidefold.spec import CHILDREN, TABLES, Cdc
+from tidefold.spec import CHILDREN, TABLES, Cdc, schema_of
 from tidefold.streaming.tables import BatchTable, LatestTable, encounter_table, replacing_table
 
-METRICS = T.StructType.fromDDL(
+METRICS = schema_of(
     "table_name string, batch_rows long, latest_msg_tm timestamp, first_insert_tsp timestamp, "
     "last_insert_tsp timestamp"
 )
