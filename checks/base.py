@@ -51,26 +51,32 @@ def digits(ts: Column, length: int = 14) -> Column:
     return F.date_format(ts, "yyyyMMddHHmmss"[:length])
 
 
+def _joined(delimiter: str, values: Mapping[int, Column | str], first: int) -> Column:
+    """Values by position, joined; runs of constants become one literal."""
+    parts: list[Column] = []
+    constant = ""
+    for number in range(first, max(values) + 1):
+        value = values.get(number, "")
+        if number > first:
+            constant += delimiter
+        if isinstance(value, str):
+            constant += value
+        else:
+            parts += [F.lit(constant), F.coalesce(value.cast("string"), F.lit(""))]
+            constant = ""
+    return F.concat(*parts, F.lit(constant))
+
+
 def segment(name: str, fields: Mapping[int, Column | str]) -> Column:
     """A segment with the given fields, all others empty."""
     first = 2 if name == "MSH" else 1
-    given = {2: F.lit("^~\\&"), **fields} if name == "MSH" else fields
-    texts = []
-    for number in range(first, max(given) + 1):
-        value = given.get(number, "")
-        value = F.lit(value) if isinstance(value, str) else value.cast("string")
-        texts.append(F.coalesce(value, F.lit("")))
-    return F.concat_ws("|", F.lit(name), *texts)
+    given = {2: "^~\\&", **fields} if name == "MSH" else fields
+    return F.concat(F.lit(f"{name}|"), _joined("|", given, first))
 
 
 def components(values: Mapping[int, Column | str]) -> Column:
     """A field with the given components, all others empty."""
-    texts = []
-    for number in range(1, max(values) + 1):
-        value = values.get(number, "")
-        value = F.lit(value) if isinstance(value, str) else value.cast("string")
-        texts.append(F.coalesce(value, F.lit("")))
-    return F.concat_ws("^", *texts)
+    return _joined("^", values, 1)
 
 
 def message(*segments: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from checks.base import Checks, comparable, components, digits, message, segment, table, utc_sql
 from tidefold.functions import nested
 from tidefold.plans import messages as plans
+from tidefold.sources.files import spread_small
 
 checks = Checks()
 
@@ -22,7 +23,7 @@ TRIGGER = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v i
 
 def encounter_messages(spark, sf) -> DataFrame:
     """One message per order, with its customer as the patient."""
-    joined = table(spark, sf, "orders").join(
+    joined = spread_small(table(spark, sf, "orders")).join(
         table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
     day = F.col("o_orderdate")
@@ -98,7 +99,7 @@ def validate(spark, sf):
 
 def clinical_messages(spark, sf) -> DataFrame:
     """One message per order line with observations of every kind."""
-    lines = table(spark, sf, "lineitem")
+    lines = spread_small(table(spark, sf, "lineitem"))
     chief = "8661-1^CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED"
     note = "54094-8^TRIAGE NOTE:FIND:PT:EMERGENCY DEPARTMENT:DOC^LN"
     returned = F.col("l_returnflag") == "R"
@@ -184,7 +185,7 @@ def envelope_decode(spark, sf):
 
 def flowsheet_messages(spark, sf) -> DataFrame:
     """One message per event with two measurements; purchases leave the second one's time out."""
-    events = table(spark, sf, "events")
+    events = spread_small(table(spark, sf, "events"))
     text = message(
         segment("MSH", {7: digits(F.col("ts")), 9: "ORU^R01"}),
         segment("PID", {3: F.concat(F.lit("P"), "user_id")}),
@@ -220,7 +221,7 @@ def flowsheet_strict(spark, sf):
 
 def medication_messages(spark, sf) -> DataFrame:
     """One message per order line with its part as the medication."""
-    joined = table(spark, sf, "lineitem").join(
+    joined = spread_small(table(spark, sf, "lineitem")).join(
         table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
     day = F.col("l_shipdate") + F.expr("INTERVAL 12 HOUR")

@@ -26,50 +26,79 @@ def normalise(msg: Column) -> Column:
 
 
 def segments(msg: Column) -> Column:
-    return F.split(F.ltrim(msg), r"[\r\n]+")
+    """The lines of a message; splitting at one plain character takes no pattern matching."""
+    return F.split(F.replace(F.ltrim(msg), F.lit("\n"), F.lit("\r")), "\r")
+
+
+def fields(segment: Column) -> Column:
+    return F.split(segment, r"\|")
+
+
+def named(segs: Column, name: str) -> Column:
+    """All segments called ``name``, unsplit."""
+    return F.filter(segs, lambda s: s.startswith(name + FIELD))
 
 
 def first_segment(segs: Column, name: str) -> Column:
     """Fields of the first segment called ``name``, as an array."""
-    found = F.filter(segs, lambda s: s.startswith(name + FIELD))
-    return F.split(F.get(found, F.lit(0)), r"\|")
+    return fields(F.get(named(segs, name), F.lit(0)))
+
+
+def _quoted(text: str) -> str:
+    return "".join(c if c.isalnum() or c in ": -" else "\\" + c for c in text)
+
 
+def observations(segs: Column, code: str, whole: bool = False) -> Column:
+    """OBX segments whose third field starts with the components in ``code``, unsplit.
+
+    With ``whole`` the field, up to its first repetition, has to be ``code`` and nothing else.
+    One pattern per segment, so that nothing is split that is not wanted.
+    """
+    end = r"(?:[~|]|$)" if whole else r"(?:[\^~|]|$)"
+    pattern = r"^OBX\|[^|]*\|[^|]*\|" + _quoted(code) + end
+    return F.filter(segs, lambda s: s.rlike(pattern))
 
-def all_segments(segs: Column, name: str) -> Column:
-    """Fields of every segment called ``name``, as an array of arrays."""
-    found = F.filter(segs, lambda s: s.startswith(name + FIELD))
-    return F.transform(found, lambda s: F.split(s, r"\|"))
+
+def observed_values(observed: Column) -> Column:
+    """The components of the fifth field of each observation, as an array of arrays."""
+    return F.transform(
+        observed,
+        lambda s: F.split(first_repetition(F.split_part(s, F.lit(FIELD), F.lit(6))), r"\^"),
+    )
 
 
 def blank_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
-def field(segment: Column, number: int, name: str = "") -> Column:
-    """Field ``number`` of a segment. The header's first field is the delimiter itself."""
-    index = number - 1 if name == _HEADER else number
-    return blank_to_null(F.substring_index(F.get(segment, F.lit(index)), REPETITION, 1))
+def first_repetition(field: Column) -> Column:
+    return F.substring_index(field, REPETITION, 1)
 
 
-def component(value: Column, number: int) -> Column:
-    if number == 1:
-        return blank_to_null(F.substring_index(value, COMPONENT, 1))
-    return blank_to_null(F.split_part(value, F.lit(COMPONENT), F.lit(number)))
+def raw(segment: Column, number: int, component: int | None = None, name: str = "") -> Column:
+    """A field, or a component of it, in which blank and absent are not yet the same.
+
+    The header's first field is the delimiter itself.
+    """
+    index = number - 1 if name == _HEADER else number
+    value = first_repetition(F.get(segment, F.lit(index)))
+    if component is None:
+        return value
+    if component == 1:
+        return F.substring_index(value, COMPONENT, 1)
+    return F.split_part(value, F.lit(COMPONENT), F.lit(component))
 
 
-def part(segment: Column, number: int, comp: int | None = None, name: str = "") -> Column:
-    value = field(segment, number, name)
-    return value if comp is None else component(value, comp)
+def part(segment: Column, number: int, component: int | None = None, name: str = "") -> Column:
+    """A field, or a component of it; NULL when blank."""
+    return blank_to_null(raw(segment, number, component, name))
 
 
-def with_segments(df: DataFrame, msg: str, single: list[str], repeated: list[str] = ()) -> DataFrame:
-    """Add one array column per wanted segment: ``_pid``, ``_pv1``, … and ``_obx`` for all OBX.
+def with_segments(df: DataFrame, msg: str, names: list[str]) -> DataFrame:
+    """Add ``_segs`` and, per name, the fields of the first such segment: ``_pid``, ``_pv1``, …
 
-    The split message sits in a projection of its own below the segment columns, so that
-    it is evaluated once however many segments are taken from it.
+    Each level is a projection of its own. What is used more than once is then computed
+    once, because Catalyst does not merge projections over such columns.
     """
     split = df.withColumn("_segs", segments(F.col(msg)))
-    return split.withColumns(
-        {f"_{n.lower()}": first_segment(F.col("_segs"), n) for n in single}
-        | {f"_{n.lower()}": all_segments(F.col("_segs"), n) for n in repeated}
-    ).drop("_segs")
+    return split.withColumns({f"_{n.lower()}": first_segment(F.col("_segs"), n) for n in names})

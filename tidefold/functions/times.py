@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,8 @@ from pyspark.sql import types as T
 # The zone of the message times, and the zone name of the medication feed.
 LOCAL_ZONE = "US/Central"
 MEDICATION_ZONE = "CST"
+# How many digits a time may have.
+LENGTHS = (8, 12, 14)
 
 
 def _digits_to_text(digits: Column, zone: str) -> Column:
@@ -22,25 +26,40 @@ def _digits_to_text(digits: Column, zone: str) -> Column:
     )
 
 
-def parse_local(digits: Column, zone: str = LOCAL_ZONE) -> Column:
-    """``yyyyMMdd``, ``yyyyMMddHHmm`` or ``yyyyMMddHHmmss`` in ``zone`` as an instant.
+def _instant(digits: Column, zone: str, lengths: tuple[int, ...]) -> Column:
+    known = F.length(digits).isin(*lengths) & ~digits.rlike("[^0-9]")
+    return F.when(known, _digits_to_text(digits, zone)).try_cast("timestamp")
+
+
+def readable(digits: Column, zone: str = LOCAL_ZONE) -> Column:
+    """Whether ``parse_local`` finds a time."""
+    return _instant(digits, zone, LENGTHS).isNotNull()
+
 
-    Anything else is NULL. The zone is part of the text that is cast, so the result does not
-    depend on the session zone. The hour that autumn repeats reads as its second (standard
-    time) pass; the cast takes the first, so one hour is added where both look alike.
+def parse_local(df: DataFrame, columns: Iterable[str], zone: str = LOCAL_ZONE) -> DataFrame:
+    """Turn text columns of local digits in ``zone`` into instants.
+
+    ``yyyyMMdd``, ``yyyyMMddHHmm`` and ``yyyyMMddHHmmss`` are read, anything else is NULL. The
+    zone is part of the text that is cast, so the result does not depend on the session's
+    zone. The hour that autumn repeats reads as its second (standard time) pass; the cast
+    takes the first, so one hour is added where both look alike.
+
+    A frame function and not an expression: the two steps are projections over plain columns.
     """
-    known = F.length(digits).isin(8, 12, 14) & ~digits.rlike("[^0-9]")
-    first = F.when(known, _digits_to_text(digits, zone)).try_cast("timestamp")
-    second = first + F.expr("interval 1 hour")
-    repeated = F.from_utc_timestamp(first, zone) == F.from_utc_timestamp(second, zone)
-    return F.when(repeated, second).otherwise(first)
+    columns = list(columns)
+    first = df.withColumns({c: _instant(F.col(c), zone, LENGTHS) for c in columns})
+
+    def standard(c: str) -> Column:
+        later = F.col(c) + F.expr("interval 1 hour")
+        repeated = F.from_utc_timestamp(c, zone) == F.from_utc_timestamp(later, zone)
+        return F.when(repeated, later).otherwise(F.col(c))
+
+    return first.withColumns({c: standard(c) for c in columns})
 
 
 def parse_shifted(digits: Column, zone: str = MEDICATION_ZONE) -> Column:
     """14 digits read as UTC and then moved to the wall clock of ``zone``."""
-    known = (F.length(digits) == 14) & ~digits.rlike("[^0-9]")
-    instant = F.when(known, _digits_to_text(digits, "UTC")).try_cast("timestamp")
-    return F.from_utc_timestamp(instant, zone)
+    return F.from_utc_timestamp(_instant(digits, "UTC", (14,)), zone)
 
 
 def local_text(instant: Column, zone: str = LOCAL_ZONE) -> Column:

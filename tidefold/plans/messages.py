@@ -59,9 +59,9 @@ GATED_TIMES = {
     "hosp_disch_tm": (45, ("A03", "A13")),
 }
 # Observation codes and the markers around them.
-CHIEF_COMPLAINT = ("8661-1", "CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED")
-VISIT_REASON = ("8661-1", "CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED:18100")
-ACUITY = ("11283-9", "ACUITY ASSESSMENT AT FIRST ENCOUNTER")
+CHIEF_COMPLAINT = "8661-1^CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED"
+VISIT_REASON = "8661-1^CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED:18100"
+ACUITY = "11283-9^ACUITY ASSESSMENT AT FIRST ENCOUNTER"
 ACUITY_DELIMITER = "|||"
 TRIAGE_NOTE = "54094-8^TRIAGE NOTE:FIND:PT:EMERGENCY DEPARTMENT:DOC^LN"
 TRIAGE_NOTE_TYPE = "ED"
@@ -73,6 +73,8 @@ ENCOUNTER_COLUMNS = (
     "sex_abbr means_of_arrv_abbr acuity_level_abbr ed_dsptn_abbr disch_dsptn_abbr adt_arvl_tm "
     "hsp_acct_id accommodation_abbr user_id insert_user_id msg_enqueued_tsp pregnancy_flg"
 ).split()
+# Columns that come with the message and not from it.
+CARRIED = ("msg_nm", "insert_user_id", "msg_enqueued_tsp")
 ENCOUNTER_SEGMENTS = ["MSH", "EVN", "PID", "ZPD", "PV1", "PV2", "ZPV", "DG1"]
 
 # Where the medication columns stand in a message.
@@ -107,14 +109,10 @@ MEDICATION_NOT_STORED = ("ord_admn", "med_disp_nm")
 FLOWSHEET_TYPE = "ORU"
 
 
-def _value(rule: FieldRule, zone: str) -> Column:
-    segment = F.col(f"_{rule.segment.lower()}")
-    text = hl7.part(segment, rule.number, rule.component, rule.segment)
-    if rule.kind == "time":
-        return times.parse_local(text, zone)
-    if rule.kind == "shifted":
-        return times.parse_shifted(text)
-    return text.try_cast("long") if rule.kind == "number" else text
+def _texts(rules: tuple[FieldRule, ...]) -> dict[str, Column]:
+    return {
+        r.column: hl7.part(F.col(f"_{r.segment.lower()}"), r.number, r.component, r.segment) for r in rules
+    }
 
 
 def validate(df: DataFrame, msg: str = "msg", mode: str = "PERMISSIVE") -> DataFrame:
@@ -131,69 +129,60 @@ def validate(df: DataFrame, msg: str = "msg", mode: str = "PERMISSIVE") -> DataF
     return df.withColumn("is_valid", valid).withColumn(msg, hl7.normalise(F.col(msg)))
 
 
-def _observed(obx: Column, code: tuple[str, str]) -> Column:
-    """Observations with the given identifier and text."""
-
-    def matches(o: Column) -> Column:
-        observed = hl7.field(o, 3)
-        return (hl7.component(observed, 1) == code[0]) & (hl7.component(observed, 2) == code[1])
-
-    return F.filter(obx, matches)
-
-
-def acuity(obx: Column) -> Column:
-    """The acuity texts of all matching observations, joined; NULL without any."""
-    texts = F.transform(_observed(obx, ACUITY), lambda o: hl7.component(hl7.field(o, 5), 2))
-    return hl7.blank_to_null(F.array_join(F.array_compact(texts), ACUITY_DELIMITER))
-
-
-def _encounter(source: str, zone: str) -> dict[str, Column]:
-    trigger = hl7.part(F.col("_msh"), 9, 2, "MSH")
-    gated = {
-        name: F.when(trigger.isin(*on), times.parse_local(hl7.field(F.col("_pv1"), number), zone))
-        for name, (number, on) in GATED_TIMES.items()
-    }
-    pregnancy = hl7.field(F.col("_zpd"), 7)
-    return {
-        **{r.column: _value(r, zone) for r in ENCOUNTER_FIELDS},
-        **gated,
-        "msg_src": F.lit(source),
-        "acuity_level_abbr": acuity(F.col("_obx")),
-        "pregnancy_flg": F.when(F.upper(pregnancy) == "Y", pregnancy),
-    }
+def _encounter_columns(
+    df: DataFrame, msg: str, segments: list[str], source: str, zone: str
+) -> DataFrame:
+    """The message taken apart: segment columns and all encounter columns side by side."""
+    df = df.drop(*(c for c in ENCOUNTER_COLUMNS if c in df.columns and c not in CARRIED))
+    apart = hl7.with_segments(df, msg, segments)
+    values = hl7.observed_values(hl7.observations(F.col("_segs"), ACUITY))
+    acuities = F.filter(F.transform(values, lambda v: F.get(v, F.lit(1))), lambda a: a != "")
+    texts = apart.withColumns(
+        {
+            **_texts(ENCOUNTER_FIELDS),
+            **{name: hl7.part(F.col("_pv1"), number) for name, (number, _) in GATED_TIMES.items()},
+            "acuity_level_abbr": hl7.blank_to_null(F.array_join(acuities, ACUITY_DELIMITER)),
+            "pregnancy_flg": hl7.part(F.col("_zpd"), 7),
+            "msg_src": F.lit(source),
+        }
+    )
+    typed = texts.withColumns(
+        {
+            **{r.column: F.col(r.column).try_cast("long") for r in ENCOUNTER_FIELDS if r.kind == "number"},
+            **{n: F.when(F.col("trigger_evnt").isin(*on), F.col(n)) for n, (_, on) in GATED_TIMES.items()},
+            "pregnancy_flg": F.when(F.upper("pregnancy_flg") == "Y", F.col("pregnancy_flg")),
+        }
+    )
+    local = [r.column for r in ENCOUNTER_FIELDS if r.kind == "time"]
+    return times.parse_local(typed, [*local, *GATED_TIMES], zone)
 
 
-def _diagnoses(obx: Column) -> Column:
-    def row(o: Column) -> Column:
-        value = hl7.field(o, 5)
+def _diagnoses(segs: Column) -> Column:
+    def row(v: Column) -> Column:
         return F.struct(
-            hl7.component(value, 1).alias("dx_icd_cd"),
-            hl7.component(value, 2).alias("dx_nm"),
-            hl7.component(value, 3).alias("dx_cd_typ"),
+            *(hl7.blank_to_null(F.get(v, F.lit(i))).alias(c) for i, c in enumerate(("dx_icd_cd", "dx_nm", "dx_cd_typ")))
         )
 
-    rows = F.transform(_observed(obx, CHIEF_COMPLAINT), row)
+    rows = F.transform(hl7.observed_values(hl7.observations(segs, CHIEF_COMPLAINT)), row)
     return F.filter(
         rows, lambda r: F.coalesce(r["dx_icd_cd"], r["dx_nm"], r["dx_cd_typ"]).isNotNull()
     )
 
 
-def _reasons(obx: Column) -> Column:
-    reasons = F.transform(_observed(obx, VISIT_REASON), lambda o: hl7.component(hl7.field(o, 5), 9))
-    return F.transform(F.array_compact(reasons), lambda r: F.struct(r.alias("encntr_rsn")))
+def _reasons(segs: Column) -> Column:
+    values = hl7.observed_values(hl7.observations(segs, VISIT_REASON))
+    reasons = F.filter(F.transform(values, lambda v: F.get(v, F.lit(8))), lambda r: r != "")
+    return F.transform(reasons, lambda r: F.struct(r.alias("encntr_rsn")))
 
 
 def _complaint(dg1: Column) -> Column:
-    wanted = hl7.field(dg1, 6).isin(*ER_COMPLAINT_TYPES)
-    complaint = hl7.field(dg1, 4)
-    return F.when(wanted & complaint.isNotNull(), F.struct(complaint.alias("er_complnt")))
+    wanted = hl7.raw(dg1, 6).isin(*ER_COMPLAINT_TYPES) & (hl7.raw(dg1, 4) != "")
+    return F.when(wanted, F.struct(hl7.raw(dg1, 4).alias("er_complnt")))
 
 
-def _note(obx: Column) -> Column:
-    matching = F.filter(obx, lambda o: hl7.field(o, 3) == TRIAGE_NOTE)
-    text = hl7.field(F.try_element_at(matching, F.lit(-1)), 5)
-    row = F.struct(text.alias("nte_txt"), F.lit(TRIAGE_NOTE_TYPE).alias("nte_typ"))
-    return F.when(text.isNotNull(), row)
+def _note(segs: Column) -> Column:
+    last = F.try_element_at(hl7.observations(segs, TRIAGE_NOTE, whole=True), F.lit(-1))
+    return hl7.part(hl7.fields(last), 5)
 
 
 def fan_out(
@@ -208,24 +197,24 @@ def fan_out(
     are NULL when the message has none. ``msg_nm``, ``insert_user_id`` and
     ``msg_enqueued_tsp`` are taken over from the frame.
     """
-    parsed = hl7.with_segments(df, msg, ENCOUNTER_SEGMENTS, ["OBX"])
-    obx = F.col("_obx")
-    made = _encounter(source, zone)
-    encounter = F.struct(*(made.get(c, F.col(c)).alias(c) for c in ENCOUNTER_COLUMNS))
-    return parsed.select(
-        encounter.alias("encounter"),
-        _diagnoses(obx).alias("dx"),
+    apart = _encounter_columns(df, msg, ENCOUNTER_SEGMENTS, source, zone)
+    noted = apart.withColumn("_note", _note(F.col("_segs")))
+    note = F.struct(F.col("_note").alias("nte_txt"), F.lit(TRIAGE_NOTE_TYPE).alias("nte_typ"))
+    return noted.select(
+        F.struct(*ENCOUNTER_COLUMNS).alias("encounter"),
+        _diagnoses(F.col("_segs")).alias("dx"),
         _complaint(F.col("_dg1")).alias("complaint"),
-        _reasons(obx).alias("reasons"),
-        _note(obx).alias("note"),
+        _reasons(F.col("_segs")).alias("reasons"),
+        F.when(F.col("_note").isNotNull(), note).alias("note"),
     )
 
 
-def parse_encounter(df: DataFrame, msg: str = "msg", source: str = SOURCE, zone: str = times.LOCAL_ZONE) -> DataFrame:
-    """Encounter rows alone, without splitting what only the children need."""
-    parsed = hl7.with_segments(df, msg, ENCOUNTER_SEGMENTS[:-1], ["OBX"])
-    made = _encounter(source, zone)
-    return parsed.select(*(made.get(c, F.col(c)).alias(c) for c in ENCOUNTER_COLUMNS))
+def parse_encounter(
+    df: DataFrame, msg: str = "msg", source: str = SOURCE, zone: str = times.LOCAL_ZONE
+) -> DataFrame:
+    """Encounter rows alone, without taking apart what only the children need."""
+    segments = [s for s in ENCOUNTER_SEGMENTS if s != "DG1"]
+    return _encounter_columns(df, msg, segments, source, zone).select(*ENCOUNTER_COLUMNS)
 
 
 def encounters(fanned: DataFrame) -> DataFrame:
@@ -277,47 +266,50 @@ def parse_flowsheet(
     """One row per observation. Observations without a readable time are left out; with
     ``strict`` one of them discards its whole message."""
     rest = [c for c in df.columns if c != msg]
-    parsed = hl7.with_segments(df, msg, ["MSH", "PID", "PV1", "OBR"], ["OBX"])
-
-    def measure(o: Column) -> Column:
-        code = hl7.component(hl7.field(o, 3), 1)
-        has_row = code.contains(hl7.SUBCOMPONENT)
-        row = F.when(has_row, F.substring_index(code, hl7.SUBCOMPONENT, -1))
-        return F.struct(
-            hl7.blank_to_null(F.substring_index(code, hl7.SUBCOMPONENT, 1)).alias("flwsht_nm"),
-            hl7.blank_to_null(row).alias("flwsht_row_num"),
-            hl7.field(o, 5).alias("meas_val"),
-            hl7.field(o, 6).alias("meas_typ"),
-            times.parse_local(hl7.field(o, 14), zone).alias("rcrd_tm"),
-            hl7.component(hl7.field(o, 16), 1).alias("entry_user_id"),
-        )
-
-    order = hl7.field(F.col("_obr"), 3)
-    staged = parsed.select(
+    apart = hl7.with_segments(df, msg, ["MSH", "PID", "PV1", "OBR"])
+    heads = apart.select(
         F.lit(FLOWSHEET_TYPE).alias("msg_typ"),
-        times.parse_local(hl7.part(F.col("_msh"), 7, None, "MSH"), zone).alias("msg_tm"),
+        hl7.part(F.col("_msh"), 7, None, "MSH").alias("msg_tm"),
         hl7.part(F.col("_pid"), 3, 1).alias("pat_mrn_id"),
-        hl7.field(F.col("_pv1"), 19).try_cast("long").alias("pat_enc_csn_id"),
-        # The order number ends with a 14-digit time.
-        F.substring(order, F.lit(1), F.length(order) - 14).try_cast("long").alias("fsd_id"),
-        F.transform(F.col("_obx"), measure).alias("_rows"),
+        hl7.part(F.col("_pv1"), 19).alias("pat_enc_csn_id"),
+        hl7.part(F.col("_obr"), 3).alias("fsd_id"),
+        F.transform(hl7.named(F.col("_segs"), "OBX"), hl7.fields).alias("_obx"),
         *rest,
     )
     if strict:
-        staged = staged.filter(F.forall("_rows", lambda r: r["rcrd_tm"].isNotNull()))
-    flat = staged.withColumn("_row", F.explode("_rows"))
-    if not strict:
-        flat = flat.filter(F.col("_row.rcrd_tm").isNotNull())
-    return flat.select(
-        "msg_typ", "msg_tm", "pat_mrn_id", "pat_enc_csn_id", "fsd_id", "_row.*", *rest
+        heads = heads.filter(F.forall("_obx", lambda o: times.readable(hl7.raw(o, 14), zone)))
+    rows = heads.withColumn("_obx", F.explode("_obx")).withColumns(
+        {
+            "pat_enc_csn_id": F.col("pat_enc_csn_id").try_cast("long"),
+            # The order number ends with a 14-digit time.
+            "fsd_id": F.expr("substring(fsd_id, 1, length(fsd_id) - 14)").try_cast("long"),
+            "_code": hl7.raw(F.col("_obx"), 3, 1),
+            "meas_val": hl7.part(F.col("_obx"), 5),
+            "meas_typ": hl7.part(F.col("_obx"), 6),
+            "rcrd_tm": hl7.part(F.col("_obx"), 14),
+            "entry_user_id": hl7.part(F.col("_obx"), 16, 1),
+        }
     )
+    named = rows.withColumns(
+        {
+            "flwsht_nm": hl7.blank_to_null(F.substring_index("_code", hl7.SUBCOMPONENT, 1)),
+            "flwsht_row_num": hl7.blank_to_null(F.regexp_extract("_code", "&(.*)$", 1)),
+        }
+    )
+    timed = times.parse_local(named, ["msg_tm", "rcrd_tm"], zone).filter(F.col("rcrd_tm").isNotNull())
+    return timed.select(
+        "msg_typ", "msg_tm", "pat_mrn_id", "pat_enc_csn_id", "fsd_id", "flwsht_nm",
+        "flwsht_row_num", "meas_val", "meas_typ", "rcrd_tm", "entry_user_id", *rest,
+    )
 
 
 def parse_medication(df: DataFrame, msg: str = "msg", stored: bool = True) -> DataFrame:
     """Medication administrations; with ``stored`` in the stored columns only."""
     rest = [c for c in df.columns if c != msg]
-    parsed = hl7.with_segments(df, msg, ["MSH", "PID", "PV1", "ORC", "RXA", "RXR"])
-    columns = [_value(r, times.LOCAL_ZONE).alias(r.column) for r in MEDICATION_FIELDS]
+    apart = hl7.with_segments(df, msg, ["MSH", "PID", "PV1", "ORC", "RXA", "RXR"])
+    texts = apart.select(*(c.alias(n) for n, c in _texts(MEDICATION_FIELDS).items()), *rest)
+    convert = {"shifted": times.parse_shifted, "number": lambda c: c.try_cast("long")}
+    columns = [convert.get(r.kind, lambda c: c)(F.col(r.column)).alias(r.column) for r in MEDICATION_FIELDS]
     columns.insert(1, F.lit(MEDICATION_TYPE).alias("msg_typ"))
-    made = parsed.select(*columns, *rest)
+    made = texts.select(*columns, *rest)
     return made.drop(*MEDICATION_NOT_STORED) if stored else made

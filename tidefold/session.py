@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes of code; the wide parsing projections
+    # run faster operator by operator than in one generated method of that size.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
