@@ -75,6 +75,7 @@ ENCOUNTER_COLUMNS = (
 ).split()
 # Columns that come with the message and not from it.
 CARRIED = ("msg_nm", "insert_user_id", "msg_enqueued_tsp")
+PARTS = ("encounter", "dx", "complaint", "reasons", "note")
 ENCOUNTER_SEGMENTS = ["MSH", "EVN", "PID", "ZPD", "PV1", "PV2", "ZPV", "DG1"]
 
 # Where the medication columns stand in a message.
@@ -224,20 +225,21 @@ def encounters(fanned: DataFrame) -> DataFrame:
 def children(fanned: DataFrame, kind: str) -> DataFrame:
     """The rows of one child table: ``dx``, ``reasons``, ``complaint`` or ``note``.
 
-    Messages without such rows give none.
+    Messages without such rows give none. Columns beside the five parts are repeated.
     """
+    rest = [c for c in fanned.columns if c not in PARTS]
     head = [
         F.col(f"encounter.{c}").alias(c)
         for c in ("msg_src", "msg_tm", "pat_enc_csn_id", "insert_user_id", "msg_enqueued_tsp")
     ]
     if kind in ("dx", "reasons"):
-        rows = fanned.select(*head, F.explode(kind).alias("_row"))
+        rows = fanned.select(*head, *rest, F.explode(kind).alias("_row"))
     else:
-        rows = fanned.filter(F.col(kind).isNotNull()).select(*head, F.col(kind).alias("_row"))
+        rows = fanned.filter(F.col(kind).isNotNull()).select(*head, *rest, F.col(kind).alias("_row"))
     payload = rows.schema["_row"].dataType.fieldNames()
     return rows.select(
         "msg_src", "msg_tm", "pat_enc_csn_id", *(f"_row.{c}" for c in payload),
-        "insert_user_id", "msg_enqueued_tsp",
+        "insert_user_id", "msg_enqueued_tsp", *rest,
     )
 
 

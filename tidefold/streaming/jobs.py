@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidefold.functions.frames import audit_stamp, conform, require_keys
+from tidefold.functions.frames import audit_stamp, conform
 from tidefold.operators import cdc as change
 from tidefold.operators.latest import dedup_by_id
 from tidefold.operators.observe import batch_metrics
+from tidefold.operators.retention import (
+    RETENTION_DAYS, clustered, expired_keys, retain_following, retain_master,
+)
 from tidefold.plans import messages
 from tidefold.sources.mirror import DirectoryMirror, JdbcMirror
 from tidefold.spec import CHILDREN, TABLES, Cdc, schema_of
-from tidefold.streaming.tables import BatchTable, LatestTable, encounter_table, replacing_table
+from tidefold.streaming.tables import SEQUENCE, Folders, FoldedTable, replacing_table, state_table
 
 METRICS = schema_of(
     "table_name string, batch_rows long, latest_msg_tm timestamp, first_insert_tsp timestamp, "
     "last_insert_tsp timestamp"
 )
+REJECTED = schema_of("msg string, msg_nm string")
 # A batch number of the table is the stream's batch number plus this times the generation.
 GENERATION = 10**12
 
@@ -36,6 +44,14 @@ def start(
     return df.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(handle).start()
 
 
+def together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Run independent writes side by side; each is a small job of its own."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        for job in running:
+            job.result()
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append a stream to a file table."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
@@ -54,76 +70,91 @@ class EncounterTables:
     """History, latest state, children and metrics of the encounter feed below one root."""
 
     def __init__(self, spark: SparkSession, root: str, cdc: Cdc | None = None) -> None:
-        self.spark, self.root = spark, root
+        self.spark = spark
         self.cdc = cdc or Cdc(order=F.col("msg_nm").try_cast("decimal(38,0)"))
-        self.history = BatchTable(spark, f"{root}/adt_hist", TABLES["adt_hist"].schema)
-        self.detail = encounter_table(spark, f"{root}/adt_dtl", TABLES["adt_dtl"].schema, self.cdc)
+        self.history = FoldedTable(spark, f"{root}/adt_hist", TABLES["adt_hist"].schema)
+        self.detail = state_table(spark, f"{root}/adt_dtl", TABLES["adt_dtl"].schema, self.cdc)
         self.child_history = {
-            n: BatchTable(spark, f"{root}/{n}_hist", TABLES[f"{n}_hist"].schema) for n in CHILDREN
+            n: FoldedTable(spark, f"{root}/{n}_hist", TABLES[f"{n}_hist"].schema) for n in CHILDREN
         }
-        self.child_latest = {
+        self.children = {
             n: replacing_table(spark, f"{root}/{n}", TABLES[n].schema, list(TABLES[n].key)) for n in CHILDREN
         }
-        self.metrics = BatchTable(spark, f"{root}/batch_metrics", METRICS)
-        self.rejected = f"{root}/rejected"
+        self.metrics = FoldedTable(spark, f"{root}/batch_metrics", METRICS)
+        self.rejected = Folders(spark, f"{root}/rejected", REJECTED)
         self.staged = f"{root}/staged"
 
-    def latest_tables(self) -> dict[str, LatestTable]:
-        return {"adt_dtl": self.detail, **self.child_latest}
+    def read(self, name: str) -> DataFrame:
+        """A table by name, in its specified columns."""
+        tables = {"adt_hist": self.history, "adt_dtl": self.detail, **self.children}
+        tables |= {f"{n}_hist": t for n, t in self.child_history.items()}
+        return tables[name].read().select(*TABLES[name].columns)
 
-    def compact(self, batch_id: int) -> None:
-        for table in self.latest_tables().values():
-            table.compact(batch_id)
-
-    def apply(self, batch: DataFrame, batch_id: int, as_of: Column | None = None) -> None:
+    def apply(self, batch: DataFrame, number: int, as_of: Column | None = None) -> None:
         """Take in one batch of ``msg, msg_nm, msg_enqueued_tsp, insert_user_id``.
 
         Applying a batch again, under its own or another number, changes nothing: messages
         that history has from other batches are left out, and the folders are replaced.
         """
-        checked = messages.validate(batch.withColumn("_raw", F.col("msg")))
-        checked.filter(~F.col("is_valid")).select(F.col("_raw").alias("msg"), "msg_nm").write.mode(
-            "overwrite"
-        ).parquet(f"{self.rejected}/batch_id={batch_id}")
-        known = self.history.read(before=batch_id).select("msg_nm", "msg_enqueued_tsp")
-        unique = dedup_by_id(
-            checked.filter("is_valid").withColumn("msg_nm", F.col("msg_nm").cast("string")),
-            ["msg_nm"],
-            ["msg_enqueued_tsp"],
+        checked = messages.validate(batch.withColumn("_text", F.col("msg")))
+        failed = checked.filter(~F.col("is_valid")).withColumn("msg", F.col("_text"))
+        self.rejected.write(number, failed.withColumn("msg_nm", F.col("msg_nm").cast("string")))
+
+        known = self.history.read(before=number).select("msg_nm", "msg_enqueued_tsp")
+        valid = checked.filter("is_valid").withColumn("msg_nm", F.col("msg_nm").cast("string"))
+        new = change.append_new_only(
+            dedup_by_id(valid, ["msg_nm"], ["msg_enqueued_tsp"]), known, ["msg_nm"], "msg_enqueued_tsp"
         )
-        new = change.append_new_only(unique, known, ["msg_nm"], within="msg_enqueued_tsp")
-        # Parsed once into a table of its own: seven writes read it, and a lost executor
-        # costs a re-read instead of a re-parse.
-        staged = f"{self.staged}/batch_id={batch_id}"
-        messages.fan_out(new).withColumn(
-            "row_insert_tsp", F.current_timestamp() if as_of is None else as_of
-        ).write.mode("overwrite").parquet(staged)
+        # Parsed once into a table of its own: ten writes read it, and a lost executor then
+        # costs a re-read and not a re-parse.
+        staged = f"{self.staged}/batch_id={number}"
+        moment = F.current_timestamp() if as_of is None else as_of
+        messages.fan_out(new).withColumn("row_insert_tsp", moment).write.mode("overwrite").parquet(staged)
         parsed = self.spark.read.parquet(staged)
 
-        def stamped(rows: DataFrame, inserted: Column) -> DataFrame:
-            return rows.withColumn("row_insert_tsp", inserted).withColumns(
-                {"row_updt_tsp": F.col("row_insert_tsp"), "updt_user_id": F.col("insert_user_id")}
-            )
-
-        encounters = stamped(parsed.select("encounter.*", "row_insert_tsp"), F.col("row_insert_tsp"))
-        history = conform(encounters, TABLES["adt_hist"])
-        self.history.write(batch_id, history)
-
-        changes = change.transform(require_keys(history, ["pat_enc_csn_id"]), self.cdc)
-        before = self.detail.changes.read(before=batch_id)
-        self.detail.write(batch_id, change.incremental_since(change.stamp_changes(changes, self.cdc), before, self.cdc))
-
-        moment = parsed.select(F.max("row_insert_tsp")).scalar()
-        for name in CHILDREN:
-            spec = TABLES[f"{name}_hist"]
-            rows = messages.children(parsed, messages.CHILD_PARTS[name])
-            rows = conform(stamped(rows, moment), spec)
-            self.child_history[name].write(batch_id, rows)
-            latest = change.latest_children(rows, spec.key, "msg_tm")
-            self.child_latest[name].write(batch_id, latest)
+        def stamped(rows: DataFrame, table: str) -> DataFrame:
+            stamps = {"row_updt_tsp": F.col("row_insert_tsp"), "updt_user_id": F.col("insert_user_id")}
+            return conform(rows.withColumns(stamps), TABLES[table])
 
+        history = stamped(parsed.select("encounter.*", "row_insert_tsp"), "adt_hist")
+        changes = change.stamp_changes(change.transform(history, self.cdc), self.cdc)
+        # The few rows of the metrics know the latest update; the state need not be read.
+        marks = self.metrics.read(before=number)
+        marks = marks.select(F.col("last_insert_tsp").alias(self.cdc.updated))
+        changes = change.incremental_since(changes, marks, self.cdc)
         measured = batch_metrics(history.withColumn("table_name", F.lit("adt_hist")), ["table_name"])
-        self.metrics.write(batch_id, measured)
+        writes = [
+            lambda: self.history.write(number, history),
+            lambda: self.detail.write(number, changes),
+        ]
+        for name in CHILDREN:
+            rows = stamped(messages.children(parsed, messages.CHILD_PARTS[name]), f"{name}_hist")
+            latest = change.latest_children(rows, ["pat_enc_csn_id"], "msg_tm")
+            writes.append(partial(self.child_history[name].write, number, rows))
+            writes.append(partial(self.children[name].write, number, latest))
+        together(self.spark, writes)
+        self.metrics.write(number, measured)
+
+    def retire(
+        self, number: int, as_of: datetime.date | None = None, days: int = RETENTION_DAYS, files: int | None = None
+    ) -> None:
+        """Nightly, after batch ``number``: drop expired encounters from all tables, and lay
+        history out by insert time and the latest tables by encounter."""
+
+        def layout(key: str, spread: str) -> Callable[[DataFrame], DataFrame] | None:
+            return (lambda df: clustered(df, [key], files, [spread])) if files else None
+
+        by_time = layout("row_insert_tsp", "pat_enc_csn_id")
+        by_key = layout("pat_enc_csn_id", "msg_tm")
+        expired = expired_keys(self.history.read(before=number + 1), as_of=as_of, days=days)
+        self.history.compact(number, lambda df: retain_master(df, expired), by_time)
+        history = self.history.read(before=number + 1)
+        for table in self.child_history.values():
+            table.compact(number, lambda df: retain_following(df, history), by_time)
+        self.detail.compact(number, lambda df: retain_following(df, history), by_key)
+        detail = self.detail.read(before=number + 1)
+        for table in self.children.values():
+            table.compact(number, lambda df: retain_following(df, detail), by_key)
 
     def run(
         self, stream: DataFrame, checkpoint: str, every: str | None = None, generation: int = 0
@@ -147,11 +178,11 @@ def medication_rows(events: DataFrame) -> DataFrame:
 
 def upsert_stream(
     df: DataFrame,
-    table: LatestTable,
+    table: FoldedTable,
     keys: list[str],
     order: str,
     checkpoint: str,
-    history: BatchTable | None = None,
+    history: FoldedTable | None = None,
     every: str | None = None,
     generation: int = 0,
 ) -> StreamingQuery:
@@ -161,7 +192,7 @@ def upsert_stream(
     def handle(batch: DataFrame, n: int) -> None:
         if history:
             history.write(first + n, batch)
-            batch = history.numbered(after=first + n - 1, before=first + n + 1).drop("batch_id")
+            batch = history.changes.read([first + n]).drop(SEQUENCE)
         table.write(first + n, change.latest_children(batch, keys, order))
 
     return start(df, handle, checkpoint, every)

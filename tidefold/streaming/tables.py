@@ -2,8 +2,9 @@
 
 Every batch writes its own folder, so writing a batch again replaces the same folder. Files
 appear when Spark commits the job, and a folder counts once it has its ``_SUCCESS`` file.
-Latest-state tables store the reduced changes of each batch and put them together when read;
-a micro-batch therefore writes in proportion to itself and not to the table.
+A table stores what each batch adds and puts it together when read; a micro-batch therefore
+writes in proportion to itself and not to the table. Compaction stores the outcome once,
+and is also where retention removes rows and where the layout is chosen.
 """
 
 from __future__ import annotations
@@ -19,99 +20,111 @@ from tidefold.operators.latest import latest_keep_ties
 from tidefold.spec import Cdc
 
 BATCH = "batch_id"
+SEQUENCE = "_seq"
+Step = Callable[[DataFrame], DataFrame]
 
 
-def committed(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished ``batch_id=`` folders below ``path``, in order."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{path}/{BATCH}=*/_SUCCESS")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    names = (status.getPath().getParent().getName() for status in found or ())
-    return sorted(int(name.partition("=")[2]) for name in names)
-
-
-class BatchTable:
-    """An append-only table with one folder per batch."""
+class Folders:
+    """One folder of rows per batch number below ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self.spark, self.path, self.schema = spark, path, schema
 
-    def write(self, batch_id: int, rows: DataFrame) -> None:
-        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.path}/{BATCH}={batch_id}"
-        )
-
-    def numbered(self, after: int | None = None, before: int | None = None) -> DataFrame:
-        """Rows with their batch number, of finished batches in the given open interval."""
-        batches = [
-            b for b in committed(self.spark, self.path)
-            if (after is None or b > after) and (before is None or b < before)
-        ]
+    def folder(self, number: int) -> str:
+        return f"{self.path}/{BATCH}={number}"
+
+    def write(self, number: int, rows: DataFrame) -> None:
+        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self.folder(number))
+
+    def _files(self, pattern: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def committed(self) -> list[int]:
+        """Numbers of the finished folders, in order. Reads the listing, not the data."""
+        path, files = self._files(f"{self.path}/{BATCH}=*/_SUCCESS")
+        names = (s.getPath().getParent().getName() for s in files.globStatus(path) or ())
+        return sorted(int(name.partition("=")[2]) for name in names)
+
+    def read(self, numbers: list[int]) -> DataFrame:
+        """Rows of the given folders with their number in ``_seq``."""
         schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
-        if not batches:
-            return self.spark.createDataFrame([], schema)
-        folders = [f"{self.path}/{BATCH}={b}" for b in batches]
-        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders)
+        if not numbers:
+            rows = self.spark.createDataFrame([], schema)
+        else:
+            reader = self.spark.read.schema(schema).option("basePath", self.path)
+            rows = reader.parquet(*(self.folder(n) for n in numbers))
+        return rows.withColumnRenamed(BATCH, SEQUENCE)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        return self.numbered(before=before).drop(BATCH)
+    def remove(self, numbers: list[int]) -> None:
+        for number in numbers:
+            path, files = self._files(self.folder(number))
+            files.delete(path, True)
 
 
-class LatestTable:
-    """A latest-state table: a compacted base and the changes of the batches after it.
+class FoldedTable:
+    """A table made of a compacted base and the batches after it.
 
-    ``settle`` turns numbered changes into numbered state rows; it must give the same
-    result whether its input is raw changes or an earlier result followed by later changes.
+    ``settle`` turns numbered batch rows into the table's rows, numbered too. Settling an
+    earlier outcome together with later batches has to give what settling all batches gives.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: T.StructType,
-        settle: Callable[[DataFrame], DataFrame],
+        self, spark: SparkSession, path: str, schema: T.StructType, settle: Step = lambda rows: rows
     ) -> None:
-        self.changes = BatchTable(spark, f"{path}/changes", schema)
-        self.base = BatchTable(
-            spark, f"{path}/base", T.StructType([*schema.fields, T.StructField("_seq", T.LongType())])
-        )
-        self.settle = settle
-
-    def write(self, batch_id: int, changes: DataFrame) -> None:
-        self.changes.write(batch_id, changes)
-
-    def _settled(self, before: int | None = None) -> DataFrame:
-        bases = [
-            b for b in committed(self.base.spark, self.base.path) if before is None or b < before
-        ]
-        last = bases[-1] if bases else None
-        rows = self.changes.numbered(after=last, before=before).withColumnRenamed(BATCH, "_seq")
-        if last is not None:
-            base = self.base.numbered(after=last - 1, before=last + 1).drop(BATCH)
-            rows = base.unionByName(rows)
-        return self.settle(rows)
+        self.spark, self.path, self.settle = spark, path, settle
+        self.changes = Folders(spark, f"{path}/changes", schema)
+        with_origin = T.StructType([*schema.fields, T.StructField("_from", T.LongType())])
+        self.base = Folders(spark, f"{path}/base", with_origin)
+
+    def write(self, number: int, rows: DataFrame) -> None:
+        self.changes.write(number, rows)
+
+    def _rows(self, below: int | None, base_below: int | None) -> DataFrame:
+        """Unsettled rows: the last base under ``base_below`` and the batches after it."""
+        bases = [n for n in self.base.committed() if base_below is None or n < base_below]
+        after = bases[-1] if bases else -1
+        batches = [n for n in self.changes.committed() if n > after and (below is None or n < below)]
+        rows = self.changes.read(batches)
+        if not bases:
+            return rows
+        base = self.base.read([after]).drop(SEQUENCE).withColumnRenamed("_from", SEQUENCE)
+        return base.unionByName(rows)
 
     def read(self, before: int | None = None) -> DataFrame:
-        """The state after all batches, or after those before ``before``."""
-        return self._settled(before).drop("_seq")
+        """The table after all batches, or after those below ``before``."""
+        return self.settle(self._rows(before, before)).drop(SEQUENCE)
+
+    def compact(self, number: int, keep: Step | None = None, layout: Step | None = None) -> None:
+        """Store the table after batch ``number`` as the base that later reads start from.
+
+        ``keep`` selects the rows that stay, ``layout`` arranges them in files. Compacting a
+        number again starts from the base below it, so it never reads what it replaces.
+        """
+        rows = self.settle(self._rows(number + 1, number)).withColumnRenamed(SEQUENCE, "_from")
+        rows = keep(rows) if keep else rows
+        self.base.write(number, layout(rows) if layout else rows)
 
-    def compact(self, batch_id: int) -> None:
-        """Store the state after ``batch_id`` as the base that later reads start from."""
-        self.base.write(batch_id, self._settled(before=batch_id + 1))
+    def remove_compacted(self) -> None:
+        """Delete what the last base replaces. Not while a query started earlier still reads."""
+        bases = self.base.committed()
+        if bases:
+            self.base.remove(bases[:-1])
+            self.changes.remove([n for n in self.changes.committed() if n <= bases[-1]])
 
 
-def encounter_table(spark: SparkSession, path: str, schema: T.StructType, cdc: Cdc) -> LatestTable:
-    """Rule-driven state: changes carry flags, and a settled row has them all set."""
+def state_table(spark: SparkSession, path: str, schema: T.StructType, cdc: Cdc) -> FoldedTable:
+    """Rule-driven state: batches store change rows with flags; a settled row has all set."""
     flags = [r.flag for r in cdc.rules]
     with_flags = T.StructType([*schema.fields, *(T.StructField(f, T.BooleanType()) for f in flags)])
 
     def settle(numbered: DataFrame) -> DataFrame:
-        state = fold(numbered.withColumn("_at", F.col("_seq")), cdc, "_seq")
-        return state.withColumnRenamed("_at", "_seq").withColumns({f: F.lit(True) for f in flags})
+        state = fold(numbered.withColumn("_at", F.col(SEQUENCE)), cdc, SEQUENCE)
+        return state.withColumnRenamed("_at", SEQUENCE).withColumns({f: F.lit(True) for f in flags})
 
-    return LatestTable(spark, path, with_flags, settle)
+    return FoldedTable(spark, path, with_flags, settle)
 
 
-def replacing_table(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> LatestTable:
+def replacing_table(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> FoldedTable:
     """Row sets by key: the last batch that mentions a key decides all its rows."""
-    return LatestTable(spark, path, schema, lambda rows: latest_keep_ties(rows, keys, "_seq"))
+    return FoldedTable(spark, path, schema, lambda rows: latest_keep_ties(rows, keys, SEQUENCE))
