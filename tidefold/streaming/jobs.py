@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidefold.functions import hl7
 from tidefold.functions.frames import audit_stamp, conform
 from tidefold.operators import cdc as change
-from tidefold.operators.latest import dedup_by_id
 from tidefold.operators.observe import batch_metrics
 from tidefold.operators.retention import (
     RETENTION_DAYS, clustered, expired_keys, retain_following, retain_master,
@@ -28,7 +28,7 @@ METRICS = schema_of(
     "table_name string, batch_rows long, latest_msg_tm timestamp, first_insert_tsp timestamp, "
     "last_insert_tsp timestamp"
 )
-REJECTED = schema_of("msg string, msg_nm string")
+DELIVERED = schema_of("msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string")
 # A batch number of the table is the stream's batch number plus this times the generation.
 GENERATION = 10**12
 
@@ -81,7 +81,8 @@ class EncounterTables:
             n: replacing_table(spark, f"{root}/{n}", TABLES[n].schema, list(TABLES[n].key)) for n in CHILDREN
         }
         self.metrics = FoldedTable(spark, f"{root}/batch_metrics", METRICS)
-        self.rejected = Folders(spark, f"{root}/rejected", REJECTED)
+        self.rejected = Folders(spark, f"{root}/rejected", DELIVERED)
+        self.delivered = Folders(spark, f"{root}/delivered", DELIVERED)
         self.staged = f"{root}/staged"
 
     def read(self, name: str) -> DataFrame:
@@ -96,21 +97,19 @@ class EncounterTables:
         Applying a batch again, under its own or another number, changes nothing: messages
         that history has from other batches are left out, and the folders are replaced.
         """
-        checked = messages.validate(batch.withColumn("_text", F.col("msg")))
-        failed = checked.filter(~F.col("is_valid")).withColumn("msg", F.col("_text"))
-        self.rejected.write(number, failed.withColumn("msg_nm", F.col("msg_nm").cast("string")))
-
+        # The batch and its parse are tables of their own: the source is read once and every
+        # message parsed once, and a lost executor costs a re-read of files.
+        delivered = batch.withColumn("msg_nm", F.col("msg_nm").cast("string"))
+        self.delivered.write(number, delivered)
+        delivered = self.delivered.read([number]).drop(SEQUENCE)
         known = self.history.read(before=number).select("msg_nm", "msg_enqueued_tsp")
-        valid = checked.filter("is_valid").withColumn("msg_nm", F.col("msg_nm").cast("string"))
-        new = change.append_new_only(
-            dedup_by_id(valid, ["msg_nm"], ["msg_enqueued_tsp"]), known, ["msg_nm"], "msg_enqueued_tsp"
-        )
-        # Parsed once into a table of its own: ten writes read it, and a lost executor then
-        # costs a re-read and not a re-parse.
+        new = change.append_new_only(delivered, known, ["msg_nm"], "msg_enqueued_tsp")
         staged = f"{self.staged}/batch_id={number}"
         moment = F.current_timestamp() if as_of is None else as_of
-        messages.fan_out(new).withColumn("row_insert_tsp", moment).write.mode("overwrite").parquet(staged)
+        valid = messages.validate(new, mode="DROP")
+        messages.fan_out(valid).withColumn("row_insert_tsp", moment).write.mode("overwrite").parquet(staged)
         parsed = self.spark.read.parquet(staged)
+        rejected = delivered.filter(~hl7.is_message(F.col("msg")))
 
         def stamped(rows: DataFrame, table: str) -> DataFrame:
             stamps = {"row_updt_tsp": F.col("row_insert_tsp"), "updt_user_id": F.col("insert_user_id")}
@@ -124,6 +123,7 @@ class EncounterTables:
         changes = change.incremental_since(changes, marks, self.cdc)
         measured = batch_metrics(history.withColumn("table_name", F.lit("adt_hist")), ["table_name"])
         writes = [
+            lambda: self.rejected.write(number, rejected),
             lambda: self.history.write(number, history),
             lambda: self.detail.write(number, changes),
         ]
