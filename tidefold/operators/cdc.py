@@ -183,7 +183,11 @@ def replace_by_key(
 
 
 def latest_children(batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    return latest_keep_ties(batch.distinct(), keys, order)
+    """The batch's latest rows per key, ties included, copies once.
+
+    Copies are dropped last, where only the latest rows are left to compare.
+    """
+    return latest_keep_ties(batch, keys, order).distinct()
 
 
 def delete_by_keys(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -200,17 +204,17 @@ def append_new_only(
     repeated row repeats), to the batch's time span. A small batch against a long history
     then reads few files and broadcasts its keys instead of shuffling the history.
     """
-    once = batch.dropDuplicates(list(keys))
+    hashed = F.xxhash64(*keys).alias("_hash")
+    delivered = batch.select(hashed, *batch.columns)
     seen = target
     if within:
         start = batch.select(F.min(within)).scalar()
-        seen = seen.filter(F.col(within).isNull() | (F.col(within) >= start))
-    hits = _null_safe_join(seen.select(*keys), once.select(*keys), keys, "left_semi").distinct()
-    return _null_safe_join(once, hits, keys, "left_anti")
-
-
-def _null_safe_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
-) -> DataFrame:
-    same = [F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}")) for key in keys]
-    return left.alias("l").join(right.alias("r"), reduce(and_, same), how)
+        # Two scans, because each condition by itself skips files and row groups.
+        undated = target.filter(F.col(within).isNull())
+        seen = target.filter(F.col(within) >= start).unionByName(undated)
+    # One long per row decides what of the target can matter; the keys themselves decide below.
+    near = seen.select(hashed, *keys).join(delivered.select("_hash").distinct(), "_hash", "left_semi").distinct()
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("_hash", *keys)]
+    fresh = delivered.alias("d").join(near.alias("n"), reduce(and_, same), "left_anti")
+    # Copies are dropped last, among the new rows only.
+    return fresh.drop("_hash").dropDuplicates(list(keys))

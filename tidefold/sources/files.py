@@ -34,18 +34,19 @@ def decoded(files: DataFrame, with_name: bool = False) -> DataFrame:
     return files.select(text, file_name(F.col("path")).alias("msg_nm")) if with_name else files.select(text)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Use all cores on an input that is small but expensive to parse.
 
     A small file is one task however much work its rows are. Only inputs estimated to fit into
-    one file split per core are shuffled; larger ones have enough splits of their own.
+    one file split per core are shuffled; larger ones have enough splits of their own. The
+    estimate is that of ``source``, the scan that ``df`` comes from, where one is given.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.files.maxPartitionBytes")
     )
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    estimate = (source or df)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return df.repartition(cores) if int(estimate) <= cores * split else df
 
 

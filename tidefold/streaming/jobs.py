@@ -20,6 +20,7 @@ from tidefold.operators.retention import (
     RETENTION_DAYS, clustered, expired_keys, retain_following, retain_master,
 )
 from tidefold.plans import messages
+from tidefold.sources.files import spread_small
 from tidefold.sources.mirror import DirectoryMirror, JdbcMirror
 from tidefold.spec import CHILDREN, TABLES, Cdc, schema_of
 from tidefold.streaming.tables import SEQUENCE, Folders, FoldedTable, replacing_table, state_table
@@ -106,7 +107,7 @@ class EncounterTables:
         new = change.append_new_only(delivered, known, ["msg_nm"], "msg_enqueued_tsp")
         staged = f"{self.staged}/batch_id={number}"
         moment = F.current_timestamp() if as_of is None else as_of
-        valid = messages.validate(new, mode="DROP")
+        valid = messages.validate(spread_small(new, delivered), mode="DROP")
         messages.fan_out(valid).withColumn("row_insert_tsp", moment).write.mode("overwrite").parquet(staged)
         parsed = self.spark.read.parquet(staged)
         rejected = delivered.filter(~hl7.is_message(F.col("msg")))
