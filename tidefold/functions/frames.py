@@ -85,9 +85,10 @@ def conform(df: DataFrame, spec: TableSpec, enforce: bool = True) -> DataFrame:
     With ``enforce``, rows without a required column are left out, because a file table
     does not check NOT NULL itself.
     """
-    shaped = df.select(
+    have = set(df.columns)
+    shaped = df.selectExpr(
         *(
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in spec.schema
         )
     )
