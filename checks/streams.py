@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.base import Checks, comparable, digits, message, segment, table
-from checks.cdc import LINE
+from checks import cdc as cdc_checks
+from checks.cdc import LINE, MERGE_SQL
 from checks.history import FLAG_RULES, H, LATEST, RULE_JOINS, RULE_VALUES, TRIGGER, rules_sql
 from checks.messages import _flowsheet_sql, checks as message_checks, flowsheet_messages, medication_messages
+from tidefold.operators import cdc as change
 from tidefold.operators.retention import clustered
 from tidefold.session import scratch_path
 from tidefold.sources import files
@@ -116,6 +120,31 @@ def stream_children(spark, sf):
     return comparable(parts[0].unionByName(parts[1]))
 
 
+_SHIFTED = ", ".join(
+    f"{c} - INTERVAL 6 HOUR AS {c}" for c in ("msg_tm", "row_insert_tsp", "row_updt_tsp", "adt_arvl_tm", "hosp_admsn_tm", "hosp_disch_tm")
+)
+
+
+@checks.add(
+    "mirror_changes",
+    f"""SELECT pat_enc_csn_id, msg_nm, trigger_evnt, cncl_admsn_flg, {_SHIFTED} FROM ({MERGE_SQL})""",
+)
+def mirror_changes(spark, sf):
+    """A mirror filled after two batches takes only the rows the third one changed."""
+    kept = ["pat_enc_csn_id", "msg_nm", "trigger_evnt", "cncl_admsn_flg"]
+    moments = ["msg_tm", "row_insert_tsp", "row_updt_tsp", "adt_arvl_tm", "hosp_admsn_tm", "hosp_disch_tm"]
+
+    def typed(df):
+        return df.select(*kept, *(F.col(c).cast("timestamp").alias(c) for c in moments))
+
+    state, changes = cdc_checks._state(spark, sf, 1, 2), cdc_checks._changes(spark, sf, 3)
+    changed = typed(change.changed_rows(state, changes, cdc_checks.FLAGGED))
+    mirror = replacing_table(spark, scratch_path(spark, "mirrored"), changed.schema, ["pat_enc_csn_id"])
+    jobs.mirror_changes(mirror, 2, typed(state))
+    jobs.mirror_changes(mirror, 3, changed)
+    return comparable(mirror.read())
+
+
 EXPIRED = "SELECT user_id FROM events WHERE event_type IN ('view', 'click') AND ts + INTERVAL 363 MINUTE < TIMESTAMP '2024-01-03 00:00:00'"
 
 
@@ -128,8 +157,6 @@ EXPIRED = "SELECT user_id FROM events WHERE event_type IN ('view', 'click') AND
 )
 def stream_retention(spark, sf):
     """All deliveries, then the nightly job: who was discharged by January 2nd leaves all tables."""
-    import datetime
-
     tables = jobs.EncounterTables(spark, scratch_path(spark, "retention"))
     rendered = encounter_messages(spark, sf)
     for number in (1, 2, 3):

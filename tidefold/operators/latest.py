@@ -86,10 +86,8 @@ def dedup_by_id(df: DataFrame, ids: Sequence[str], order: Sequence[str] = ()) ->
         return df.dropDuplicatesWithinWatermark(list(ids))
     if not order:
         return df.dropDuplicates(list(ids))
-    rest = [c for c in df.columns if c not in ids]
-    first = df.groupBy(*ids).agg(
-        F.min_by(F.struct(*rest), F.struct(*order, *rest)).alias("_row")
-    )
+    rest = [c for c in df.columns if c not in (*ids, *order)]
+    first = df.groupBy(*ids).agg(F.min(F.struct(*order, *rest)).alias("_row"))
     return first.select(*(c if c in ids else F.col("_row").getField(c).alias(c) for c in df.columns))
 
 

@@ -86,6 +86,7 @@ _TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
     "timestamp": T.TimestampType(),
     "long": T.LongType(),
+    "double": T.DoubleType(),
     "decimal(18,0)": T.DecimalType(18, 0),
 }
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -14,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.functions import hl7
 from tidefold.functions.frames import audit_stamp, conform
+from tidefold.functions.times import LOCAL_ZONE, shift_timestamps
 from tidefold.operators import cdc as change
 from tidefold.operators.observe import batch_metrics
 from tidefold.operators.retention import (
@@ -27,7 +29,7 @@ from tidefold.streaming.tables import SEQUENCE, Folders, FoldedTable, replacing_
 
 METRICS = schema_of(
     "table_name string, batch_rows long, latest_msg_tm timestamp, first_insert_tsp timestamp, "
-    "last_insert_tsp timestamp"
+    "last_insert_tsp timestamp, seconds double"
 )
 DELIVERED = schema_of("msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string")
 # A batch number of the table is the stream's batch number plus this times the generation.
@@ -98,6 +100,7 @@ class EncounterTables:
         Applying a batch again, under its own or another number, changes nothing: messages
         that history has from other batches are left out, and the folders are replaced.
         """
+        begin = time.monotonic()
         # The batch and its parse are tables of their own: the source is read once and every
         # message parsed once, and a lost executor costs a re-read of files.
         delivered = batch.withColumn("msg_nm", F.col("msg_nm").cast("string"))
@@ -134,7 +137,7 @@ class EncounterTables:
             writes.append(partial(self.child_history[name].write, number, rows))
             writes.append(partial(self.children[name].write, number, latest))
         together(self.spark, writes)
-        self.metrics.write(number, measured)
+        self.metrics.write(number, measured.withColumn("seconds", F.lit(time.monotonic() - begin)))
 
     def retire(
         self, number: int, as_of: datetime.date | None = None, days: int = RETENTION_DAYS, files: int | None = None
@@ -199,6 +202,16 @@ def upsert_stream(
     return start(df, handle, checkpoint, every)
 
 
+def mirror_changes(
+    table: FoldedTable, number: int, changed: DataFrame, zone: str = LOCAL_ZONE
+) -> None:
+    """Bring a mirror up to date with the changed rows only, as the wall clock of ``zone``.
+
+    ``table`` is a replacing table: the rows replace all that the mirror has for their keys.
+    """
+    table.write(number, shift_timestamps(changed, zone))
+
+
 def copy_stream(
     df: DataFrame, mirror: DirectoryMirror | JdbcMirror, table: str, checkpoint: str,
     every: str | None = None, zone: str | None = None,
