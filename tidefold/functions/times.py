@@ -15,51 +15,46 @@ MEDICATION_ZONE = "CST"
 LENGTHS = (8, 12, 14)
 
 
-def _digits_to_text(digits: Column, zone: str) -> Column:
-    def pair(start: int) -> Column:
-        return F.rpad(F.substring(digits, start, 2), 2, "0")
+def instant_sql(digits: str, zone: str, lengths: tuple[int, ...] = LENGTHS) -> str:
+    """SQL for local digits in ``zone`` as an instant, NULL where they are no time.
 
-    return F.concat(
-        F.substring(digits, 1, 4), F.lit("-"), F.substring(digits, 5, 2), F.lit("-"),
-        F.substring(digits, 7, 2), F.lit(" "), pair(9), F.lit(":"), pair(11), F.lit(":"),
-        pair(13), F.lit(f" {zone}"),
-    )
-
-
-def _instant(digits: Column, zone: str, lengths: tuple[int, ...]) -> Column:
-    known = F.length(digits).isin(*lengths) & ~digits.rlike("[^0-9]")
-    return F.when(known, _digits_to_text(digits, zone)).try_cast("timestamp")
+    The zone is part of the text that is cast, so the session's zone does not matter.
+    """
 
+    def pair(start: int) -> str:
+        return f"rpad(substring({digits}, {start}, 2), 2, '0')"
 
-def readable(digits: Column, zone: str = LOCAL_ZONE) -> Column:
-    """Whether ``parse_local`` finds a time."""
-    return _instant(digits, zone, LENGTHS).isNotNull()
+    text = (
+        f"concat(substring({digits}, 1, 4), '-', substring({digits}, 5, 2), '-', substring({digits}, 7, 2), "
+        f"' ', {pair(9)}, ':', {pair(11)}, ':', {pair(13)}, ' {zone}')"
+    )
+    known = f"length({digits}) IN ({', '.join(map(str, lengths))}) AND NOT {digits} RLIKE '[^0-9]'"
+    return f"try_cast(CASE WHEN {known} THEN {text} END AS timestamp)"
 
 
 def parse_local(df: DataFrame, columns: Iterable[str], zone: str = LOCAL_ZONE) -> DataFrame:
     """Turn text columns of local digits in ``zone`` into instants.
 
     ``yyyyMMdd``, ``yyyyMMddHHmm`` and ``yyyyMMddHHmmss`` are read, anything else is NULL. The
-    zone is part of the text that is cast, so the result does not depend on the session's
-    zone. The hour that autumn repeats reads as its second (standard time) pass; the cast
-    takes the first, so one hour is added where both look alike.
+    hour that autumn repeats reads as its second (standard time) pass; the cast takes the
+    first, so one hour is added where both look alike.
 
     A frame function and not an expression: the two steps are projections over plain columns.
     """
     columns = list(columns)
-    first = df.withColumns({c: _instant(F.col(c), zone, LENGTHS) for c in columns})
 
-    def standard(c: str) -> Column:
-        later = F.col(c) + F.expr("interval 1 hour")
-        repeated = F.from_utc_timestamp(c, zone) == F.from_utc_timestamp(later, zone)
-        return F.when(repeated, later).otherwise(F.col(c))
+    def standard(c: str) -> str:
+        later = f"{c} + INTERVAL 1 HOUR"
+        same = f"from_utc_timestamp({c}, '{zone}') = from_utc_timestamp({later}, '{zone}')"
+        return f"CASE WHEN {same} THEN {later} ELSE {c} END"
 
-    return first.withColumns({c: standard(c) for c in columns})
+    first = df.withColumns({c: F.expr(instant_sql(f"`{c}`", zone)) for c in columns})
+    return first.withColumns({c: F.expr(standard(f"`{c}`")) for c in columns})
 
 
-def parse_shifted(digits: Column, zone: str = MEDICATION_ZONE) -> Column:
-    """14 digits read as UTC and then moved to the wall clock of ``zone``."""
-    return F.from_utc_timestamp(_instant(digits, "UTC", (14,)), zone)
+def parse_shifted(column: str, zone: str = MEDICATION_ZONE) -> Column:
+    """A column of 14 digits read as UTC and then moved to the wall clock of ``zone``."""
+    return F.expr(f"from_utc_timestamp({instant_sql(f'`{column}`', 'UTC', (14,))}, '{zone}')")
 
 
 def local_text(instant: Column, zone: str = LOCAL_ZONE) -> Column:

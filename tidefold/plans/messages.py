@@ -279,7 +279,8 @@ def parse_flowsheet(
         *rest,
     )
     if strict:
-        heads = heads.filter(F.forall("_obx", lambda o: times.readable(hl7.raw(o, 14), zone)))
+        recorded = heads.withColumn("_times", F.transform("_obx", lambda o: hl7.raw(o, 14)))
+        heads = recorded.filter(f"forall(_times, t -> {times.instant_sql('t', zone)} IS NOT NULL)").drop("_times")
     rows = heads.withColumn("_obx", F.explode("_obx")).withColumns(
         {
             "pat_enc_csn_id": F.col("pat_enc_csn_id").try_cast("long"),
@@ -310,8 +311,8 @@ def parse_medication(df: DataFrame, msg: str = "msg", stored: bool = True) -> Da
     rest = [c for c in df.columns if c != msg]
     apart = hl7.with_segments(df, msg, ["MSH", "PID", "PV1", "ORC", "RXA", "RXR"])
     texts = apart.select(*(c.alias(n) for n, c in _texts(MEDICATION_FIELDS).items()), *rest)
-    convert = {"shifted": times.parse_shifted, "number": lambda c: c.try_cast("long")}
-    columns = [convert.get(r.kind, lambda c: c)(F.col(r.column)).alias(r.column) for r in MEDICATION_FIELDS]
+    convert = {"shifted": times.parse_shifted, "number": lambda c: F.col(c).try_cast("long")}
+    columns = [convert.get(r.kind, F.col)(r.column).alias(r.column) for r in MEDICATION_FIELDS]
     columns.insert(1, F.lit(MEDICATION_TYPE).alias("msg_typ"))
     made = texts.select(*columns, *rest)
     return made.drop(*MEDICATION_NOT_STORED) if stored else made
