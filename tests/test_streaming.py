@@ -1,6 +1,7 @@
 """Streams that stop, start again and see messages twice."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from tests.conftest import rows
 from tidefold.operators.latest import dedup_by_id
 from tidefold.sources import bus, files
 from tidefold.streaming import jobs
-from tidefold.streaming.tables import FoldedTable
+from tidefold.streaming.tables import FoldedTable, replacing_table
 
 T0 = datetime.datetime(2024, 1, 15, 12)
 
@@ -83,6 +84,20 @@ def test_compaction_in_between(spark, scratch):
     check_final(tables)
 
 
+def test_reading_does_not_shuffle_the_base(spark, scratch):
+    """Only the keys of later batches are settled again; the rest passes a broadcast."""
+    rows_ = spark.range(100).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    table = replacing_table(spark, scratch, rows_.schema, ["k"])
+    table.write(0, rows_)
+    table.compact(0)
+    assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    table.write(1, rows_.filter("k = 7").withColumn("v", F.lit("new")))
+    got = table.read()
+    assert got.filter("v = 'new'").count() == 1 and got.count() == 100
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin[^\n]*LeftAnti[^\n]*\n(?:(?!Exchange hash)[^\n]*\n){1,4}[^\n]*FileScan", text)
+
+
 def test_retention_removes_from_all_tables(spark, scratch):
     tables = jobs.EncounterTables(spark, scratch)
     tables.apply(batch(spark, *ONE), 0)

@@ -9,7 +9,7 @@ and is also where retention removes rows and where the layout is chosen.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,14 +65,20 @@ class Folders:
 class FoldedTable:
     """A table made of a compacted base and the batches after it.
 
-    ``settle`` turns numbered batch rows into the table's rows, numbered too. Settling an
-    earlier outcome together with later batches has to give what settling all batches gives.
+    Without ``settle`` the table is all rows. With it, ``settle`` turns the numbered rows of a
+    key in ``keys`` into the table's rows for that key, numbered too. Settling an earlier
+    outcome together with later batches has to give what settling all batches gives.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, settle: Step = lambda rows: rows
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        settle: Step | None = None,
+        keys: Sequence[str] = (),
     ) -> None:
-        self.spark, self.path, self.settle = spark, path, settle
+        self.spark, self.path, self.settle, self.keys = spark, path, settle, list(keys)
         self.changes = Folders(spark, f"{path}/changes", schema)
         with_origin = T.StructType([*schema.fields, T.StructField("_from", T.LongType())])
         self.base = Folders(spark, f"{path}/base", with_origin)
@@ -80,20 +86,32 @@ class FoldedTable:
     def write(self, number: int, rows: DataFrame) -> None:
         self.changes.write(number, rows)
 
-    def _rows(self, below: int | None, base_below: int | None) -> DataFrame:
-        """Unsettled rows: the last base under ``base_below`` and the batches after it."""
+    def _settled(self, below: int | None, base_below: int | None) -> DataFrame:
+        """Numbered rows from the last base under ``base_below`` and the batches after it.
+
+        Base rows of keys that no later batch mentions are settled already. They only pass an
+        anti join with the mentioned keys, which for few batches is a broadcast: reading a
+        large table does not shuffle it.
+        """
         bases = [n for n in self.base.committed() if base_below is None or n < base_below]
         after = bases[-1] if bases else -1
         batches = [n for n in self.changes.committed() if n > after and (below is None or n < below)]
         rows = self.changes.read(batches)
         if not bases:
-            return rows
+            return self.settle(rows) if self.settle else rows
         base = self.base.read([after]).drop(SEQUENCE).withColumnRenamed("_from", SEQUENCE)
-        return base.unionByName(rows)
+        if not batches:
+            return base
+        if not self.settle:
+            return base.unionByName(rows)
+        mentioned = rows.select(*self.keys).distinct()
+        touched = base.join(mentioned, self.keys, "left_semi").unionByName(rows)
+        untouched = base.join(mentioned, self.keys, "left_anti")
+        return untouched.unionByName(self.settle(touched))
 
     def read(self, before: int | None = None) -> DataFrame:
         """The table after all batches, or after those below ``before``."""
-        return self.settle(self._rows(before, before)).drop(SEQUENCE)
+        return self._settled(before, before).drop(SEQUENCE)
 
     def compact(self, number: int, keep: Step | None = None, layout: Step | None = None) -> None:
         """Store the table after batch ``number`` as the base that later reads start from.
@@ -101,7 +119,7 @@ class FoldedTable:
         ``keep`` selects the rows that stay, ``layout`` arranges them in files. Compacting a
         number again starts from the base below it, so it never reads what it replaces.
         """
-        rows = self.settle(self._rows(number + 1, number)).withColumnRenamed(SEQUENCE, "_from")
+        rows = self._settled(number + 1, number).withColumnRenamed(SEQUENCE, "_from")
         rows = keep(rows) if keep else rows
         self.base.write(number, layout(rows) if layout else rows)
 
@@ -122,9 +140,9 @@ def state_table(spark: SparkSession, path: str, schema: T.StructType, cdc: Cdc)
         state = fold(numbered.withColumn("_at", F.col(SEQUENCE)), cdc, SEQUENCE)
         return state.withColumnRenamed("_at", SEQUENCE).withColumns({f: F.lit(True) for f in flags})
 
-    return FoldedTable(spark, path, with_flags, settle)
+    return FoldedTable(spark, path, with_flags, settle, cdc.key)
 
 
 def replacing_table(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> FoldedTable:
     """Row sets by key: the last batch that mentions a key decides all its rows."""
-    return FoldedTable(spark, path, schema, lambda rows: latest_keep_ties(rows, keys, SEQUENCE))
+    return FoldedTable(spark, path, schema, lambda rows: latest_keep_ties(rows, keys, SEQUENCE), keys)
