@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = ({n: x for g in entry.ALL for n, x in getattr(g, kind).items()} for kind in ("queries", "sql"))
 
 
 def normal(frame):
