@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidefold.llm import packing, pii, quality
+from tidefold.llm import mixing, packing, pii, quality, spotsigs, warc
 from tidefold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,11 +23,38 @@ def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find(table(spark, sf, "documents"))
 
 
+@query
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
+SQL["op4_warc"] = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS h FROM pages
+), f AS (
+    SELECT h, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY h
+)
+SELECT page_id, n AS payload_bytes, p.h AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.h = f.h"""
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
 
+@query
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query
+def op9_spotsigs(spark: SparkSession, sf: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, sf, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"))
