@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidefold.llm import mixing, packing, pii, quality, spotsigs, warc
+from tidefold.llm import debruijn, minhash, mixing, packing, pii, quality, spotsigs, warc
 from tidefold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find(table(spark, sf, "documents"))
 
 
+@query
+def op3_debruijn_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return debruijn.deduplicate(table(spark, sf, "documents")).drop("kept")
+
+
 @query
 def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages"))
@@ -50,6 +55,11 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@query
+def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.classes(table(spark, sf, "documents"))
+
+
 @query
 def op9_spotsigs(spark: SparkSession, sf: str) -> DataFrame:
     return spotsigs.compare_edited(table(spark, sf, "documents"))
