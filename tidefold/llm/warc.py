@@ -29,7 +29,9 @@ MIN_REVISIT = 100
 FILE_BYTES = 256 << 20
 # Ranges this near are read as one, up to so many bytes.
 GAP_BYTES = 64 << 10
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
+# A task reads about so many bytes of archives.
+TASK_BYTES = 8 << 20
 DATE = "2025-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -95,7 +97,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         try:
             for batch in batches:
                 out = defaultdict(list)
-                for r in batch.to_pylist():
+                for r in (r for i in range(0, batch.num_rows, 64) for r in batch.slice(i, 64).to_pylist()):
                     if sink is None or at > FILE_BYTES:
                         if sink:
                             sink.close()
@@ -137,10 +139,15 @@ def runs(rows: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int, list
         yield members[0][0], members[0][1], end, members
 
 
-def read(index: DataFrame) -> DataFrame:
-    """The records that the index rows name: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload."""
+def read(index: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records that the index rows name: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
+
+    ``payloads=False`` checks the payloads against their digests, but leaves them out.
+    """
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: tuple = (None, None)
@@ -159,14 +166,14 @@ def read(index: DataFrame) -> DataFrame:
                     if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"damaged record at {file}:{offset}")
                     refers = _page(headers["WARC-Refers-To"]) if kind == "revisit" else None
-                    out.append((_page(headers["WARC-Record-ID"]), headers.get("WARC-Target-URI"), int(headers["WARC-Payload-Length"]), digest, kind, refers, payload if kind == "response" else None))
+                    out.append((_page(headers["WARC-Record-ID"]), headers.get("WARC-Target-URI"), int(headers["WARC-Payload-Length"]), digest, kind, refers, payload if payloads and kind == "response" else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], schema=pa.schema(list(zip(names, kinds, strict=True))))
 
     names = [c.split()[0] for c in schema.split(", ")]
-    return index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
+    return index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
     """Every page through an archive: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     index = write(pages, scratch_path(pages.sparkSession, "warc"))
-    return read(index).drop("payload", "url")
+    return read(index, payloads=False).drop("payload", "url")
