@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidefold.llm import debruijn, minhash, mixing, packing, pii, quality, spotsigs, warc
+from tidefold.llm import debruijn, minhash, mixing, packing, pii, quality, spotsigs, suffixdedup, warc
 from tidefold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixdedup.deduplicate(table(spark, sf, "documents")).drop("kept")
+
+
 @query
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
