@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefold.llm.common import Bytes, Words, map_batches, mixed, range_hashes
+from tidefold.llm.common import Bytes, Words, map_batches, mixed, range_hashes, written
 
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -140,7 +140,7 @@ def references(docs: DataFrame) -> dict:
     The driver gets at most (LANGUAGES + 1) * (COMMON_WORDS + classes + 1) rows, whatever the corpus.
     """
     every = F.struct(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every"))
-    both = histograms(docs).select(F.explode(F.array(F.struct("lang", F.lit(False).alias("every")), every)).alias("of"), "kind", "item", "n")
+    both = written(histograms(docs), "histograms").select(F.explode(F.array(F.struct("lang", F.lit(False).alias("every")), every)).alias("of"), "kind", "item", "n")
     both = both.groupBy("of", "kind", "item").agg(F.sum("n").alias("n"))
     size = both.where("kind = 1").groupBy("of").agg(F.sum("n").alias("size"))
     size = size.orderBy(F.desc("size"), "of").limit(LANGUAGES + 1).select(F.col("of").alias("large"), "size")
@@ -205,8 +205,56 @@ def repeated_lines(source: Bytes, words: Words) -> np.ndarray:
     return np.bincount(row, minlength=source.rows) - np.bincount(row[kept], minlength=source.rows)
 
 
-def measure(docs: DataFrame, known: dict) -> DataFrame:
-    """Counts, distances and verdict of each document."""
+def _verdicts(batch: pa.RecordBatch, known: dict) -> dict:
+    """Counts, distances and verdict of each row of a batch with lang and text."""
+    source = Bytes(batch.column("text"))
+    words = Words(source)
+    classes = _class_counts(source)
+    n_chars = classes.sum(axis=1)
+    row, packed = _short_words(words)
+    class_distance, word_distance = np.zeros(source.rows), np.zeros(source.rows)
+    by_lang = defaultdict(list)
+    for i, name in enumerate(batch.column("lang").to_pylist()):
+        by_lang[name if name in known else EVERY].append(i)
+    for name, members in by_lang.items():
+        if name not in known:
+            continue
+        ref, members = known[name], np.array(members)
+        class_distance[members] = distance(classes[members] / np.maximum(1, n_chars[members])[:, None], ref.classes)
+        place = np.full(source.rows, -1)
+        place[members] = np.arange(len(members))
+        mine = place[row] >= 0
+        at = np.searchsorted(ref.items, packed[mine])
+        hit = ref.items[np.minimum(at, len(ref.items) - 1)] == packed[mine] if len(ref.items) else np.zeros(len(at), bool)
+        wide = len(ref.items) + 1
+        counts = np.bincount(place[row[mine]][hit] * wide + at[hit], minlength=wide * len(members)).reshape(-1, wide).astype(float)
+        counts[:, -1] = words.count[members] - counts[:, :-1].sum(axis=1)
+        word_distance[members] = distance(counts / np.maximum(1, words.count[members])[:, None], ref.words)
+    repeats = repeated_words(words)
+    failed = (words.count < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * words.count)
+    class_distance[n_chars < MIN_CLASS_CHARS] = np.nan
+    word_distance[words.count < MIN_COMMON_WORDS] = np.nan
+    far = (class_distance > MAX_CLASS_DISTANCE) | (word_distance > MAX_WORD_DISTANCE)
+    in_word = np.zeros(len(source.data) + 1, np.int64)
+    in_word[words.begin] += 1
+    np.subtract.at(in_word, words.end, 1)
+    lead = (np.cumsum(in_word[:-1]) > 0) & (_CLASS[source.data] != CONTINUATION)
+    return {
+        "n_words": words.count.astype(np.int64),
+        "word_chars": _per_row(source, lead).astype(np.int64),
+        "n_symbols": _per_row(source, _IS_SYMBOL[source.data]).astype(np.int64),
+        "n_dup_lines": repeated_lines(source, words).astype(np.int64),
+        "n_repeat_words": repeats.astype(np.int64),
+        "class_distance": pa.array(class_distance, from_pandas=True),
+        "word_distance": pa.array(word_distance, from_pandas=True),
+        "base_failed": failed,
+        "kept": ~failed & ~far,
+    }
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """Counts, distances and verdict of each row of ``docs`` (doc_id, lang, text), by references made from the same rows."""
+    known = references(docs)
     schema = (
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "class_distance double, word_distance double, base_failed boolean, kept boolean"
@@ -214,57 +262,20 @@ def measure(docs: DataFrame, known: dict) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            source = Bytes(batch.column("text"))
-            words = Words(source)
-            classes = _class_counts(source)
-            n_chars = classes.sum(axis=1)
-            row, packed = _short_words(words)
-            class_distance = np.zeros(source.rows)
-            word_distance = np.zeros(source.rows)
-            langs = batch.column("lang").to_pylist()
-            by_lang = defaultdict(list)
-            for i, name in enumerate(langs):
-                by_lang[name if name in known else EVERY].append(i)
-            for name, members in by_lang.items():
-                if name not in known:
-                    continue
-                ref, members = known[name], np.array(members)
-                class_distance[members] = distance(classes[members] / np.maximum(1, n_chars[members])[:, None], ref.classes)
-                place = np.full(source.rows, -1)
-                place[members] = np.arange(len(members))
-                mine = place[row] >= 0
-                at = np.searchsorted(ref.items, packed[mine])
-                hit = ref.items[np.minimum(at, len(ref.items) - 1)] == packed[mine] if len(ref.items) else np.zeros(len(at), bool)
-                wide = len(ref.items) + 1
-                counts = np.bincount(place[row[mine]][hit] * wide + at[hit], minlength=wide * len(members)).reshape(-1, wide).astype(float)
-                counts[:, -1] = words.count[members] - counts[:, :-1].sum(axis=1)
-                word_distance[members] = distance(counts / np.maximum(1, words.count[members])[:, None], ref.words)
-            repeats = repeated_words(words)
-            failed = (words.count < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * words.count)
-            class_distance[n_chars < MIN_CLASS_CHARS] = np.nan
-            word_distance[words.count < MIN_COMMON_WORDS] = np.nan
-            far = (class_distance > MAX_CLASS_DISTANCE) | (word_distance > MAX_WORD_DISTANCE)
-            in_word = np.zeros(len(source.data) + 1, np.int64)
-            in_word[words.begin] += 1
-            np.subtract.at(in_word, words.end, 1)
-            lead = (np.cumsum(in_word[:-1]) > 0) & (_CLASS[source.data] != CONTINUATION)
-            yield {
-                "doc_id": batch.column("doc_id"),
-                "n_words": words.count.astype(np.int64),
-                "word_chars": _per_row(source, lead).astype(np.int64),
-                "n_symbols": _per_row(source, _IS_SYMBOL[source.data]).astype(np.int64),
-                "n_dup_lines": repeated_lines(source, words).astype(np.int64),
-                "n_repeat_words": repeats.astype(np.int64),
-                "class_distance": pa.array(class_distance, from_pandas=True),
-                "word_distance": pa.array(word_distance, from_pandas=True),
-                "base_failed": failed,
-                "kept": ~failed & ~far,
-            }
+            yield {"doc_id": batch.column("doc_id"), **_verdicts(batch, known)}
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.coalesce("text", F.lit("")).alias("text"))
     return map_batches(picked, run, schema)
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Verdict on each row of ``docs`` (doc_id, lang, text), against references made from the same rows."""
-    return measure(docs, references(docs))
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns. (A null text does not, so none is passed on.)"""
+    known = references(docs)
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            kept = pa.array(_verdicts(batch, known)["kept"])
+            yield {name: batch.column(name).filter(kept) for name in names}
+
+    return map_batches(docs.where("text IS NOT NULL"), run, docs.schema)

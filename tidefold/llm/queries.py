@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidefold.llm import debruijn, minhash, mixing, packing, pii, quality, spotsigs, suffixdedup, warc
+import corpus_pipeline
+from tidefold.llm import debruijn, langid, minhash, mixing, packing, pii, quality, spotsigs, suffixdedup, warc
 from tidefold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(table(spark, sf, "pages"), table(spark, sf, "documents"))
+
+
 @query
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find(table(spark, sf, "documents"))
@@ -73,3 +79,6 @@ def op9_spotsigs(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
