@@ -25,6 +25,7 @@ MAX_EPOCHS = 3
 BUCKET_ROWS = 512
 SHARD_DRAWS = 1 << 16
 CHUNK = 4096
+TASK_DRAWS = 1 << 18
 # A prime above any number of blocks of one source; its multiples permute the block numbers.
 _PRIME = 2147483647
 _SEED = 7
@@ -84,7 +85,8 @@ def draw(sources: DataFrame) -> DataFrame:
     shards = max(1, -(-total // SHARD_DRAWS))
     first = F.col("chunk") * CHUNK
     # The chunks are dealt out before they become draws: a hot source has most of them.
-    spread = sources.where("draws > 0").select("_s", "blocks", "draws", F.explode(chunks).alias("chunk")).repartition("_s", "chunk")
+    spread = sources.where("draws > 0").select("_s", "blocks", "draws", F.explode(chunks).alias("chunk"))
+    spread = spread.repartition(max(1, -(-total // TASK_DRAWS)), "_s", "chunk")
     each = F.sequence(first, F.least(first + CHUNK, F.col("draws")) - 1)
     draws = spread.select("_s", "blocks", F.explode(each).alias("draw"))
     shard = F.pmod(F.xxhash64(F.lit(_SEED), "_s", "draw"), F.lit(shards))
@@ -120,7 +122,8 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     sources = written(with_draws(targets(sums.groupBy("source", "_s").agg(F.sum("words").alias("source_size"))), block), "sources")
     used = draw(sources).groupBy("_s", "block").agg(F.count("*").alias("times"))
     parts = pieces(placed(rows, sources, sums.drop("source"), buckets), block)
-    taken = parts.join(used, ["_s", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
+    # The draws come from a table of a few rows, by which the planner would judge them small enough to broadcast.
+    taken = parts.join(used.hint("merge"), ["_s", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
     first = F.floor(F.col("start") / block)
     return (
         taken.groupBy("_s", "_bucket", "_n", "doc_id", "size", "source_size", "target")
