@@ -191,7 +191,7 @@ def append_new_only(spark, sf):
     """The whole table is delivered while the early part is known already."""
     target, late = shipped(spark, sf)
     delivered = target.unionByName(late)
-    return ops.append_new_only(delivered, target, delivered.columns, within="l_shipdate")
+    return ops.append_new_only(delivered, target, delivered.columns, pruned_by="l_shipdate")
 
 
 @checks.add(

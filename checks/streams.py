@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.base import Checks, comparable, digits, message, segment, table
+from checks.base import Checks, comparable, components, digits, message, segment, table
 from checks import cdc as cdc_checks
 from checks.cdc import LINE, MERGE_SQL
 from checks.history import FLAG_RULES, H, LATEST, RULE_JOINS, RULE_VALUES, TRIGGER, rules_sql
@@ -17,27 +18,53 @@ from tidefold.operators.retention import clustered
 from tidefold.session import scratch_path
 from tidefold.sources import files
 from tidefold.sources.mirror import DirectoryMirror
-from tidefold.spec import CHILDREN
+from tidefold.spec import CHILDREN, TABLES
 from tidefold.streaming import jobs
 from tidefold.streaming.tables import FoldedTable, replacing_table
 
 checks = Checks()
 
 
+# Observation codes of the message format.
+_CHIEF_COMPLAINT = "8661-1^CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED^LN"
+_VISIT_REASON = "8661-1^CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED:18100^LN"
+_ACUITY = "11283-9^ACUITY ASSESSMENT AT FIRST ENCOUNTER^LN"
+_TRIAGE_NOTE = "54094-8^TRIAGE NOTE:FIND:PT:EMERGENCY DEPARTMENT:DOC^LN"
+
+
+def _message(key: Column, note: Column) -> Column:
+    """The message that an event stands for; every encounter column and every child table is filled."""
+
+    def tagged(tag: str, expression: str) -> Column:
+        return F.concat(F.lit(tag), F.expr(expression).cast("string"))
+
+    ts = F.col("ts")
+    place = components({1: tagged("D", "user_id % 5"), 2: tagged("R", "user_id % 7"), 3: tagged("B", "user_id % 3"), 5: "S"})
+    return message(
+        segment("MSH", {7: digits(ts), 9: F.concat(F.lit("ADT^"), F.expr(TRIGGER)), 10: tagged("G", "event_id")}),
+        segment("EVN", {5: components({1: tagged("E", "user_id"), 14: tagged("L", "user_id % 6")})}),
+        segment("PID", {3: tagged("M", "user_id"), 7: "19800115000000", 8: F.substring("event_type", 1, 1)}),
+        segment("ZPD", {7: F.expr("CASE WHEN event_id % 2 = 0 THEN 'Y' ELSE 'N' END")}),
+        segment("PV1", {2: F.upper("event_type"), 3: place, 19: key, 36: tagged("H", "event_id % 4"), 44: digits(ts + F.expr("INTERVAL 1 MINUTE")), 45: digits(ts + F.expr("INTERVAL 3 MINUTE")), 50: F.col("user_id") + 7000}),
+        segment("PV2", {2: tagged("A", "event_id % 3"), 38: "W"}),
+        segment("ZPV", {15: tagged("Z", "event_id % 5")}),
+        segment("DG1", {4: tagged("C", "event_id"), 6: "E"}),
+        segment("OBX", {3: _CHIEF_COMPLAINT, 5: tagged("D", "event_id")}),
+        segment("OBX", {3: _VISIT_REASON, 5: components({9: tagged("V", "event_id")})}),
+        segment("OBX", {3: _ACUITY, 5: components({2: tagged("Q", "event_id % 5")})}),
+        segment("OBX", {3: _TRIAGE_NOTE, 5: note}),
+    )
+
+
+_DELIVERY = "CASE WHEN day(ts) < 11 THEN 1 WHEN day(ts) < 21 THEN 2 ELSE 3 END"
+
+
 def encounter_messages(spark: SparkSession, sf: str) -> DataFrame:
     """One message per event, with the number of the batch that delivers it."""
-    events = table(spark, sf, "events")
-    ts, trigger = F.col("ts"), F.expr(TRIGGER)
-    text = message(
-        segment("MSH", {7: digits(ts), 9: F.concat(F.lit("ADT^"), trigger)}),
-        segment("PV1", {19: F.col("user_id"), 44: digits(ts + F.expr("INTERVAL 1 MINUTE")), 45: digits(ts + F.expr("INTERVAL 3 MINUTE"))}),
-        segment("OBX", {3: "8661-1^CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED^LN", 5: F.concat(F.lit("D"), "event_id")}),
-        segment("OBX", {3: "54094-8^TRIAGE NOTE:FIND:PT:EMERGENCY DEPARTMENT:DOC^LN", 5: F.col("props")}),
-    )
-    return events.select(
-        text.alias("msg"), F.col("event_id").cast("int").alias("msg_nm"), ts.cast("timestamp").alias("msg_enqueued_tsp"),
-        F.concat(F.lit("u"), "user_id").alias("insert_user_id"),
-        F.expr("CASE WHEN day(ts) < 11 THEN 1 WHEN day(ts) < 21 THEN 2 ELSE 3 END").alias("batch"),
+    return table(spark, sf, "events").select(
+        _message(F.col("user_id"), F.col("props")).alias("msg"), F.col("event_id").cast("int").alias("msg_nm"),
+        F.col("ts").cast("timestamp").alias("msg_enqueued_tsp"), F.concat(F.lit("u"), "user_id").alias("insert_user_id"),
+        F.expr(_DELIVERY).alias("batch"),
     )
 
 
@@ -60,11 +87,18 @@ def run_feed(spark: SparkSession, sf: str) -> jobs.EncounterTables:
 _S = f"""s AS (SELECT user_id AS pat_enc_csn_id, event_id AS msg_nm, {TRIGGER} AS trigger_evnt, props,
     date_trunc('second', ts) + INTERVAL 6 HOUR AS msg_tm, ts AS msg_enqueued_tsp, concat('u', user_id) AS insert_user_id,
     date_trunc('second', ts) + INTERVAL 361 MINUTE AS adt_arvl_tm, date_trunc('second', ts) + INTERVAL 361 MINUTE AS hosp_admsn_tm,
-    date_trunc('second', ts) + INTERVAL 363 MINUTE AS hosp_disch_tm FROM events)"""
+    date_trunc('second', ts) + INTERVAL 363 MINUTE AS hosp_disch_tm, 'ADT' AS msg_typ, 'STL' AS msg_src, concat('G', event_id) AS bod_id,
+    concat('M', user_id) AS pat_mrn_id, TIMESTAMP '1980-01-15 06:00:00' AS birth_dt, CAST(NULL AS TIMESTAMP) AS death_dt,
+    upper(event_type) AS pat_class_abbr, concat('D', user_id % 5) AS dept_abbr, concat('L', user_id % 6) AS loc_abbr,
+    concat('R', user_id % 7) AS room_nm, concat('B', user_id % 3) AS bed_label, 'S' AS bed_stat, substr(event_type, 1, 1) AS sex_abbr,
+    'W' AS means_of_arrv_abbr, concat('Q', event_id % 5) AS acuity_level_abbr, concat('Z', event_id % 5) AS ed_dsptn_abbr,
+    concat('H', event_id % 4) AS disch_dsptn_abbr, user_id + 7000 AS hsp_acct_id, concat('A', event_id % 3) AS accommodation_abbr,
+    concat('E', user_id) AS user_id, concat('u', user_id) AS updt_user_id,
+    CASE WHEN event_id % 2 = 0 THEN 'Y' END AS pregnancy_flg FROM events)"""
+_DETAIL = [c for c in TABLES["adt_dtl"].columns if c not in ("row_insert_tsp", "row_updt_tsp")]
+_PLAIN = ", ".join(c for c in _DETAIL if c not in (*FLAG_RULES, "msg_nm"))
 DETAIL_SQL = f"""WITH {_S}, h AS (SELECT * FROM s), {LATEST}, {rules_sql(FLAG_RULES)}
-    SELECT pat_enc_csn_id, CAST(msg_nm AS VARCHAR) AS msg_nm, trigger_evnt, msg_tm, msg_enqueued_tsp, insert_user_id, {RULE_VALUES}
-    FROM l {RULE_JOINS}"""
-_DETAIL = ["pat_enc_csn_id", "msg_nm", "trigger_evnt", "msg_tm", "msg_enqueued_tsp", "insert_user_id", *FLAG_RULES]
+    SELECT CAST(msg_nm AS VARCHAR) AS msg_nm, {_PLAIN}, {RULE_VALUES} FROM l {RULE_JOINS}"""
 
 
 @checks.add("stream_state", DETAIL_SQL)
@@ -92,7 +126,8 @@ def replay_idempotent(spark, sf):
     insert_user_id, 1 AS copies FROM s""",
 )
 def stream_history(spark, sf):
-    history = _loaded(spark, sf).read("adt_hist").select(*_DETAIL[:6])
+    names = ["pat_enc_csn_id", "msg_nm", "trigger_evnt", "msg_tm", "msg_enqueued_tsp", "insert_user_id"]
+    history = _loaded(spark, sf).read("adt_hist").select(*names)
     return comparable(history.groupBy(*history.columns).agg(F.count("*").cast("int").alias("copies")))
 
 
@@ -100,6 +135,8 @@ def stream_history(spark, sf):
     "stream_children",
     f"""WITH {_S}, h AS (SELECT * FROM s), {LATEST}
     SELECT 'encntr_dx' AS child, pat_enc_csn_id, msg_tm, concat('D', msg_nm) AS payload FROM l
+    UNION ALL SELECT 'encntr_er_complnt', pat_enc_csn_id, msg_tm, concat('C', msg_nm) FROM l
+    UNION ALL SELECT 'encntr_visit_rsn', pat_enc_csn_id, msg_tm, concat('V', msg_nm) FROM l
     UNION ALL SELECT 'encntr_nte', pat_enc_csn_id, msg_tm, props FROM l""",
 )
 def stream_children(spark, sf):
@@ -112,12 +149,62 @@ def stream_children(spark, sf):
             for child in CHILDREN:
                 tables.children[child].compact(number)
                 tables.children[child].remove_compacted()
-    shown = {"encntr_dx": "dx_icd_cd", "encntr_nte": "nte_txt"}
+    return comparable(_child_rows(tables))
+
+
+def _child_rows(tables: jobs.EncounterTables) -> DataFrame:
+    """The latest rows of all child tables under one payload column."""
+    shown = {"encntr_dx": "dx_icd_cd", "encntr_er_complnt": "er_complnt", "encntr_visit_rsn": "encntr_rsn", "encntr_nte": "nte_txt"}
     parts = [
         tables.read(n).select(F.lit(n).alias("child"), "pat_enc_csn_id", "msg_tm", F.col(c).alias("payload"))
         for n, c in shown.items()
     ]
-    return comparable(parts[0].unionByName(parts[1]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_SOUND = "event_id % 10 NOT IN (1, 2, 6)"
+
+
+@checks.add(
+    "stream_dirty",
+    f"""WITH e AS (SELECT * FROM events WHERE {_SOUND}),
+    l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM e) WHERE rn = 1)
+    SELECT 'adt_hist' AS name, user_id AS pat_enc_csn_id, CAST(event_id AS VARCHAR) AS msg_nm, NULL AS payload, 1 AS copies FROM e
+    UNION ALL SELECT 'adt_dtl', user_id, CAST(event_id AS VARCHAR), NULL, 1 FROM l
+    UNION ALL SELECT 'encntr_dx', user_id, NULL, concat('D', event_id), 1 FROM l
+    UNION ALL SELECT 'encntr_er_complnt', user_id, NULL, concat('C', event_id), 1 FROM l
+    UNION ALL SELECT 'encntr_visit_rsn', user_id, NULL, concat('V', event_id), 1 FROM l
+    UNION ALL SELECT 'encntr_nte', user_id, NULL, props, 1 FROM l
+    UNION ALL SELECT 'rejected', -1, CAST(event_id AS VARCHAR),
+        CASE WHEN event_id % 10 = 6 THEN 'no message' ELSE 'no encounter number that fits' END, 1 FROM events WHERE NOT {_SOUND}""",
+)
+def stream_dirty(spark, sf):
+    """A feed of bad messages: numbers of 19 digits, none at all, framed text, no message, repeats with a later time, and
+    numbers with two payloads. Nothing is lost, doubled or in the way of the rest."""
+    kind = F.col("event_id") % 10
+    key = F.when(kind == 1, F.lit("1234567890123456789")).when(kind == 2, F.lit("")).otherwise(F.col("user_id").cast("string"))
+    framed = F.concat(F.lit("\x0b"), _message(key, F.col("props")), F.lit("\x1c\r"))
+    text = F.when(kind == 3, framed).when(kind == 6, F.lit("no message")).otherwise(_message(key, F.col("props")))
+    first = table(spark, sf, "events").select(
+        text.alias("msg"), F.col("event_id").cast("int").alias("msg_nm"), F.col("ts").cast("timestamp").alias("msg_enqueued_tsp"),
+        F.concat(F.lit("u"), "user_id").alias("insert_user_id"), F.expr(_DELIVERY).alias("batch"),
+    )
+    hour = F.col("msg_enqueued_tsp") + F.expr("INTERVAL 1 HOUR")
+    number = F.col("msg_nm") % 10
+    later = first.filter(number.isin(4, 6)).withColumns({"batch": F.col("batch") + 1, "msg_enqueued_tsp": hour})
+    other = first.filter(number == 5).withColumns({"msg": F.replace("msg", F.lit("|C"), F.lit("|X")), "msg_enqueued_tsp": hour})
+    feed = first.unionByName(later).unionByName(other)
+    tables = jobs.EncounterTables(spark, scratch_path(spark, "dirty"))
+    for batch in (1, 2, 3, 4):
+        tables.apply(feed.filter(F.col("batch") == batch).drop("batch"), batch)
+
+    def named(rows: DataFrame, name: str, key: str, number: str, payload: str) -> DataFrame:
+        return rows.selectExpr(f"'{name}' AS name", f"CAST({key} AS BIGINT) AS pat_enc_csn_id", f"{number} AS msg_nm", f"{payload} AS payload")
+
+    parts = [named(tables.read(n), n, "pat_enc_csn_id", "msg_nm", "CAST(NULL AS STRING)") for n in ("adt_hist", "adt_dtl")]
+    children = _child_rows(tables).selectExpr("child AS name", "CAST(pat_enc_csn_id AS BIGINT) AS pat_enc_csn_id", "CAST(NULL AS STRING) AS msg_nm", "payload")
+    rows = reduce(DataFrame.unionByName, [*parts, children, named(tables.rejected.read(), "rejected", "-1", "msg_nm", "reason")])
+    return rows.groupBy(*rows.columns).agg(F.count("*").cast("int").alias("copies"))
 
 
 _SHIFTED = ", ".join(
@@ -148,29 +235,41 @@ def mirror_changes(spark, sf):
 EXPIRED = "SELECT user_id FROM events WHERE event_type IN ('view', 'click') AND ts + INTERVAL 363 MINUTE < TIMESTAMP '2024-01-03 00:00:00'"
 
 
+_STAY = f"FROM events WHERE user_id NOT IN ({EXPIRED}) GROUP BY ALL"
+_KEPT_TABLES = ("adt_hist", "adt_dtl", *CHILDREN, *(f"{n}_hist" for n in CHILDREN), "flwsht")
+
+
 @checks.add(
     "stream_retention",
-    f"""SELECT 'adt_hist' AS name, user_id AS pat_enc_csn_id, count(*) AS rows FROM events WHERE user_id NOT IN ({EXPIRED}) GROUP BY ALL
-    UNION ALL SELECT 'adt_dtl', user_id, 1 FROM events WHERE user_id NOT IN ({EXPIRED}) GROUP BY ALL
-    UNION ALL SELECT 'encntr_dx_hist', user_id, count(*) FROM events WHERE user_id NOT IN ({EXPIRED}) GROUP BY ALL
-    UNION ALL SELECT 'encntr_nte', user_id, 1 FROM events WHERE user_id NOT IN ({EXPIRED}) GROUP BY ALL""",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS name, user_id AS pat_enc_csn_id, {'count(*)' if n.endswith('hist') or n == 'flwsht' else '1'} AS rows {_STAY}"
+        for n in _KEPT_TABLES
+    )
+    + " UNION ALL SELECT 'raw texts', -1, 0",
 )
 def stream_retention(spark, sf):
-    """All deliveries, then the nightly job: who was discharged by January 2nd leaves all tables."""
+    """All deliveries, then the nightly job: who was discharged by January 2nd leaves all tables, and no raw text is left."""
     tables = jobs.EncounterTables(spark, scratch_path(spark, "retention"))
     rendered = encounter_messages(spark, sf)
+    events = table(spark, sf, "events")
+    sheet = events.select(
+        message(
+            segment("MSH", {7: digits(F.col("ts"))}), segment("PV1", {19: F.col("user_id")}), segment("OBR", {3: "520240101000000"}),
+            segment("OBX", {3: "PULSE&7", 5: "60", 14: digits(F.col("ts"))}),
+        ).alias("msg"), F.col("event_id").cast("string").alias("msg_nm"), F.col("ts").cast("timestamp").alias("msg_enqueued_tsp"),
+    )
+    tables.apply_flowsheet(sheet, 7)
     for number in (1, 2, 3):
         tables.apply(rendered.filter(F.col("batch") == number).drop("batch"), number)
     tables.retire(3, datetime.date(2024, 1, 5), files=4)
-    names = ("adt_hist", "adt_dtl", "encntr_dx_hist", "encntr_nte")
+    tables.remove_compacted()
     counts = [
         tables.read(n).groupBy("pat_enc_csn_id").agg(F.count("*").alias("rows")).withColumn("name", F.lit(n))
-        for n in names
+        for n in _KEPT_TABLES
     ]
-    whole = counts[0]
-    for c in counts[1:]:
-        whole = whole.unionByName(c)
-    return comparable(whole)
+    raw = tables.staged.read(tables.staged.committed()).select("raw").unionAll(tables.rejected.read().select("msg"))
+    left = raw.agg(F.count("*").alias("rows")).select(F.lit(-1).cast("decimal(18,0)").alias("pat_enc_csn_id"), "rows", F.lit("raw texts").alias("name"))
+    return comparable(reduce(DataFrame.unionByName, [*counts, left]))
 
 
 @checks.add("stream_append", message_checks.sql["hl7_medication"])

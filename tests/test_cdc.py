@@ -145,13 +145,15 @@ def test_append_new_only_treats_nulls_as_equal(spark):
     assert rows(cdc.append_new_only(come, have, ["k", "v"])) == [(1, "a"), (3, None)]
 
 
-def test_append_new_only_within_a_time_span(spark):
+def test_append_new_only_reads_a_range_of_the_key(spark):
     have = child(spark, (1, 1, "a"), (2, 5, "b"))
-    come = child(spark, (2, 5, "b"), (3, 6, "c"))
-    assert rows(cdc.append_new_only(come, have, ["k", "v"], within="t"), "k") == [(3,)]
-    undated = come.withColumn("t", F.lit(None).cast("timestamp"))
-    known = have.unionByName(undated)
-    assert cdc.append_new_only(undated, known, ["k", "v"], within="t").count() == 0
+    come = child(spark, (2, 9, "b"), (3, 6, "c"))
+    assert rows(cdc.append_new_only(come, have, ["k", "v"], pruned_by="k"), "k") == [(3,)]
+    nameless = come.withColumn("k", F.lit(None).cast("int"))
+    known = have.unionByName(nameless)
+    assert cdc.append_new_only(nameless, known, ["k", "v"], pruned_by="k").count() == 0
+    with pytest.raises(ValueError):
+        cdc.append_new_only(come, have, ["k", "v"], pruned_by="t")
 
 
 def test_split_and_upsert(spark):

@@ -69,7 +69,7 @@ def test_time_span_reaches_the_history_scan(spark, data):
     target, late = cdc_checks.shipped(spark, data)
     from tidefold.operators.cdc import append_new_only
 
-    df = append_new_only(late, target, ["l_orderkey", "l_shipdate"], within="l_shipdate")
+    df = append_new_only(late, target, ["l_orderkey", "l_shipdate"], pruned_by="l_shipdate")
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = df._jdf.queryExecution().explainString(mode)
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate,ScalarSubquery", text)

@@ -80,7 +80,8 @@ def add_null_column(df: DataFrame, name: str, to: str) -> DataFrame:
 
 
 def conform(df: DataFrame, spec: TableSpec, enforce: bool = True) -> DataFrame:
-    """The table's columns in the table's order and types; missing ones are NULL.
+    """The table's columns in the table's order and types; missing ones are NULL, and so are values
+    that do not fit their type.
 
     With ``enforce``, rows without a required column are left out, because a file table
     does not check NOT NULL itself.
@@ -88,7 +89,7 @@ def conform(df: DataFrame, spec: TableSpec, enforce: bool = True) -> DataFrame:
     have = set(df.columns)
     shaped = df.selectExpr(
         *(
-            f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+            f"TRY_CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in spec.schema
         )
     )

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 FIELD, COMPONENT, REPETITION, SUBCOMPONENT = "|", "^", "~", "&"
 _HEADER = "MSH"
 _WELL_FORMED = r"^\s*MSH\|\^~\\&"
+# A framed message stands between these control characters.
+_BLANKS = " \t\n\x0b\x0c\r"
+_FRAME_END = r"\x1c\s*$"
 
 
 def is_message(msg: Column) -> Column:
@@ -22,12 +25,17 @@ def is_message(msg: Column) -> Column:
 
 def normalise(msg: Column) -> Column:
     """Line feeds become the segment separator ``\\r``; text that is no message becomes NULL."""
-    return F.when(is_message(msg), F.regexp_replace(F.ltrim(msg), r"\r\n|\n", "\r"))
+    return F.when(is_message(msg), F.regexp_replace(_unframed(msg), r"\r\n|\n", "\r"))
+
+
+def _unframed(msg: Column) -> Column:
+    """Without white space and control characters before the message and a frame's end after it."""
+    return F.regexp_replace(F.ltrim(msg, F.lit(_BLANKS)), _FRAME_END, "")
 
 
 def segments(msg: Column) -> Column:
     """The lines of a message; splitting at one plain character takes no pattern matching."""
-    return F.split(F.replace(F.ltrim(msg), F.lit("\n"), F.lit("\r")), "\r")
+    return F.split(F.replace(_unframed(msg), F.lit("\n"), F.lit("\r")), "\r")
 
 
 def fields(segment: Column) -> Column:

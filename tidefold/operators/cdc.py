@@ -26,7 +26,7 @@ def _decider(rule: Rule, trigger: str, *order: str) -> Column:
     """The latest (order, value) among the rows that a rule listens to, NULL without any."""
     value = F.col(rule.column)
     if rule.clear_on:
-        cleared = F.lit(rule.clear_value).cast("string") if rule.clear_value else F.lit(None)
+        cleared = F.lit(rule.clear_value)
         value = F.when(F.col(trigger).isin(*rule.clear_on), cleared).otherwise(value)
     listens = F.col(trigger).isin(*rule.set_on, *rule.clear_on)
     return F.max(F.when(listens, F.struct(*order, value.alias("_value"))))
@@ -154,7 +154,7 @@ def split_insert_update(
     changes: DataFrame, state: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Changes of new keys, and changes of keys the state has."""
-    known = state.select(*keys).distinct()
+    known = state.select(*keys)
     return changes.join(known, list(keys), "left_anti"), changes.join(known, list(keys), "left_semi")
 
 
@@ -191,29 +191,34 @@ def latest_children(batch: DataFrame, keys: Sequence[str], order: str) -> DataFr
 
 
 def delete_by_keys(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in ``doomed``."""
-    return target.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
+    """Target rows whose key is not in ``doomed``.
+
+    The key side is not made distinct: an aggregation between shuffle and join would keep AQE from
+    splitting the rows of a hot key, or of NULL, and such a join needs no distinct keys.
+    """
+    return target.join(doomed.select(*keys), list(keys), "left_anti")
 
 
 def append_new_only(
-    batch: DataFrame, target: DataFrame, keys: Sequence[str], within: str | None = None
+    batch: DataFrame, target: DataFrame, keys: Sequence[str], pruned_by: str | None = None
 ) -> DataFrame:
     """Batch rows whose key the target does not have yet, each once. NULLs equal each other.
 
-    The target is first cut down to the batch's keys and, given ``within`` (a time that a
-    repeated row repeats), to the batch's time span. A small batch against a long history
-    then reads few files and broadcasts its keys instead of shuffling the history.
+    Given ``pruned_by``, one of the keys, only target rows between the batch's smallest and largest
+    value are read: files and row groups of other ranges are skipped, and no equal key can be.
     """
+    if pruned_by and pruned_by not in keys:
+        raise ValueError("only a key may decide what is read: another column could hide a repeat")
     hashed = F.xxhash64(*keys).alias("_hash")
     delivered = batch.select(hashed, *batch.columns)
     seen = target
-    if within:
-        start = batch.select(F.min(within)).scalar()
+    if pruned_by:
+        low, high = (batch.select(f(pruned_by)).scalar() for f in (F.min, F.max))
         # Two scans, because each condition by itself skips files and row groups.
-        undated = target.filter(F.col(within).isNull())
-        seen = target.filter(F.col(within) >= start).unionByName(undated)
+        ranged = target.filter((F.col(pruned_by) >= low) & (F.col(pruned_by) <= high))
+        seen = ranged.unionByName(target.filter(F.col(pruned_by).isNull()))
     # One long per row decides what of the target can matter; the keys themselves decide below.
-    near = seen.select(hashed, *keys).join(delivered.select("_hash").distinct(), "_hash", "left_semi").distinct()
+    near = seen.select(hashed, *keys).join(delivered.select("_hash"), "_hash", "left_semi")
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("_hash", *keys)]
     fresh = delivered.alias("d").join(near.alias("n"), reduce(and_, same), "left_anti")
     # Copies are dropped last, among the new rows only.

@@ -14,7 +14,7 @@ from tidefold.operators.cdc import delete_by_keys
 RETENTION_DAYS = 2
 
 
-def _threshold(as_of: datetime.date | None, days: int) -> Column:
+def retention_threshold(as_of: datetime.date | None, days: int) -> Column:
     day = F.current_date() if as_of is None else F.lit(as_of)
     return F.date_sub(day, days).cast("timestamp_ntz")
 
@@ -32,7 +32,7 @@ def expired_keys(
     """
     kind = history.schema[discharged].dataType
     return (
-        history.filter(F.col(discharged) < _threshold(as_of, days).cast(kind))
+        history.filter(F.col(discharged) < retention_threshold(as_of, days).cast(kind))
         .select(*keys)
         .distinct()
     )
@@ -45,7 +45,7 @@ def retain_master(history: DataFrame, expired: DataFrame, keys: Sequence[str] =
 
 def retain_following(rows: DataFrame, master: DataFrame, keys: Sequence[str] = ("pat_enc_csn_id",)) -> DataFrame:
     """Rows whose key the master still has; orphans go too, and no row is repeated."""
-    return rows.join(master.select(*keys).distinct(), list(keys), "left_semi")
+    return rows.join(master.select(*keys), list(keys), "left_semi")
 
 
 def retire(
@@ -71,7 +71,7 @@ def retire(
 
 def purge_keys(detail: DataFrame, history: DataFrame, keys: Sequence[str] = ("pat_enc_csn_id",)) -> DataFrame:
     """Keys of the detail table that history no longer has."""
-    return detail.select(*keys).distinct().join(history.select(*keys).distinct(), list(keys), "left_anti")
+    return detail.select(*keys).join(history.select(*keys), list(keys), "left_anti").distinct()
 
 
 def clustered(df: DataFrame, keys: Sequence[str], files: int, spread: Sequence[str] = ()) -> DataFrame:

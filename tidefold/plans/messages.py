@@ -6,10 +6,12 @@ JVM. The message text may come with other columns, which stay.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidefold.functions import hl7, times
 
@@ -191,8 +193,9 @@ def fan_out(
     msg: str = "msg",
     source: str = SOURCE,
     zone: str = times.LOCAL_ZONE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One pass over each message: five nested columns.
+    """One pass over each message: five nested columns, and the columns ``carry`` as they are.
 
     ``encounter`` struct, ``dx`` and ``reasons`` arrays, ``complaint`` and ``note`` structs that
     are NULL when the message has none. ``msg_nm``, ``insert_user_id`` and
@@ -207,9 +210,17 @@ def fan_out(
         _complaint(F.col("_dg1")).alias("complaint"),
         _reasons(F.col("_segs")).alias("reasons"),
         F.when(F.col("_note").isNotNull(), note).alias("note"),
+        *carry,
     )
 
 
+def staged_schema(spark: SparkSession, carry: Sequence[str]) -> T.StructType:
+    """Schema of ``fan_out`` over validated batches, with ``carry`` and the insert time."""
+    kinds = "msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string, raw string"
+    empty = spark.createDataFrame([], kinds)
+    return fan_out(validate(empty), carry=carry).withColumn("row_insert_tsp", F.current_timestamp()).schema
+
+
 def parse_encounter(
     df: DataFrame, msg: str = "msg", source: str = SOURCE, zone: str = times.LOCAL_ZONE
 ) -> DataFrame:

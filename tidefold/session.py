@@ -52,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidefold-")
         spark.conf.set("spark.checkpoint.dir", root)

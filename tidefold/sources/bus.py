@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: most events taken per micro-batch.
-EVENTS_PER_TRIGGER = 1000
-
-
 def kafka_stream(
     spark: SparkSession,
     servers: str,
     topic: str,
     earliest: bool = True,
-    per_trigger: int | None = EVENTS_PER_TRIGGER,
+    per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Kafka records in the shape of bus events. Needs the Kafka connector on the class path."""
+    """Kafka records in the shape of bus events; how many at most per trigger is up to the caller.
+
+    Needs the Kafka connector on the class path.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)

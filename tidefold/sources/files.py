@@ -37,17 +37,13 @@ def decoded(files: DataFrame, with_name: bool = False) -> DataFrame:
 def spread_small(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Use all cores on an input that is small but expensive to parse.
 
-    A small file is one task however much work its rows are. Only inputs estimated to fit into
-    one file split per core are shuffled; larger ones have enough splits of their own. The
-    estimate is that of ``source``, the scan that ``df`` comes from, where one is given.
+    A small file is one task however much work its rows are. Only an input with fewer splits
+    than cores is shuffled, so what is shuffled is less than one file split per core.
+    ``source`` is the scan that ``df`` comes from, where that is one.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    estimate = (source or df)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(estimate) <= cores * split else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = (source or df)._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
 
 
 def table_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:

@@ -181,6 +181,14 @@ TABLES: dict[str, TableSpec] = {
 # Column names of the earlier table generation and their present names.
 RENAMED = {
     "birth_date": "birth_dt",
+    "death_date": "death_dt",
+    "hosp_admsn_time": "hosp_admsn_tm",
+    "hosp_disch_time": "hosp_disch_tm",
     "department_abbr": "dept_abbr",
+    "bed_status": "bed_stat",
+    "ed_disposition_abbr": "ed_dsptn_abbr",
+    "disch_disp_abbr": "disch_dsptn_abbr",
+    "adt_arrival_time": "adt_arvl_tm",
+    "hsp_account_id": "hsp_acct_id",
     "update_user_id": "updt_user_id",
 }

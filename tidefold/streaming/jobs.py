@@ -6,23 +6,23 @@ import datetime
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidefold.functions import hl7
 from tidefold.functions.frames import audit_stamp, conform
 from tidefold.functions.times import LOCAL_ZONE, shift_timestamps
 from tidefold.operators import cdc as change
+from tidefold.operators.latest import dedup_by_id
 from tidefold.operators.observe import batch_metrics
 from tidefold.operators.retention import (
-    RETENTION_DAYS, clustered, expired_keys, retain_following, retain_master,
+    RETENTION_DAYS, clustered, expired_keys, retain_following, retain_master, retention_threshold,
 )
 from tidefold.plans import messages
-from tidefold.sources.files import spread_small
+from tidefold.session import scratch_path
 from tidefold.sources.mirror import DirectoryMirror, JdbcMirror
 from tidefold.spec import CHILDREN, TABLES, Cdc, schema_of
 from tidefold.streaming.tables import SEQUENCE, Folders, FoldedTable, replacing_table, state_table
@@ -31,7 +31,11 @@ METRICS = schema_of(
     "table_name string, batch_rows long, latest_msg_tm timestamp, first_insert_tsp timestamp, "
     "last_insert_tsp timestamp, seconds double"
 )
-DELIVERED = schema_of("msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string")
+REJECTED = schema_of("msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string, reason string")
+# Why a text is in quarantine.
+NO_MESSAGE, NO_KEY = "no message", "no encounter number that fits"
+# What the staged parse keeps beside the five parts.
+STAGED = ("raw", "is_valid", "msg_nm", "msg_enqueued_tsp", "insert_user_id")
 # A batch number of the table is the stream's batch number plus this times the generation.
 GENERATION = 10**12
 
@@ -49,7 +53,7 @@ def start(
 
 def together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
     """Run independent writes side by side; each is a small job of its own."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         for job in running:
             job.result()
@@ -70,7 +74,7 @@ def table_append_stream(df: DataFrame, table: str, checkpoint: str, every: str |
 
 
 class EncounterTables:
-    """History, latest state, children and metrics of the encounter feed below one root."""
+    """History, latest state, children, flowsheet, quarantine and metrics of the feeds below one root."""
 
     def __init__(self, spark: SparkSession, root: str, cdc: Cdc | None = None) -> None:
         self.spark = spark
@@ -83,67 +87,114 @@ class EncounterTables:
         self.children = {
             n: replacing_table(spark, f"{root}/{n}", TABLES[n].schema, list(TABLES[n].key)) for n in CHILDREN
         }
+        self.flowsheet = FoldedTable(spark, f"{root}/flwsht", TABLES["flwsht"].schema)
         self.metrics = FoldedTable(spark, f"{root}/batch_metrics", METRICS)
-        self.rejected = Folders(spark, f"{root}/rejected", DELIVERED)
-        self.delivered = Folders(spark, f"{root}/delivered", DELIVERED)
-        self.staged = f"{root}/staged"
+        self.flowsheet_metrics = FoldedTable(spark, f"{root}/flwsht_metrics", METRICS)
+        self.rejected = FoldedTable(spark, f"{root}/rejected", REJECTED)
+        self.staged = Folders(spark, f"{root}/staged", messages.staged_schema(spark, list(STAGED)))
 
     def read(self, name: str) -> DataFrame:
         """A table by name, in its specified columns."""
-        tables = {"adt_hist": self.history, "adt_dtl": self.detail, **self.children}
+        tables = {"adt_hist": self.history, "adt_dtl": self.detail, "flwsht": self.flowsheet, **self.children}
         tables |= {f"{n}_hist": t for n, t in self.child_history.items()}
         return tables[name].read().select(*TABLES[name].columns)
 
     def apply(self, batch: DataFrame, number: int, as_of: Column | None = None) -> None:
         """Take in one batch of ``msg, msg_nm, msg_enqueued_tsp, insert_user_id``.
 
-        Applying a batch again, under its own or another number, changes nothing: messages
-        that history has from other batches are left out, and the folders are replaced.
+        Applying a batch again, under its own or another number, changes nothing: of a message
+        number the first delivery counts, those that an earlier batch brought are left out, and the folders
+        are replaced. What is no message or has no encounter number that fits goes to ``rejected``.
+        The staged parse, which holds the raw text, is emptied once the tables are written.
         """
         begin = time.monotonic()
-        # The batch and its parse are tables of their own: the source is read once and every
-        # message parsed once, and a lost executor costs a re-read of files.
-        delivered = batch.withColumn("msg_nm", F.col("msg_nm").cast("string"))
-        self.delivered.write(number, delivered)
-        delivered = self.delivered.read([number]).drop(SEQUENCE)
-        known = self.history.read(before=number).select("msg_nm", "msg_enqueued_tsp")
-        new = change.append_new_only(delivered, known, ["msg_nm"], "msg_enqueued_tsp")
-        staged = f"{self.staged}/batch_id={number}"
         moment = F.current_timestamp() if as_of is None else as_of
-        valid = messages.validate(spread_small(new, delivered), mode="DROP")
-        messages.fan_out(valid).withColumn("row_insert_tsp", moment).write.mode("overwrite").parquet(staged)
-        parsed = self.spark.read.parquet(staged)
-        rejected = delivered.filter(~hl7.is_message(F.col("msg")))
+        # One staged write per batch: the source is read once and every message parsed once,
+        # and a lost executor costs a re-read of files.
+        self.staged.write(number, self._staged(batch, number).withColumn("row_insert_tsp", moment))
+        parsed = self.staged.read([number])
+        refused = F.when(~F.col("is_valid"), NO_MESSAGE).when(
+            F.col("encounter.pat_enc_csn_id").try_cast("decimal(18,0)").isNull(), NO_KEY
+        )
+        sound = parsed.filter(refused.isNull())
+        parts = {n: messages.CHILD_PARTS[n] for n in CHILDREN}
+        has = {p: F.size(p) if p in ("dx", "reasons") else F.col(p).isNotNull().cast("int") for p in parts.values()}
+        kept = F.when(refused.isNull(), 1)
+        found = parsed.agg(
+            F.count(refused).alias("rejected"), F.count(kept).alias("history"),
+            *(F.coalesce(F.sum(kept * c), F.lit(0)).alias(p) for p, c in has.items()),
+        ).first()
 
         def stamped(rows: DataFrame, table: str) -> DataFrame:
             stamps = {"row_updt_tsp": F.col("row_insert_tsp"), "updt_user_id": F.col("insert_user_id")}
             return conform(rows.withColumns(stamps), TABLES[table])
 
-        history = stamped(parsed.select("encounter.*", "row_insert_tsp"), "adt_hist")
+        history = stamped(sound.select("encounter.*", "row_insert_tsp"), "adt_hist")
         changes = change.stamp_changes(change.transform(history, self.cdc), self.cdc)
         # The few rows of the metrics know the latest update; the state need not be read.
-        marks = self.metrics.read(before=number)
+        marks = self.metrics.read(before=number).filter(F.col("table_name") == "adt_hist")
         marks = marks.select(F.col("last_insert_tsp").alias(self.cdc.updated))
         changes = change.incremental_since(changes, marks, self.cdc)
-        measured = batch_metrics(history.withColumn("table_name", F.lit("adt_hist")), ["table_name"])
-        writes = [
-            lambda: self.rejected.write(number, rejected),
-            lambda: self.history.write(number, history),
-            lambda: self.detail.write(number, changes),
-        ]
-        for name in CHILDREN:
-            rows = stamped(messages.children(parsed, messages.CHILD_PARTS[name]), f"{name}_hist")
+        quarantined = parsed.withColumn("reason", refused).filter(F.col("reason").isNotNull())
+        quarantined = quarantined.withColumn("msg", F.col("raw"))
+
+        writes = {
+            self.rejected: (found["rejected"], quarantined),
+            self.history: (found["history"], history),
+            self.detail: (found["history"], changes),
+        }
+        for name, part in parts.items():
+            rows = stamped(messages.children(sound.select(*messages.PARTS, "row_insert_tsp"), part), f"{name}_hist")
             latest = change.latest_children(rows, ["pat_enc_csn_id"], "msg_tm")
-            writes.append(partial(self.child_history[name].write, number, rows))
-            writes.append(partial(self.children[name].write, number, latest))
-        together(self.spark, writes)
-        self.metrics.write(number, measured.withColumn("seconds", F.lit(time.monotonic() - begin)))
+            writes[self.child_history[name]] = found[part], rows
+            writes[self.children[name]] = found[part], latest
+        # A table that gets nothing costs no job; what an earlier attempt may have left goes.
+        for table, (n, _) in writes.items():
+            if not n:
+                table.changes.remove([number])
+        written = {"adt_hist": self.history, **{f"{n}_hist": t for n, t in self.child_history.items()}}
+        together(self.spark, [partial(t.write, number, rows) for t, (n, rows) in writes.items() if n])
+        measured = [
+            t.changes.read([number]).select(F.lit(name).alias("table_name"), "msg_tm", "row_insert_tsp")
+            for name, t in written.items()
+            if writes[t][0]
+        ]
+        if measured:
+            rows = batch_metrics(reduce(DataFrame.unionAll, measured), ["table_name"])
+            self.metrics.write(number, rows.withColumn("seconds", F.lit(time.monotonic() - begin)))
+        self.staged.remove([number])
+
+    def _staged(self, batch: DataFrame, number: int) -> DataFrame:
+        """The batch's new messages, parsed, each number once, with the raw text beside the parts."""
+        spark = self.spark
+        delivered = batch.withColumn("msg_nm", F.col("msg_nm").cast("string"))
+        # A message without a number is known by its text.
+        name = F.coalesce("msg_nm", F.concat(F.lit("="), F.sha2(F.coalesce("msg", F.lit("")), 256)))
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        spread = delivered.withColumn("_name", name).repartition(tasks, "_name")
+        first = dedup_by_id(spread, ["_name"], ["msg_enqueued_tsp", "msg"]).select(*delivered.columns)
+        known = self.history.read(before=number).select("msg_nm")
+        known = known.unionByName(self.rejected.read(before=number).select("msg_nm")).filter("msg_nm IS NOT NULL")
+        low, high = (first.select(f("msg_nm")).scalar() for f in (F.min, F.max))
+        # Only files whose range of numbers meets the batch's are read; an equal number cannot be outside.
+        near = known.filter((F.col("msg_nm") >= low) & (F.col("msg_nm") <= high))
+        new = first.join(near, "msg_nm", "left_anti").select(*delivered.columns, F.col("msg").alias("raw"))
+        return messages.fan_out(messages.validate(new), carry=STAGED)
+
+    def apply_flowsheet(self, events: DataFrame, number: int, as_of: Column | None = None, user: str | None = None) -> None:
+        """Take in one batch of flowsheet events (``msg, msg_nm, msg_enqueued_tsp``); a replay replaces its folder."""
+        begin = time.monotonic()
+        self.flowsheet.write(number, flowsheet_rows(events, as_of, user))
+        rows = self.flowsheet.changes.read([number]).withColumn("table_name", F.lit("flwsht"))
+        measured = batch_metrics(rows, ["table_name"])
+        self.flowsheet_metrics.write(number, measured.withColumn("seconds", F.lit(time.monotonic() - begin)))
 
     def retire(
         self, number: int, as_of: datetime.date | None = None, days: int = RETENTION_DAYS, files: int | None = None
     ) -> None:
-        """Nightly, after batch ``number``: drop expired encounters from all tables, and lay
-        history out by insert time and the latest tables by encounter."""
+        """Nightly, after batch ``number``: drop expired encounters from all tables, flowsheet
+        included, and quarantined texts of that age, and lay history out by insert time and the latest tables by
+        encounter. Raw texts of other batches are gone already; ``remove_compacted`` deletes the replaced files."""
 
         def layout(key: str, spread: str) -> Callable[[DataFrame], DataFrame] | None:
             return (lambda df: clustered(df, [key], files, [spread])) if files else None
@@ -152,13 +203,32 @@ class EncounterTables:
         by_key = layout("pat_enc_csn_id", "msg_tm")
         expired = expired_keys(self.history.read(before=number + 1), as_of=as_of, days=days)
         self.history.compact(number, lambda df: retain_master(df, expired), by_time)
-        history = self.history.read(before=number + 1)
+        # What decides the other tables is written once and read by each of them.
+        kept = self._keys(self.history, number)
         for table in self.child_history.values():
-            table.compact(number, lambda df: retain_following(df, history), by_time)
-        self.detail.compact(number, lambda df: retain_following(df, history), by_key)
-        detail = self.detail.read(before=number + 1)
+            table.compact(number, lambda df: retain_following(df, kept), by_time)
+        every = max([number, *self.flowsheet.changes.committed()[-1:]])
+        self.flowsheet.compact(every, lambda df: retain_following(df, kept), by_time)
+        self.detail.compact(number, lambda df: retain_following(df, kept), by_key)
+        current = self._keys(self.detail, number)
         for table in self.children.values():
-            table.compact(number, lambda df: retain_following(df, detail), by_key)
+            table.compact(number, lambda df: retain_following(df, current), by_key)
+        day = retention_threshold(as_of, days).cast("timestamp")
+        self.rejected.compact(number, lambda df: df.filter(F.col("msg_enqueued_tsp") >= day))
+        self.metrics.compact(number)
+        self.staged.remove(self.staged.committed())
+
+    def _keys(self, table: FoldedTable, number: int) -> DataFrame:
+        path = scratch_path(self.spark, "keys")
+        keys = table.read(before=number + 1).select("pat_enc_csn_id").distinct()
+        keys.write.parquet(path)
+        return self.spark.read.schema(keys.schema).parquet(path)
+
+    def remove_compacted(self) -> None:
+        """Delete what the last ``retire`` replaced, in all tables."""
+        tables = (self.history, self.detail, self.flowsheet, self.metrics, self.rejected)
+        for table in (*tables, *self.child_history.values(), *self.children.values()):
+            table.remove_compacted()
 
     def run(
         self, stream: DataFrame, checkpoint: str, every: str | None = None, generation: int = 0
