@@ -130,6 +130,23 @@ def asof(spark, sf):
     return asof_join(purchases, errors, ["user_id"], "ts", "error_ts", ["error_id", "error_value"])
 
 
+_SPARSE = "SELECT *, CASE WHEN event_id % 3 > 0 THEN user_id END AS k FROM events"
+
+
+@checks.add(
+    "asof_null_keys",
+    f"""SELECT p.event_id, coalesce(p.k, -1) AS k, p.ts, e.value AS error_value FROM (SELECT * FROM ({_SPARSE}) WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT * FROM ({_SPARSE}) WHERE event_type = 'error') e ON p.k = e.k AND p.ts >= e.ts""",
+)
+def asof_null_keys(spark, sf):
+    """Keys that are NULL on both sides match nothing; with small pieces, all other keys are cut."""
+    events = table(spark, sf, "events").withColumn("k", F.expr("CASE WHEN event_id % 3 > 0 THEN user_id END"))
+    errors = events.filter("event_type = 'error'").select("k", F.col("ts").alias("error_ts"), F.col("value").alias("error_value"))
+    purchases = events.filter("event_type = 'purchase'").select("event_id", "k", "ts")
+    joined = asof_join(purchases, errors, ["k"], "ts", "error_ts", ["error_value"], piece_rows=20)
+    return joined.withColumn("k", F.coalesce("k", F.lit(-1)))
+
+
 @checks.add(
     "latest_per_group",
     f"""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM (SELECT *, row_number() OVER
@@ -330,7 +347,7 @@ NOW = datetime.datetime(2024, 1, 31, tzinfo=datetime.timezone.utc)
 KINDS = ("click", "error", "purchase", "signup", "view")
 
 
-def _fresh_sql(platform: str, kind: str, diff: str) -> str:
+def _fresh_sql(platform: str, kind: str, diff: str, hours: int) -> str:
     def lag(unit, a, b):
         return f"{diff}('{unit}', {a}, {b})"
 
@@ -339,14 +356,15 @@ def _fresh_sql(platform: str, kind: str, diff: str) -> str:
     late = " OR ".join(f"{lag('minute', a, b)} > 5" for _, (a, b) in pairs)
     texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ("row_updt_tsp", "msg_tm", "tmstmp", "msg_enqueued_tsp"))
     return f"""SELECT '{platform}' AS platform, '{kind}' AS table_name, {texts}, {lags} FROM (
-        SELECT max(ts + INTERVAL 200 SECOND) AS row_updt_tsp, max(ts) AS msg_tm, max(ts + INTERVAL 90 SECOND) AS msg_enqueued_tsp,
-        TIMESTAMP '2024-01-31 00:00:00' AS tmstmp FROM events WHERE event_type = '{kind}') WHERE {late}"""
+        SELECT max(ts + INTERVAL 200 SECOND) - INTERVAL {hours} HOUR AS row_updt_tsp, max(ts) - INTERVAL {hours} HOUR AS msg_tm,
+        max(ts + INTERVAL 90 SECOND) - INTERVAL {hours} HOUR AS msg_enqueued_tsp,
+        TIMESTAMP '2024-01-31 00:00:00' - INTERVAL {hours} HOUR AS tmstmp FROM events WHERE event_type = '{kind}') WHERE {late}"""
 
 
 @checks.add(
     "freshness_report",
     " UNION ALL ".join(
-        _fresh_sql(p, k, diff) for p, diff in (("lake", "date_sub"), ("warehouse", "date_diff")) for k in KINDS
+        _fresh_sql(p, k, *how) for p, *how in (("lake", "date_sub", 0), ("warehouse", "date_diff", 6)) for k in KINDS
     ),
 )
 def freshness_report(spark, sf):
@@ -358,8 +376,14 @@ def freshness_report(spark, sf):
             (F.col("ts") + F.expr("INTERVAL 90 SECOND")).alias("msg_enqueued_tsp"),
         )
 
-    tables = {(p, k): rows(k) for p in ("lake", "warehouse") for k in KINDS}
-    return observe.freshness_report(tables, NOW, boundary_platforms=["warehouse"])
+    def mirrored(kind):
+        """As the mirror holds them: shifted to its wall clock."""
+        instants = rows(kind).select(*(F.col(c).cast("timestamp").alias(c) for c in rows(kind).columns))
+        shifted = times.shift_timestamps(instants)
+        return shifted.select(*(F.col(c).cast("timestamp_ntz").alias(c) for c in shifted.columns))
+
+    tables = {("lake", k): rows(k) for k in KINDS} | {("warehouse", k): mirrored(k) for k in KINDS}
+    return observe.freshness_report(tables, NOW, boundary_platforms=["warehouse"], zones={"warehouse": times.LOCAL_ZONE})
 
 
 @checks.add(

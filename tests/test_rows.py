@@ -10,6 +10,7 @@ from tests.conftest import rows
 from tidefold.functions import frames
 from tidefold.operators import latest, observe, retention
 from tidefold.operators.asof import asof_join
+from tidefold.operators.skew import hot_ranges, piece_of
 from tidefold.spec import TABLES
 
 T0 = datetime.datetime(2024, 1, 1)
@@ -19,9 +20,9 @@ def at(seconds):
     return T0 + datetime.timedelta(seconds=seconds)
 
 
-@pytest.mark.parametrize("share", [None, 0.05, 0.5])
+@pytest.mark.parametrize("pieces", [None, 20, 200])
 @pytest.mark.parametrize("kind", ["long", "timestamp", "timestamp_ntz"])
-def test_asof_join_with_a_hot_key(spark, share, kind):
+def test_asof_join_with_a_hot_key(spark, pieces, kind):
     """One key holds most rows, with equal times and stretches without any right row."""
     rng = random.Random(7)
     keys = ["hot"] * 9 + ["a", "b", None]
@@ -39,13 +40,20 @@ def test_asof_join_with_a_hot_key(spark, share, kind):
 
     ldf = moment(spark.createDataFrame(left, "i long, k string, t long"), "t")
     rdf = moment(spark.createDataFrame(right, "k string, rt long, n long, v string"), "rt")
-    got = asof_join(ldf.filter("k IS NOT NULL"), rdf, ["k"], "t", "rt", ["v"], tie_break=["n"], share=share)
-    assert rows(got, "i", "k", "v") == rows(
-        spark.createDataFrame([w for w in want if w[1] is not None], "i long, k string, v string")
-    )
+    got = asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], tie_break=["n"], piece_rows=pieces)
+    assert rows(got, "i", "k", "v") == rows(spark.createDataFrame(want, "i long, k string, v string"))
     assert got.columns == ["i", "k", "t", "v"]
 
 
+def test_pieces_of_a_bursty_key_hold_equal_numbers_of_rows(spark):
+    """All but one row within a second, the other one decades earlier."""
+    burst = spark.range(100_000).select(F.lit("k").alias("k"), (F.col("id") / 1e5 + 1.7e9).alias("t"))
+    rows_ = burst.unionAll(spark.createDataFrame([("k", 0.0), ("cold", 1.0)], burst.schema))
+    cuts = hot_ranges(rows_, ["k"], "t", 1000)
+    sizes = rows_.join(cuts, "k").groupBy(piece_of(F.col("t")).alias("p")).count().collect()
+    assert len(sizes) > 90 and max(r["count"] for r in sizes) < 2000
+
+
 def test_latest_variants(spark):
     df = spark.createDataFrame(
         [(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, None, "d"), (3, 1, "e"), (3, None, "f")], "k int, o int, v string"

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefold.operators.skew import HOT_SHARE, as_number, hot_ranges, piece_of
+from tidefold.operators.skew import PIECE_ROWS, as_number, hot_ranges, piece_of
 
 
 def asof_join(
@@ -18,38 +20,41 @@ def asof_join(
     right_time: str,
     values: Sequence[str],
     tie_break: Sequence[str] = (),
-    share: float | None = HOT_SHARE,
+    piece_rows: int | None = PIECE_ROWS,
 ) -> DataFrame:
     """Add to each left row ``values`` of the latest right row with ``right_time <= left_time``.
 
     Both sides are put into one sorted run per key and the last right row is carried forward:
-    linear in the rows, no pairs. A key with more than ``share`` of all rows is cut into
-    pieces along time; each piece starts from the last right row of the pieces before it.
-    Among right rows of one time the largest ``tie_break`` counts.
+    linear in the rows, no pairs. A key with more than ``piece_rows`` rows is cut into pieces of equal
+    numbers of rows along time; each piece starts from the last right row of the pieces before it.
+    Among right rows of one time the largest ``tie_break`` counts. A NULL key matches nothing, so
+    such rows pass by the sort.
     """
+    keys = list(on)
     rest = [c for c in left.columns if c not in on]
     taken = F.struct(
         F.col(right_time).alias("_t"),
         *(F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_break)),
         *(F.col(c).alias(f"_v{i}") for i, c in enumerate(values)),
     )
-    right_rows = right.filter(F.col(right_time).isNotNull()).select(
-        *on, F.col(right_time).alias("_at"), F.lit(0).alias("_side"), taken.alias("_right")
+    keyed = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    right_rows = right.filter(keyed & F.col(right_time).isNotNull()).select(
+        *keys, F.col(right_time).alias("_at"), F.lit(0).alias("_side"), taken.alias("_right")
     )
-    left_rows = left.select(
-        *on, F.col(left_time).alias("_at"), F.lit(1).alias("_side"), F.struct(*rest).alias("_left")
+    timed = keyed & F.col(left_time).isNotNull()
+    left_rows = left.filter(timed).select(
+        *keys, F.col(left_time).alias("_at"), F.lit(1).alias("_side"), F.struct(*rest).alias("_left")
     )
     run = left_rows.unionByName(right_rows, allowMissingColumns=True)
 
-    keys = list(on)
-    if share is None:
-        run = run.withColumn("_piece", F.lit(0))
+    if piece_rows is None:
+        run = run.withColumns({"_piece": F.lit(0), "_cuts": F.lit(None).cast("array<double>")})
     else:
-        axis = left.select(*on, as_number(left, left_time).alias("_axis")).unionByName(
-            right.select(*on, as_number(right, right_time).alias("_axis"))
+        axis = left.filter(timed).select(*keys, as_number(left, left_time).alias("_axis")).unionByName(
+            right.filter(keyed).select(*keys, as_number(right, right_time).alias("_axis"))
         )
-        # Fewer than 1 / share rows, whatever the size of the data.
-        hot = F.broadcast(hot_ranges(axis, keys, "_axis", share))
+        # Fewer rows than all rows / piece_rows; most tables have none.
+        hot = hot_ranges(axis, keys, "_axis", piece_rows)
         run = run.join(hot, keys, "left").withColumn("_piece", piece_of(as_number(run, "_at")))
 
     so_far = (
@@ -60,23 +65,25 @@ def asof_join(
     found = run.withColumn("_found", F.last("_right", ignorenulls=True).over(so_far))
     found = found.filter(F.col("_side") == 1)
 
-    if share is not None:
+    if piece_rows is not None:
         earlier = (
             Window.partitionBy(*keys)
             .orderBy("_piece")
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        # One row per piece of a hot key: at most 2 / share rows.
+        # One row per piece of a hot key.
         carried = (
-            run.filter(F.col("_pieces").isNotNull())
+            run.filter(F.col("_cuts").isNotNull())
             .groupBy(*keys, "_piece")
             .agg(F.max("_right").alias("_last"))
             .select(*keys, "_piece", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
         )
-        found = found.join(F.broadcast(carried), [*keys, "_piece"], "left").withColumn(
-            "_found", F.coalesce("_found", "_carry")
-        )
-    return found.select(
+        found = found.join(carried, [*keys, "_piece"], "left").withColumn("_found", F.coalesce("_found", "_carry"))
+    matched = found.select(
         *(c if c in on else F.col("_left").getField(c).alias(c) for c in left.columns),
         *(F.col("_found").getField(f"_v{i}").alias(c) for i, c in enumerate(values)),
     )
+    alone = left.filter(~timed).select(
+        *left.columns, *(F.lit(None).cast(right.schema[c].dataType).alias(c) for c in values)
+    )
+    return matched.unionAll(alone)

@@ -12,14 +12,19 @@ def _column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
-    """One row per key, the one with the largest ``order``; rows without an order are ignored.
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: str | Column, unordered: bool = False
+) -> DataFrame:
+    """One row per key, the one with the largest ``order``; rows without an order are ignored, or,
+    if ``unordered``, come before all others.
 
     A single aggregation that keeps one row per key and map task before the shuffle. Equal
     orders are decided by the remaining columns, so the result never depends on row order.
     """
     rest = [c for c in df.columns if c not in keys]
-    ordered = df.withColumn("_order", _column(order)).filter(F.col("_order").isNotNull())
+    ordered = df.withColumn("_order", _column(order))
+    if not unordered:
+        ordered = ordered.filter(F.col("_order").isNotNull())
     winner = ordered.groupBy(*keys).agg(F.max(F.struct("_order", *rest)).alias("_row"))
     return winner.select(*(c if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns))
 

@@ -49,14 +49,17 @@ def freshness(
     now: datetime.datetime | None = None,
     minutes: int = FRESHNESS_MINUTES,
     boundaries: bool = False,
+    zone: str | None = None,
 ) -> DataFrame:
     """One row if any delay of the table exceeds ``minutes``, none otherwise.
 
-    Delays count whole units; with ``boundaries`` they count the unit boundaries crossed, as
+    ``zone`` names the wall clock that the table's times were shifted to; the present is then taken on
+    that clock too. Delays count whole units; with ``boundaries`` they count the unit boundaries crossed, as
     some warehouses do. The scan reads three columns and aggregates to one row.
     """
     newest = df.agg(*(F.max(c).alias(c) for c in ("row_updt_tsp", "msg_tm", "msg_enqueued_tsp")))
-    newest = newest.withColumn("tmstmp", _instants(now).cast(df.schema["msg_tm"].dataType))
+    present = _instants(now) if zone is None else F.from_utc_timestamp(_instants(now), zone)
+    newest = newest.withColumn("tmstmp", present.cast(df.schema["msg_tm"].dataType))
 
     def lag(unit: str, earlier: str, later: str) -> Column:
         start, end = F.col(earlier), F.col(later)
@@ -80,10 +83,12 @@ def freshness_report(
     now: datetime.datetime | None = None,
     minutes: int = FRESHNESS_MINUTES,
     boundary_platforms: Sequence[str] = (),
+    zones: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Late tables of all platforms, sorted; at most one row per table."""
+    """Late tables of all platforms, sorted; at most one row per table. ``zones`` has the wall clock of
+    each platform whose times are shifted."""
     rows = [
-        freshness(df, platform, table, now, minutes, platform in boundary_platforms)
+        freshness(df, platform, table, now, minutes, platform in boundary_platforms, (zones or {}).get(platform))
         for (platform, table), df in tables.items()
     ]
     return reduce(DataFrame.unionByName, rows).orderBy("platform", "table_name")

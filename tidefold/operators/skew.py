@@ -8,23 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot when it holds more than this share of all rows, so there are fewer than
-# 1 / HOT_SHARE hot keys however large the data is: that bounds what is broadcast.
-HOT_SHARE = 0.001
+# Rows of one key that one task takes; a key with more is cut into pieces of about this size.
+PIECE_ROWS = 1_000_000
+# A key is cut into at most so many pieces.
+MAX_PIECES = 1000
 
 
-def hot_ranges(df: DataFrame, keys: Sequence[str], axis: str, share: float = HOT_SHARE) -> DataFrame:
-    """Per hot key the span of ``axis`` and the number of pieces to cut it into.
+def hot_ranges(df: DataFrame, keys: Sequence[str], axis: str, rows: int = PIECE_ROWS) -> DataFrame:
+    """Per hot key the values of ``axis`` at which to cut it: ``keys, _cuts``.
 
-    Fewer than ``1 / share`` rows, with the columns ``keys, _low, _high, _pieces``. The scan
-    reads only the keys and the axis and aggregates before it shuffles.
+    The cuts are quantiles, so the pieces have equal numbers of rows however these are spread along
+    the axis. There are fewer than (all rows) / ``rows`` hot keys. The first pass reads the keys only
+    and aggregates before it shuffles; the second sees only rows of hot keys.
     """
-    limit = df.select(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) * F.lit(share)))).scalar()
-    spans = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(axis).alias("_low"), F.max(axis).alias("_high")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows)
+    steps = F.array(*(F.lit(i / MAX_PIECES) for i in range(1, MAX_PIECES)))
+    hot = df.join(counts, list(keys)).groupBy(*keys).agg(
+        F.first("_rows").alias("_rows"), F.percentile_approx(axis, steps, 20 * MAX_PIECES).alias("_at")
     )
-    hot = spans.filter((F.col("_rows") > limit) & (F.col("_high") > F.col("_low")))
-    return hot.select(*keys, "_low", "_high", F.ceil(F.col("_rows") / limit).alias("_pieces"))
+    wanted = F.least(F.ceil(F.col("_rows") / rows).cast("int"), F.lit(MAX_PIECES))
+    places = F.transform(F.sequence(F.lit(1), wanted - 1), lambda i: F.get("_at", F.floor(i * MAX_PIECES / wanted).cast("int") - 1))
+    return hot.select(*keys, F.array_distinct(places).alias("_cuts"))
 
 
 def as_number(df: DataFrame, column: str) -> Column:
@@ -35,6 +39,5 @@ def as_number(df: DataFrame, column: str) -> Column:
 
 
 def piece_of(axis: Column) -> Column:
-    """Which piece of its key's span a row falls into; 0 for keys that are not hot."""
-    share = (axis - F.col("_low")) / (F.col("_high") - F.col("_low"))
-    return F.coalesce(F.floor(share * F.col("_pieces")), F.lit(0)).cast("int")
+    """Which piece of its key a row falls into; 0 for keys that are not hot."""
+    return F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < axis)), F.lit(0))

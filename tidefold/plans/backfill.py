@@ -1,14 +1,14 @@
 """Historical back-fill of the encounter tables from the source system's tables.
 
-The frames are passed by role under the names of the source tables. Every job first reduces
-the large event and line tables to one row per encounter and joins lookups afterwards, where
-only the survivors are left.
+The frames are passed by role under the names of the source tables. Every job starts from the
+encounters that survive its filters, cuts the large event and line tables down to these, reduces them
+to one row per encounter, and joins lookups last.
 """
 
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,6 @@ EVENT_TYPES = (1, 2, 3, 5, 6)
 CANCELLED_EVENT = 2
 CANCELLED_ADMISSION = 3
 PREGNANT = 4
-EXCLUDED_LOCATIONS = (120230, 120112)
 NOTE_TYPES = ("6", "8")
 NOTE_STATUSES_LEFT_OUT = ("1", "4", "10")
 ICD_TYPE = "ICD-10-CM"
@@ -33,11 +32,14 @@ LOADED_BY = "ETL"
 DISCHARGED_DAYS = 2
 
 
-def pregnant_encounters(encounters: DataFrame, statuses: DataFrame) -> DataFrame:
-    """Encounters whose latest status applied by their effective time means pregnancy."""
+def pregnant_encounters(encounters: DataFrame, statuses: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Encounters, of those in ``wanted``, whose latest status applied by their effective time means pregnancy."""
     effective = encounters.filter(F.col("obgyn_eff_dttm").isNotNull()).select(
         "pat_id", "pat_enc_csn_id", "obgyn_eff_dttm"
     )
+    if wanted is not None:
+        effective = effective.join(wanted, "pat_enc_csn_id", "left_semi")
+        statuses = statuses.join(effective.select("pat_id"), "pat_id", "left_semi")
     status = asof_join(
         effective, statuses, ["pat_id"], "obgyn_eff_dttm", "app_inst_utc_dttm",
         ["obgyn_stat_c"], tie_break=["line"],
@@ -55,11 +57,12 @@ def encounter_detail(
     as_of: datetime.date,
     loaded_at: Column | None = None,
     since: datetime.date = SINCE,
+    excluded_locations: Sequence[int] = (),
 ) -> DataFrame:
     """Current state of every encounter that is open or was discharged in the last days.
 
     ``area`` is part of the service-area name to load. The latest event of an encounter counts
-    among its events with a known department, room and bed.
+    among its events with a known department, room and bed; one without a number counts if there is no other.
     """
     day = F.lit(as_of).cast("timestamp_ntz")
     first_day = F.lit(since).cast("timestamp_ntz")
@@ -72,8 +75,16 @@ def encounter_detail(
         & (F.col("admit_conf_stat_c") != CANCELLED_ADMISSION)
     )
     department = t["mv_dep_loc_sa"].filter(
-        F.col("sa_rpt_grp_six_name").contains(area) & ~F.col("loc_id").isin(*EXCLUDED_LOCATIONS)
+        F.col("sa_rpt_grp_six_name").contains(area) & ~F.col("loc_id").isin(*excluded_locations)
     ).select("department_id", "department_abbr", "loc_abbr")
+    patient = (
+        t["patient"]
+        .filter(F.col("death_date").isNull())
+        .select("pat_id", "pat_mrn_id", "birth_date", "death_date", "sex_c")
+        .join(t["patient_3"].filter(F.col("is_test_pat_yn") != "Y").select("pat_id"), "pat_id", "left_semi")
+    )
+    encounter = encounter.join(patient, "pat_id")
+    wanted = encounter.select("pat_enc_csn_id")
     event = (
         t["clarity_adt"]
         .filter(
@@ -86,6 +97,7 @@ def encounter_detail(
             "pat_enc_csn_id", "seq_num_in_enc", "department_id", "room_csn_id", "bed_csn_id",
             "accommodation_c", "user_id",
         )
+        .join(wanted, "pat_enc_csn_id", "left_semi")
         .join(department, "department_id")
         .join(t["clarity_rom"].select("room_csn_id", "room_name"), "room_csn_id")
         .join(t["clarity_bed"].select("bed_csn_id", "bed_label", "bed_status_c"), "bed_csn_id")
@@ -97,14 +109,9 @@ def encounter_detail(
         ),
         ["pat_enc_csn_id"],
         "seq_num_in_enc",
+        unordered=True,
     )
-    patient = (
-        t["patient"]
-        .filter(F.col("death_date").isNull())
-        .select("pat_id", "pat_mrn_id", "birth_date", "death_date", "sex_c")
-        .join(t["patient_3"].filter(F.col("is_test_pat_yn") != "Y").select("pat_id"), "pat_id", "left_semi")
-    )
-    base = encounter.join(last, "pat_enc_csn_id").join(patient, "pat_id")
+    base = encounter.join(last, "pat_enc_csn_id")
     # Lookup table, its key, its value, the key in the joined rows, output name.
     for table, key, value, of, name in (
         ("zc_pat_class", "adt_pat_class_c", "abbr", "adt_pat_class_c", "pat_class_abbr"),
@@ -118,7 +125,7 @@ def encounter_detail(
     ):
         lookup = _lookup(t[table], key, value, name)
         base = base.join(lookup, F.col(of) == F.col(f"_{name}_key"), "left")
-    pregnant = pregnant_encounters(t["pat_enc_5"], t["obgyn_stat"]).withColumn("pregnancy_flg", F.lit("Y"))
+    pregnant = pregnant_encounters(t["pat_enc_5"], t["obgyn_stat"], wanted).withColumn("pregnancy_flg", F.lit("Y"))
     now = F.current_timestamp() if loaded_at is None else loaded_at
     return (
         base.join(pregnant, "pat_enc_csn_id", "left")
@@ -192,7 +199,8 @@ def notes(
     detail: DataFrame, t: Frames, loaded_at: Column | None = None, since: datetime.date = SINCE
 ) -> DataFrame:
     """The most recent emergency note of every encounter, its lines joined in order."""
-    wanted = t["hno_info"].filter(F.col("ip_note_type_c").isin(*NOTE_TYPES))
+    asked = _heads(detail).select("pat_enc_csn_id")
+    wanted = t["hno_info"].filter(F.col("ip_note_type_c").isin(*NOTE_TYPES)).join(asked, "pat_enc_csn_id", "left_semi")
     contact = t["note_enc_info"].filter(
         (F.col("entry_instant_dttm") >= F.lit(since).cast("timestamp_ntz"))
         & (F.col("note_status_c").isNull() | ~F.col("note_status_c").isin(*NOTE_STATUSES_LEFT_OUT))
@@ -201,7 +209,7 @@ def notes(
         contact.select("note_id", "contact_serial_num", "ent_inst_local_dttm"), "note_id"
     )
     recent = row_number_latest(
-        dated.join(_heads(detail).select("pat_enc_csn_id"), "pat_enc_csn_id", "left_semi"),
+        dated,
         ["pat_enc_csn_id"],
         [F.desc("ent_inst_local_dttm"), F.desc("contact_serial_num")],
     ).select("pat_enc_csn_id", F.col("contact_serial_num").alias("note_csn_id"))
