@@ -110,7 +110,7 @@ def _random_table() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def samples(s: Shingles, count: int) -> np.ndarray:
     """``count`` consistent weighted samples of each row that has shingles, as 64-bit numbers."""
     r, log_c, beta = _random_table()
-    inverse_r = 1 / r
+    inverse_r, shift = 1 / r, log_c + r * (beta - 1)
     out = np.zeros((len(s.held), count), np.uint64)
     if not len(s.held):
         return out
@@ -119,12 +119,13 @@ def samples(s: Shingles, count: int) -> np.ndarray:
     dense = np.repeat(np.arange(len(s.held)), lengths)
     for k in range(count):
         odd = np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1) | 1)
-        at = (s.key * odd) >> np.uint64(48)
-        step = r[at]
-        t = np.floor(log_w * inverse_r[at] + beta[at])
-        log_a = log_c[at] - step * (t - beta[at] + 1)
-        least = np.minimum.reduceat(log_a, s.begin)
-        hit = np.flatnonzero(log_a == least[dense])
+        at = ((s.key * odd) >> np.uint64(48)).astype(np.int64)
+        t = log_w * inverse_r.take(at)
+        t += beta.take(at)
+        np.floor(t, out=t)
+        # log a = log c - r (t - beta + 1); the smallest is the sample.
+        log_a = shift.take(at) - r.take(at) * t
+        hit = np.flatnonzero(log_a == np.minimum.reduceat(log_a, s.begin).repeat(lengths))
         chosen = hit[np.flatnonzero(np.diff(dense[hit], prepend=-1))]
         out[:, k] = mixed(s.key[chosen] + t[chosen].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return out
