@@ -42,6 +42,7 @@ def encounter_messages(spark, sf) -> DataFrame:
                         50: F.col("o_custkey") + 70000}),
         segment("PV2", {2: "STD", 38: F.when(F.col("o_orderstatus") == "O", "Car")}),
         segment("ZPV", {15: "ADM"}),
+        # Fixed value: the acuity code.
         segment("OBX", {3: "11283-9^ACUITY ASSESSMENT AT FIRST ENCOUNTER^LN", 5: components({1: "2", 2: F.col("o_orderpriority")})}),
         segment("OBX", {3: "11283-9^ACUITY ASSESSMENT AT FIRST ENCOUNTER^LN", 5: "7"}),
         segment("OBX", {3: "11283-9^ACUITY ASSESSMENT AT FIRST ENCOUNTER^LN", 5: components({2: F.when(F.col("o_orderstatus") == "F", "Urgent")})}),
@@ -100,6 +101,7 @@ def validate(spark, sf):
 def clinical_messages(spark, sf) -> DataFrame:
     """One message per order line with observations of every kind."""
     lines = spread_small(table(spark, sf, "lineitem"))
+    # Observation codes of the message format.
     chief = "8661-1^CHIEF COMPLAINT:FIND:PT:PATIENT:NOM:REPORTED"
     note = "54094-8^TRIAGE NOTE:FIND:PT:EMERGENCY DEPARTMENT:DOC^LN"
     returned = F.col("l_returnflag") == "R"
@@ -287,10 +289,29 @@ ORDER_XML = T.StructType(
 )
 def flatten_nested(spark, sf):
     """Of repeated elements the last one that has the value counts."""
+    return nested.flatten_xml(_xml_orders(spark, sf), "doc", ORDER_XML)
+
+
+def _xml_orders(spark, sf) -> DataFrame:
     xml = F.format_string(
         "<m><id>%d</id><hdr><status>%s</status><who>%d</who></hdr><obs><a>x</a><b>%s</b></obs>"
         "<obs><a>%s</a></obs><tag>first</tag><tag>last</tag></m>",
         "o_orderkey", "o_orderstatus", "o_custkey", "o_orderstatus", "o_orderpriority",
     )
-    orders = table(spark, sf, "orders").select(xml.alias("doc"))
-    return nested.flatten_xml(orders, "doc", ORDER_XML)
+    return table(spark, sf, "orders").select(xml.alias("doc"))
+
+
+@checks.add("flatten_inferred", checks.sql["flatten_nested"])
+def flatten_inferred(spark, sf):
+    """The same documents without a schema given: it is read off a sample of them."""
+    return nested.flatten_xml(_xml_orders(spark, sf), "doc")
+
+
+@checks.add("column_lookup", "SELECT event_id, value AS amount, event_type AS kind FROM events")
+def column_lookup(spark, sf):
+    """Columns of a flattened document found by the end of their path and by a part of it."""
+    events = table(spark, sf, "events")
+    body = F.struct(F.struct(F.col("value").alias("amount")).alias("paid"), F.struct(F.col("event_type").alias("kindOf")).alias("what"))
+    flat = nested.flatten_struct(events.select("event_id", body.alias("doc")), "doc")
+    amount, kind = nested.column_ending(flat, "amount"), nested.path_containing(flat, "kindOf")
+    return flat.select("event_id", F.col(f"`{amount}`").alias("amount"), F.col(f"`{kind}`").alias("kind"))

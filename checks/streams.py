@@ -314,6 +314,32 @@ def stream_files(spark, sf):
     return split.filter("line <> ''").select(row.alias("e"), named).select("e.*", "named")
 
 
+@checks.add("stream_archive", "SELECT event_id, true AS archived FROM events")
+def stream_archive(spark, sf):
+    """Every processed file is in the archive or, if of the last batch, still in its folder; none is in both."""
+    root = scratch_path(spark, "archive")
+    table(spark, sf, "events").select(F.col("event_id").cast("string")).write.option("maxRecordsPerFile", 500).text(f"{root}/in")
+    texts = files.decoded(files.binary_stream(spark, f"{root}/in", max_files=1, archive=f"{root}/done"))
+    jobs.append_stream(texts, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
+    done, left = reader.text(f"{root}/done"), reader.text(f"{root}/in")
+    archived = F.lit(not done.isEmpty() and spark.read.parquet(f"{root}/out").count() > 1)
+    return done.unionAll(left).select(F.col("value").cast("long").alias("event_id"), archived.alias("archived"))
+
+
+@checks.add("stream_timed", "SELECT event_id, user_id, ts AS msg_tm FROM events")
+def stream_timed(spark, sf):
+    """Batches by a clock: a trigger every second, a few files each, stopped when its input is done."""
+    root = scratch_path(spark, "timed")
+    rows = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("msg_tm"))
+    rows.repartition(4).write.parquet(f"{root}/in")
+    stream = files.table_stream(spark, f"{root}/in", rows.schema, max_files=2)
+    running = jobs.append_stream(stream, f"{root}/out", f"{root}/checkpoint", every="1 second")
+    running.processAllAvailable()
+    running.stop()
+    return comparable(spark.read.parquet(f"{root}/out"))
+
+
 @checks.add(
     "stream_copy",
     "SELECT event_id, ts - INTERVAL 6 HOUR AS msg_tm FROM events",

@@ -178,8 +178,8 @@ def _reasons(segs: Column) -> Column:
     return F.transform(reasons, lambda r: F.struct(r.alias("encntr_rsn")))
 
 
-def _complaint(dg1: Column) -> Column:
-    wanted = hl7.raw(dg1, 6).isin(*ER_COMPLAINT_TYPES) & (hl7.raw(dg1, 4) != "")
+def _complaint(dg1: Column, types: Sequence[str]) -> Column:
+    wanted = hl7.raw(dg1, 6).isin(*types) & (hl7.raw(dg1, 4) != "")
     return F.when(wanted, F.struct(hl7.raw(dg1, 4).alias("er_complnt")))
 
 
@@ -194,8 +194,10 @@ def fan_out(
     source: str = SOURCE,
     zone: str = times.LOCAL_ZONE,
     carry: Sequence[str] = (),
+    complaint_types: Sequence[str] = ER_COMPLAINT_TYPES,
 ) -> DataFrame:
     """One pass over each message: five nested columns, and the columns ``carry`` as they are.
+    ``complaint_types`` are the diagnosis types that count as a complaint.
 
     ``encounter`` struct, ``dx`` and ``reasons`` arrays, ``complaint`` and ``note`` structs that
     are NULL when the message has none. ``msg_nm``, ``insert_user_id`` and
@@ -207,7 +209,7 @@ def fan_out(
     return noted.select(
         F.struct(*ENCOUNTER_COLUMNS).alias("encounter"),
         _diagnoses(F.col("_segs")).alias("dx"),
-        _complaint(F.col("_dg1")).alias("complaint"),
+        _complaint(F.col("_dg1"), complaint_types).alias("complaint"),
         _reasons(F.col("_segs")).alias("reasons"),
         F.when(F.col("_note").isNotNull(), note).alias("note"),
         *carry,

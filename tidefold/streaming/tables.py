@@ -1,6 +1,6 @@
 """File tables that a replayed micro-batch cannot spoil.
 
-Every batch writes its own folder, so writing a batch again replaces the same folder. Files
+Every batch writes its own folder, and one that is finished is not written again. Files
 appear when Spark commits the job, and a folder counts once it has its ``_SUCCESS`` file.
 A table stores what each batch adds and puts it together when read; a micro-batch therefore
 writes in proportion to itself and not to the table. Compaction stores the outcome once,
@@ -46,6 +46,10 @@ class Folders:
         names = (s.getPath().getParent().getName() for s in files.globStatus(path) or ())
         return sorted(int(name.partition("=")[2]) for name in names)
 
+    def finished(self, number: int) -> bool:
+        path, files = self._files(f"{self.folder(number)}/_SUCCESS")
+        return files.exists(path)
+
     def read(self, numbers: list[int]) -> DataFrame:
         """Rows of the given folders with their number in ``_seq``."""
         schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
@@ -84,7 +88,10 @@ class FoldedTable:
         self.base = Folders(spark, f"{path}/base", with_origin)
 
     def write(self, number: int, rows: DataFrame) -> None:
-        self.changes.write(number, rows)
+        """Add a batch. One that is there already stays as it is: a replay brings the same rows, and
+        writing them to new files would send them once more to whoever follows the table as a stream."""
+        if not self.changes.finished(number):
+            self.changes.write(number, rows)
 
     def _settled(self, below: int | None, base_below: int | None) -> DataFrame:
         """Numbered rows from the last base under ``base_below`` and the batches after it.
