@@ -30,7 +30,7 @@ OUTSIDE = "-"
 MAX_ATOMS = 18
 SAMPLE = 300
 SAMPLE_CHARS = 20_000
-EPOCHS = 12
+EPOCHS = 20
 # An added span is believed from so much posterior odds against no entity at all.
 MARGIN = 1.0
 
@@ -151,6 +151,9 @@ def _words_after(text: str, at: int) -> int:
 
 _DISGUISED = re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(]at[\])] ?[A-Za-z0-9-]+(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]+)+", re.I)
 _GROUPS = re.compile(r"[^0-9]+")
+_MORE_HOST = re.compile(r"\.?[A-Za-z0-9]| ?[\[(]dot[\])]", re.I)
+_MORE_DIGITS = re.compile(r"[\x20()./-]{1,2}[0-9]")
+_DIGITS_BEFORE = re.compile(r"[0-9][\x20()./-]{1,2}$")
 _NUMERIC = re.compile(r"[0-9\x20()./+-]+")
 
 
@@ -169,6 +172,7 @@ def features(text: str, begin: int, end: int):
                 *common, "plus" if span[0] == "+" else "zeros" if span.startswith("00") else "open" if span[0] == "(" else "bare",
                 f"n{n}" if n < 10 or n > 13 else "n10-13", "grouped" if len(groups) >= 3 and max(groups) <= 5 else "plain",
                 "dots" if "." in marks else "nodots", "slash" if "/" in marks else "noslash",
+                "goes-on" if _MORE_DIGITS.match(text, end) or _DIGITS_BEFORE.search(text, max(0, begin - 3), begin) else "ends",
             ]
         if 13 <= n <= 19 and span[0].isdigit():
             even = len(set(groups[:-1])) <= 1
@@ -176,7 +180,7 @@ def features(text: str, begin: int, end: int):
         if len(groups) == 4 and n <= 12 and "." in marks and span[0].isdigit():
             yield "ip", [*common, "octets" if all(int(g) <= 255 for g in _GROUPS.split(span)) else "large", "spaced" if " " in marks else "close"]
     elif "at" in span.lower() and _DISGUISED.fullmatch(span):
-        tight = (begin == 0 or text[begin - 1] not in _LOCAL) and (end == len(text) or not text[end].isalnum())
+        tight = (begin == 0 or text[begin - 1] not in _LOCAL) and not _MORE_HOST.match(text, end)
         yield "email", ["tight" if tight else "cut", "ends-word" if span.rsplit(".")[-1][-2:].isalpha() else "ends-other"]
 
 
@@ -184,7 +188,7 @@ class Field:
     """Weights of (kind, feature), and the dynamic programs over a place."""
 
     def __init__(self, weights: dict[str, float] | None = None) -> None:
-        self.weights = weights or {}
+        self.weights = dict(weights or {})
 
     def score(self, kind: str, names) -> float:
         w = self.weights
@@ -268,7 +272,7 @@ def train(docs: DataFrame) -> Field:
             if any(o != (b, kind, e) and o[0] < e and b < o[2] for o in base):
                 continue
             before, after = text[max(0, b - 30) : b], text[e : e + 30]
-            for value in {text[b:e], rewritten(kind, text[b:e], number + turn)}:
+            for value in (text[b:e], rewritten(kind, text[b:e], number + turn)):
                 line = f"{before}{value}{after}"
                 examples.append((Place(line, 0, len(line)), {(len(before), kind, len(before) + len(value))}))
         for place in places(text, base)[:2]:
