@@ -9,8 +9,9 @@ bucket. Equal texts are one text here.
 Candidates are verified by their exact weighted Jaccard similarity, without listing the pairs of a bucket. First all
 members are compared with the bucket's leader, the member that meets most others over all bands. Members that are in one
 class by then need no more comparison. Where a bucket still holds several classes, some members of the smaller ones are compared
-with the members of the other classes, then all of them. So every pair of a bucket is verified or connected already; what
-is left to chance is only whether a similar pair shares a bucket at all (missed once in 100 000 at similarity 0.8).
+with the members of the other classes, then all of them that may be similar to any: a text whose own shingles, which no other
+has, weigh too much can have no partner, and of two texts the lesser share bounds the similarity. So every pair of a bucket is
+verified, connected already, or ruled out by its bound; what is left to chance is only whether a similar pair shares a bucket at all (missed once in 100 000 at similarity 0.8).
 
 Nulls: a null text is empty; texts without words are near only to equal texts. A row without id is a class of its own, of id
 null. Repeated rows are one class. An empty table gives no rows.
@@ -22,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefold.llm.common import Bytes, Words, map_batches, mixed, range_hashes, signed, texts, written
@@ -217,9 +218,11 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
         if leaders_each:
             place = leaders.withColumn("place", F.row_number().over(order))
             leaders = place.where(F.col("place") <= leaders_each)
-        leaders = leaders.select("key", F.col("rep").alias("leader"), F.col("c").alias("lc"))
-        pairs = state.join(leaders, "key").where(F.col("c") != F.col("lc"))
-        pairs = pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+        named = [F.col(c).alias(f"l_{c}") for c in state.columns if c not in ("key", "main", "popular")]
+        pairs = state.join(leaders.select("key", *named), "key").where(F.col("c") != F.col("l_c"))
+        if not leaders_each:
+            pairs = pairs.where(_possible(F.least("shared", "l_shared"), F.col("total") + F.col("l_total"), threshold))
+        pairs = pairs.select(F.least("rep", "l_rep").alias("a"), F.greatest("rep", "l_rep").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -228,20 +231,57 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
         found = near if found is None else found.unionAll(near)
         if not near.isEmpty():
             classes = components(found)
-        if classes is not None:
-            known = classes.select(F.col("id").alias("rep"), "class_id")
-            state = met.join(known, "rep", "left").select("key", "rep", "popular", F.coalesce("class_id", "rep").alias("c"))
-        else:
-            state = state.drop("main")
         if leaders_each:
-            # Buckets with several classes stay open; the largest class of a bucket needs no leaders of its own.
-            sizes = state.groupBy("key", "c").agg(F.count("*").alias("size")).groupBy("key")
-            sizes = sizes.agg(F.max(F.struct("size", "c"))["c"].alias("most"), F.count("*").alias("several")).where("several > 1")
-            state = state.join(sizes, "key").withColumn("main", F.col("c") == F.col("most")).drop("most", "several")
-            state = written(state, "open")
+            state = _several(_in_classes(met, classes))
+            if leaders_each == LEADERS[-2]:
+                limits = shares(held, state, idf)
+                alive = F.col("shared") >= threshold * F.col("total") * (1 - _SLACK)
+                state = written(_several(state.drop("main").join(limits, "rep").where(alive)), "open")
     return classes
 
 
+# Sums of floating-point weights may differ by this share, depending on their order.
+_SLACK = 1e-6
+
+
+def _possible(shared: Column, both: Column, threshold: float) -> Column:
+    """Whether two texts with so much in common at most, and so much weight together, may be similar enough."""
+    return shared >= threshold * (both - shared) * (1 - _SLACK)
+
+
+def _in_classes(met: DataFrame, classes: DataFrame | None) -> DataFrame:
+    if classes is None:
+        return met.withColumn("c", F.col("rep"))
+    known = classes.select(F.col("id").alias("rep"), "class_id")
+    return met.join(known, "rep", "left").withColumn("c", F.coalesce("class_id", "rep")).drop("class_id")
+
+
+def _several(state: DataFrame) -> DataFrame:
+    """Rows of buckets that still hold several classes; ``main`` marks the largest one, which needs no leaders."""
+    sizes = state.groupBy("key", "c").agg(F.count("*").alias("size")).groupBy("key")
+    sizes = sizes.agg(F.max(F.struct("size", "c"))["c"].alias("most"), F.count("*").alias("classes")).where("classes > 1")
+    return written(state.join(sizes, "key").withColumn("main", F.col("c") == F.col("most")).drop("most", "classes"), "open")
+
+
+def shares(held: DataFrame, state: DataFrame, idf: np.ndarray) -> DataFrame:
+    """For each text in open buckets its weight, and that of its shingles which another of them has too: rep, total, shared.
+
+    No text can be more similar to another one than shared / total, nor two texts than the smaller ``shared``
+    allows. Copies with edits of their own, which meet a whole group of copies, are told apart by this without pairs.
+    """
+
+    def run(batches):
+        for batch in batches:
+            s = Shingles(batch.column("text"), idf)
+            yield {"rep": batch.column("id").take(pa.array(s.row)), "key": signed(s.key), "weight": s.weight.astype(np.float64)}
+
+    texts_ = held.join(state.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    rows = written(map_batches(texts_.select("id", "text"), run, "rep long, key long, weight double"), "shingles")
+    twice = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = rows.join(twice, "key", "left_semi").groupBy("rep").agg(F.sum("weight").alias("shared"))
+    return written(rows.groupBy("rep").agg(F.sum("weight").alias("total")).join(shared, "rep"), "shares")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Class of each row: doc_id, class_id (the smallest id in the class)."""
     every = texts(docs)
