@@ -157,28 +157,34 @@ def range_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: i
     return mixed((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def anchors(hashes: np.ndarray, group: np.ndarray, window: int) -> np.ndarray:
-    """Positions such that each run of ``window`` consecutive hashes of one group holds one.
+def anchors(hashes: np.ndarray, group: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions such that each run of ``window`` consecutive hashes of one group has one, and where the first and last of its runs begin.
 
     It is the smallest hash of the run, leftmost if several are equal, so equal runs choose equal hashes.
     """
     n = len(hashes)
     if n < window:
-        return np.zeros(0, np.int64)
-    low = np.uint64((1 << 24) - 1)
+        none = np.zeros(0, np.int64)
+        return none, none, none
     if n > 1 << 23:  # the position takes 24 bits of a key
         step = (1 << 23) - window + 1
-        parts = [at + anchors(hashes[at : at + (1 << 23)], group[at : at + (1 << 23)], window) for at in range(0, n, step)]
-        return np.unique(np.concatenate(parts))
-    keys = np.full(-(-n // window) * window, ~np.uint64(0))
-    keys[:n] = (hashes & ~low) | np.arange(n, dtype=np.uint64)
-    blocks = keys.reshape(-1, window)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    runs = n - window + 1
-    best = np.minimum(behind[:runs], ahead[window - 1 : window - 1 + runs])
-    valid = group[:runs] == group[window - 1 :]
-    return np.unique((best[valid] & low).astype(np.int64))
+        parts = [
+            np.array(anchors(hashes[at : at + (1 << 23)], group[at : at + (1 << 23)], window)) + at for at in range(0, n, step)
+        ]
+        best, first, last = np.concatenate(parts, axis=1)
+    else:
+        low = np.uint64((1 << 24) - 1)
+        keys = np.full(-(-n // window) * window, ~np.uint64(0))
+        keys[:n] = (hashes & ~low) | np.arange(n, dtype=np.uint64)
+        blocks = keys.reshape(-1, window)
+        ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+        behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+        runs = n - window + 1
+        first = last = np.flatnonzero(group[:runs] == group[window - 1 :])
+        best = (np.minimum(behind[:runs], ahead[window - 1 : window - 1 + runs])[first] & low).astype(np.int64)
+    # The choice never moves back from one run to the next.
+    new = np.flatnonzero(np.diff(best, prepend=-1))
+    return best[new], first[new], last[np.append(new[1:], len(best)) - 1] if len(best) else last
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -38,7 +38,7 @@ def anchor_rows(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFra
             at = np.arange(max(0, len(hashes) - k + 1))
             at = at[words.row[at] == words.row[at + k - 1]] if len(at) else at
             kmers = range_hashes(hashes, at, at + k)
-            chosen = anchors(kmers, words.row[at], window - k + 1) if len(at) else at
+            chosen = anchors(kmers, words.row[at], window - k + 1)[0] if len(at) else at
             pos, h = at[chosen], kmers[chosen] if len(at) else np.zeros(0, np.uint64)
             row = words.row[pos] if len(pos) else pos
             first = np.flatnonzero(np.diff(row, prepend=-1)) if len(pos) else pos
