@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from checks import cdc as cdc_checks
 from checks import messages as message_checks
 
-QUERIES = entry.queries()
+QUERIES = {name: query for group in entry.ALL for name, query in group.queries.items()}
 # These run their work while the query is built; the plan that is left only reads the outcome.
 RUN_FIRST = ("stream_", "mirror_", "compact_cluster", "table_lifecycle", "replay_idempotent")
 DECLARED = [n for n in QUERIES if not n.startswith(RUN_FIRST)]
@@ -83,3 +83,32 @@ def test_messages_are_split_once(spark, data):
     df = fan_out(message_checks.clinical_messages(spark, data))
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"split\(replace\(", optimized)) == 1
+
+
+@pytest.mark.parametrize("name", ["delete_by_keys", "replace_by_key", "retain_following"])
+def test_the_rows_of_a_hot_key_are_split(spark, scratch, name):
+    """Four fifths of the rows have one key: the join that drops or keeps them is dealt to several tasks."""
+    from tidefold.operators import cdc, retention
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k", "spark.sql.shuffle.partitions": "8",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        spark.range(400_000).selectExpr("if(id % 5 < 4, 7, id) AS k", "id AS t", "md5(cast(id AS string)) AS v").write.parquet(scratch)
+        target = spark.read.parquet(scratch)
+        other = spark.range(3000).selectExpr("id * 5 + 4 AS k", "id AS t", "'x' AS v")
+        got = {
+            "delete_by_keys": lambda: cdc.delete_by_keys(target, other, ["k"]),
+            "replace_by_key": lambda: cdc.replace_by_key(target, other, ["k"], "t"),
+            "retain_following": lambda: retention.retain_following(target, other.unionByName(target.limit(1)), ["k"]),
+        }[name]()
+        executed = got._jdf.queryExecution()
+        executed.executedPlan().executeCollect()
+        assert "skew=true" in executed.executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -59,8 +59,9 @@ def test_two_batches(spark, scratch):
     assert rows(tables.read("encntr_dx"), "dx_icd_cd") == [("a",), ("b",), ("c",)]
     tables.apply(batch(spark, *TWO), 1)
     check_final(tables)
-    assert rows(tables.rejected.read([0]), "msg_nm", "msg") == [("12", "no message")]
-    assert rows(tables.metrics.read(), "batch_rows") == [(2,), (3,)]
+    assert rows(tables.rejected.read(), "msg_nm", "reason") == [("12", jobs.NO_MESSAGE), ("15", jobs.NO_KEY)]
+    assert rows(tables.metrics.read().filter("table_name = 'adt_hist'"), "batch_rows") == [(2,), (3,)]
+    assert tables.staged.committed() == []
 
 
 def test_repeats_change_nothing(spark, scratch):

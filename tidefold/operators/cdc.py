@@ -213,7 +213,7 @@ def append_new_only(
     delivered = batch.select(hashed, *batch.columns)
     seen = target
     if pruned_by:
-        low, high = (batch.select(f(pruned_by)).scalar() for f in (F.min, F.max))
+        low, high = ends_of(batch, pruned_by)
         # Two scans, because each condition by itself skips files and row groups.
         ranged = target.filter((F.col(pruned_by) >= low) & (F.col(pruned_by) <= high))
         seen = ranged.unionByName(target.filter(F.col(pruned_by).isNull()))
@@ -223,3 +223,11 @@ def append_new_only(
     fresh = delivered.alias("d").join(near.alias("n"), reduce(and_, same), "left_anti")
     # Copies are dropped last, among the new rows only.
     return fresh.drop("_hash").dropDuplicates(list(keys))
+
+
+def ends_of(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """The smallest and the largest value as scalar sub-queries that reach a scan's filters.
+
+    They differ in form, because the optimizer joins two like ones into a struct, which no scan can use.
+    """
+    return df.select(F.min(column)).scalar(), df.select(column).orderBy(F.desc(column)).limit(1).scalar()

@@ -175,7 +175,7 @@ class EncounterTables:
         first = dedup_by_id(spread, ["_name"], ["msg_enqueued_tsp", "msg"]).select(*delivered.columns)
         known = self.history.read(before=number).select("msg_nm")
         known = known.unionByName(self.rejected.read(before=number).select("msg_nm")).filter("msg_nm IS NOT NULL")
-        low, high = (first.select(f("msg_nm")).scalar() for f in (F.min, F.max))
+        low, high = change.ends_of(delivered, "msg_nm")
         # Only files whose range of numbers meets the batch's are read; an equal number cannot be outside.
         near = known.filter((F.col("msg_nm") >= low) & (F.col("msg_nm") <= high))
         new = first.join(near, "msg_nm", "left_anti").select(*delivered.columns, F.col("msg").alias("raw"))
