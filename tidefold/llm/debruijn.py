@@ -112,8 +112,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> tuple[DataF
     return paths(placed), again.select("id", "pos")
 
 
-def deduplicate(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFrame:
-    """Each document without the words that a repeated window covers: doc_id, n_words, n_removed, kept_sha256, kept (the text)."""
+def deduplicate(docs: DataFrame, window: int = WINDOW, k: int = KMER, with_text: bool = True) -> DataFrame:
+    """Each document without the words that a repeated window covers: doc_id, n_words, n_removed, kept_sha256 and, ``with_text``, kept."""
     every = texts(docs)
     along, single = repeats(every.where("id IS NOT NULL"), window, k)
     along = along.groupBy("id").agg(F.collect_list(F.struct("before", "after")).alias("paths"))
@@ -147,8 +147,9 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> DataFra
                 "n_words": words.count.astype(np.int64),
                 "n_removed": pa.array(removed, pa.int64()),
                 "kept_sha256": pa.array(digests, pa.string()),
-                "kept": pa.array(kept, pa.binary()).cast(pa.string()),
+                "kept": pa.array(kept, pa.binary()).cast(pa.string()) if with_text else None,
             }
 
     marked = every.join(marks, "id", "left").select("id", "text", "paths", "windows")
-    return map_batches(marked, run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    return map_batches(marked, run, f"{schema}, kept string" if with_text else schema)

@@ -31,7 +31,7 @@ def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op3_debruijn_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return debruijn.deduplicate(table(spark, sf, "documents")).drop("kept")
+    return debruijn.deduplicate(table(spark, sf, "documents"), with_text=False)
 
 
 @query
@@ -58,7 +58,7 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return suffixdedup.deduplicate(table(spark, sf, "documents")).drop("kept")
+    return suffixdedup.deduplicate(table(spark, sf, "documents"), with_bytes=False)
 
 
 @query

@@ -233,8 +233,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER, step: int = ST
     return reduce(DataFrame.unionAll, parts)
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
-    """Each document without its repeated bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept."""
+def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = KMER, with_bytes: bool = True) -> DataFrame:
+    """Each document without its repeated bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_bytes``, kept."""
     every = texts(docs)
     spans = repeats(every, length, k, min(STEP, length // 2)).groupBy("id").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
 
@@ -260,9 +260,9 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFra
                 "n_removed": pa.array(removed, pa.int64()),
                 "n_spans": pa.array(pieces, pa.int64()),
                 "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
-                "kept": pa.array(kept, pa.binary()),
+                "kept": pa.array(kept, pa.binary()) if with_bytes else None,
             }
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
     marked = every.join(spans, every["id"].eqNullSafe(spans["id"]), "left").select(every["id"], "text", "spans")
     return map_batches(marked, run, schema)
