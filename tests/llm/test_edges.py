@@ -13,7 +13,7 @@ ROWS = [
     (1, "some ordinary text that says a thing or two about the weather of the day", "en", "s"),
     (2, None, "en", "s"), (3, "", "en", None), (4, LONG, "en", "s"), (5, LONG, None, "s"), (5, LONG, None, "s"),
     (None, "a text without a number", None, None), (7, " \n\t ", "zz", "t"), (8, "x", "en", "s"), (9, "\u00e9" * 500, "fr", "\u00e9"),
-    (-3, "negative", "en", "s"), (2**62, "large id", "en", "s"),
+    (-3, "negative", "en", "s"), (11, LONG[:9000], "en", "s"), (11, "short " + LONG[2000:8000], "en", "s"), (12, LONG[1000:7000], "en", "s"), (2**62, "large id", "en", "s"),
 ]
 # Names that the operators use inside.
 EXTRA = ("id", "h", "n", "key", "keys", "spans", "kept", "rep", "bucket", "order", "size", "block", "digest", "target", "copies")

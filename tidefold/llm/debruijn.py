@@ -9,7 +9,8 @@ one by one, by 128-bit digests with their source coordinates. Different k-mers u
 differ, so they end in that comparison too.
 
 Nulls: a null text has no words. Texts shorter than a window are returned whole. A row without id comes before no other and after
-none, so nothing is removed from it. Repeated rows (equal id and text) do not remove each other. An empty table gives no rows.
+none, so nothing is removed from it. Repeated rows (equal id and text) do not remove each other; different texts
+under one id are not told apart, so an id should name one text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -129,12 +130,12 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, k: int = KMER, with_text:
                 edge = np.zeros(n + 1, np.int64)
                 for s in spans or ():
                     begin = 0 if s["before"] is None else s["before"] + 1
-                    end = n if s["after"] is None else s["after"] + k - 1
+                    end = n if s["after"] is None else min(n, s["after"] + k - 1)
                     if end - begin >= window:
                         edge[begin] += 1
                         edge[end] -= 1
                 if starts:
-                    at = np.array(starts, np.int64)
+                    at = np.array([x for x in starts if x + window <= n], np.int64)
                     edge[at] += 1
                     edge[at + window] -= 1
                 left = np.flatnonzero(np.cumsum(edge)[:n] == 0) + origin

@@ -10,8 +10,9 @@ neighbours, and the permuted common prefixes tell which are. An anchor with more
 task; its windows are compared by grouped aggregation of 128-bit digests instead. Either way a window is a repeat if it
 stands at two different places, of one document or of two, and the result is the same.
 
-Nulls: a null text is empty. Texts shorter than ``LENGTH`` keep all their bytes. Rows without id are compared like all others. Repeated rows
-are documents of their own, so they remove each other if long enough. An empty table gives no rows.
+Nulls: a null text is empty. Texts shorter than ``LENGTH`` keep all their bytes. Rows without id are left whole and not
+compared. Repeated rows are documents of their own, so they remove each other if long enough; different texts under one id
+are not told apart, so an id should name one text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -72,6 +73,8 @@ def step_rows(docs: DataFrame, wanted: DataFrame, length: int, step: int) -> Dat
             row = np.repeat(np.arange(batch.num_rows), np.diff(contexts.offsets.to_numpy()))
             base = source.starts[row]
             h, pos, b, e = (flat.field(c).to_numpy() for c in ("h", "pos", "b", "e"))
+            fits = e <= np.diff(source.starts)[row]
+            h, pos, b, e, row, base = (v[fits] for v in (h, pos, b, e, row, base))
             # A window that begins r bytes before the anchor is in step r // step, so equal windows are in equal steps.
             low, high = (pos - (e - length)) // step, (pos - b) // step
             times = high - low + 1
@@ -236,7 +239,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER, step: int = ST
 def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = KMER, with_bytes: bool = True) -> DataFrame:
     """Each document without its repeated bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_bytes``, kept."""
     every = texts(docs)
-    spans = repeats(every, length, k, min(STEP, length // 2)).groupBy("id").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
+    spans = repeats(every.where("id IS NOT NULL"), length, k, min(STEP, length // 2)).groupBy("id").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
 
     def run(batches):
         for batch in batches:
@@ -264,5 +267,5 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = KMER, with_bytes
             }
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
-    marked = every.join(spans, every["id"].eqNullSafe(spans["id"]), "left").select(every["id"], "text", "spans")
+    marked = every.join(spans, "id", "left").select("id", "text", "spans")
     return map_batches(marked, run, schema)
