@@ -38,6 +38,7 @@ LEADERS = (1, 4, None)
 # The random numbers of a sample come from one table of this size, read at another place by each sample.
 _TABLE = 1 << 16
 _SEED = 20250101
+SLOTS = 1 << 20
 
 
 def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
@@ -208,8 +209,7 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
         return None
     popular = met.groupBy("rep").agg(F.sum("n").alias("popular"))
     met = written(met.join(popular, "rep").select("key", "rep", "popular"), "buckets")
-    held = docs.join(met.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    held = written(held, "candidates")
+    held = written(_named(docs, met.select(F.col("rep").alias("id")).distinct()).dropDuplicates(["id"]), "candidates")
     order = Window.partitionBy("key").orderBy(F.desc("popular"), "rep")
     state = met.select("*", F.col("rep").alias("c"), F.lit(False).alias("main"))
     found = tested = classes = None
@@ -240,6 +240,14 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
     return classes
 
 
+def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with one of the ids. Most others are left out before the shuffle, by the slots of the ids' hashes:
+    these are SLOTS at most, which bounds what is broadcast; how many share a slot only changes what is saved."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(ids.select(slot).distinct())
+    return docs.select("*", slot).join(slots, "slot", "left_semi").drop("slot").join(ids, "id", "left_semi")
+
+
 # Sums of floating-point weights may differ by this share, depending on their order.
 _SLACK = 1e-6
 
