@@ -174,14 +174,14 @@ def bytes_oracle(texts, size):
     return out
 
 
-@pytest.mark.parametrize("crowded", [4096, 1])
+@pytest.mark.parametrize("crowded", [16384, 1])
 def test_suffix_dedup(docs, texts, crowded, monkeypatch):
     monkeypatch.setattr(suffixdedup, "SHARD_CONTEXTS", crowded)
     got = {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in by_id(suffixdedup.deduplicate(docs)).items()}
     assert got == bytes_oracle(texts, 400)
 
 
-@pytest.mark.parametrize("crowded", [4096, 1])
+@pytest.mark.parametrize("crowded", [16384, 1])
 def test_suffix_dedup_on_few_letters(spark, crowded, monkeypatch):
     monkeypatch.setattr(suffixdedup, "SHARD_CONTEXTS", crowded)
     rng = np.random.default_rng(5)

@@ -6,7 +6,7 @@ contexts are all equal needs no more work, nor does a context that occurs twice.
 into steps of ``STEP`` windows. The windows of a step share their middle: contexts whose middles differ (by a 128-bit
 digest) have no equal window in this step, and where they agree, the middle is written as one symbol between the bytes before
 and after it. A shard, chosen by the middle, sorts these strings by a suffix array (``suffixes``), in which equal windows are
-neighbours, and the permuted common prefixes tell which are. An anchor with more than ``SHARD_CONTEXTS`` different contexts could fill a
+neighbours, and the permuted common prefixes tell which are. An anchor with more than ``SHARD_CONTEXTS`` different contexts (2 MB of such strings a step) could fill a
 task; its windows are compared by grouped aggregation of 128-bit digests instead. Either way a window is a repeat if it
 stands at two different places, of one document or of two, and the result is the same.
 
@@ -32,7 +32,7 @@ LENGTH = 400
 KMER = 32
 STEP = 64
 SHARD_BYTES = 4 << 20
-SHARD_CONTEXTS = 4096
+SHARD_CONTEXTS = 16384
 
 
 def context_rows(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
