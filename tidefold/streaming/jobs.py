@@ -6,7 +6,7 @@ import datetime
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial, reduce
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,50 +118,59 @@ class EncounterTables:
         )
         sound = parsed.filter(refused.isNull())
         parts = {n: messages.CHILD_PARTS[n] for n in CHILDREN}
-        has = {p: F.size(p) if p in ("dx", "reasons") else F.col(p).isNotNull().cast("int") for p in parts.values()}
-        kept = F.when(refused.isNull(), 1)
+        counts = {"adt_hist": F.lit(1)}
+        for name, p in parts.items():
+            counts[f"{name}_hist"] = F.size(p) if p in ("dx", "reasons") else F.col(p).isNotNull().cast("int")
+        sized = {t: F.when(refused.isNull(), F.greatest(n, F.lit(0))) for t, n in counts.items()}
+        # One pass tells which tables get rows, and what the metrics say of them.
         found = parsed.agg(
-            F.count(refused).alias("rejected"), F.count(kept).alias("history"),
-            *(F.coalesce(F.sum(kept * c), F.lit(0)).alias(p) for p, c in has.items()),
+            F.count(refused).alias("rejected"), F.min("row_insert_tsp").alias("first"), F.max("row_insert_tsp").alias("last"),
+            *(F.coalesce(F.sum(n), F.lit(0)).alias(t) for t, n in sized.items()),
+            *(F.max(F.when(n > 0, F.col("encounter.msg_tm"))).alias(f"{t}_tm") for t, n in sized.items()),
         ).first()
 
         def stamped(rows: DataFrame, table: str) -> DataFrame:
             stamps = {"row_updt_tsp": F.col("row_insert_tsp"), "updt_user_id": F.col("insert_user_id")}
             return conform(rows.withColumns(stamps), TABLES[table])
 
-        history = stamped(sound.select("encounter.*", "row_insert_tsp"), "adt_hist")
-        changes = change.stamp_changes(change.transform(history, self.cdc), self.cdc)
-        # The few rows of the metrics know the latest update; the state need not be read.
-        marks = self.metrics.read(before=number).filter(F.col("table_name") == "adt_hist")
-        marks = marks.select(F.col("last_insert_tsp").alias(self.cdc.updated))
-        changes = change.incremental_since(changes, marks, self.cdc)
-        quarantined = parsed.withColumn("reason", refused).filter(F.col("reason").isNotNull())
-        quarantined = quarantined.withColumn("msg", F.col("raw"))
-
-        writes = {
-            self.rejected: (found["rejected"], quarantined),
-            self.history: (found["history"], history),
-            self.detail: (found["history"], changes),
-        }
-        for name, part in parts.items():
-            rows = stamped(messages.children(sound.select(*messages.PARTS, "row_insert_tsp"), part), f"{name}_hist")
-            latest = change.latest_children(rows, ["pat_enc_csn_id"], "msg_tm")
-            writes[self.child_history[name]] = found[part], rows
-            writes[self.children[name]] = found[part], latest
+        def history() -> DataFrame:
+            return stamped(sound.select("encounter.*", "row_insert_tsp"), "adt_hist")
+
+        def changes() -> DataFrame:
+            rows = change.stamp_changes(change.transform(history(), self.cdc), self.cdc)
+            # The few rows of the metrics know the latest update; the state need not be read.
+            marks = self.metrics.read(before=number).filter(F.col("table_name") == "adt_hist")
+            return change.incremental_since(rows, marks.select(F.col("last_insert_tsp").alias(self.cdc.updated)), self.cdc)
+
+        def quarantined() -> DataFrame:
+            return parsed.withColumn("reason", refused).filter(F.col("reason").isNotNull()).withColumn("msg", F.col("raw"))
+
+        def children(name: str) -> DataFrame:
+            rows = messages.children(sound.select(*messages.PARTS, "row_insert_tsp"), parts[name])
+            return stamped(rows, f"{name}_hist")
+
+        def latest(name: str) -> DataFrame:
+            return change.latest_children(children(name), ["pat_enc_csn_id"], "msg_tm")
+
+        writes = [
+            (self.rejected, found["rejected"], quarantined),
+            (self.history, found["adt_hist"], history),
+            (self.detail, found["adt_hist"], changes),
+            *((self.child_history[n], found[f"{n}_hist"], partial(children, n)) for n in CHILDREN),
+            *((self.children[n], found[f"{n}_hist"], partial(latest, n)) for n in CHILDREN),
+        ]
         # A table that gets nothing costs no job; what an earlier attempt may have left goes.
-        for table, (n, _) in writes.items():
+        for table, n, _ in writes:
             if not n:
                 table.changes.remove([number])
-        written = {"adt_hist": self.history, **{f"{n}_hist": t for n, t in self.child_history.items()}}
-        together(self.spark, [partial(t.write, number, rows) for t, (n, rows) in writes.items() if n])
+        # Each write plans itself in its own thread: for a small batch planning is most of the work.
+        together(self.spark, [partial(lambda t, rows: t.write(number, rows()), t, rows) for t, n, rows in writes if n])
+        seconds = time.monotonic() - begin
         measured = [
-            t.changes.read([number]).select(F.lit(name).alias("table_name"), "msg_tm", "row_insert_tsp")
-            for name, t in written.items()
-            if writes[t][0]
+            (t, found[t], found[f"{t}_tm"], found["first"], found["last"], seconds) for t in counts if found[t]
         ]
         if measured:
-            rows = batch_metrics(reduce(DataFrame.unionAll, measured), ["table_name"])
-            self.metrics.write(number, rows.withColumn("seconds", F.lit(time.monotonic() - begin)))
+            self.metrics.write(number, self.spark.createDataFrame(measured, METRICS))
         self.staged.remove([number])
 
     def _staged(self, batch: DataFrame, number: int) -> DataFrame:
