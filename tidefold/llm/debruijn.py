@@ -105,11 +105,12 @@ def window_rows(docs: DataFrame, branching: DataFrame, window: int = WINDOW, k:
 def repeats(docs: DataFrame, window: int = WINDOW, k: int = KMER) -> tuple[DataFrame, DataFrame]:
     """What smaller documents hold already: paths (id, before, after) and windows (id, pos)."""
     found = written(anchor_rows(docs, window, k), "anchors")
-    placed = found.select("id", "pos", "h").join(nodes(found), "h")
+    # The nodes are written, as an aggregation between shuffle and join would keep the rows of a hot key in one task.
+    placed = found.select("id", "pos", "h").join(written(nodes(found), "nodes"), "h")
     placed = written(placed.select("id", "pos", "branching", (F.col("id") > F.col("first")).alias("again")), "placed")
     compared = written(window_rows(docs, placed.where("branching"), window, k), "windows")
     first = compared.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    again = compared.join(first, ["a", "b"]).where(F.col("id") > F.col("first"))
+    again = compared.join(written(first, "first"), ["a", "b"]).where(F.col("id") > F.col("first"))
     return paths(placed), again.select("id", "pos")
 
 

@@ -216,7 +216,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = KMER, step: int = ST
     """Stretches to remove: id, b, e, overlapping."""
     found = written(context_rows(docs, length, k), "contexts")
     nodes = found.groupBy("h").agg(F.count("*").alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi")).where("n > 1")
-    again = written(found.join(nodes.select("h", (F.col("lo") == F.col("hi")).alias("alike")), "h"), "again")
+    # Written, as an aggregation between shuffle and join would keep the rows of a hot anchor in one task.
+    nodes = written(nodes.select("h", (F.col("lo") == F.col("hi")).alias("alike")), "nodes")
+    again = written(found.join(nodes, "h"), "again")
     unlike = again.where("NOT alike")
     one = F.min_by(F.struct("id", "pos", "b", "e"), F.struct("id", "pos")).alias("one")
     several = written(unlike.groupBy("h", "d").agg(F.count("*").alias("n"), one).select("h", "d", "n", "one.*"), "several")
