@@ -203,7 +203,8 @@ def components(links: DataFrame) -> DataFrame:
 def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame | None:
     """Class of each of the distinct texts ``reps`` (rep, keys) that has any link: id, class_id. None if no two share a bucket."""
     members = reps.select("rep", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # Written before it is joined: an aggregation between shuffle and join would keep a crowded bucket in one task.
+    shared = written(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     met = written(members.join(shared, "key"), "met")
     if met.isEmpty():
         return None
@@ -268,6 +269,7 @@ def _several(state: DataFrame) -> DataFrame:
     """Rows of buckets that still hold several classes; ``main`` marks the largest one, which needs no leaders."""
     sizes = state.groupBy("key", "c").agg(F.count("*").alias("size")).groupBy("key")
     sizes = sizes.agg(F.max(F.struct("size", "c"))["c"].alias("most"), F.count("*").alias("classes")).where("classes > 1")
+    sizes = written(sizes, "sizes")
     return written(state.join(sizes, "key").withColumn("main", F.col("c") == F.col("most")).drop("most", "classes"), "open")
 
 
