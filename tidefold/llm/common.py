@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,16 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACES)] = True
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers find this package whatever folder the driver runs in; a cluster has it installed or shipped."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([*paths, root])
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    reachable(spark)
     return configure(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -41,6 +51,7 @@ def texts(df: DataFrame, column: str = "text", key: str = "doc_id") -> DataFrame
 
 def map_batches(df: DataFrame, function, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` over pieces of bounded text size."""
+    reachable(df.sparkSession)
     names = [f.name for f in T._parse_datatype_string(schema)] if isinstance(schema, str) else schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
