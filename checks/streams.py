@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.base import Checks, comparable, components, digits, message, segment, table
 from checks import cdc as cdc_checks
 from checks.cdc import LINE, MERGE_SQL
-from checks.history import FLAG_RULES, H, LATEST, RULE_JOINS, RULE_VALUES, TRIGGER, rules_sql
+from checks.history import FLAG_RULES, LATEST, RULE_JOINS, RULE_VALUES, TRIGGER, rules_sql
 from checks.messages import _flowsheet_sql, checks as message_checks, flowsheet_messages, medication_messages
 from tidefold.operators import cdc as change
 from tidefold.operators.retention import clustered
