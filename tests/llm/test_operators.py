@@ -112,6 +112,22 @@ def test_pii_field_adds_disguised_spans(spark, docs, texts):
     assert {r.doc_id: r.text for r in clean.collect()}[1] == "write to <email> today"
 
 
+def test_pii_trains_on_rare_spans_and_finds_long_ones(spark):
+    """Spans in 1 of 500 rows, none of them in a row of a small hash; then addresses and numbers of many atoms."""
+    n = F.col("doc_id")
+    value = F.concat(F.lit("write to roe"), n, F.lit("@mail"), n % 7, F.lit(".example.com or call +44 20 7946 "), F.lpad(n.cast("string"), 5, "1"), F.lit(" soon"))
+    docs = spark.range(0, 20_000, 1, 4).withColumnRenamed("id", "doc_id")
+    late = (F.xxhash64("doc_id") > 2**62) & (F.abs(F.xxhash64(F.lit(1), "doc_id")) % 60 == 0)
+    docs = docs.withColumn("text", F.when(late, value).otherwise("nothing of the kind in here"))
+    field = pii.train(docs)
+    assert {"email", "phone"} <= set(field.weights)
+    rows = [(1, "mail jane.van.roe (at) mail.dept.example (dot) co (dot) uk today"), (2, "call 0 0 4 4 2 0 7 9 4 6 0 9 5 8 now")]
+    place = {i: pii.places(t, pii.base_spans(t))[0] for i, t in rows}
+    got = by_id(pii.detect(spark.createDataFrame(rows, "doc_id long, text string"), field))
+    assert got[1].spans == "email:5:58"
+    assert any(place[2].at[i] == 5 and kind == "phone" for i, kind, _ in place[2].candidates(place[2].n))
+
+
 def test_pii_best_path_is_the_most_probable():
     """The dynamic program against all segmentations of a short place."""
     field = pii.Field({"phone": 0.4, "phone:plus": 1.5, "card": -0.2, "card:n16": 1.0, "ip": 0.3, "phone:tight": 0.7})

@@ -2,12 +2,13 @@
 
 The base patterns find e-mail addresses, IPv4 addresses, card numbers and international phone numbers. Around digits
 and disguised addresses the field then scores whole candidate spans: their digits, grouping, checksum, separators and
-neighbours. One dynamic program over the atoms of such a place chooses boundaries and kinds together; an entity has at
-most ``MAX_ATOMS`` atoms, so the work is linear in the text. Base spans always stay; a span of the field that overlaps one is
-left out.
+neighbours. One dynamic program over the atoms of such a place chooses boundaries and kinds together. How far an entity
+reaches follows from its kind (digits of a card, local part and host of an address), so the work is linear in the text. Base
+spans always stay; a span of the field that overlaps one is left out.
 
-The weights are fitted by conditional likelihood on the driver, on at most ``SAMPLE`` texts of at most
-``SAMPLE_CHARS`` that may hold base spans, out of the ``SAMPLE_ROWS`` rows with the smallest hashes of their ids: half of the spans as they stand, half rewritten into a form the patterns do not know.
+The weights are fitted by conditional likelihood on the driver. All rows are searched for base spans; of each kind the ``SAMPLE``
+different spans with the smallest hashes, each with a few characters around it, are examples: once as they stand, once rewritten
+into a form the patterns do not know. A kind of which no row holds a base span has no weights.
 
 Nulls: a null text is empty. An empty text has no spans. Repeated rows give repeated rows. Positions are code points, ends are exclusive.
 """
@@ -15,22 +16,27 @@ Nulls: a null text is empty. An empty text has no spans. Repeated rows give repe
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefold.llm.common import map_batches
+from tidefold.llm.common import map_batches, written
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = "-"
-MAX_ATOMS = 18
+# Digits of the longest number that is an entity, and marks in a row inside one.
+MAX_DIGITS = 19
+MAX_MARKS = 16
+# Examples of each kind, and of places that hold none; what is around an example, and the longest one, in characters.
 SAMPLE = 300
-SAMPLE_ROWS = 6000
-SAMPLE_CHARS = 20_000
+AROUND = 30
+EXAMPLE_CHARS = 400
 EPOCHS = 20
 # An added span is believed from so much posterior odds against no entity at all.
 MARGIN = 1.0
@@ -97,6 +103,32 @@ class Place:
         self.text = text
         self.at = [m.start() for m in _ATOM.finditer(text, begin, end)] + [end]
         self.n = len(self.at) - 1
+        # Of each [at]: where its local part may begin and ends, and where its host begins and may end.
+        self.marks = []
+        for m in _AT.finditer(text, begin, end):
+            if host := _HOST.match(text, m.end(), end):
+                local = m.start()
+                while local > max(begin, m.start() - _LOCAL_CHARS) and text[local - 1] in _LOCAL:
+                    local -= 1
+                self.marks.append((local, m.start(), m.end(), host.end()))
+
+    def starts(self, j: int):
+        """Atoms at which a number or a disguised address that ends with atom j - 1 may begin, nearest first."""
+        digits = marks = 0
+        for i in range(j - 1, -1, -1):
+            atom = self.text[self.at[i] : self.at[i + 1]]
+            if _DIGITS.fullmatch(atom):
+                digits, marks = digits + len(atom), 0
+            elif _NUMERIC.fullmatch(atom):
+                marks += 1
+            else:
+                break
+            if digits > MAX_DIGITS or marks > MAX_MARKS:
+                break
+            yield i
+        for local, mark, host, last in self.marks:
+            if host < self.at[j] <= last:
+                yield from range(bisect_left(self.at, mark) - 1, bisect_left(self.at, local) - 1, -1)
 
     def candidates(self, j: int):
         """(i, kind, features) of each segment that ends at atom j."""
@@ -105,7 +137,7 @@ class Place:
         last = self.text[end - 1]
         if not last.isalnum():
             return
-        for i in range(j - 1, max(-1, j - 1 - MAX_ATOMS), -1):
+        for i in self.starts(j):
             first = self.text[self.at[i]]
             if first.isalnum() or first in "+(":
                 yield from ((i, kind, f) for kind, f in features(self.text, self.at[i], end))
@@ -141,16 +173,24 @@ def _word_before(text: str, at: int) -> int:
 def _words_after(text: str, at: int) -> int:
     """Past the next word, and past the words joined to it by a spelled-out dot."""
     while True:
+        begin = at
         while at < len(text) and text[at] == " ":
             at += 1
         while at < len(text) and not text[at].isspace():
             at += 1
-        rest = text[at : at + 6].lstrip(" ").lower()
-        if not (rest.startswith("[dot]") or rest.startswith("(dot)")):
+        goes_on = text[at : at + 6].lstrip(" ").lower().startswith(_DOTS) or text[max(begin, at - 5) : at].lower().endswith(_DOTS)
+        if at == begin or not goes_on:
             return at
 
 
+_DOTS = ("[dot]", "(dot)")
+
+
 _DISGUISED = re.compile(r"[A-Za-z0-9._%+-]+ ?[\[(]at[\])] ?[A-Za-z0-9-]+(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]+)+", re.I)
+_AT = re.compile(r" ?[\[(]at[\])] ?", re.I)
+# A local part has at most 64 characters, a name of the host 63, a host 127 names.
+_LOCAL_CHARS = 64
+_HOST = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]{1,63}){1,126}", re.I)
 _GROUPS = re.compile(r"[^0-9]+")
 _MORE_HOST = re.compile(r"\.?[A-Za-z0-9]| ?[\[(]dot[\])]", re.I)
 _MORE_DIGITS = re.compile(r"[\x20()./-]{1,2}[0-9]")
@@ -211,9 +251,8 @@ class Field:
             j = i
         return out[::-1]
 
-    def gradient(self, place: Place, truth: set[tuple[int, str, int]]) -> dict[str, float]:
-        """Features of the true segmentation less those expected under the model."""
-        into = [list(place.candidates(j)) for j in range(1, place.n + 1)]
+    def gradient(self, place: Place, truth: set[tuple[int, str, int]], into: list[list]) -> dict[str, float]:
+        """Features of the true segmentation less those expected under the model; ``into`` are the candidates of each end."""
         scores = [[self.score(k, f) for _, k, f in row] for row in into]
         ahead, behind = [0.0] + [-math.inf] * place.n, [-math.inf] * place.n + [0.0]
         for j in range(1, place.n + 1):
@@ -234,9 +273,10 @@ class Field:
 
     def fit(self, examples: list[tuple[Place, set]]) -> "Field":
         squares: dict[str, float] = defaultdict(lambda: 1e-6)
+        known = [(place, truth, [list(place.candidates(j)) for j in range(1, place.n + 1)]) for place, truth in examples]
         for _ in range(EPOCHS):
-            for place, truth in examples:
-                for f, g in self.gradient(place, truth).items():
+            for place, truth, into in known:
+                for f, g in self.gradient(place, truth, into).items():
                     g -= 1e-3 * self.weights.get(f, 0.0)
                     squares[f] += g * g
                     self.weights[f] = self.weights.get(f, 0.0) + 0.5 * g / math.sqrt(squares[f])
@@ -261,29 +301,70 @@ def rewritten(kind: str, value: str, turn: int) -> str:
     return value.replace(".", " . ") if turn % 2 else value.replace(".", ". ")
 
 
-def train(docs: DataFrame) -> Field:
-    """A field fitted on at most SAMPLE texts that hold a base span, and as many with digits that are none."""
+def stretches(text: str):
+    """(kind, begin, end, line, spans) of each base span no other one touches, and, as kind OUTSIDE, of each place.
+
+    ``line`` is a stretch of the text around it; the other positions count from its start, and ``spans`` are the entities.
+    """
+    base = base_spans(text)
+    found = []
+    for b, kind, e in base:
+        if e - b <= EXAMPLE_CHARS and not any(o != (b, kind, e) and o[0] < e and b < o[2] for o in base):
+            found.append((kind, b, e, [(b, kind, e)]))
+    for place in places(text, base):
+        b, e = place.at[0], place.at[-1]
+        if e - b <= EXAMPLE_CHARS:
+            found.append((OUTSIDE, b, e, [s for s in base if b <= s[0] and s[2] <= e]))
+    for kind, b, e, spans in found:
+        start = max(0, b - AROUND)
+        yield kind, b - start, e - start, text[start : e + AROUND], _joined([(x - start, k, y - start) for x, k, y in spans])
+
+
+def sampled(docs: DataFrame) -> DataFrame:
+    """Of each kind the SAMPLE different stretches of all rows with the smallest hashes: h, kind, line, begin, end, spans.
+
+    A task sends no more than these of its own rows.
+    """
     hit = F.coalesce("text", F.lit("")).rlike(r"@[A-Za-z0-9-]+\.|\+[0-9][\x20().0-9-]{8}|[0-9][0-9\x20-]{12}|[0-9]\.[0-9]+\.[0-9]")
-    # The hashes are spread evenly, so about SAMPLE_ROWS rows lie below this one, and only these are looked at or sent.
-    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
-    low = F.xxhash64("doc_id") <= min(2**63 - 1, int(-(2**63) + share * 2**64))
-    picked = docs.where(low).where(hit & (F.length("text") <= SAMPLE_CHARS)).select(F.xxhash64("doc_id").alias("h"), "text")
-    texts = [r["text"] for r in picked.orderBy("h", "text").limit(SAMPLE).collect()]
+    schema = "h long, kind string, line string, begin int, end int, spans string"
+    names = ("h", "kind", "line", "begin", "end", "spans")
+
+    def run(batches):
+        least: dict = defaultdict(dict)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                for kind, begin, end, line, spans in stretches(text):
+                    h = hashlib.blake2b(f"{begin}:{end}:{line}".encode(), digest_size=8).digest()
+                    least[kind][int.from_bytes(h, "big", signed=True)] = (kind, line, begin, end, spans)
+            for kind, rows in least.items():
+                if len(rows) > SAMPLE:
+                    least[kind] = {h: rows[h] for h in heapq.nsmallest(SAMPLE, rows)}
+        rows = [(h, *row) for kind in sorted(least) for h, row in least[kind].items()]
+        types = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
+        yield {n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(names, types, strict=True))}
+
+    rows = written(map_batches(docs.where(hit).select("text"), run, schema), "stretches").dropDuplicates(["kind", "h"])
+    best = Window.partitionBy("kind").orderBy("h")
+    return rows.withColumn("number", F.row_number().over(best)).where(F.col("number") <= SAMPLE)
+
+
+def train(docs: DataFrame) -> Field:
+    """A field fitted on base spans of all rows, SAMPLE of each kind, and on as many places with digits that are none."""
     examples = []
-    for number, text in enumerate(texts):
-        base = base_spans(text)
-        for turn, (b, kind, e) in enumerate(base[:8]):
-            if any(o != (b, kind, e) and o[0] < e and b < o[2] for o in base):
-                continue
-            before, after = text[max(0, b - 30) : b], text[e : e + 30]
-            for value in (text[b:e], rewritten(kind, text[b:e], number + turn)):
-                line = f"{before}{value}{after}"
-                examples.append((Place(line, 0, len(line)), {(len(before), kind, len(before) + len(value))}))
-        for place in places(text, base)[:2]:
-            examples.append((place, {s for s in base if place.at[0] <= s[0] and s[2] <= place.at[-1]}))
+    rows = sampled(docs).collect()  # at most (kinds + 1) * SAMPLE
+    for r in sorted(rows, key=lambda r: (r["number"], r["kind"])):
+        if r["kind"] == OUTSIDE:
+            spans = (s.split(":") for s in r["spans"].split(",") if s)
+            examples.append((Place(r["line"], r["begin"], r["end"]), {(int(b), kind, int(e)) for kind, b, e in spans}))
+            continue
+        before, value, after = r["line"][: r["begin"]], r["line"][r["begin"] : r["end"]], r["line"][r["end"] :]
+        for form in (value, rewritten(r["kind"], value, r["number"])):
+            line = f"{before}{form}{after}"
+            examples.append((Place(line, 0, len(line)), {(len(before), r["kind"], len(before) + len(form))}))
         # Numbers that are nothing: their digits run on, or fail the checksum.
+        number = r["number"] * len(KINDS) + KINDS.index(r["kind"])
         examples += [(Place(line, 0, len(line)), set()) for line in (f"id {number}7003921{number} ref", f"2024.{number % 12}.11 10.{number}.2025", f"v{number}.4.2.9.1.77 x")]
-    return Field().fit(examples[: 4 * SAMPLE])
+    return Field().fit(examples)
 
 
 def detect(docs: DataFrame, field: Field) -> DataFrame:
