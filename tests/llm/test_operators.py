@@ -69,6 +69,22 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     assert not got[99].kept and all(got[i].kept for i in range(60))
 
 
+def test_quality_knows_long_words_in_any_script(spark):
+    """Common words of more than four bytes, a quarter of the text; a text with none of them does not pass."""
+    rng = np.random.default_rng(2)
+    common = {"de": ["nicht", "werden", "welche", "zwischen"], "ru": ["\u043a\u043e\u0442\u043e\u0440\u044b\u0439", "\u044d\u0442\u043e\u0433\u043e", "\u0435\u0441\u043b\u0438"]}
+    other = {"de": "wort", "ru": "\u0441\u043b\u043e\u0432\u043e"}
+
+    def make(lang, share):
+        words = (common[lang][rng.integers(len(common[lang]))] if rng.random() < share else f"{other[lang]}{rng.integers(10**6)}" for _ in range(300))
+        return " ".join(words)
+
+    rows = [(i, make(lang, 0.25), lang) for at, lang in enumerate(common) for i in range(100 * at, 100 * at + 80)]
+    rows += [(1000 + at, make(lang, 0), lang) for at, lang in enumerate(common)]
+    got = by_id(quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert [i for i in got if not got[i].kept] == [1000, 1001]
+
+
 def base_oracle(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):

@@ -2,7 +2,12 @@
 
 A document is rejected if it is too short or repeats itself (base rules), or if its histogram of character classes or of
 common words lies too far from its language's, by Jensen-Shannon distance (0 equal, 1 disjoint). The languages' histograms
-come from all documents, by grouped aggregation. Texts too short for a histogram to mean anything are not compared.
+come from all documents and all words, of any length, by grouped aggregation. Texts too short for a histogram to mean anything are
+not compared.
+
+How far a text without any common word can be from its language depends on the share s of its words that common ones are:
+0.33 at s = 0.2, 0.42 at s = 0.31. So besides the fixed limit, what a text lacks of common words altogether is compared with
+that farthest distance, if the text is long enough to be expected to hold ``MIN_EXPECTED`` of them.
 
 Nulls: a null text has no words, so it fails the base rules; a null language is a language of its own. Repeated rows are
 judged one by one. An empty table gives no rows. Columns other than the three named ones are ignored.
@@ -17,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefold.llm.common import Bytes, Words, map_batches, mixed, range_hashes, written
+from tidefold.llm.common import Bytes, Words, map_batches, mixed, range_hashes, signed, written
 
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -27,9 +32,10 @@ MIN_CLASS_CHARS = 200
 MIN_COMMON_WORDS = 100
 MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.42
-# Common words are the most frequent ones of at most so many bytes.
+# A text lacks common words if its distance, with all of them taken as one, is so much of what a text without any has.
+MAX_LACK = 0.8
+MIN_EXPECTED = 20
 COMMON_WORDS = 64
-COMMON_BYTES = 4
 # Languages with a reference of their own, by number of words; the rest share the reference of all.
 LANGUAGES = 256
 _FLUSH = 1 << 18
@@ -68,24 +74,17 @@ def _class_counts(source: Bytes) -> np.ndarray:
     return np.bincount(row * 8 + _CLASS[source.data], minlength=8 * source.rows).reshape(-1, 8)[:, :CLASSES]
 
 
-def _short_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Row and packed bytes of each word short enough to be a common one; case and a final mark are left off."""
+def _word_items(words: Words) -> np.ndarray:
+    """A 64-bit hash of each word; case and a final mark are left off."""
     data = words.source.data
     if not len(words.begin):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     end = words.end - (_ENDS_WORD[data[words.end - 1]] & (words.end - words.begin > 1))
-    size = end - words.begin
-    short = np.flatnonzero(size <= COMMON_BYTES)
-    begin, size = words.begin[short], size[short]
-    packed = np.zeros(len(short), np.int64)
-    for i in range(COMMON_BYTES):
-        byte = _LOWERED[data[np.minimum(begin + i, len(data) - 1)]].astype(np.int64)
-        packed |= np.where(i < size, byte, 0) << (8 * i)
-    return words.row[short], packed
+    return signed(range_hashes(_LOWERED[data], words.begin, end))
 
 
 def histograms(docs: DataFrame) -> DataFrame:
-    """How often each character class (kind 0) and each short word (kind 1) occurs in each language: lang, kind, item, n."""
+    """How often each character class (kind 0) and each word (kind 1, by hash) occurs in each language: lang, kind, item, n."""
 
     def count(batches):
         total: dict = defaultdict(int)
@@ -107,13 +106,13 @@ def histograms(docs: DataFrame) -> DataFrame:
             np.add.at(classes, lang, _class_counts(source))
             for at, kind in zip(*np.nonzero(classes), strict=True):
                 total[names[at], 0, int(kind)] += int(classes[at, kind])
-            row, packed = _short_words(words)
-            found, n = np.unique(lang[row] << 32 | packed, return_counts=True)
-            for key, times in zip(found.tolist(), n.tolist(), strict=True):
-                total[names[key >> 32], 1, key & 0xFFFFFFFF] += times
-            other = np.bincount(lang, weights=words.count, minlength=len(names)) - np.bincount(lang[row], minlength=len(names))
-            for at in np.flatnonzero(other):
-                total[names[at], 1, -1] += int(other[at])
+            item, of = _word_items(words), lang[words.row]
+            order = np.lexsort((item, of))
+            item, of = item[order], of[order]
+            first = np.flatnonzero(np.append(True, (item[1:] != item[:-1]) | (of[1:] != of[:-1]))[: len(item)])
+            n = np.diff(np.append(first, len(item)))
+            for at, key, times in zip(of[first].tolist(), item[first].tolist(), n.tolist(), strict=True):
+                total[names[at], 1, key] += times
             if len(total) > _FLUSH:
                 yield flush()
         yield flush()
@@ -121,7 +120,8 @@ def histograms(docs: DataFrame) -> DataFrame:
     rows = map_batches(
         docs.select("lang", F.coalesce("text", F.lit("")).alias("text")), count, "lang string, kind int, item long, n long"
     )
-    return rows.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
+    # Dealt out by item, so that what follows by item or by item and language needs no other shuffle.
+    return rows.repartition("kind", "item").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
 
 
 class Reference:
@@ -131,7 +131,10 @@ class Reference:
         self.classes = np.array([classes.get(k, 0) for k in range(CLASSES)], float) / max(1, sum(classes.values()))
         self.items = np.array(sorted(words), np.int64)
         shares = [words[k] / max(1, n_words) for k in sorted(words)]
-        self.words = np.array([*shares, 1 - sum(shares)])
+        self.words = np.array([*shares, max(0.0, 1 - sum(shares))])
+        # The share of the common words together, and how far a text without any is.
+        self.common = 1 - self.words[-1]
+        self.farthest = float(distance(np.array([0.0, 1.0]), np.array([self.common, self.words[-1]])))
 
 
 def references(docs: DataFrame) -> dict:
@@ -139,13 +142,15 @@ def references(docs: DataFrame) -> dict:
 
     The driver gets at most (LANGUAGES + 1) * (COMMON_WORDS + classes + 1) rows, whatever the corpus.
     """
-    every = F.struct(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every"))
-    both = written(histograms(docs), "histograms").select(F.explode(F.array(F.struct("lang", F.lit(False).alias("every")), every)).alias("of"), "kind", "item", "n")
-    both = both.groupBy("of", "kind", "item").agg(F.sum("n").alias("n"))
+    in_language = F.struct(F.struct("lang", F.lit(False).alias("every")).alias("of"), "n")
+    in_all = F.struct(F.struct(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every")).alias("of"), F.sum("n").alias("n"))
+    items = histograms(docs).groupBy("kind", "item").agg(F.collect_list(in_language).alias("each"), in_all.alias("all"))
+    both = written(items, "histograms").select(F.explode(F.concat("each", F.array("all"))).alias("at"), "kind", "item")
+    both = both.select("at.of", "kind", "item", "at.n")
     size = both.where("kind = 1").groupBy("of").agg(F.sum("n").alias("size"))
     size = size.orderBy(F.desc("size"), "of").limit(LANGUAGES + 1).select(F.col("of").alias("large"), "size")
     best = Window.partitionBy("of", "kind").orderBy(F.desc("n"), "item")
-    top = both.where("item >= 0").withColumn("place", F.row_number().over(best)).where(F.col("place") <= COMMON_WORDS)
+    top = both.withColumn("place", F.row_number().over(best)).where(F.col("place") <= COMMON_WORDS)
     parts: dict = defaultdict(lambda: ({}, {}, [1]))
     for r in top.join(F.broadcast(size), F.col("of") == F.col("large")).collect():
         name = EVERY if r["of"]["every"] else r["of"]["lang"]
@@ -211,8 +216,9 @@ def _verdicts(batch: pa.RecordBatch, known: dict) -> dict:
     words = Words(source)
     classes = _class_counts(source)
     n_chars = classes.sum(axis=1)
-    row, packed = _short_words(words)
+    row, items = words.row, _word_items(words)
     class_distance, word_distance = np.zeros(source.rows), np.zeros(source.rows)
+    lacks = np.zeros(source.rows, bool)
     by_lang = defaultdict(list)
     for i, name in enumerate(batch.column("lang").to_pylist()):
         by_lang[name if name in known else EVERY].append(i)
@@ -224,17 +230,21 @@ def _verdicts(batch: pa.RecordBatch, known: dict) -> dict:
         place = np.full(source.rows, -1)
         place[members] = np.arange(len(members))
         mine = place[row] >= 0
-        at = np.searchsorted(ref.items, packed[mine])
-        hit = ref.items[np.minimum(at, len(ref.items) - 1)] == packed[mine] if len(ref.items) else np.zeros(len(at), bool)
+        at = np.searchsorted(ref.items, items[mine])
+        hit = ref.items[np.minimum(at, len(ref.items) - 1)] == items[mine] if len(ref.items) else np.zeros(len(at), bool)
         wide = len(ref.items) + 1
         counts = np.bincount(place[row[mine]][hit] * wide + at[hit], minlength=wide * len(members)).reshape(-1, wide).astype(float)
         counts[:, -1] = words.count[members] - counts[:, :-1].sum(axis=1)
-        word_distance[members] = distance(counts / np.maximum(1, words.count[members])[:, None], ref.words)
+        n_words = np.maximum(1, words.count[members])
+        word_distance[members] = distance(counts / n_words[:, None], ref.words)
+        other = counts[:, -1] / n_words
+        lack = distance(np.stack((1 - other, other), axis=1), np.array([ref.common, ref.words[-1]]))
+        lacks[members] = (1 - other < ref.common) & (lack > MAX_LACK * ref.farthest) & (n_words * ref.common >= MIN_EXPECTED)
     repeats = repeated_words(words)
     failed = (words.count < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * words.count)
     class_distance[n_chars < MIN_CLASS_CHARS] = np.nan
     word_distance[words.count < MIN_COMMON_WORDS] = np.nan
-    far = (class_distance > MAX_CLASS_DISTANCE) | (word_distance > MAX_WORD_DISTANCE)
+    far = (class_distance > MAX_CLASS_DISTANCE) | (word_distance > MAX_WORD_DISTANCE) | lacks & (words.count >= MIN_COMMON_WORDS)
     in_word = np.zeros(len(source.data) + 1, np.int64)
     in_word[words.begin] += 1
     np.subtract.at(in_word, words.end, 1)
