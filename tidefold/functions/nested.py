@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import partial
@@ -54,25 +55,24 @@ def flatten_struct(df: DataFrame, column: str) -> DataFrame:
     return df.select(*rest, *(pick(F.col(column)).alias(".".join(path)) for path, pick in _leaves(kind)))
 
 
-def xml_schema(df: DataFrame, column: str, sample: int = 1000) -> T.StructType:
-    """A schema that fits ``sample`` documents of an XML text column (those of the smallest hashes).
+def xml_schema(df: DataFrame, column: str) -> T.StructType:
+    """A schema that fits all documents of an XML text column.
 
-    They are read as one document of many rows, so elements that only some of them have are all in it.
+    The XML reader infers it from all of them in its tasks, so elements that only one of them has are in it. A document
+    that cannot be parsed shows nothing.
     """
-    texts = df.filter(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(sample)
-    body = F.regexp_replace(column, r"^\s*<\?xml[^>]*\?>", "")
-    whole = texts.agg(F.array_join(F.collect_list(F.concat(F.lit("<_row>"), body, F.lit("</_row>"))), "")).first()[0]
     spark = df.sparkSession
-    kind = spark.range(1).select(F.schema_of_xml(F.lit(f"<_rows>{whole}</_rows>"))).first()[0]
-    rows = T._parse_datatype_string(kind)["_row"].dataType
-    rows = rows.elementType if isinstance(rows, T.ArrayType) else rows
+    body = F.regexp_replace(column, r"^\s*<\?xml[^>]*\?>", "")
+    texts = df.filter(F.col(column).isNotNull()).select(body.alias(column))
+    # The reader takes a dataset of texts in the JVM; its Python side takes paths only.
+    texts = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark._jsparkSession.read().option("samplingRatio", "1.0").option("mode", "DROPMALFORMED")
     # Every document has one root element, whose name XML parsing drops.
-    fields = {f.name: f for root in rows for f in getattr(root.dataType, "fields", ())}
-    return T.StructType(list(fields.values()))
+    return T.StructType.fromJson(json.loads(reader.xml(texts).schema().json()))
 
 
 def flatten_xml(df: DataFrame, column: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parse an XML text column by ``schema``, or by what a sample of it shows, and flatten it."""
+    """Parse an XML text column by ``schema``, or by what all its documents show, and flatten it."""
     schema = schema or xml_schema(df, column)
     parsed = df.withColumn(column, F.from_xml(F.col(column), schema.simpleString()))
     return flatten_struct(parsed, column)
