@@ -61,8 +61,8 @@ def map_batches(df: DataFrame, function, schema: str | T.StructType) -> DataFram
     return df.mapInArrow(run, schema)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``PIECE_BYTES`` of text, or of one row."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``limit`` bytes of text, or of one row."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -70,7 +70,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else ends[0] - len_of(batch.column(column), 0)
-            stop = max(start + 1, int(np.searchsorted(ends, base + PIECE_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidefold.llm import debruijn, langid, minhash, mixing, packing, pii, quality, spotsigs, suffixdedup, warc
+from tidefold.llm import debruijn, langid, maxent, minhash, mixing, packing, pii, quality, spotsigs, suffixdedup, warc
 from tidefold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,4 +81,9 @@ def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"))
 
 
+@query
+def op11_maxent_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return maxent.score(table(spark, sf, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
