@@ -14,12 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefold.llm.common import pieces, reachable
 
 # Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 # A row of a chunk is one of its documents, an entry of its dictionary, or an entry with what the corpus knows of it.
 DOCUMENT, ENTRY, KNOWN = 0, 1, 2
 # The number of a chunk holds the task's above these bits.
@@ -57,13 +58,16 @@ def chunked(
 
 
 def by_chunk(df: DataFrame, function: Callable[[Iterator[pa.Table]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``function`` over the chunks of each task, one table per chunk, documents before entries; memory holds one chunk."""
+    """``function`` over the chunks of each task, one table per chunk; memory holds one chunk."""
     reachable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(_tables(batches))
 
-    return df.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(run, schema)
+    # The Arrow writer passes over all null lists since the last list at each one more, so there are none.
+    lists = {f.name: F.coalesce(f.name, F.array().cast(f.dataType)) for f in df.schema if isinstance(f.dataType, T.ArrayType)}
+    # Sorted by one number: rows of a chunk come in any order.
+    return df.withColumns(lists).repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, schema)
 
 
 def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -84,10 +88,8 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def of_kind(table: pa.Table, kind: int) -> pa.Table:
-    """The rows of one kind; kinds follow each other."""
-    kinds = table["kind"].to_numpy()
-    begin, end = np.searchsorted(kinds, [kind, kind + 1])
-    return table.slice(begin, end - begin).combine_chunks()
+    """The rows of one kind."""
+    return table.filter(pa.array(table["kind"].to_numpy() == kind)).combine_chunks()
 
 
 def column(table: pa.Table, name: str) -> pa.Array:

@@ -10,7 +10,7 @@ all words over all training documents, however many there are, so that no word i
 Training starts from the slots' frequencies. Each task walks through its documents and updates its copy of the weights after
 each batch of tokens, by observed minus expected counts of feature rows; what is expected is drawn from the model's own
 distribution, which keeps the gradient unbiased. The copies are then averaged row by row, weighted by how often a task met
-the row; with more ``rounds`` the average is where the next one starts. What the driver holds is the weight tables (5 MB for any
+the row; with more ``rounds`` the average is where the next one starts. What the driver holds is the weight tables (3 MB for any
 corpus), the ``OWN`` words' hashes and three numbers per slot.
 
 Nulls: a null text is empty, and an empty text is its end alone. A null id counts as empty text where held-out documents are
@@ -25,22 +25,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.llm.chunks import DOCUMENT, ENTRY, KNOWN, by_chunk, chunked, column, of_kind
-from tidefold.llm.common import Bytes, Words, mixed, range_hashes, reachable, signed, written
+from tidefold.llm.common import Bytes, Words, mixed, pieces, range_hashes, reachable, signed, written
 
-SLOTS = 1024
-OWN = 512
-MEMBERS = 32
+SLOTS = 512
+OWN = 256
+MEMBERS = 16
 CLASSES = SLOTS // MEMBERS
 FEATURES = 5
 # Rows of the weight tables, powers of two.
 CLASS_ROWS = 1 << 13
 SLOT_ROWS = 1 << 15
 # Tokens per update, and the step: a row seen n times in a batch moves by its mean gradient times RATE * n / (n + INERTIA).
-BATCH = 1 << 12
+BATCH = 1 << 13
 RATE = 1.5
 INERTIA = 20.0
 FOLDS, HELD_FOLD = 7, 2
@@ -51,23 +52,35 @@ _ENTRY = "place int, word binary, h long, n long"
 
 def encoded(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_FOLD) -> DataFrame:
     """Documents as places in their chunk's dictionary, and the dictionary: word, hash, occurrences in training documents."""
+    return chunked(_picked(docs, folds, fold), lambda: _encode, _DOCUMENT, _ENTRY)
+
+
+def _picked(docs: DataFrame, folds: int, fold: int) -> DataFrame:
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    picked = docs.select(
+    return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.crc32(name) % folds == fold).alias("held_out"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
 
-    def prepare():
-        return _encode
 
-    return chunked(picked, prepare, _DOCUMENT, _ENTRY)
+def _lowered(column_: pa.Array) -> tuple[Bytes, Words, np.ndarray]:
+    source = Bytes(column_)
+    data = source.data.copy()
+    data[(data >= ord("A")) & (data <= ord("Z"))] += 32
+    return source, Words(source), data
+
+
+def _with_ends(of_words: np.ndarray, end, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all words with ``end`` after those of each text, and where texts begin and the last one ends."""
+    starts = np.zeros(len(words.count) + 1, np.int64)
+    starts[1:] = np.cumsum(words.count + 1)
+    out = np.full(starts[-1], end, of_words.dtype)
+    out[np.arange(len(of_words)) + words.row] = of_words
+    return out, starts
 
 
 def _encode(batch: pa.RecordBatch) -> tuple[dict, dict]:
-    source = Bytes(batch.column("text"))
-    words = Words(source)
-    data = source.data.copy()
-    data[(data >= ord("A")) & (data <= ord("Z"))] += 32
+    source, words, data = _lowered(batch.column("text"))
     lengths = words.end - words.begin
     inside = np.zeros(len(data) + 1, np.int8)
     inside[words.begin] += 1
@@ -78,12 +91,8 @@ def _encode(batch: pa.RecordBatch) -> tuple[dict, dict]:
     ends[1:-1], ends[-1] = np.cumsum(lengths), lengths.sum()
     found = pa.Array.from_buffers(pa.large_binary(), len(lengths) + 1, [None, pa.py_buffer(ends), pa.py_buffer(text)]).dictionary_encode()
     codes = found.indices.to_numpy()
-    starts = np.zeros(source.rows + 1, np.int64)
-    starts[1:] = np.cumsum(words.count + 1)
-    tokens = np.full(starts[-1], codes[-1], np.int32)
-    tokens[np.arange(len(lengths)) + words.row] = codes[:-1]
-    held = np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
-    learned = np.repeat(~held, np.diff(starts))
+    tokens, starts = _with_ends(codes[:-1], codes[-1], words)
+    learned = np.repeat(~_held(batch), np.diff(starts))
     entries = found.dictionary
     at = np.frombuffer(entries.buffers()[1], np.int64)[: len(entries) + 1]
     body = entries.buffers()[2]
@@ -99,6 +108,10 @@ def _encode(batch: pa.RecordBatch) -> tuple[dict, dict]:
     return documents, dictionary
 
 
+def _held(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+    return np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
+
+
 @dataclass
 class Model:
     """Weights and what is known of the slots; the same few megabytes whatever the corpus."""
@@ -149,7 +162,7 @@ def rows_of(keys: list[np.ndarray], classes: np.ndarray | None = None) -> list[n
     if classes is None:
         return [(k & np.uint64(CLASS_ROWS - 1)).astype(np.int64) for k in keys]
     salt = (classes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    return [((k ^ salt) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - 15)).astype(np.int64) & (SLOT_ROWS - 1) for k in keys]
+    return [(((k ^ salt) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(48)).astype(np.int64) & (SLOT_ROWS - 1) for k in keys]
 
 
 def weighted(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
@@ -173,17 +186,17 @@ def log_probability(model: Model, slots: np.ndarray, keys: list[np.ndarray]) ->
     for begin in range(0, len(slots), BATCH):
         part = slice(begin, begin + BATCH)
         c, m, k = classes[part], member[part], [x[part] for x in keys]
-        at = np.arange(len(c))
-        for table, rows, bias, target in (
-            (model.by_class, rows_of(k), model.class_bias, c),
-            (model.by_slot, rows_of(k, c), model.slot_bias[c], m),
-        ):
-            z = weighted(table, rows, bias)
-            hit = z[at, target].astype(np.float64)
-            out[part] += hit - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], np.float32))
+        out[part] = _chance(model.by_class, rows_of(k), model.class_bias, c)
+        out[part] += _chance(model.by_slot, rows_of(k, c), model.slot_bias[c], m)
     return out
 
 
+def _chance(table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+    z = weighted(table, rows, bias)
+    hit = z[np.arange(len(target)), target].astype(np.float64)
+    return hit - np.log(np.exp(z, out=z) @ np.ones(z.shape[1], np.float32))
+
+
 def _step(table: np.ndarray, seen: np.ndarray, rows: list[np.ndarray], bias: np.ndarray, target: np.ndarray, draw: np.ndarray) -> None:
     """One update: towards the targets, away from one draw per token from the model's distribution."""
     z = weighted(table, rows, bias)
@@ -200,7 +213,7 @@ def _step(table: np.ndarray, seen: np.ndarray, rows: list[np.ndarray], bias: np.
     seen += met
 
 
-def learn(model: Model, slots: np.ndarray, starts: np.ndarray, seed: int, seen: tuple[np.ndarray, np.ndarray]) -> None:
+def learn(model: Model, slots: np.ndarray, starts: np.ndarray, seed: int | list[int], seen: tuple[np.ndarray, np.ndarray]) -> None:
     """Updates of the model's tables by the tokens of some texts, in place; ``seen`` counts the rows' tokens."""
     keys = features(slots, starts)
     draws = np.random.default_rng(seed).random((2, len(slots)), np.float32)
@@ -211,41 +224,28 @@ def learn(model: Model, slots: np.ndarray, starts: np.ndarray, seed: int, seen:
         _step(model.by_slot, seen[1], rows_of(k, c), model.slot_bias[c], slots[part] % MEMBERS, draws[1, part])
 
 
-def _texts(table: pa.Table, model: Model, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of the tokens of a chunk's documents, their places in its dictionary, and where documents begin and the last ends."""
-    tokens = column(of_kind(table, DOCUMENT), "tokens")
-    if only is not None:
-        tokens = tokens.filter(pa.array(only))
-    entries = of_kind(table, ENTRY)
-    slot = np.zeros(entries.num_rows, np.int64)
-    slot[column(entries, "place").to_numpy()] = model.slots(column(entries, "h").to_numpy().view(np.uint64))
-    places = tokens.flatten().to_numpy()
-    starts = np.concatenate(([0], np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)))
-    return slot[places], places, starts
-
-
 _WEIGHTS = "kind int, row int, seen double, weights array<float>"
 
 
-def train(chunks: DataFrame, model: Model, rounds: int = 1) -> Model:
-    """The model after so many rounds over all training documents."""
-    spark = chunks.sparkSession
+def train(docs: DataFrame, model: Model, rounds: int = 1) -> Model:
+    """The model after so many rounds over all training documents (``text``)."""
+    spark = docs.sparkSession
     for number in range(rounds):
         shared = spark.sparkContext.broadcast(model)
 
-        def run(tables: Iterator[pa.Table], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
             own = _copy(shared.value)
             seen = np.zeros(CLASS_ROWS), np.zeros(SLOT_ROWS)
-            for table in tables:
-                learned = ~np.asarray(column(of_kind(table, DOCUMENT), "held_out").to_numpy(zero_copy_only=False), bool)
-                slots, _, starts = _texts(table, own, learned)
-                seed = table["chunk"][0].as_py() * (number + 1)
-                learn(own, slots, starts[:-1], seed, seen)
+            first = TaskContext.get().partitionId() << 32
+            for at, batch in enumerate(pieces(batches)):
+                _, words, data = _lowered(batch.column("text"))
+                hashes, starts = _with_ends(range_hashes(data, words.begin, words.end), _END, words)
+                learn(own, own.slots(hashes), starts[:-1], [number, first + at], seen)
             for kind, (weights, met) in enumerate(zip((own.by_class, own.by_slot), seen, strict=True)):
                 at = np.flatnonzero(met)
                 yield _weight_rows(kind, at, met[at], weights[at])
 
-        copies = by_chunk(chunks, run, _WEIGHTS)
+        copies = docs.mapInArrow(run, _WEIGHTS)
         # Sums of whole tables, not of groups: a task holds one table however many copies there are.
         averaged = copies.repartition("kind", "row").mapInArrow(_averages, _WEIGHTS).collect()
         model = _copy(model)
@@ -255,6 +255,10 @@ def train(chunks: DataFrame, model: Model, rounds: int = 1) -> Model:
     return model
 
 
+# The hash of no bytes.
+_END = range_hashes(np.zeros(1, np.uint8), np.zeros(1, np.int64), np.zeros(1, np.int64))[0]
+
+
 def _copy(model: Model) -> Model:
     return Model(model.own, model.inside, model.kinds, model.tokens, model.distinct, model.by_class.copy(), model.by_slot.copy())
 
@@ -275,8 +279,11 @@ def _averages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kind, table in enumerate(total):
             mine = np.flatnonzero(kinds == kind)
             weights = lists.take(pa.array(mine)).flatten().to_numpy().reshape(len(mine), table.shape[1])
-            np.add.at(table, rows[mine], weights * met[mine, None])
-            np.add.at(seen[kind], rows[mine], met[mine])
+            order = np.argsort(rows[mine], kind="stable")
+            row, new = np.unique(rows[mine][order], return_index=True)
+            if len(row):
+                table[row] += np.add.reduceat((weights * met[mine, None])[order], new, axis=0)
+                seen[kind] += np.bincount(rows[mine], weights=met[mine], minlength=len(table))
     for kind, table in enumerate(total):
         at = np.flatnonzero(seen[kind])
         yield _weight_rows(kind, at, seen[kind][at], table[at] / seen[kind][at, None])
@@ -304,33 +311,35 @@ def untrained(counts: DataFrame) -> Model:
 
 def scored(chunks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """Scores of all documents, each chunk next to the corpus counts of its words."""
-    entries = chunks.where(F.col("kind") == ENTRY).select("chunk", "place", "word")
-    known = entries.join(counts.select("word", "c"), "word").select("chunk", F.lit(KNOWN).alias("kind"), "place", F.col("c").alias("n"))
-    together = chunks.drop("word").unionByName(known, allowMissingColumns=True)
+    entries = chunks.where(F.col("kind") == ENTRY).select("chunk", "place", "word", "h")
+    known = entries.join(counts, ["h", "word"]).select("chunk", F.lit(KNOWN).alias("kind"), "place", "h", F.col("c").alias("n"))
+    texts = chunks.where(F.col("kind") == DOCUMENT).select("chunk", "kind", "doc_id", "held_out", "tokens")
     shared = chunks.sparkSession.sparkContext.broadcast(model)
 
     def run(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        total = math.log(model.tokens + model.distinct + 1)
         for table in tables:
-            slots, places, starts = _texts(table, model)
-            found = of_kind(table, KNOWN)
-            count = np.zeros(found.num_rows, np.int64)
-            count[column(found, "place").to_numpy()] = column(found, "n").to_numpy()
-            c = count[places]
-            share = np.log(c + 1.0)
-            total = math.log(model.tokens + model.distinct + 1)
+            docs, found = of_kind(table, DOCUMENT), of_kind(table, KNOWN)
+            place = column(found, "place").to_numpy()
+            count, slot = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+            count[place], slot[place] = column(found, "n").to_numpy(), model.slots(column(found, "h").to_numpy().view(np.uint64))
+            tokens = column(docs, "tokens")
+            places = tokens.flatten().to_numpy()
+            starts = np.concatenate(([0], np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)))
+            slots, c = slot[places], count[places]
+            share = np.log(count + 1.0)[places]
             chance = log_probability(model, slots, features(slots, starts[:-1])) + share - model.spread[slots]
-            docs = of_kind(table, DOCUMENT)
             # Every document has a token, its end, so no stretch is empty.
             sums = [np.add.reduceat(x, starts[:-1]) for x in ((c > 0).astype(np.int64), (share - total) / math.log(10), chance / math.log(10))]
-            n = docs.num_rows
             arrays = [
                 column(docs, "doc_id"), column(docs, "held_out"), pa.array(np.diff(starts)), pa.array(sums[0]),
-                pa.array(np.full(n, model.tokens, np.int64)), pa.array(sums[1]), pa.array(sums[2]),
+                pa.array(np.full(docs.num_rows, model.tokens, np.int64)), pa.array(sums[1]), pa.array(sums[2]),
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return by_chunk(together, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return by_chunk(texts.unionByName(known, allowMissingColumns=True), run, schema)
 
 
 def score(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_FOLD, rounds: int = 1) -> DataFrame:
@@ -338,4 +347,5 @@ def score(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_FOLD, rounds: in
     reachable(docs.sparkSession)
     chunks = written(encoded(docs, folds, fold), "chunks")
     counts = written(counted(chunks), "counts")
-    return scored(chunks, counts, train(chunks, untrained(counts), rounds))
+    learned = _picked(docs, folds, fold).where("NOT held_out").select("text")
+    return scored(chunks, counts, train(learned, untrained(counts), rounds))
