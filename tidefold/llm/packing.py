@@ -36,20 +36,25 @@ _SEQUENCE_BITS = 32
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7E¡-¬®-ſ‐-‧‰-⁞€]*")
 
 
-def tokenizer(folder: str) -> Callable[[str], np.ndarray]:
-    """Ids of a text as the tokenizer file in ``folder`` gives them; special tokens in a text are ordinary text."""
+# Fixed value: the one special token of the vocabulary.
+_SPECIAL = "<|endoftext|>"
+
+
+def tokenizer(folder: str, special: bool = False) -> Callable[[str], np.ndarray]:
+    """Ids of a text as the tokenizer file in ``folder`` gives them. With ``special`` a special token's name in a text is that token,
+    which is how the file is read by default; without it is ordinary text."""
     import tiktoken
     from public_tokenizers import PATTERN
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(f"{folder}/byte_bpe_50k.json")
-    exact.encode_special_tokens = True
+    exact.encode_special_tokens = not special
     with open(f"{folder}/byte_bpe_50k.tiktoken", "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("byte_bpe_50k", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(text: str) -> np.ndarray:
-        if _PLAIN.fullmatch(text):
+        if _PLAIN.fullmatch(text) and not (special and _SPECIAL in text):
             return fast.encode_to_numpy(text, disallowed_special=())
         return np.array(exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
@@ -72,7 +77,7 @@ def split(docs: DataFrame, capacity: int = CAPACITY, folder: str | None = None)
     """Pieces of each document: doc_id, piece, start, length, ids_crc32."""
 
     def run(batches):
-        ids = tokenizer(folder or tokenizer_folder())
+        ids = tokenizer(folder or tokenizer_folder(), special=True)
         for batch in batches:
             out = defaultdict(list)
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidefold.llm import alignment, debruijn, langid, maxent, minhash, mixing, packing, pii, quality, spotsigs, suffixdedup, warc
+from tidefold.llm import alignment, debruijn, langid, maxent, minhash, mixing, packing, pii, quality, spotsigs, suffixdedup, turns, warc
 from tidefold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,4 +91,9 @@ def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return alignment.align(table(spark, sf, "documents"))
 
 
+@query
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return turns.repair(table(spark, sf, "conversations"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
