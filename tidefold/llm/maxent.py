@@ -26,10 +26,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefold.llm.chunks import DOCUMENT, ENTRY, KNOWN, by_chunk, chunked, column, of_kind
+from tidefold.llm.chunks import DOCUMENT, ENTRY, by_chunk, chunked, column
 from tidefold.llm.common import Bytes, Words, mixed, pieces, range_hashes, reachable, signed, written
 
 SLOTS = 512
@@ -46,13 +46,17 @@ RATE = 1.5
 INERTIA = 20.0
 FOLDS, HELD_FOLD = 7, 2
 
+# Bytes of text in a chunk: the more, the fewer chunks a word is listed in.
+CHUNK_BYTES = 8 << 20
+# Tokens scored at once, if not a single document has more.
+_TOKENS = 1 << 17
 _DOCUMENT = "doc_id long, held_out boolean, tokens array<int>"
 _ENTRY = "place int, word binary, h long, n long"
 
 
 def encoded(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_FOLD) -> DataFrame:
     """Documents as places in their chunk's dictionary, and the dictionary: word, hash, occurrences in training documents."""
-    return chunked(_picked(docs, folds, fold), lambda: _encode, _DOCUMENT, _ENTRY)
+    return chunked(_picked(docs, folds, fold), lambda: _encode, _DOCUMENT, _ENTRY, CHUNK_BYTES)
 
 
 def _picked(docs: DataFrame, folds: int, fold: int) -> DataFrame:
@@ -290,51 +294,70 @@ def _averages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def counted(chunks: DataFrame) -> DataFrame:
-    """Each word of any document with its occurrences in training documents: word, h, c."""
-    return chunks.where(F.col("kind") == ENTRY).groupBy("word", "h").agg(F.sum("n").alias("c"))
+    """Each chunk's words with their occurrences in all training documents: chunk, place, h, c; ``first`` in one of a word's rows.
+
+    Each word has a row per chunk at most, and a shuffle by word both counts it and leaves the count with each row.
+    """
+    same = Window.partitionBy("h", "word").orderBy("chunk")
+    every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    entries = chunks.where(F.col("kind") == ENTRY)
+    return entries.select("chunk", "place", "h", F.sum("n").over(every).alias("c"), (F.row_number().over(same) == 1).alias("first"))
 
 
 def untrained(counts: DataFrame) -> Model:
     """The model with zero weights: the slots and what is in them."""
-    top = counts.where("c > 0").select("c", "h").orderBy(F.desc("c"), "h").limit(OWN).collect()
-    own = [r["h"] for r in top]
-    spark: SparkSession = counts.sparkSession
-    ranks = spark.createDataFrame([(h, i) for i, h in enumerate(own)], "h long, rank int")
-    shared = F.lit(OWN) + F.pmod("h", F.lit(SLOTS - OWN))
-    slot = F.coalesce(F.col("rank"), shared).cast("int").alias("slot")
-    ranked = counts.where("c > 0").join(F.broadcast(ranks), "h", "left").select(slot, "c")
+    words = counts.where("first AND c > 0").select("h", "c")
+    own = [r["h"] for r in words.orderBy(F.desc("c"), "h").limit(OWN).collect()]
     inside, kinds = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
-    for r in ranked.groupBy("slot").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
+    for r in _with_slots(words, own).groupBy("slot").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
         inside[r["slot"]], kinds[r["slot"]] = r["c"], r["n"]
     return Model(np.array(own, np.int64).view(np.uint64), inside, kinds, int(inside.sum()), int(kinds.sum()))
 
 
+def _with_slots(words: DataFrame, own: list[int]) -> DataFrame:
+    """``slot`` of each hashed word, as ``Model.slots`` gives it; ``own`` are OWN hashes at most."""
+    ranks = words.sparkSession.createDataFrame(list(enumerate(own)), "rank int, h long")
+    shared = F.lit(OWN) + F.pmod("h", F.lit(SLOTS - OWN))
+    return words.join(F.broadcast(ranks), "h", "left").withColumn("slot", F.coalesce(F.col("rank"), shared).cast("int")).drop("rank")
+
+
 def scored(chunks: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """Scores of all documents, each chunk next to the corpus counts of its words."""
-    entries = chunks.where(F.col("kind") == ENTRY).select("chunk", "place", "word", "h")
-    known = entries.join(counts, ["h", "word"]).select("chunk", F.lit(KNOWN).alias("kind"), "place", "h", F.col("c").alias("n"))
-    texts = chunks.where(F.col("kind") == DOCUMENT).select("chunk", "kind", "doc_id", "held_out", "tokens")
+    # Two numbers a row, as there are many: place and slot in one, then the count; of a document its id, and less than zero.
+    known = _with_slots(counts, model.own.view(np.int64).tolist())
+    known = known.select("chunk", (F.col("place").cast("long") * SLOTS + F.col("slot")).alias("a"), F.col("c").alias("b"))
+    texts = chunks.where(F.col("kind") == DOCUMENT)
+    texts = texts.select("chunk", F.col("doc_id").alias("a"), F.when(F.col("held_out"), -2).otherwise(-1).cast("long").alias("b"), "tokens")
     shared = chunks.sparkSession.sparkContext.broadcast(model)
 
     def run(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         total = math.log(model.tokens + model.distinct + 1)
         for table in tables:
-            docs, found = of_kind(table, DOCUMENT), of_kind(table, KNOWN)
-            place = column(found, "place").to_numpy()
+            text = table["b"].to_numpy() < 0
+            docs, found = (table.filter(pa.array(x)).combine_chunks() for x in (text, ~text))
+            place, of_place = np.divmod(column(found, "a").to_numpy(), SLOTS)
             count, slot = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-            count[place], slot[place] = column(found, "n").to_numpy(), model.slots(column(found, "h").to_numpy().view(np.uint64))
+            count[place], slot[place] = column(found, "b").to_numpy(), of_place
             tokens = column(docs, "tokens")
             places = tokens.flatten().to_numpy()
             starts = np.concatenate(([0], np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)))
-            slots, c = slot[places], count[places]
-            share = np.log(count + 1.0)[places]
-            chance = log_probability(model, slots, features(slots, starts[:-1])) + share - model.spread[slots]
-            # Every document has a token, its end, so no stretch is empty.
-            sums = [np.add.reduceat(x, starts[:-1]) for x in ((c > 0).astype(np.int64), (share - total) / math.log(10), chance / math.log(10))]
+            share, met = np.log(count + 1.0), (count > 0).astype(np.int64)
+            known, base, chance = np.zeros(docs.num_rows, np.int64), np.zeros(docs.num_rows), np.zeros(docs.num_rows)
+            begin = 0
+            while begin < docs.num_rows:
+                # Some documents at a time, or one.
+                end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + _TOKENS, side="right")) - 1)
+                mine, heads = places[starts[begin] : starts[end]], starts[begin:end] - starts[begin]
+                slots = slot[mine]
+                scores = log_probability(model, slots, features(slots, heads)) + share[mine] - model.spread[slots]
+                # Every document has a token, its end, so no stretch is empty.
+                for out, values in ((known, met[mine]), (base, share[mine] - total), (chance, scores)):
+                    out[begin:end] = np.add.reduceat(values, heads)
+                begin = end
             arrays = [
-                column(docs, "doc_id"), column(docs, "held_out"), pa.array(np.diff(starts)), pa.array(sums[0]),
-                pa.array(np.full(docs.num_rows, model.tokens, np.int64)), pa.array(sums[1]), pa.array(sums[2]),
+                column(docs, "a"), pa.array(column(docs, "b").to_numpy() == -2), pa.array(np.diff(starts)), pa.array(known),
+                pa.array(np.full(docs.num_rows, model.tokens, np.int64)), pa.array(base / math.log(10)), pa.array(chance / math.log(10)),
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
