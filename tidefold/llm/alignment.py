@@ -58,9 +58,8 @@ class Tokens:
             return np.concatenate(found).astype(np.int64), np.fromiter(map(len, found), np.int64, len(found))
 
         def second(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = pieces.encode(texts, num_threads=1)
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter((i for f in found for i in f), np.int64, int(counts.sum())), counts
+            found = [np.array(pieces.encode(t), np.int32) for t in texts]
+            return np.concatenate(found).astype(np.int64), np.fromiter(map(len, found), np.int64, len(found))
 
         self.first, self.second = first, second
         # An id in decimal digits with what follows it: another of its side, the other side, or the next group.

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from tidefold.llm.common import pieces, reachable
 
 # Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 # A row of a chunk is one of its documents, an entry of its dictionary, or an entry with what the corpus knows of it.
 DOCUMENT, ENTRY, KNOWN = 0, 1, 2
 # The number of a chunk holds the task's above these bits.
@@ -30,7 +30,8 @@ Columns = dict[str, object]
 
 
 def chunked(
-    df: DataFrame, prepare: Callable[[], Callable[[pa.RecordBatch], tuple[Columns, Columns]]], documents: str, entries: str
+    df: DataFrame, prepare: Callable[[], Callable[[pa.RecordBatch], tuple[Columns, Columns]]], documents: str, entries: str,
+    limit: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Rows ``chunk``, ``kind``, then the columns of documents and of dictionary entries, each null in the other's rows.
 
@@ -45,7 +46,7 @@ def chunked(
 
         target = to_arrow_schema(schema)
         work, first = prepare(), TaskContext.get().partitionId() << _NUMBER_BITS
-        for number, batch in enumerate(pieces(batches, limit=CHUNK_BYTES)):
+        for number, batch in enumerate(pieces(batches, limit=limit)):
             for kind, (columns, part) in enumerate(zip(work(batch), parts, strict=True)):
                 own = {n: columns[n] if isinstance(columns[n], pa.Array) else pa.array(columns[n]) for n in part.names}
                 rows = len(own[part.names[0]])
@@ -53,6 +54,8 @@ def chunked(
                 every = {**{n: pa.array(v) for n, v in fixed.items()}, **own}
                 arrays = [every[f.name].cast(f.type) if f.name in every else pa.nulls(rows, f.type) for f in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
+            # What a chunk took goes back to the machine, where other workers share it.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -62,7 +65,9 @@ def by_chunk(df: DataFrame, function: Callable[[Iterator[pa.Table]], Iterator[pa
     reachable(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from function(_tables(batches))
+        for out in function(_tables(batches)):
+            yield out
+            pa.default_memory_pool().release_unused()
 
     # The Arrow writer passes over all null lists since the last list at each one more, so there are none.
     lists = {f.name: F.coalesce(f.name, F.array().cast(f.dataType)) for f in df.schema if isinstance(f.dataType, T.ArrayType)}
