@@ -405,7 +405,6 @@ def test_packing(docs, texts):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(packing.tokenizer_folder() + "/byte_bpe_50k.json")
-    exact.encode_special_tokens = True
     got = collections.defaultdict(list)
     rows = packing.pack_documents(docs).collect()
     for r in rows:

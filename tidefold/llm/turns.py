@@ -71,8 +71,8 @@ def align(rows: str, entry: int) -> Table:
     """The cheapest edits of a block from a state to each that it can lead to: cost and audit, ties ASCII-least."""
     best: Table = {}
     kept = len(rows) - rows.count(GONE)
-    # Nearest lengths first, so that incumbents are good early. Two inserts before one row change no state that one could not.
-    for length in sorted(range(2 * kept + 1), key=lambda n: abs(n - kept)):
+    # Nearest lengths first, so that incumbents are good early. More than one insert before a row is never cheaper.
+    for length in sorted(range(2 * len(rows) + 1), key=lambda n: abs(n - kept)):
         for target in targets(entry, length):
             last = _INITIALS.index(target[-1]) if target else entry
             found = _aligned(rows, target, best[last][0] if last in best else _FAR)
@@ -102,7 +102,9 @@ def _aligned(rows: str, target: str, most: int) -> tuple[int, str] | None:
                 continue
             value = DELETE + after[j]
             if j < m:
-                value = min(value, INSERT + here[j + 1])
+                # No system turn is made up, by insert or by rerole.
+                if target[j] != "s":
+                    value = min(value, INSERT + here[j + 1])
                 if row != GONE:
                     value = min(value, _match(row, target[j]) + after[j + 1])
             here[j] = value
@@ -114,7 +116,7 @@ def _aligned(rows: str, target: str, most: int) -> tuple[int, str] | None:
         if rest == DELETE + cost[i + 1][j]:
             audit.append("D")
             i += 1
-        elif j < m and rest == INSERT + cost[i][j + 1]:
+        elif j < m and target[j] != "s" and rest == INSERT + cost[i][j + 1]:
             audit.append("I")
             j += 1
         else:
@@ -127,7 +129,6 @@ def _match(row: str, letter: str) -> int:
     cost = TRUNCATED if row.isupper() else 0
     if row.lower() == letter:
         return cost
-    # Nothing becomes a system turn.
     return cost + REROLE if letter != "s" else _FAR
 
 
