@@ -285,7 +285,7 @@ def test_tables_equal_search_of_all_edits():
     for rows in map("".join, itertools.product("suatA-", repeat=3)):
         for entry in turns.STATES:
             best = {}
-            for moves in itertools.product(("D", "ID", "M", "IM"), repeat=len(rows)):
+            for moves in itertools.product(("D", "ID", "M", "IM", "IID", "IIM"), repeat=len(rows)):
                 for found in followed(rows, "".join(moves), entry):
                     at, way = found
                     best[at] = min(best.get(at, way), way)
