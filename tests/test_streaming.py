@@ -170,3 +170,107 @@ def test_only_small_inputs_are_spread(spark, data, small):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert ("Repartition" in parts) is small
+
+
+def events_of(spark, lines):
+    """Bus events: partition, sequence, offset, minute, text."""
+    data = [(bytearray(text.encode()), p, o, s, T0 + datetime.timedelta(minutes=m)) for p, s, o, m, text in lines]
+    return spark.createDataFrame(data, "body binary, partition string, offset string, sequenceNumber long, enqueuedTime timestamp")
+
+
+def from_bus(spark, lines, read=bus.with_enqueue_time):
+    return read(events_of(spark, lines)).withColumn("insert_user_id", F.lit("loader"))
+
+
+def test_positions(spark):
+    ids = ["17", "300-8", "p-8-300", "a-b-8-300", "lost", "x-y", "1-x", "x-4", "", None, "-5", "9" * 38]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "i int, id string").select("i", bus.position(F.col("id")).alias("p")).collect()
+    shown = {ids[r.i]: r.p and (r.p.partition, r.p.sequence, r.p.offset) for r in got}
+    assert shown == {
+        "17": ("", 17, None), "300-8": ("", 8, 300), "p-8-300": ("p", 8, 300), "a-b-8-300": ("a-b", 8, 300), "lost": None, "x-y": None,
+        "1-x": None, "x-4": ("", 4, None), "": None, None: None, "-5": ("", -5, None), "9" * 38: ("", int("9" * 38), None),
+    }
+
+
+@pytest.mark.parametrize("read", [bus.with_enqueue_time, bus.with_position])
+def test_bus_ids_order_the_state(spark, scratch, read):
+    """9 and 10 as sequences; the later time wins between partitions; what has no position is kept apart."""
+    tables = jobs.EncounterTables(spark, scratch)
+    lines = [
+        ("0", 9, "90", 1, message(1, "A01", 1)), ("0", 10, "100", 1, message(1, "A04", 2)), ("1", 3, "7", 5, message(1, "A11", 4)),
+        ("1", 2, "6", 2, message(2, "A13", 5)), ("1", None, "x", 3, message(2, "A01", 6)),
+    ]
+    tables.apply(from_bus(spark, lines, read), 0)
+    tables.apply(from_bus(spark, lines[:2] + lines[4:], read), 1)
+    last = {1: read is bus.with_position and "1-3-7" or "7-3", 2: read is bus.with_position and "1-2-6" or "6-2"}
+    assert {k: v[0] for k, v in state(tables).items()} == last
+    assert tables.read("adt_hist").count() == 4
+    assert [r.reason for r in tables.rejected.read().collect()] == [jobs.NO_POSITION]
+    marks = {r.partition: int(r.sequence) for r in tables.positions().collect()}
+    assert marks == ({"0": 10, "1": 3} if read is bus.with_position else {"": 10})
+    left = bus.beyond(events_of(spark, [("0", 10, "1", 1, "a"), ("0", 11, "1", 1, "b"), ("1", 4, "1", 1, "c"), ("2", 1, "1", 1, "d")]), tables.positions())
+    assert rows(left, F.col("body").cast("string")) == ([("b",), ("c",), ("d",)] if read is bus.with_position else [("a",), ("b",), ("c",), ("d",)])
+
+
+def test_messages_without_a_number_are_stored_once(spark, scratch):
+    tables = jobs.EncounterTables(spark, scratch)
+    lines = [(None, message(1, "A01", 1, dx("a"))), (None, message(1, "A04", 2)), (7, message(2, "A03", 3)), (None, "no message")]
+
+    def plain(*lines):
+        data = [(text, n, T0, "loader") for n, text in lines]
+        return spark.createDataFrame(data, "msg string, msg_nm int, msg_enqueued_tsp timestamp, insert_user_id string")
+
+    for number, part in ((0, lines[:2]), (1, lines), (1, lines), (2, lines + lines), (3, [*lines, (None, message(3, "A01", 9))])):
+        tables.apply(plain(*part), number)
+        if number == 2:
+            for table in (tables.history, tables.ledger, tables.marks, tables.rejected):
+                table.compact(2, jobs.bus_marks if table is tables.marks else None)
+                table.remove_compacted()
+    assert rows(tables.read("adt_hist"), F.col("pat_enc_csn_id").cast("int"), "trigger_evnt") == [(1, "A01"), (1, "A04"), (2, "A03"), (3, "A01")]
+    assert set(state(tables)) == {1, 2, 3} and tables.rejected.read().count() == 1
+    # Nothing to order it by.
+    tables.apply(spark.createDataFrame([(message(4, "A01", 1), None, None, "l")], "msg string, msg_nm int, msg_enqueued_tsp timestamp, insert_user_id string"), 4)
+    assert rows(tables.rejected.read(), "reason") == [(jobs.NO_MESSAGE,), (jobs.NO_POSITION,)]
+
+
+def test_empty_batches(spark, scratch):
+    tables = jobs.EncounterTables(spark, scratch)
+    for number in range(2):
+        tables.apply(batch(spark, *ONE).limit(0), number)
+    assert tables.read("adt_hist").count() == 0
+    tables.apply(batch(spark, *ONE), 2)
+    tables.apply(batch(spark, *ONE).limit(0), 3)
+    assert tables.read("adt_hist").count() == 3
+
+
+def test_ledger_ranges_reach_the_scan(spark, scratch):
+    """Of a ledger laid out by place, a batch opens the files its numbers and hashes may be in."""
+    from tidefold.operators import ledger
+    from tidefold.operators.retention import clustered
+
+    def named(df):
+        return df.select(ledger.place_of(F.col("n"), F.col("t")).alias("place"), ledger.name_of(F.col("n"), F.col("t")).alias("name"))
+
+    every = spark.range(20000).select(F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("n"), F.concat(F.lit("t"), "id").alias("t"))
+    clustered(named(every), ["place"], 16).write.parquet(f"{scratch}/ledger")
+    known = spark.read.schema(ledger.SCHEMA).parquet(f"{scratch}/ledger")
+    some = every.filter("t IN ('t100', 't102', 't555')").unionAll(spark.createDataFrame([("7", "x"), (None, "new")], "n string, t string"))
+    batch_ = named(some)
+    m = batch_.agg(*ledger.measures()).first()
+    spans = ledger.ranges(m["low"], m["high"], m["parts"])
+    assert (7, 102) in spans and all(b <= e for b, e in spans) and 2 <= len(spans) <= 3
+    assert ledger.repeats(batch_, known, spans).count() == 3
+    scan = ledger.within(known, spans)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(place", scan._jdf.queryExecution().executedPlan().toString())
+    assert scan.select(F.input_file_name()).distinct().count() <= 4 and scan.count() < 2000
+    assert ledger.ranges(None, None, None) == [] and ledger.ranges(None, None, -1) == [(-(2**63), -1)]
+
+
+def test_digest_places_are_below_zero(spark):
+    from tidefold.operators import ledger
+
+    got = spark.range(3000).select(ledger.place_of(F.lit(None).cast("string"), F.col("id").cast("string")).alias("place"))
+    assert got.filter("place >= 0").isEmpty()
+    for r in got.groupBy(F.shiftright(-1 - F.col("place"), 57).alias("part")).agg(F.min("place").alias("b"), F.max("place").alias("e")).collect():
+        ((b, e),) = ledger.ranges(None, None, 1 << r.part if r.part < 63 else -(2**63))
+        assert b <= r.b <= r.e <= e

@@ -218,7 +218,7 @@ def fan_out(
 
 def staged_schema(spark: SparkSession, carry: Sequence[str]) -> T.StructType:
     """Schema of ``fan_out`` over validated batches, with ``carry`` and the insert time."""
-    kinds = "msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string, raw string"
+    kinds = "msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string, raw string, place long, name binary"
     empty = spark.createDataFrame([], kinds)
     return fan_out(validate(empty), carry=carry).withColumn("row_insert_tsp", F.current_timestamp()).schema
 

@@ -88,6 +88,8 @@ _TYPES: dict[str, T.DataType] = {
     "long": T.LongType(),
     "double": T.DoubleType(),
     "decimal(18,0)": T.DecimalType(18, 0),
+    "decimal(38,0)": T.DecimalType(38, 0),
+    "binary": T.BinaryType(),
 }
 
 

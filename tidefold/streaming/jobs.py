@@ -9,13 +9,14 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefold.functions.frames import audit_stamp, conform
 from tidefold.functions.times import LOCAL_ZONE, shift_timestamps
 from tidefold.operators import cdc as change
+from tidefold.operators import ledger
 from tidefold.operators.latest import dedup_by_id
 from tidefold.operators.observe import batch_metrics
 from tidefold.operators.retention import (
@@ -23,6 +24,7 @@ from tidefold.operators.retention import (
 )
 from tidefold.plans import messages
 from tidefold.session import scratch_path
+from tidefold.sources import bus
 from tidefold.sources.mirror import DirectoryMirror, JdbcMirror
 from tidefold.spec import CHILDREN, TABLES, Cdc, schema_of
 from tidefold.streaming.tables import SEQUENCE, Folders, FoldedTable, replacing_table, state_table
@@ -34,8 +36,10 @@ METRICS = schema_of(
 REJECTED = schema_of("msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string, reason string")
 # Why a text is in quarantine.
 NO_MESSAGE, NO_KEY = "no message", "no encounter number that fits"
+NO_POSITION = "no position that can be read"
 # What the staged parse keeps beside the five parts.
-STAGED = ("raw", "is_valid", "msg_nm", "msg_enqueued_tsp", "insert_user_id")
+STAGED = ("raw", "is_valid", "msg_nm", "msg_enqueued_tsp", "insert_user_id", "place", "name")
+MARKS = schema_of("partition string, sequence decimal(38,0), offset decimal(38,0)")
 # A batch number of the table is the stream's batch number plus this times the generation.
 GENERATION = 10**12
 
@@ -78,7 +82,7 @@ class EncounterTables:
 
     def __init__(self, spark: SparkSession, root: str, cdc: Cdc | None = None) -> None:
         self.spark = spark
-        self.cdc = cdc or Cdc(order=F.col("msg_nm").try_cast("decimal(38,0)"))
+        self.cdc = cdc or Cdc(order=bus.arrival(F.col("msg_nm"), F.col("msg_enqueued_tsp")))
         self.history = FoldedTable(spark, f"{root}/adt_hist", TABLES["adt_hist"].schema)
         self.detail = state_table(spark, f"{root}/adt_dtl", TABLES["adt_dtl"].schema, self.cdc)
         self.child_history = {
@@ -91,6 +95,8 @@ class EncounterTables:
         self.metrics = FoldedTable(spark, f"{root}/batch_metrics", METRICS)
         self.flowsheet_metrics = FoldedTable(spark, f"{root}/flwsht_metrics", METRICS)
         self.rejected = FoldedTable(spark, f"{root}/rejected", REJECTED)
+        self.ledger = FoldedTable(spark, f"{root}/ledger", ledger.SCHEMA)
+        self.marks = FoldedTable(spark, f"{root}/marks", MARKS)
         self.staged = Folders(spark, f"{root}/staged", messages.staged_schema(spark, list(STAGED)))
 
     def read(self, name: str) -> DataFrame:
@@ -102,32 +108,41 @@ class EncounterTables:
     def apply(self, batch: DataFrame, number: int, as_of: Column | None = None) -> None:
         """Take in one batch of ``msg, msg_nm, msg_enqueued_tsp, insert_user_id``.
 
-        Applying a batch again, under its own or another number, changes nothing: of a message
-        number the first delivery counts, those that an earlier batch brought are left out, and the folders
-        are replaced. What is no message or has no encounter number that fits goes to ``rejected``.
+        Applying a batch again, under its own or another number, changes nothing: of a message the first delivery
+        counts, those that an earlier batch brought are left out, with a number or without, and the folders are replaced.
+        What is no message, has no encounter number that fits or no place in the order goes to ``rejected``.
         The staged parse, which holds the raw text, is emptied once the tables are written.
         """
         begin = time.monotonic()
         moment = F.current_timestamp() if as_of is None else as_of
-        # One staged write per batch: the source is read once and every message parsed once,
-        # and a lost executor costs a re-read of files.
-        self.staged.write(number, self._staged(batch, number).withColumn("row_insert_tsp", moment))
-        parsed = self.staged.read([number])
-        refused = F.when(~F.col("is_valid"), NO_MESSAGE).when(
-            F.col("encounter.pat_enc_csn_id").try_cast("decimal(18,0)").isNull(), NO_KEY
+        refused = (
+            F.when(~F.col("is_valid"), NO_MESSAGE)
+            .when(F.col("encounter.pat_enc_csn_id").try_cast("decimal(18,0)").isNull(), NO_KEY)
+            .when(bus.arrival(F.col("msg_nm"), F.col("msg_enqueued_tsp")).isNull(), NO_POSITION)
         )
-        sound = parsed.filter(refused.isNull())
         parts = {n: messages.CHILD_PARTS[n] for n in CHILDREN}
         counts = {"adt_hist": F.lit(1)}
         for name, p in parts.items():
             counts[f"{name}_hist"] = F.size(p) if p in ("dx", "reasons") else F.col(p).isNotNull().cast("int")
         sized = {t: F.when(refused.isNull(), F.greatest(n, F.lit(0))) for t, n in counts.items()}
-        # One pass tells which tables get rows, and what the metrics say of them.
-        found = parsed.agg(
+        # Which tables get rows, and what the metrics say of them.
+        measures = [
             F.count(refused).alias("rejected"), F.min("row_insert_tsp").alias("first"), F.max("row_insert_tsp").alias("last"),
             *(F.coalesce(F.sum(n), F.lit(0)).alias(t) for t, n in sized.items()),
             *(F.max(F.when(n > 0, F.col("encounter.msg_tm"))).alias(f"{t}_tm") for t, n in sized.items()),
-        ).first()
+        ]
+        # One staged write per batch: the source is read once and every message parsed once, what is to be known of the
+        # batch is counted on the way, and a lost executor costs a re-read of files.
+        seen = Observation()
+        staged = self._staged(batch).withColumn("row_insert_tsp", moment)
+        self.staged.write(number, staged.observe(seen, *measures, *ledger.measures()))
+        found = seen.get
+        parsed = self.staged.read([number])
+        again = self._repeats(parsed, number, ledger.ranges(found["low"], found["high"], found["parts"]))
+        if again is not None:
+            parsed = parsed.join(again, ["place", "name"], "left_anti")
+            found = parsed.agg(*measures).first().asDict()
+        sound = parsed.filter(refused.isNull())
 
         def stamped(rows: DataFrame, table: str) -> DataFrame:
             stamps = {"row_updt_tsp": F.col("row_insert_tsp"), "updt_user_id": F.col("insert_user_id")}
@@ -152,7 +167,13 @@ class EncounterTables:
         def latest(name: str) -> DataFrame:
             return change.latest_children(children(name), ["pat_enc_csn_id"], "msg_tm")
 
+        def names() -> DataFrame:
+            return parsed.select("place", "name").sortWithinPartitions("place")
+
+        taken = found["rejected"] + found["adt_hist"]
         writes = [
+            (self.ledger, taken, names),
+            (self.marks, taken, lambda: bus.high_water(parsed)),
             (self.rejected, found["rejected"], quarantined),
             (self.history, found["adt_hist"], history),
             (self.detail, found["adt_hist"], changes),
@@ -173,22 +194,29 @@ class EncounterTables:
             self.metrics.write(number, self.spark.createDataFrame(measured, METRICS))
         self.staged.remove([number])
 
-    def _staged(self, batch: DataFrame, number: int) -> DataFrame:
-        """The batch's new messages, parsed, each number once, with the raw text beside the parts."""
+    def _staged(self, batch: DataFrame) -> DataFrame:
+        """The batch's messages, parsed, each once, with the raw text beside the parts."""
         spark = self.spark
         delivered = batch.withColumn("msg_nm", F.col("msg_nm").cast("string"))
-        # A message without a number is known by its text.
-        name = F.coalesce("msg_nm", F.concat(F.lit("="), F.sha2(F.coalesce("msg", F.lit("")), 256)))
+        number, text = F.col("msg_nm"), F.col("msg")
+        named = delivered.withColumns({"place": ledger.place_of(number, text), "name": ledger.name_of(number, text)})
         tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        spread = delivered.withColumn("_name", name).repartition(tasks, "_name")
-        first = dedup_by_id(spread, ["_name"], ["msg_enqueued_tsp", "msg"]).select(*delivered.columns)
-        known = self.history.read(before=number).select("msg_nm")
-        known = known.unionByName(self.rejected.read(before=number).select("msg_nm")).filter("msg_nm IS NOT NULL")
-        low, high = change.ends_of(delivered, "msg_nm")
-        # Only files whose range of numbers meets the batch's are read; an equal number cannot be outside.
-        near = known.filter((F.col("msg_nm") >= low) & (F.col("msg_nm") <= high))
-        new = first.join(near, "msg_nm", "left_anti").select(*delivered.columns, F.col("msg").alias("raw"))
-        return messages.fan_out(messages.validate(new), carry=STAGED)
+        first = dedup_by_id(named.repartition(tasks, "name"), ["name"], ["msg_enqueued_tsp", "msg"])
+        return messages.fan_out(messages.validate(first.withColumn("raw", text)), carry=STAGED)
+
+    def _repeats(self, parsed: DataFrame, number: int, spans: list[tuple[int, int]]) -> DataFrame | None:
+        """Names in the batch that earlier batches brought, None if there are none."""
+        if not spans or not self.ledger.batches(before=number):
+            return None
+        known = self.ledger.read(before=number)
+        count = Observation()
+        path = scratch_path(self.spark, "repeats")
+        ledger.repeats(parsed, known, spans).observe(count, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        return self.spark.read.schema(ledger.SCHEMA).parquet(path) if count.get["n"] else None
+
+    def positions(self) -> DataFrame:
+        """How far each partition of the bus has been taken in (see ``bus.beyond``)."""
+        return bus.highest(self.marks.read())
 
     def apply_flowsheet(self, events: DataFrame, number: int, as_of: Column | None = None, user: str | None = None) -> None:
         """Take in one batch of flowsheet events (``msg, msg_nm, msg_enqueued_tsp``); a replay replaces its folder."""
@@ -225,6 +253,9 @@ class EncounterTables:
         day = retention_threshold(as_of, days).cast("timestamp")
         self.rejected.compact(number, lambda df: df.filter(F.col("msg_enqueued_tsp") >= day))
         self.metrics.compact(number)
+        self.flowsheet_metrics.compact(every)
+        self.marks.compact(number, bus_marks)
+        self.ledger.compact(number, None, (lambda df: clustered(df, ["place"], files)) if files else None)
         self.staged.remove(self.staged.committed())
 
     def _keys(self, table: FoldedTable, number: int) -> DataFrame:
@@ -235,7 +266,9 @@ class EncounterTables:
 
     def remove_compacted(self) -> None:
         """Delete what the last ``retire`` replaced, in all tables."""
-        tables = (self.history, self.detail, self.flowsheet, self.metrics, self.rejected)
+        tables = (
+            self.history, self.detail, self.flowsheet, self.metrics, self.flowsheet_metrics, self.rejected, self.ledger, self.marks,
+        )
         for table in (*tables, *self.child_history.values(), *self.children.values()):
             table.remove_compacted()
 
@@ -248,6 +281,11 @@ class EncounterTables:
         return start(stream, lambda df, n: self.apply(df, first + n), checkpoint, every)
 
 
+def bus_marks(rows: DataFrame) -> DataFrame:
+    """One stored mark per partition."""
+    return bus.highest(rows).withColumn("_from", F.lit(0).cast("long"))
+
+
 def flowsheet_rows(events: DataFrame, as_of: Column | None = None, user: str | None = None, strict: bool = False) -> DataFrame:
     """Bus events to flowsheet table rows; works on streams too."""
     parsed = messages.parse_flowsheet(events, "msg", strict)

@@ -116,6 +116,10 @@ class FoldedTable:
         untouched = base.join(mentioned, self.keys, "left_anti")
         return untouched.unionByName(self.settle(touched))
 
+    def batches(self, before: int) -> bool:
+        """Whether any batch below ``before`` has been written."""
+        return any(n < before for n in (*self.base.committed(), *self.changes.committed()))
+
     def read(self, before: int | None = None) -> DataFrame:
         """The table after all batches, or after those below ``before``."""
         return self._settled(before, before).drop(SEQUENCE)
