@@ -16,7 +16,7 @@ from checks.messages import _flowsheet_sql, checks as message_checks, flowsheet_
 from tidefold.operators import cdc as change
 from tidefold.operators.retention import clustered
 from tidefold.session import scratch_path
-from tidefold.sources import files
+from tidefold.sources import bus, files
 from tidefold.sources.mirror import DirectoryMirror
 from tidefold.spec import CHILDREN, TABLES
 from tidefold.streaming import jobs
@@ -207,6 +207,86 @@ def stream_dirty(spark, sf):
     return rows.groupBy(*rows.columns).agg(F.count("*").cast("int").alias("copies"))
 
 
+_BUS_SOUND = "event_id % 10 <> 3"
+
+
+@checks.add(
+    "stream_bus_ids",
+    f"""WITH e AS (SELECT * FROM events WHERE {_BUS_SOUND}),
+    l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e)
+    SELECT 'adt_hist' AS name, user_id AS pat_enc_csn_id, concat(event_id * 7, '-', event_id) AS msg_nm, 1 AS copies FROM e
+    UNION ALL SELECT 'adt_dtl', user_id, concat(event_id * 7, '-', event_id), 1 FROM l WHERE rn = 1
+    UNION ALL SELECT 'rejected', -1, concat('lost', event_id), 1 FROM events WHERE NOT {_BUS_SOUND}
+    UNION ALL SELECT 'mark', -1, CAST(max(event_id) AS VARCHAR), 1 FROM e""",
+)
+def stream_bus_ids(spark, sf):
+    """Events of a bus under the ids that the bus module gives them, one delivery twice; those without a sequence are kept apart."""
+    lost = F.col("event_id") % 10 == 3
+    events = table(spark, sf, "events").select(
+        F.encode(_message(F.col("user_id"), F.col("props")), "UTF-8").alias("body"), F.expr("CAST(user_id % 4 AS STRING)").alias("partition"),
+        F.when(lost, F.concat(F.lit("lost"), "event_id")).otherwise((F.col("event_id") * 7).cast("string")).alias("offset"),
+        F.when(~lost, F.col("event_id")).alias("sequenceNumber"), F.col("ts").cast("timestamp").alias("enqueuedTime"), F.expr(_DELIVERY).alias("batch"),
+    )
+    tables = jobs.EncounterTables(spark, scratch_path(spark, "bus"))
+    for number, delivery in enumerate((1, 2, 3, 2)):
+        batch = bus.with_enqueue_time(events.filter(F.col("batch") == delivery))
+        tables.apply(batch.withColumn("insert_user_id", F.lit("bus")), number)
+
+    def named(rows: DataFrame, name: str, key: str, number: str) -> DataFrame:
+        return rows.selectExpr(f"'{name}' AS name", f"CAST({key} AS BIGINT) AS pat_enc_csn_id", f"CAST({number} AS STRING) AS msg_nm")
+
+    parts = [named(tables.read(n), n, "pat_enc_csn_id", "msg_nm") for n in ("adt_hist", "adt_dtl")]
+    parts += [named(tables.rejected.read(), "rejected", "-1", "msg_nm"), named(tables.positions(), "mark", "-1", "sequence")]
+    return reduce(DataFrame.unionByName, parts).groupBy("name", "pat_enc_csn_id", "msg_nm").agg(F.count("*").cast("int").alias("copies"))
+
+
+@checks.add(
+    "stream_ledger",
+    """SELECT concat('G', event_id) AS bod_id, user_id AS pat_enc_csn_id,
+    CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) END AS msg_nm, 1 AS copies FROM events""",
+)
+def stream_ledger(spark, sf):
+    """Every other message has no number; each delivery comes again, one in a batch with new messages, one after the nightly layout."""
+    rendered = encounter_messages(spark, sf).withColumn("msg_nm", F.when(F.col("msg_nm") % 2 == 0, F.col("msg_nm")))
+    tables = jobs.EncounterTables(spark, scratch_path(spark, "ledger"))
+    for number, deliveries in enumerate(([1], [1, 2], [2], [3, 1], [3])):
+        tables.apply(rendered.filter(F.col("batch").isin(deliveries)).drop("batch"), number)
+        if number == 2:
+            tables.ledger.compact(number, None, lambda df: clustered(df, ["place"], 8))
+            tables.ledger.remove_compacted()
+    history = tables.read("adt_hist").select("bod_id", F.col("pat_enc_csn_id").cast("long"), "msg_nm")
+    return history.groupBy(*history.columns).agg(F.count("*").cast("int").alias("copies"))
+
+
+@checks.add(
+    "stream_dedup",
+    """SELECT 'event' AS name, event_id, user_id, event_type, ts AS at, 1 AS copies FROM events
+    UNION ALL SELECT 'hour', -1, -1, event_type, date_trunc('hour', ts), CAST(count(*) AS INTEGER) FROM events
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR GROUP BY ALL""",
+)
+def stream_dedup(spark, sf):
+    """Events delivered twice, stopped and started three times: each once, and the closed hours' counts, with bounded state."""
+    root = scratch_path(spark, "dedup")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("at"))
+    ends = [F.lit(f"2024-01-{d:02} 00:00:00").cast("timestamp") for d in (1, 11, 21)] + [F.lit("2999-01-01").cast("timestamp")]
+    for begin, end in zip(ends, ends[1:]):
+        part = events.filter((F.col("at") >= begin) & (F.col("at") < end))
+        # An hour in a file, in order, and each event in two files of one batch; the last hour of a part comes again with the next.
+        again = events.filter((F.col("at") >= begin - F.expr("INTERVAL 1 HOUR")) & (F.col("at") < begin))
+        part.unionAll(part).unionAll(again).repartition(4).write.mode("append").parquet(f"{root}/in")
+        stream = files.table_stream(spark, f"{root}/in", events.schema)
+        jobs.distinct_stream(stream, ["event_id"], "at", "2 hours", f"{root}/once", f"{root}/c1").awaitTermination()
+        once = files.table_stream(spark, f"{root}/once", events.schema)
+        jobs.window_counts(once, ["event_type"], "at", "1 hour", "2 hours", f"{root}/hours", f"{root}/c2").awaitTermination()
+    kept = spark.read.parquet(f"{root}/once").select(F.lit("event").alias("name"), "event_id", "user_id", "event_type", "at")
+    one = kept.groupBy(*kept.columns).agg(F.count("*").cast("int").alias("copies"))
+    none = F.lit(-1).cast("long")
+    hours = spark.read.parquet(f"{root}/hours").select(
+        F.lit("hour").alias("name"), none.alias("event_id"), none.alias("user_id"), "event_type", F.col("begin").alias("at"), F.col("rows").cast("int").alias("copies"),
+    )
+    return comparable(one.unionByName(hours))
+
+
 _SHIFTED = ", ".join(
     f"{c} - INTERVAL 6 HOUR AS {c}" for c in ("msg_tm", "row_insert_tsp", "row_updt_tsp", "adt_arvl_tm", "hosp_admsn_tm", "hosp_disch_tm")
 )

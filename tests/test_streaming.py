@@ -274,3 +274,30 @@ def test_digest_places_are_below_zero(spark):
     for r in got.groupBy(F.shiftright(-1 - F.col("place"), 57).alias("part")).agg(F.min("place").alias("b"), F.max("place").alias("e")).collect():
         ((b, e),) = ledger.ranges(None, None, 1 << r.part if r.part < 63 else -(2**63))
         assert b <= r.b <= r.e <= e
+
+
+def test_state_holds_the_keys_within_the_watermark_only(spark, scratch):
+    """Over restarts: repeats within it are dropped, state of earlier keys goes, rows that come too late are left out."""
+    held = []
+    for hour in range(0, 60, 10):
+        minutes = [*range(hour * 60, hour * 60 + 60), *range(hour * 60, hour * 60 + 60)]
+        # Minute 59 comes again with the next file but one: by then it is behind the watermark.
+        minutes += [(hour - 20) * 60 + 59] if hour >= 20 else []
+        part = spark.createDataFrame([(m, T0 + datetime.timedelta(minutes=m)) for m in minutes], "id int, t timestamp")
+        part.write.mode("append").parquet(f"{scratch}/in")
+        stream = files.table_stream(spark, f"{scratch}/in", "id int, t timestamp")
+        job = jobs.distinct_stream(stream, ["id"], "t", "2 hours", f"{scratch}/out", f"{scratch}/checkpoint")
+        job.awaitTermination()
+        held.append(job.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert rows(spark.read.parquet(f"{scratch}/out").groupBy("id").count(), "count") == [(1,)] * 360
+    assert max(held) <= 120
+
+
+def test_closed_windows_are_counted_once(spark, scratch):
+    for hour in (0, 3, 9):
+        part = spark.createDataFrame([("k", T0 + datetime.timedelta(hours=hour, minutes=m)) for m in (1, 2, 59)] + [("late", T0)], "k string, t timestamp")
+        part.write.mode("append").parquet(f"{scratch}/in")
+        stream = files.table_stream(spark, f"{scratch}/in", "k string, t timestamp")
+        jobs.window_counts(stream, ["k"], "t", "1 hour", "1 hour", f"{scratch}/out", f"{scratch}/checkpoint").awaitTermination()
+    got = rows(spark.read.parquet(f"{scratch}/out"), F.hour("begin"), "k", "rows")
+    assert got == [(12, "k", 3), (12, "late", 2), (15, "k", 3)]  # the third one came too late

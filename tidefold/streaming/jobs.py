@@ -70,6 +70,23 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, every: str | None =
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(path)
 
 
+def distinct_stream(
+    df: DataFrame, keys: list[str], time: str, late: str, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Append the first event of each key to a file table. A key is remembered for ``late`` after its event time, by
+    the stream's own clock, so that the state holds the keys of that time and not of all time; events later than that are left out."""
+    return append_stream(dedup_by_id(df.withWatermark(time, late), keys), path, checkpoint, every)
+
+
+def window_counts(
+    df: DataFrame, keys: list[str], time: str, width: str, late: str, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Append ``begin, end``, the keys and the number of rows of each window that no event can come to any more."""
+    counted = df.withWatermark(time, late).groupBy(F.window(time, width), *keys).agg(F.count("*").alias("rows"))
+    closed = counted.select(F.col("window.start").alias("begin"), F.col("window.end").alias("end"), *keys, "rows")
+    return append_stream(closed, path, checkpoint, every)
+
+
 def table_append_stream(df: DataFrame, table: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append a stream to a table of the catalog."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
