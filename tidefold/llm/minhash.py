@@ -7,11 +7,10 @@ one in two documents as often as their weighted Jaccard similarity says; documen
 bucket. Equal texts are one text here.
 
 Candidates are verified by their exact weighted Jaccard similarity, without listing the pairs of a bucket. First all
-members are compared with the bucket's leader, the member that meets most others over all bands. Members that are in one
-class by then need no more comparison. Where a bucket still holds several classes, some members of the smaller ones are compared
-with the members of the other classes, then all of them that may be similar to any: a text whose own shingles, which no other
-has, weigh too much can have no partner, and of two texts the lesser share bounds the similarity. So every pair of a bucket is
-verified, connected already, or ruled out by its bound; what is left to chance is only whether a similar pair shares a bucket at all (missed once in 100 000 at similarity 0.8).
+members are compared with the bucket's leader, the member that meets most others over all bands. Where a bucket still holds several
+classes, its texts are known by what they differ in from the leader, and those that share enough rare differences are compared
+(``candidates``). So every pair of a bucket is verified, connected already, or ruled out exactly; what is left to chance is only
+whether a similar pair shares a bucket at all (missed once in 100 000 at similarity 0.8).
 
 Nulls: a null text is empty; texts without words are near only to equal texts. A row without id is a class of its own, of id
 null. Repeated rows are one class. An empty table gives no rows.
@@ -33,8 +32,6 @@ THRESHOLD = 0.8
 BANDS = 16
 ROWS = 3
 WORD_BUCKETS = 1 << 16
-# Leaders of a bucket in each round; in the last, all members of the smaller classes.
-LEADERS = (1, 4, None)
 # The random numbers of a sample come from one table of this size, read at another place by each sample.
 _TABLE = 1 << 16
 _SEED = 20250101
@@ -211,34 +208,75 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
     popular = met.groupBy("rep").agg(F.sum("n").alias("popular"))
     met = written(met.join(popular, "rep").select("key", "rep", "popular"), "buckets")
     held = written(_named(docs, met.select(F.col("rep").alias("id")).distinct()).dropDuplicates(["id"]), "candidates")
-    order = Window.partitionBy("key").orderBy(F.desc("popular"), "rep")
-    state = met.select("*", F.col("rep").alias("c"), F.lit(False).alias("main"))
-    found = tested = classes = None
-    for leaders_each in LEADERS:
-        leaders = state.where("NOT main")
-        if leaders_each:
-            place = leaders.withColumn("place", F.row_number().over(order))
-            leaders = place.where(F.col("place") <= leaders_each)
-        named = [F.col(c).alias(f"l_{c}") for c in state.columns if c not in ("key", "main", "popular")]
-        pairs = state.join(leaders.select("key", *named), "key").where(F.col("c") != F.col("l_c"))
-        if not leaders_each:
-            pairs = pairs.where(_possible(F.least("shared", "l_shared"), F.col("total") + F.col("l_total"), threshold))
-        pairs = pairs.select(F.least("rep", "l_rep").alias("a"), F.greatest("rep", "l_rep").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        near = written(verified(pairs, held, idf, threshold), "links")
-        found = near if found is None else found.unionAll(near)
-        if not near.isEmpty():
-            classes = components(found)
-        if leaders_each:
-            state = _several(_in_classes(met, classes))
-            if leaders_each == LEADERS[-2]:
-                limits = shares(held, state, idf)
-                alive = F.col("shared") >= threshold * F.col("total") * (1 - _SLACK)
-                state = written(_several(state.drop("main").join(limits, "rep").where(alive)), "open")
-    return classes
+    leaders = written(met.groupBy("key").agg(F.max(F.struct("popular", "rep"))["rep"].alias("leader")), "leaders")
+    # Many buckets of a large group have one leader, so these are far fewer rows than there are members.
+    led = written(met.join(leaders, "key").where(F.col("rep") != F.col("leader")).select("key", "rep", "leader"), "led")
+    pairs = led.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    near = written(verified(written(pairs, "pairs"), held, idf, threshold), "links")
+    classes = None if near.isEmpty() else components(near)
+    several = written(_several(_in_classes(led, classes)), "open")
+    more = written(verified(candidates(several, held, idf, threshold), held, idf, threshold), "links")
+    return classes if more.isEmpty() else components(near.unionAll(more))
+
+
+def candidates(led: DataFrame, held: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """Pairs (a, b) of the texts with a leader in common (rep, leader, c) that may be similar enough, but for those of one class.
+
+    A text is what it differs in from its leader: shingles it has more or less of. Two texts differ by what both differ from
+    the leader, less twice what these differences have in common, so texts that are far from the leader, but near
+    each other, share about half of their differences at least. They have one of their rarest ones in common then: those that come
+    before the ones too light to make up what has to be shared. So copies with edits of their own, which all resemble each
+    other, do not meet here; pairs that are not met are ruled out exactly.
+    """
+    rows = written(differences(led, held, idf, threshold), "differences")
+    counts = written(rows.groupBy("leader", "element").agg(F.count("*").alias("n")), "elements")
+    rest = Window.partitionBy("leader", "rep").orderBy("n", "element").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rows = rows.join(counts, ["leader", "element"]).withColumn("first", F.sum("weight").over(rest) >= F.col("needed")).where("n > 1")
+    rows = written(rows.select("leader", "element", "rep", "c", "far", "first"), "shared")
+
+    def meet(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
+        other = right.select("leader", "element", F.col("rep").alias("o_rep"), F.col("c").alias("o_c"))
+        met = left.join(other, ["leader", "element"]).where(condition & (F.col("c") != F.col("o_c")))
+        return met.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
+
+    both = meet(rows.where("far AND first"), rows.where("far AND first"), F.col("rep") < F.col("o_rep"))
+    one = meet(rows.where("NOT far AND first"), rows.where("far"), F.lit(True))
+    return written(both.unionAll(one).distinct(), "pairs")
+
+
+def differences(led: DataFrame, held: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """What each text and its leader do not have in common: leader, rep, c, element, weight; whether the text is ``far`` from the
+    leader, and how much of its differences it shares at least with a text that is near it but not in the leader's class (``needed``)."""
+    # Of two texts with weights T and U that differ by D, the similarity is (T + U - D) / (T + U + D).
+    share = (1 - threshold) / (1 + threshold)
+    left, right = (held.select(F.col("id").alias(c), F.col("text").alias(name)) for c, name in (("rep", "text"), ("leader", "other")))
+
+    def run(batches):
+        for batch in batches:
+            a, b = Shingles(batch.column("text"), idf), Shingles(batch.column("other"), idf)
+            row, key = np.concatenate((a.row, b.row)), np.concatenate((a.key, b.key))
+            weight = np.concatenate((a.weight, -b.weight)).astype(np.float64)
+            order = np.lexsort((key, row))
+            row, key, weight = row[order], key[order], weight[order]
+            new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(key, prepend=~key[:1]) != 0)) if len(row) else row
+            weight = np.add.reduceat(weight, new) if len(new) else weight
+            row, key = row[new], key[new]
+            own, theirs = (np.bincount(s.row, weights=s.weight, minlength=batch.num_rows) for s in (a, b))
+            apart = np.bincount(row, weights=np.abs(weight), minlength=batch.num_rows)
+            far = apart > share * (own + theirs) * (1 - _SLACK)
+            needed = (apart + share * (theirs - own)) / 2 * (1 - _SLACK) - _SLACK
+            some = np.flatnonzero(weight)
+            row, key, weight = row[some], key[some], weight[some]
+            # More of a shingle and less of it are different differences.
+            element = mixed(key + np.where(weight > 0, np.uint64(0x9E3779B97F4A7C15), np.uint64(0)))
+            yield {
+                **{c: batch.column(c).take(pa.array(row)) for c in ("leader", "rep", "c")},
+                "element": signed(element), "weight": np.abs(weight), "far": pa.array(far[row]), "needed": needed[row],
+            }
+
+    pairs = written(led.select("leader", "rep", "c").distinct(), "led")
+    schema = "leader long, rep long, c long, element long, weight double, far boolean, needed double"
+    return map_batches(pairs.join(right, "leader").join(left, "rep"), run, schema)
 
 
 def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -253,43 +291,21 @@ def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
 _SLACK = 1e-6
 
 
-def _possible(shared: Column, both: Column, threshold: float) -> Column:
-    """Whether two texts with so much in common at most, and so much weight together, may be similar enough."""
-    return shared >= threshold * (both - shared) * (1 - _SLACK)
-
-
-def _in_classes(met: DataFrame, classes: DataFrame | None) -> DataFrame:
+def _in_classes(led: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """``led`` with the class of the text, ``c``, and of its leader, ``leader_c``."""
     if classes is None:
-        return met.withColumn("c", F.col("rep"))
-    known = classes.select(F.col("id").alias("rep"), "class_id")
-    return met.join(known, "rep", "left").withColumn("c", F.coalesce("class_id", "rep")).drop("class_id")
+        return led.withColumns({"c": F.col("rep"), "leader_c": F.col("leader")})
+    for column, found in (("rep", "c"), ("leader", "leader_c")):
+        known = classes.select(F.col("id").alias(column), F.col("class_id").alias(found))
+        led = led.join(known, column, "left").withColumn(found, F.coalesce(found, column))
+    return led
 
 
 def _several(state: DataFrame) -> DataFrame:
-    """Rows of buckets that still hold several classes; ``main`` marks the largest one, which needs no leaders."""
-    sizes = state.groupBy("key", "c").agg(F.count("*").alias("size")).groupBy("key")
-    sizes = sizes.agg(F.max(F.struct("size", "c"))["c"].alias("most"), F.count("*").alias("classes")).where("classes > 1")
-    sizes = written(sizes, "sizes")
-    return written(state.join(sizes, "key").withColumn("main", F.col("c") == F.col("most")).drop("most", "classes"), "open")
-
-
-def shares(held: DataFrame, state: DataFrame, idf: np.ndarray) -> DataFrame:
-    """For each text in open buckets its weight, and that of its shingles which another of them has too: rep, total, shared.
-
-    No text can be more similar to another one than shared / total, nor two texts than the smaller ``shared``
-    allows. Copies with edits of their own, which meet a whole group of copies, are told apart by this without pairs.
-    """
-
-    def run(batches):
-        for batch in batches:
-            s = Shingles(batch.column("text"), idf)
-            yield {"rep": batch.column("id").take(pa.array(s.row)), "key": signed(s.key), "weight": s.weight.astype(np.float64)}
-
-    texts_ = held.join(state.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    rows = written(map_batches(texts_.select("id", "text"), run, "rep long, key long, weight double"), "shingles")
-    twice = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = rows.join(twice, "key", "left_semi").groupBy("rep").agg(F.sum("weight").alias("shared"))
-    return written(rows.groupBy("rep").agg(F.sum("weight").alias("total")).join(shared, "rep"), "shares")
+    """Texts (rep, leader, c) that share a bucket with a text of another class, once for each leader that they have there."""
+    mixed_ = state.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("leader_c").alias("leader_c"))
+    mixed_ = written(mixed_.where("lo < hi OR lo <> leader_c").select("key"), "mixed")
+    return state.join(mixed_, "key", "left_semi").select("rep", "leader", "c").distinct()
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
