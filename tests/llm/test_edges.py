@@ -1,5 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; then the whole pipeline."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,7 +61,50 @@ def test_repeated_rows_have_defined_results(spark):
     assert found[4] == found[5] == len(LONG)
     near = {r.doc_id: r.class_id for r in minhash.classes(df).collect()}
     assert near[5] == near[4] == 4 and near[None] is None and near[8] == 8
-    assert len(minhash.keep_one(df).collect()) == len({r[0] for r in ROWS}) - 1 - 1  # 5 goes with 4; 2 and 3 are equal
+    # 5 goes with 4; 2 and 3 are equal; the two texts under 11 both stay.
+    assert len(minhash.keep_one(df).collect()) == len({r[0] for r in ROWS}) - 1 - 1 + 1
+
+
+def test_stages_lose_nothing(spark):
+    """Null and shared ids, and extra columns of any name, through all stages that keep the columns of documents."""
+    docs = table(spark, ROWS + [(None, "a text without a number", None, None), (11, "third text of one id", "en", "s")])
+    docs = docs.withColumns({c: F.lit(1) for c in ("row", "row_", "times", "_row", "lo", "hi", "n_copies")})
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, DATA).cache()
+        if name == "quality_rules":
+            assert got.columns == docs.columns
+            continue
+        if name == "packed":
+            assert got.where("piece = 0").count() == docs.count()
+            continue
+        assert got.columns == docs.columns
+        texts_ = sorted(str(r.doc_id) for r in got.collect())
+        if name == "near_duplicates":
+            assert texts_.count("11") == 3 and texts_.count("None") == 2 and texts_.count("5") == 0
+        if name == "personal_data":
+            assert texts_ == sorted(str(r.doc_id) for r in docs.collect())
+        if name == "mixed_sources":
+            taken = [r.copies for r in mixing.mix(docs).collect()]
+            assert len(texts_) == sum(taken)
+    empty = table(spark, [])
+    assert all(stage(spark, empty, DATA).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_long_runs_neither_stop_nor_slow_the_patterns():
+    nines, letters = "9" * 5000, "a" * 400_000
+    assert pii.base_spans(f"1.1.1.{nines}") == [] and pii.base_spans("1.1.1.000255 ") == [(0, "ip", 12)]
+    for text in (letters + "@", "@" * 100_000, "1" * 400_000, "1." * 100_000, "+" * 200_000, "a@" * 100_000, letters + "@x.y" + letters, "." * 300_000):
+        pii.base_spans(text)
+    plain = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    rng = random.Random(2)
+    for _ in range(4000):
+        text = "".join(rng.choice("ab.@@ -%9") for _ in range(rng.randrange(14)))
+        assert pii._emails(text) == [m.span() for m in plain.finditer(text)], text
+    octets = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+    for _ in range(4000):
+        text = "".join(rng.choice("0129...a ") for _ in range(rng.randrange(24)))
+        want = [m.span() for m in octets.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+        assert [(b, e) for b, k, e in pii.base_spans(text) if k == "ip"] == want, text
 
 
 def test_pages(spark):

@@ -13,7 +13,7 @@ classes, its texts are known by what they differ in from the leader, and those t
 whether a similar pair shares a bucket at all (missed once in 100 000 at similarity 0.8).
 
 Nulls: a null text is empty; texts without words are near only to equal texts. A row without id is a class of its own, of id
-null. Repeated rows are one class. An empty table gives no rows.
+null. Repeated rows are one class; different texts under one id are not told apart, so an id should name one text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -329,6 +329,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without all but one document of each class."""
-    kept = classes(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id IS NULL"))
+    """``docs`` without all but one document of each class: the one with the smallest id, one row of it.
+
+    Rows whose id is null, or names several different texts, cannot be told apart by it; they all stay and are not compared.
+    """
+    key = F.col("doc_id").cast("long")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = docs.groupBy(key.alias("id")).agg(F.min(text).alias("lo"), F.max(text).alias("hi")).where("lo <> hi OR id IS NULL")
+    apart = written(several.select("id"), "several")
+    same = key.eqNullSafe(apart["id"])
+    named, rest = docs.join(apart, same, "left_anti"), docs.join(apart, same, "left_semi")
+    kept = classes(named).where("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct()
+    one = docs.join(apart, same, "left_anti").join(kept, key == kept["id"], "left_semi")
+    return one.dropDuplicates(["doc_id"]).unionAll(rest)

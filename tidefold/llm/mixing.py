@@ -33,9 +33,11 @@ _SEED = 7
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words, and ``_s``, a key for the source that is never null."""
+def sized(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, source, size in words, and ``_s``, a key for the source that is never null; ``_row`` is the column that tells rows apart."""
+    own = [F.col(row).alias("_row")] if row else []
     return docs.select(
+        *own,
         F.col("doc_id").cast("long").alias("doc_id"),
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
@@ -98,7 +100,7 @@ def placed(rows: DataFrame, sources: DataFrame, sums: DataFrame, buckets: int) -
     over = Window.partitionBy("_s").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("offset", F.coalesce(F.sum("words").over(over), F.lit(0)))
     offsets = offsets.join(sources, "_s").select("_s", "_bucket", "offset", "source_size", "target")
-    inside = Window.partitionBy("_s", "_bucket").orderBy("doc_id", "size")
+    inside = Window.partitionBy("_s", "_bucket").orderBy("doc_id", "size", *(c for c in rows.columns if c == "_row"))
     earlier = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counted = rows.withColumn("_n", F.row_number().over(inside)).withColumn("_before", earlier)
     return counted.join(offsets, ["_s", "_bucket"]).withColumn("start", F.col("offset") + F.col("_before"))
@@ -113,9 +115,13 @@ def pieces(documents: DataFrame, block: int) -> DataFrame:
     return exploded.withColumn("words", F.coalesce(words, F.lit(0)))
 
 
-def mix(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """What the mix takes of each document: doc_id, size, source_size, target, taken, and ``copies``, how often its first word is taken."""
-    rows = written(sized(docs), "sizes")
+def mix(docs: DataFrame, block: int = BLOCK_WORDS, row: str | None = None) -> DataFrame:
+    """What the mix takes of each document: doc_id, size, source_size, target, taken, and ``copies``, how often its first word is taken.
+
+    ``row`` names a column of ``docs`` that tells its rows apart; it comes back as ``_row``.
+    """
+    own = ["_row"] if row else []
+    rows = written(sized(docs, row), "sizes")
     buckets = max(1, -(-rows.count() // BUCKET_ROWS))
     rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)))
     sums = written(rows.groupBy("source", "_s", "_bucket").agg(F.sum("size").alias("words")), "sums")
@@ -126,10 +132,10 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     taken = parts.join(used.hint("merge"), ["_s", "block"], "left").withColumn("times", F.coalesce("times", F.lit(0)))
     first = F.floor(F.col("start") / block)
     return (
-        taken.groupBy("_s", "_bucket", "_n", "doc_id", "size", "source_size", "target")
+        taken.groupBy("_s", "_bucket", "_n", *own, "doc_id", "size", "source_size", "target")
         .agg(
             F.sum(F.col("words") * F.col("times")).cast("long").alias("taken"),
             F.max(F.when(F.col("block") == first, F.col("times"))).alias("copies"),
         )
-        .select("doc_id", "size", "source_size", "target", "taken", F.coalesce("copies", F.lit(0)).cast("long").alias("copies"))
+        .select(*own, "doc_id", "size", "source_size", "target", "taken", F.coalesce("copies", F.lit(0)).cast("long").alias("copies"))
     )

@@ -58,7 +58,7 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return suffixdedup.deduplicate(table(spark, sf, "documents"), with_bytes=False)
+    return suffixdedup.deduplicate(table(spark, sf, "documents"))
 
 
 @query
