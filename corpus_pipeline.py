@@ -10,30 +10,41 @@ from tidefold.llm.common import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules; each row is judged by its own text, and a null text does not pass."""
     return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the smallest id."""
+    """One document of each near-duplicate class, the one with the smallest id. Rows without an id, or whose id names several
+    texts, all stay."""
     return minhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    """Personal data replaced by its kind; ``n_chars`` follows the text. Rows stay as many as they are, whatever their ids."""
     clean = pii.redact(docs, pii.train(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its first word: not at all, or up to three times."""
-    copies = mixing.mix(docs).where("copies > 0").select("doc_id", "copies").dropDuplicates(["doc_id"])
-    repeated = docs.join(copies, "doc_id").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    """Each row as often as the mix takes its first word: not at all, or up to three times. Rows are told apart by a number of
+    their own, so null and shared ids are like any others."""
+    row, times = (_unused(docs, name) for name in ("row", "times"))
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    copies = mixing.mix(numbered, row=row).where("copies > 0").select(F.col("_row").alias(row), F.col("copies").alias(times))
+    repeated = numbered.join(copies, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(docs.columns)
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, placed in sequences."""
+    """Pieces of the documents, placed in sequences; each row is a document of its own."""
     return packing.pack_documents(docs)
 
 
