@@ -211,72 +211,87 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
     leaders = written(met.groupBy("key").agg(F.max(F.struct("popular", "rep"))["rep"].alias("leader")), "leaders")
     # Many buckets of a large group have one leader, so these are far fewer rows than there are members.
     led = written(met.join(leaders, "key").where(F.col("rep") != F.col("leader")).select("key", "rep", "leader"), "led")
-    pairs = led.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    near = written(verified(written(pairs, "pairs"), held, idf, threshold), "links")
+    pairs = written(led.select("leader", "rep").distinct(), "pairs")
+    rows = written(compared(pairs, held, idf, threshold), "compared")
+    near = rows.where(F.col("kind") == _NEAR).select(F.col("leader").alias("a"), F.col("rep").alias("b"))
     classes = None if near.isEmpty() else components(near)
     several = written(_several(_in_classes(led, classes)), "open")
-    more = written(verified(candidates(several, held, idf, threshold), held, idf, threshold), "links")
+    found = written(candidates(rows, several), "pairs")
+    more = written(verified(found, held, idf, threshold).select("a", "b"), "links")
     return classes if more.isEmpty() else components(near.unionAll(more))
 
 
-def candidates(led: DataFrame, held: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """Pairs (a, b) of the texts with a leader in common (rep, leader, c) that may be similar enough, but for those of one class.
+# What a row says of a text and its leader: that they are similar or not, with what a similar text shares of the differences at least;
+# or one difference with its weight.
+_NEAR, _FAR, _DIFFERENCE = range(3)
 
-    A text is what it differs in from its leader: shingles it has more or less of. Two texts differ by what both differ from
-    the leader, less twice what these differences have in common, so texts that are far from the leader, but near
-    each other, share about half of their differences at least. They have one of their rarest ones in common then: those that come
-    before the ones too light to make up what has to be shared. So copies with edits of their own, which all resemble each
-    other, do not meet here; pairs that are not met are ruled out exactly.
-    """
-    rows = written(differences(led, held, idf, threshold), "differences")
-    counts = written(rows.groupBy("leader", "element").agg(F.count("*").alias("n")), "elements")
-    rest = Window.partitionBy("leader", "rep").orderBy("n", "element").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    rows = rows.join(counts, ["leader", "element"]).withColumn("first", F.sum("weight").over(rest) >= F.col("needed")).where("n > 1")
-    rows = written(rows.select("leader", "element", "rep", "c", "far", "first"), "shared")
-
-    def meet(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
-        other = right.select("leader", "element", F.col("rep").alias("o_rep"), F.col("c").alias("o_c"))
-        met = left.join(other, ["leader", "element"]).where(condition & (F.col("c") != F.col("o_c")))
-        return met.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
 
-    both = meet(rows.where("far AND first"), rows.where("far AND first"), F.col("rep") < F.col("o_rep"))
-    one = meet(rows.where("NOT far AND first"), rows.where("far"), F.lit(True))
-    return written(both.unionAll(one).distinct(), "pairs")
-
-
-def differences(led: DataFrame, held: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """What each text and its leader do not have in common: leader, rep, c, element, weight; whether the text is ``far`` from the
-    leader, and how much of its differences it shares at least with a text that is near it but not in the leader's class (``needed``)."""
+def compared(pairs: DataFrame, held: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """Each text next to its leader: leader, rep, kind, element (a difference; equal ones from one leader are equal), weight."""
     # Of two texts with weights T and U that differ by D, the similarity is (T + U - D) / (T + U + D).
     share = (1 - threshold) / (1 + threshold)
     left, right = (held.select(F.col("id").alias(c), F.col("text").alias(name)) for c, name in (("rep", "text"), ("leader", "other")))
 
     def run(batches):
         for batch in batches:
+            n = batch.num_rows
             a, b = Shingles(batch.column("text"), idf), Shingles(batch.column("other"), idf)
+            own, theirs = (np.bincount(s.row, weights=s.weight, minlength=n) for s in (a, b))
             row, key = np.concatenate((a.row, b.row)), np.concatenate((a.key, b.key))
             weight = np.concatenate((a.weight, -b.weight)).astype(np.float64)
             order = np.lexsort((key, row))
             row, key, weight = row[order], key[order], weight[order]
-            new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(key, prepend=~key[:1]) != 0)) if len(row) else row
-            weight = np.add.reduceat(weight, new) if len(new) else weight
-            row, key = row[new], key[new]
-            own, theirs = (np.bincount(s.row, weights=s.weight, minlength=batch.num_rows) for s in (a, b))
-            apart = np.bincount(row, weights=np.abs(weight), minlength=batch.num_rows)
-            far = apart > share * (own + theirs) * (1 - _SLACK)
-            needed = (apart + share * (theirs - own)) / 2 * (1 - _SLACK) - _SLACK
+            twice = np.flatnonzero((row[1:] == row[:-1]) & (key[1:] == key[:-1]))
+            shared = np.bincount(row[twice], weights=np.minimum(np.abs(weight[twice]), np.abs(weight[twice + 1])), minlength=n)
+            near = shared / np.maximum(own + theirs - shared, 1e-12) >= threshold
+            # One difference per shingle: what the text has more of it, or less.
+            weight[twice] += weight[twice + 1]
+            weight[twice + 1] = 0
             some = np.flatnonzero(weight)
-            row, key, weight = row[some], key[some], weight[some]
-            # More of a shingle and less of it are different differences.
-            element = mixed(key + np.where(weight > 0, np.uint64(0x9E3779B97F4A7C15), np.uint64(0)))
+            row, key, less, weight = row[some], key[some], weight[some] < 0, np.abs(weight[some])
+            leader = batch.column("leader").to_numpy().view(np.uint64)
+            element = mixed(mixed(key + less.astype(np.uint64)) ^ mixed(leader)[row])
+            apart = np.bincount(row, weights=weight, minlength=n)
+            needed = (apart + share * (theirs - own)) / 2 * (1 - _SLACK)
+            at = pa.array(np.concatenate((np.arange(n), row)))
             yield {
-                **{c: batch.column(c).take(pa.array(row)) for c in ("leader", "rep", "c")},
-                "element": signed(element), "weight": np.abs(weight), "far": pa.array(far[row]), "needed": needed[row],
+                "leader": batch.column("leader").take(at), "rep": batch.column("rep").take(at),
+                "kind": np.concatenate((np.where(near, _NEAR, _FAR), np.full(len(row), _DIFFERENCE))).astype(np.int32),
+                "element": np.concatenate((np.zeros(n, np.int64), signed(element))),
+                "weight": np.concatenate((needed, weight)).astype(np.float32),
             }
 
-    pairs = written(led.select("leader", "rep", "c").distinct(), "led")
-    schema = "leader long, rep long, c long, element long, weight double, far boolean, needed double"
-    return map_batches(pairs.join(right, "leader").join(left, "rep"), run, schema)
+    return map_batches(pairs.join(right, "leader").join(left, "rep"), run, "leader long, rep long, kind int, element long, weight float")
+
+
+def candidates(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts with a leader in common, in open buckets (``several``: rep, leader, c), that may be similar enough.
+
+    A text is known by what it differs in from its leader: shingles it has more or less of. Two texts differ by what both differ from
+    the leader, less twice what these differences have in common. Neither of two texts in question is similar to the leader and the other
+    at once, so a text whose differences weigh D shares about D / 2 of them with the other. Then the two have one of their rarest differences in
+    common: one of those that come, in order of rarity, before the ones too light to make up what has to be shared. So copies with edits
+    of their own, which all resemble each other, do not meet here; pairs that do not meet are ruled out exactly.
+    """
+    known = rows.where(F.col("kind") != _DIFFERENCE).join(several, ["leader", "rep"])
+    known = written(known.withColumn("pair", F.xxhash64("leader", "rep")).withColumnRenamed("weight", "needed").drop("element"), "open_pairs")
+    open_ = rows.where(F.col("kind") == _DIFFERENCE).join(known.select("leader", "rep", "pair"), ["leader", "rep"])
+    open_ = written(open_.select("element", "pair", "weight"), "differences")
+    # Written, as an aggregation between shuffle and join would keep the rows of a common difference in one task.
+    counts = written(open_.groupBy("element").agg(F.count("*").cast("int").alias("n")).where("n > 1"), "common")
+    rest = Window.partitionBy("pair").orderBy(F.asc_nulls_first("n"), "element").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ordered = open_.join(counts, "element", "left").withColumn("left", F.sum("weight").over(rest)).where("n IS NOT NULL")
+    first = (F.col("left") >= F.col("needed") * (1 - _SLACK) - _SLACK).alias("first")
+    met = ordered.join(known, "pair").select("element", "rep", "c", (F.col("kind") == _FAR).alias("far"), first).where("far OR first")
+    met = written(met, "shared")
+
+    def meet(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
+        other = right.select("element", F.col("rep").alias("o_rep"), F.col("c").alias("o_c"))
+        both = left.join(other, "element").where(condition & (F.col("c") != F.col("o_c")))
+        return both.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
+
+    far, near = met.where("far AND first"), met.where("NOT far")
+    return meet(far, far, F.col("rep") < F.col("o_rep")).unionAll(meet(near, met.where("far"), F.lit(True))).distinct()
 
 
 def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
