@@ -185,6 +185,29 @@ def envelope_decode(spark, sf):
     return _counts(plans.from_envelope(plans.to_envelope(fanned), fanned.schema))
 
 
+@checks.add(
+    "envelope_variant",
+    """SELECT event_id, CASE WHEN event_id % 10 <> 5 THEN CAST(user_id AS VARCHAR) END AS user_id, event_type AS kind,
+    CASE WHEN event_id % 3 = 0 THEN 'added' END AS extra, CAST(event_id % 2 AS VARCHAR) AS second, 'read' AS status FROM events WHERE event_id % 10 NOT IN (3, 4, 6)
+    UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, 'rejected' FROM events WHERE event_id % 10 IN (3, 4, 6)""",
+)
+def envelope_variant(spark, sf):
+    """Envelopes of no fixed shape: fields that come and go, a number that is a text, lists, cut-off JSON, JSON that is no object."""
+    kind = F.col("event_id") % 10
+    extra = F.when(F.col("event_id") % 3 == 0, F.lit(',"more":{"extra":"added"}')).otherwise("")
+    user = F.when(kind == 5, F.lit('"none"')).otherwise(F.col("user_id").cast("string"))
+    whole = F.concat(
+        F.lit('{"head":{"user":'), user, F.lit(',"kind":"'), F.col("event_type"), F.lit('"},"list":[7,'), (F.col("event_id") % 2).cast("string"), F.lit("]"), extra, F.lit("}"),
+    )
+    text = F.when(kind == 3, F.expr("left(whole, length(whole) - 1)")).when(kind == 4, "[1, 2]").when(kind == 6, F.lit(None)).otherwise(F.col("whole"))
+    sent = table(spark, sf, "events").select("event_id", whole.alias("whole"), "user_id", "event_type").select("event_id", text.alias("message_content"))
+    opened = plans.open_envelope(sent)
+    paths = {"user_id": ("$.head.user", "long"), "kind": ("$.head.kind", "string"), "extra": ("$.more.extra", "string"), "second": ("$.list[1]", "long")}
+    read = plans.envelope_parts(opened, paths).withColumns({"status": F.lit("read"), **{c: F.col(c).cast("string") for c in ("user_id", "second")}})
+    left = plans.envelope_rejected(opened).select("event_id", F.lit("rejected").alias("status"))
+    return read.unionByName(left, allowMissingColumns=True)
+
+
 def flowsheet_messages(spark, sf) -> DataFrame:
     """One message per event with two measurements; purchases leave the second one's time out."""
     events = spread_small(table(spark, sf, "events"))

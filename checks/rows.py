@@ -11,8 +11,9 @@ from checks.cdc import LINE
 from checks.history import H, history
 from tidefold.functions import frames, times
 from tidefold.operators import latest as ops
-from tidefold.operators import observe, retention
+from tidefold.operators import feed, observe, retention
 from tidefold.operators.asof import asof_join
+from tidefold.session import scratch_path
 from tidefold.sources import bus
 from tidefold.spec import TableSpec, schema_of
 
@@ -436,3 +437,84 @@ def match_report(spark, sf):
     orders = table(spark, sf, "orders")
     changed = orders.withColumn("o_orderstatus", F.expr("if(o_orderpriority = '1-URGENT', 'X', o_orderstatus)"))
     return observe.match_report(observe.reconcile(orders, changed, ["o_orderkey"]))
+
+
+_RECONCILE_SIDES = """WITH a AS (SELECT * FROM orders WHERE o_orderpriority <> '5-LOW'),
+    b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 977 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+          FROM orders WHERE o_orderkey % 1009 <> 0)"""
+
+
+@checks.add(
+    "reconcile_digest",
+    f"""{_RECONCILE_SIDES} SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+      CASE WHEN b.o_orderkey IS NULL THEN 'only_actual' WHEN a.o_orderkey IS NULL THEN 'only_expected'
+           WHEN a.o_orderstatus IS DISTINCT FROM b.o_orderstatus THEN 'mismatch' ELSE 'match' END AS status,
+      CASE WHEN a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL AND a.o_orderstatus IS DISTINCT FROM b.o_orderstatus THEN 'o_orderstatus' ELSE '' END AS mismatched_cols
+      FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""",
+)
+def reconcile_digest(spark, sf):
+    """Two copies of a table with few differences, compared by ranges first."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    actual = orders.filter("o_orderpriority <> '5-LOW'").drop("o_orderpriority")
+    changed = F.expr("CASE WHEN o_orderkey % 977 <> 0 THEN o_orderstatus END")
+    expected = orders.filter("o_orderkey % 1009 <> 0").withColumn("o_orderstatus", changed).drop("o_orderpriority")
+    return comparable(observe.reconcile_by_digest(actual, expected, ["o_orderkey"]))
+
+
+_FEED = """WITH o AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 1),
+    n AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+          CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+          FROM orders WHERE o_orderkey % 10 <> 2)"""
+
+
+def _states(spark, sf):
+    orders = table(spark, sf, "orders")
+    new = orders.filter("o_orderkey % 10 <> 2").withColumns({
+        "o_orderstatus": F.expr("CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END"),
+        "o_totalprice": F.expr("CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END"),
+    })
+    return orders.filter("o_orderkey % 10 <> 1"), new
+
+
+@checks.add(
+    "change_feed",
+    f"""{_FEED} SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey,
+      CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS op,
+      o.o_orderstatus AS status_before, n.o_orderstatus AS status_after, o.o_totalprice AS price_before, n.o_totalprice AS price_after
+      FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey
+      WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_orderstatus IS DISTINCT FROM n.o_orderstatus OR o.o_totalprice <> n.o_totalprice""",
+)
+def change_feed(spark, sf):
+    found = feed.change_feed(*_states(spark, sf), ["o_orderkey"])
+    images = [
+        F.col(f"{image}.{c}").alias(f"{name}_{image}") for c, name in (("o_orderstatus", "status"), ("o_totalprice", "price")) for image in ("before", "after")
+    ]
+    return found.select("o_orderkey", "op", *images)
+
+
+@checks.add("change_feed_applied", f"{_FEED} SELECT * FROM n")
+def change_feed_applied(spark, sf):
+    """The old state, with the feed between it and the new one, is the new one."""
+    old, new = _states(spark, sf)
+    return feed.apply_feed(old, feed.change_feed(old, new, ["o_orderkey"]), ["o_orderkey"])
+
+
+@checks.add(
+    "retention_days",
+    """SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_orderkey NOT IN
+    (SELECT l_orderkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1994-06-01 00:00:00' AND l_linenumber % 4 <> 0)""",
+)
+def retention_days(spark, sf):
+    """Lines in a folder per day, every fourth one open; the keys of early days go, from whatever day."""
+    shipped = F.when(F.col("l_linenumber") % 4 != 0, F.col("l_shipdate").cast("timestamp"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", shipped.alias("closed"))
+    # Quarters, cut at the threshold, so that there are fewer folders than days of seven years.
+    cut = F.lit("1994-06-01").cast("timestamp")
+    begin = F.date_trunc("quarter", "closed")
+    quarterly = lines.withColumn("closed", F.when(F.col("closed") >= cut, F.greatest(begin, cut)).otherwise(begin))
+    store = retention.DayTable(spark, scratch_path(spark, "days"), quarterly.schema, "closed")
+    store.append(quarterly)
+    store.retire(["l_orderkey"], datetime.date(1994, 6, 3))
+    return store.read().select("l_orderkey", "l_linenumber", "l_shipdate")
+
+

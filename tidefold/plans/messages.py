@@ -6,7 +6,7 @@ JVM. The message text may come with other columns, which stay.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -275,6 +275,25 @@ def from_envelope(df: DataFrame, schema, name: str = "message_content") -> DataF
     return df.select(F.from_json(name, schema).alias("_e")).select("_e.*")
 
 
+def open_envelope(df: DataFrame, name: str = "message_content") -> DataFrame:
+    """``_envelope``: the envelope as a variant, whatever its shape; NULL if it is no JSON object."""
+    read = F.try_parse_json(name)
+    return df.withColumn("_envelope", F.when(F.startswith(F.schema_of_variant(read), F.lit("OBJECT")), read))
+
+
+def envelope_parts(opened: DataFrame, paths: Mapping[str, tuple[str, str]], name: str = "message_content") -> DataFrame:
+    """Named values of readable envelopes, as name -> (path, type); NULL where the path is missing or its value does not fit
+    the type. The other columns stay, the envelope itself goes."""
+    sound = opened.filter(F.col("_envelope").isNotNull())
+    picked = {c: F.try_variant_get("_envelope", path, kind) for c, (path, kind) in paths.items()}
+    return sound.select(*(c for c in opened.columns if c not in ("_envelope", name)), *(v.alias(c) for c, v in picked.items()))
+
+
+def envelope_rejected(opened: DataFrame) -> DataFrame:
+    """Envelopes that are no JSON object, for quarantine."""
+    return opened.filter(F.col("_envelope").isNull()).drop("_envelope")
+
+
 def parse_flowsheet(
     df: DataFrame, msg: str = "msg", strict: bool = False, zone: str = times.LOCAL_ZONE
 ) -> DataFrame:
