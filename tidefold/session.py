@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -54,11 +55,16 @@ def shared_dir(spark: SparkSession) -> str:
     if root is None:
         if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidefold-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return root.rstrip("/")
 
 
+@cache
+def _local_root() -> str:
+    """One folder of this machine for as long as this process lives; the setting itself cannot be changed in a running session."""
+    return tempfile.mkdtemp(prefix="tidefold-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else writes to."""
     return f"{shared_dir(spark)}/tidefold/{name}-{uuid.uuid4().hex}"
