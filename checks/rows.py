@@ -502,19 +502,19 @@ def change_feed_applied(spark, sf):
 @checks.add(
     "retention_days",
     """SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem WHERE l_orderkey NOT IN
-    (SELECT l_orderkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1994-06-01 00:00:00' AND l_linenumber % 4 <> 0)""",
+    (SELECT l_orderkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-06-01 00:00:00' AND l_linenumber % 4 <> 0)""",
 )
 def retention_days(spark, sf):
     """Lines in a folder per day, every fourth one open; the keys of early days go, from whatever day."""
     shipped = F.when(F.col("l_linenumber") % 4 != 0, F.col("l_shipdate").cast("timestamp"))
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", shipped.alias("closed"))
     # Quarters, cut at the threshold, so that there are fewer folders than days of seven years.
-    cut = F.lit("1994-06-01").cast("timestamp")
+    cut = F.lit("1996-06-01").cast("timestamp")
     begin = F.date_trunc("quarter", "closed")
     quarterly = lines.withColumn("closed", F.when(F.col("closed") >= cut, F.greatest(begin, cut)).otherwise(begin))
     store = retention.DayTable(spark, scratch_path(spark, "days"), quarterly.schema, "closed")
     store.append(quarterly)
-    store.retire(["l_orderkey"], datetime.date(1994, 6, 3))
+    store.retire(["l_orderkey"], datetime.date(1996, 6, 3))
     return store.read().select("l_orderkey", "l_linenumber", "l_shipdate")
 
 
