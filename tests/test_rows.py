@@ -10,7 +10,7 @@ from tests.conftest import rows
 from tidefold.functions import frames
 from tidefold.operators import latest, observe, retention
 from tidefold.operators.asof import asof_join
-from tidefold.operators.skew import hot_ranges, piece_of
+from tidefold.operators.skew import hot_ranges, piece_of, share_of, shares
 from tidefold.spec import TABLES
 
 T0 = datetime.datetime(2024, 1, 1)
@@ -54,6 +54,39 @@ def test_pieces_of_a_bursty_key_hold_equal_numbers_of_rows(spark):
     assert len(sizes) > 90 and max(r["count"] for r in sizes) < 2000
 
 
+def test_a_time_that_fills_pieces_by_itself_is_dealt_out(spark):
+    """A million rows of one key share one time, between rows before and after it."""
+    n = 1_000_000
+    tied = spark.range(n).select("id", F.lit("k").alias("k"), F.lit(5.0).alias("t"))
+    rows_ = tied.unionAll(spark.range(n, n + 30_000).select("id", F.lit("k"), (F.col("id") % 11).cast("double")))
+    cuts = hot_ranges(rows_, ["k"], "t", 50_000)
+    dealt = rows_.join(cuts, "k").select(piece_of(F.col("t")).alias("p"), share_of(F.col("t"), F.struct("id")).alias("s"), shares(F.col("t")).alias("all"))
+    sizes = dealt.groupBy("p", "s").agg(F.count("*").alias("n"), F.min(F.array_contains("all", F.col("s"))).alias("known")).collect()
+    assert sum(r["n"] for r in sizes) == n + 30_000 and all(r["known"] for r in sizes)
+    assert len(sizes) > 15 and max(r["n"] for r in sizes) <= 100_000
+
+
+@pytest.mark.parametrize("kind", ["long", "timestamp"])
+def test_asof_join_where_one_time_is_dealt_out(spark, kind):
+    """Most rows of both sides have one time; longs so large that neighbours are one double, times a microsecond apart."""
+    rng = random.Random(11)
+    base = 2**60 if kind == "long" else 1_700_000_000_000_000
+    moments = [base + d for d in (-5000, -4000, -1, 0, 0, 0, 0, 0, 0, 0, 1, 2, 4000)]
+    left = [(i, rng.choice("kkkkkx"), rng.choice(moments), {"m": i}) for i in range(400)]
+    right = [(rng.choice("kkkkkx"), rng.choice(moments), n, f"v{n}") for n in range(200)]
+    right = [r for r in right if r[1] > base - 5000 or r[2] > 150]
+    want = []
+    for i, k, t, _ in left:
+        seen = [(rt, n, v) for rk, rt, n, v in right if rk == k and rt <= t]
+        want.append((i, k, max(seen)[2] if seen else None))
+    moment = lambda df, c: df if kind == "long" else df.withColumn(c, F.timestamp_micros(c))
+    ldf = moment(spark.createDataFrame(left, "i long, k string, t long, m map<string,int>"), "t")
+    rdf = moment(spark.createDataFrame(right, "k string, rt long, n long, v string"), "rt")
+    for pieces in (20, 60):
+        got = asof_join(ldf, rdf, ["k"], "t", "rt", ["v"], tie_break=["n"], piece_rows=pieces)
+        assert rows(got, "i", "k", "v") == rows(spark.createDataFrame(want, "i long, k string, v string"))
+
+
 def test_latest_variants(spark):
     df = spark.createDataFrame(
         [(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, None, "d"), (3, 1, "e"), (3, None, "f")], "k int, o int, v string"

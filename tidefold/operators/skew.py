@@ -18,8 +18,9 @@ def hot_ranges(df: DataFrame, keys: Sequence[str], axis: str, rows: int = PIECE_
     """Per hot key the values of ``axis`` at which to cut it: ``keys, _cuts``.
 
     The cuts are quantiles, so the pieces have equal numbers of rows however these are spread along
-    the axis. There are fewer than (all rows) / ``rows`` hot keys. The first pass reads the keys only
-    and aggregates before it shuffles; the second sees only rows of hot keys.
+    the axis. A value that fills several pieces by itself is there as often (see ``share_of``). There are fewer than
+    (all rows) / ``rows`` hot keys. The first pass reads the keys only and aggregates before it shuffles; the second
+    sees only rows of hot keys.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows)
     steps = F.array(*(F.lit(i / MAX_PIECES) for i in range(1, MAX_PIECES)))
@@ -28,7 +29,7 @@ def hot_ranges(df: DataFrame, keys: Sequence[str], axis: str, rows: int = PIECE_
     )
     wanted = F.least(F.ceil(F.col("_rows") / rows).cast("int"), F.lit(MAX_PIECES))
     places = F.transform(F.sequence(F.lit(1), wanted - 1), lambda i: F.get("_at", F.floor(i * MAX_PIECES / wanted).cast("int") - 1))
-    return hot.select(*keys, F.array_distinct(places).alias("_cuts"))
+    return hot.select(*keys, places.alias("_cuts"))
 
 
 def as_number(df: DataFrame, column: str) -> Column:
@@ -41,3 +42,18 @@ def as_number(df: DataFrame, column: str) -> Column:
 def piece_of(axis: Column) -> Column:
     """Which piece of its key a row falls into; 0 for keys that are not hot."""
     return F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < axis)), F.lit(0))
+
+
+def share_of(axis: Column, row: Column) -> Column:
+    """The second cut, across rows of one value: a share from 1 up for rows of a value that fills pieces by itself, else 0.
+
+    Rows are dealt by a hash of ``row``, so a repeated task deals them as the first did; equal rows stay together.
+    """
+    marks = F.size(F.filter("_cuts", lambda cut: cut == axis))
+    return F.when(marks > 1, F.pmod(F.xxhash64(row), marks + 1) + 1).otherwise(0).cast("int")
+
+
+def shares(axis: Column) -> Column:
+    """All shares that ``share_of`` may give at this value."""
+    marks = F.size(F.filter("_cuts", lambda cut: cut == axis))
+    return F.when(marks > 1, F.sequence(F.lit(1), marks + 1)).otherwise(F.array(F.lit(0)))
