@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from checks import cdc as cdc_checks
 from checks import messages as message_checks
+from tidefold.sources.buckets import bucketed
 
 QUERIES = {name: query for group in entry.ALL for name, query in group.queries.items()}
 # These run their work while the query is built; the plan that is left only reads the outcome.
@@ -112,3 +113,36 @@ def test_the_rows_of_a_hot_key_are_split(spark, scratch, name):
         for k in conf:
             spark.conf.unset(k)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def below(text, line):
+    """A line of a plan and what feeds it."""
+    lines = text.split("\n")
+    start = next(i for i, x in enumerate(lines) if re.search(line, x))
+    depth = len(re.match(r"[ :+-]*", lines[start]).group())
+    end = next((i for i in range(start + 1, len(lines)) if len(re.match(r"[ :+-]*", lines[i]).group()) <= depth), len(lines))
+    return "\n".join(lines[start:end])
+
+
+def test_bucketed_events_are_aggregated_where_they_lie(spark, data):
+    """With large tables that are above the threshold for broadcasts, and tables of places that are below it."""
+    at_last_event = r"Aggregate\(keys?=\[pat_enc_csn_id#\d+L?\], functions=\[max"
+    moved = r"Exchange (?:hash|range|Round|Single)"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "12KB")
+    try:
+        bucketed_plan, star_plan = (plan(QUERIES[n](spark, data)) for n in ("backfill_bucketed", "backfill_star"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    fed = below(bucketed_plan, at_last_event)
+    assert not re.search(moved, fed) and len(re.findall("Bucketed: true", fed)) == 2
+    assert re.search(moved, below(star_plan, at_last_event))
+
+
+def test_a_table_with_a_hot_key_is_not_bucketed(spark):
+    df = spark.range(1000).selectExpr("id", "IF(id < 400, NULL, id) AS k")
+    for most, kept in ((399, False), (400, True)):
+        stored = bucketed(df, "k", 4, "hot_keys", most)
+        assert ("Bucketed: " in plan(stored.groupBy("k").count())) == kept
+        assert stored.count() == 1000 and stored.dtypes == df.dtypes
+    empty = bucketed(df.where("id < 0"), "k", 4, "no_keys")
+    assert empty.count() == 0 and empty.dtypes == df.dtypes

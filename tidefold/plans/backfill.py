@@ -2,7 +2,8 @@
 
 The frames are passed by role under the names of the source tables. Every job starts from the
 encounters that survive its filters, cuts the large event and line tables down to these, reduces them
-to one row per encounter, and joins lookups last.
+to one row per encounter, and joins lookups last. The encounter, event and status-time tables meet by encounter only, so tables that
+``bucketed_sources`` has written meet without a shuffle.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from tidefold.operators.asof import asof_join
 from tidefold.operators.latest import latest_per_key, ordered_string_agg, row_number_latest
 from tidefold.plans.messages import SOURCE, TRIAGE_NOTE_TYPE
+from tidefold.session import scratch_path
+from tidefold.sources.buckets import bucketed
 
 Frames = Mapping[str, DataFrame]
 
@@ -32,6 +35,13 @@ LOADED_BY = "ETL"
 DISCHARGED_DAYS = 2
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pregnant_encounters(encounters: DataFrame, statuses: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Encounters, of those in ``wanted``, whose latest status applied by their effective time means pregnancy."""
     effective = encounters.filter(F.col("obgyn_eff_dttm").isNotNull()).select(
@@ -39,7 +49,10 @@ def pregnant_encounters(encounters: DataFrame, statuses: DataFrame, wanted: Data
     )
     if wanted is not None:
         effective = effective.join(wanted, "pat_enc_csn_id", "left_semi")
-        statuses = statuses.join(effective.select("pat_id"), "pat_id", "left_semi")
+        # The join reads both sides more than once; what is left of them is small.
+        effective = _kept(effective, "effective")
+        columns = ["pat_id", "app_inst_utc_dttm", "line", "obgyn_stat_c"]
+        statuses = _kept(statuses.select(columns).join(effective.select("pat_id"), "pat_id", "left_semi"), "statuses")
     status = asof_join(
         effective, statuses, ["pat_id"], "obgyn_eff_dttm", "app_inst_utc_dttm",
         ["obgyn_stat_c"], tie_break=["line"],
@@ -47,6 +60,27 @@ def pregnant_encounters(encounters: DataFrame, statuses: DataFrame, wanted: Data
     return status.filter(F.col("obgyn_stat_c") == PREGNANT).select("pat_enc_csn_id").distinct()
 
 
+# The large source tables and the key that each is joined by.
+LARGE = {"pat_enc_hsp": "pat_enc_csn_id", "clarity_adt": "pat_enc_csn_id", "pat_enc_5": "pat_enc_csn_id"}
+# What an event's places are looked up in, and the columns that are.
+PLACES = {
+    "mv_dep_loc_sa": ["department_id", "department_abbr", "loc_abbr", "loc_id", "sa_rpt_grp_six_name"],
+    "clarity_rom": ["room_csn_id", "room_name"],
+    "clarity_bed": ["bed_csn_id", "bed_label", "bed_status_c"],
+}
+
+
+def bucketed_sources(t: Frames, buckets: int) -> dict[str, DataFrame]:
+    """The same frames, the large ones of them written as bucketed tables; each nightly load then reads these.
+
+    The tables of places are written as they are, so that the planner knows their size and broadcasts those below its threshold; with a larger
+    one the events are shuffled by place.
+    """
+    stored = {name: bucketed(t[name], key, buckets, name) for name, key in LARGE.items()}
+    places = {name: _kept(t[name].select(columns), name) for name, columns in PLACES.items()}
+    return {**t, **stored, **places}
+
+
 def _lookup(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.select(F.col(key).alias(f"_{name}_key"), F.col(value).alias(name))
 
@@ -83,7 +117,7 @@ def encounter_detail(
         .select("pat_id", "pat_mrn_id", "birth_date", "death_date", "sex_c")
         .join(t["patient_3"].filter(F.col("is_test_pat_yn") != "Y").select("pat_id"), "pat_id", "left_semi")
     )
-    encounter = encounter.join(patient, "pat_id")
+    # Encounters are cut by their own columns here, by patient when they are one row each: so nothing moves before that.
     wanted = encounter.select("pat_enc_csn_id")
     event = (
         t["clarity_adt"]
@@ -111,7 +145,7 @@ def encounter_detail(
         "seq_num_in_enc",
         unordered=True,
     )
-    base = encounter.join(last, "pat_enc_csn_id")
+    base = encounter.join(last, "pat_enc_csn_id").join(patient, "pat_id")
     # Lookup table, its key, its value, the key in the joined rows, output name.
     for table, key, value, of, name in (
         ("zc_pat_class", "adt_pat_class_c", "abbr", "adt_pat_class_c", "pat_class_abbr"),
