@@ -466,3 +466,76 @@ def test_language_evidence_beyond_the_text(spark, docs):
     assert got[900].lang == "de" and got[901].lang == "de" and got[902].lang == "en"
     assert got[903].lang is not None and got[903].declared is None
     assert langid.visible("<style>p{}</style><p>a&amp;b<script>x</script><!-- c -->") .split() == ["a&b"]
+
+
+def _fused_by_hand(rows, docs):
+    """The same evidence added up page by page: rows are (page_id, url, html), docs (lang, text)."""
+    def grams(text):
+        code = langid._LETTER[np.frombuffer(text.encode(), np.uint8)]
+        out = np.zeros(langid.BUCKETS)
+        for a, b, c in zip(code, code[1:], code[2:]):
+            if b:
+                out[((int(a) << 16 | int(b) << 8 | int(c)) * 2654435761 % 2**32) >> 20] += 1
+        return out
+
+    count = {}
+    for lang, text in docs:
+        count.setdefault(lang, []).append(text)
+    names = sorted(count, key=lambda x: (-len(count[x]), x))
+    lines = {x: 0.5 + sum(grams(t) for t in count[x] if t is not None) for x in names}
+    lines = {x: np.log(v / v.sum()) for x, v in lines.items()}
+    found = []
+    for page, url, html in rows:
+        g = grams(langid.visible(html or ""))
+        score = np.array([g @ lines[x] for x in names]) * min(1.0, langid.MAX_TRIGRAMS / max(1, g.sum()))
+        p = np.exp(score - score.max())
+        host = url.split("/")[2] if url else None
+        declared = langid._DECLARED.search(html or "")
+        found.append((page, score, p / p.sum(), host, host.rsplit(".", 1)[-1] if host else None, declared[1] if declared else None))
+    mass = sum(f[2] for f in found) + 1.0
+    share, out = mass / mass.sum(), {}
+    for i, (page, score, p, host, suffix, declared) in enumerate(found):
+        logs, prior = score.copy(), share
+        for at, value in ((4, suffix), (3, host)):
+            others = [f[2] for j, f in enumerate(found) if value is not None and f[at] == value and j != i]
+            prior = (sum(others) + langid.HOST_SMOOTHING * prior) / (len(others) + langid.HOST_SMOOTHING)
+        logs += np.log(np.maximum(prior, 1e-9))
+        for at, value in ((5, declared), (4, suffix)):
+            if value is not None:
+                told = sum(f[2] for f in found if f[at] == value)
+                logs += np.log((told + langid.SMOOTHING * share) / (mass + langid.SMOOTHING))
+        q = np.exp(logs - logs.max())
+        out[page] = names[int(q.argmax())], q.max() / q.sum()
+    return out
+
+
+@pytest.mark.parametrize("size", [3, 90])
+def test_language_by_hand(spark, size, monkeypatch):
+    """Every page, for few languages and for more than a task holds at once."""
+    monkeypatch.setattr(langid, "HELD_VALUES", 3)
+    rng = np.random.default_rng(size)
+    alphabets = [rng.choice(list("abcdefghijklmnopqrstuvwxyzäöü"), 9) for _ in range(size)]
+    word = lambda i: "".join(rng.choice(alphabets[i], rng.integers(2, 7)))
+    known = [(f"l{i:02}", " ".join(word(i) for _ in range(40))) for i in range(size) for _ in range(1 + i % 2)] + [("l00", None), (None, "abc")]
+    rows = []
+    for page in range(150):
+        i = int(rng.integers(size))
+        url = None if page % 11 == 0 else f"http://h{page % 7}.{'abc'[i % 3]}x/{page}"
+        head = "<html>" if page % 3 else f"<html lang=d{chr(97 + i % 5)}>"
+        rows.append((page, url, None if page % 37 == 5 else head + " ".join(word(i) for _ in range(page % 9))))
+    got = langid.identify(spark.createDataFrame(rows, "page_id long, url string, html string"), spark.createDataFrame(known, "lang string, text string")).collect()
+    want = _fused_by_hand(rows, [k for k in known if k[0]])
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.posterior == pytest.approx(want[r.page_id][1], rel=1e-4)
+        assert r.lang == want[r.page_id][0] or size > 3 and r.posterior < 0.6
+
+
+def test_language_plan_does_not_grow(spark, docs):
+    """The plan of more than a hundred languages is that of a few."""
+    many = docs.withColumn("lang", F.concat("lang", (F.col("doc_id") % 50).cast("string")))
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://a.b/").alias("url"), F.col("text").alias("html"))
+    length = lambda d: len(langid.identify(pages, d)._jdf.queryExecution().analyzed().toString())
+    assert many.select("lang").distinct().count() > 100
+    assert length(many) < 1.2 * length(docs)
+    assert langid.identify(pages, many).count() == docs.count()
