@@ -79,11 +79,16 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def with_references(pages: DataFrame) -> DataFrame:
-    """page_id, url, text (the payload), digest, refers_to (null for responses)."""
+    """page_id, url, text (the payload), digest, refers_to (null for responses).
+
+    The digests that occur more than once are written before pages are joined with them, so that the pages of a very frequent payload can
+    be split.
+    """
     text = F.coalesce("html", F.lit(""))
     picked = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", text.alias("text"), F.sha2(text, 256).alias("digest"))
     large = picked.where(F.octet_length("text") >= MIN_REVISIT)
     first = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = written(first, "warc-first")
     refers = F.when(F.col("page_id") != F.col("first"), F.col("first"))
     return picked.join(first, "digest", "left").select("page_id", "url", "text", "digest", refers.alias("refers_to"))
 
