@@ -137,7 +137,7 @@ def evidence(pages: DataFrame, folder: str, size: int) -> DataFrame:
             item, row = _trigrams(source)
             n = np.bincount(row, minlength=source.rows)
             scale = np.minimum(1.0, MAX_TRIGRAMS / np.maximum(1, n))
-            scores = np.array([np.bincount(row, weights=line[item], minlength=source.rows) * scale for line in table])
+            scores = np.array([np.bincount(row, weights=line[item], minlength=source.rows) * scale for line in table]).reshape(size, source.rows)
             hosts = [(m[1].lower().rstrip(".") if u and (m := _HOST.match(u)) else None) for u in urls]
             yield {
                 "page_id": batch.column("page_id"),
