@@ -379,14 +379,19 @@ def stream_flowsheet(spark, sf):
     return comparable(spark.read.parquet(f"{root}/out"))
 
 
+# In how many batches a backlog of files is taken in, however many files it has.
+_BACKLOG_BATCHES = 20
+
+
 @checks.add("stream_files", "SELECT event_id, user_id, event_type, props, true AS named FROM events")
 def stream_files(spark, sf):
     """Text files through the binary file stream, archived when done, split into their lines."""
     root = scratch_path(spark, "files")
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "props")
     lines = events.select(F.to_json(F.struct(*events.columns)).alias("value"))
-    lines.write.option("maxRecordsPerFile", 2000).text(f"{root}/in")
-    texts = files.decoded(files.binary_stream(spark, f"{root}/in", max_files=3, archive=f"{root}/done"), with_name=True)
+    lines.write.option("maxRecordsPerFile", files.rows_per_file(events.count(), 2000, 50_000)).text(f"{root}/in")
+    taken = files.per_trigger(spark, f"{root}/in", _BACKLOG_BATCHES, least=3)
+    texts = files.decoded(files.binary_stream(spark, f"{root}/in", max_files=taken, archive=f"{root}/done"), with_name=True)
     jobs.append_stream(texts, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     split = spark.read.parquet(f"{root}/out").select("msg_nm", F.explode(F.split("text", "\n")).alias("line"))
     row = F.from_json("line", "event_id long, user_id long, event_type string, props string")
@@ -398,8 +403,11 @@ def stream_files(spark, sf):
 def stream_archive(spark, sf):
     """Every processed file is in the archive or, if of the last batch, still in its folder; none is in both."""
     root = scratch_path(spark, "archive")
-    table(spark, sf, "events").select(F.col("event_id").cast("string")).write.option("maxRecordsPerFile", 500).text(f"{root}/in")
-    texts = files.decoded(files.binary_stream(spark, f"{root}/in", max_files=1, archive=f"{root}/done"))
+    events = table(spark, sf, "events")
+    size = files.rows_per_file(events.count(), 500, 250_000)
+    events.select(F.col("event_id").cast("string")).write.option("maxRecordsPerFile", size).text(f"{root}/in")
+    taken = files.per_trigger(spark, f"{root}/in", _BACKLOG_BATCHES)
+    texts = files.decoded(files.binary_stream(spark, f"{root}/in", max_files=taken, archive=f"{root}/done"))
     jobs.append_stream(texts, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*")
     done, left = reader.text(f"{root}/done"), reader.text(f"{root}/in")

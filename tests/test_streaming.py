@@ -301,3 +301,24 @@ def test_closed_windows_are_counted_once(spark, scratch):
         jobs.window_counts(stream, ["k"], "t", "1 hour", "1 hour", f"{scratch}/out", f"{scratch}/checkpoint").awaitTermination()
     got = rows(spark.read.parquet(f"{scratch}/out"), F.hour("begin"), "k", "rows")
     assert got == [(12, "k", 3), (12, "late", 2), (15, "k", 3)]  # the third one came too late
+
+
+@pytest.mark.parametrize("name", ["stream_archive", "stream_files"])
+def test_a_backlog_of_files_is_a_bounded_number_of_batches(spark, scratch, monkeypatch, name):
+    """Many files, few batches, every row, and the files of all batches but the last in the archive."""
+    from checks import streams
+
+    rows_ = spark.range(70000).selectExpr("id AS event_id", "id % 7 AS user_id", "'view' AS event_type", "CAST(NULL AS STRING) AS props")
+    rows_.repartition(70).write.parquet(f"{scratch}/events.parquet")
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, name: f"{scratch}/{name}")
+    monkeypatch.setattr(streams, "table", lambda spark, sf, name: spark.read.parquet(f"{sf}/{name}.parquet").repartition(70))
+    got = getattr(streams, name)(spark, scratch)
+    assert got.count() == 70000 and got.select("event_id").distinct().count() == 70000
+    batches = spark.read.text(f"{scratch}/{name.partition('_')[2]}/checkpoint/commits").select(F.input_file_name()).distinct().count()
+    assert 1 < batches <= streams._BACKLOG_BATCHES
+
+
+def test_files_per_trigger(spark, scratch):
+    spark.range(10).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(scratch)
+    assert [files.per_trigger(spark, scratch, n) for n in (3, 10, 20)] == [4, 1, 1] and files.per_trigger(spark, scratch, 20, least=3) == 3
+    assert [files.rows_per_file(n, 500, 250_000) for n in (0, 1000, 600_000, 10**9)] == [500, 500, 3000, 250_000]
