@@ -322,3 +322,25 @@ def test_files_per_trigger(spark, scratch):
     spark.range(10).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(scratch)
     assert [files.per_trigger(spark, scratch, n) for n in (3, 10, 20)] == [4, 1, 1] and files.per_trigger(spark, scratch, 20, least=3) == 3
     assert [files.rows_per_file(n, 500, 250_000) for n in (0, 1000, 600_000, 10**9)] == [500, 500, 3000, 250_000]
+
+
+def test_messages_that_come_again_are_not_parsed_again(spark, scratch, monkeypatch):
+    """Repeats go before the parse, a finished batch is not parsed at all, and raw text is kept of refused messages only."""
+    tables, parsed, raw = jobs.EncounterTables(spark, scratch), [], []
+    fan_out, write = jobs.messages.fan_out, tables.staged.write
+
+    def counted(df, **given):
+        parsed.append(df.count())
+        return fan_out(df, **given)
+
+    def kept(number, df):
+        write(number, df)
+        raw.append(tables.staged.read([number]).filter("raw IS NOT NULL").count())
+
+    monkeypatch.setattr(jobs.messages, "fan_out", counted)
+    monkeypatch.setattr(tables.staged, "write", kept)
+    for number, lines in ((0, ONE), (0, ONE), (1, ONE + TWO), (2, TWO + ONE)):
+        tables.apply(batch(spark, *lines), number)
+    assert parsed == [4, 3, 0] and raw == [1, 1, 0]
+    check_final(tables)
+    assert tables.staged.committed() == tables.delivered.committed() == []

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _NUMBER = "decimal(38,0)"
+# No number has a dash behind a digit, unless it has an exponent. Telling so is cheaper than a cast that fails.
+_COMPOSED = r"^[^eE]*[0-9]-[^eE]*$"
 
 
 def kafka_stream(
@@ -76,6 +78,11 @@ def with_position(events: DataFrame) -> DataFrame:
     )
 
 
+def _plain(msg_nm: Column) -> Column:
+    """An id that is a number."""
+    return F.when(~msg_nm.rlike(_COMPOSED), msg_nm.try_cast(_NUMBER))
+
+
 def position(msg_nm: Column) -> Column:
     """``partition, sequence, offset`` of an id: ``partition-sequence-offset``, ``offset-sequence`` or a plain number.
 
@@ -88,7 +95,7 @@ def position(msg_nm: Column) -> Column:
     def number(at: Column) -> Column:
         return F.try_element_at(parts, at).try_cast(_NUMBER)
 
-    plain = msg_nm.try_cast(_NUMBER)
+    plain = _plain(msg_nm)
     sequence = F.when(plain.isNotNull(), plain).when(long_form, number(size - 1)).otherwise(number(F.lit(2)))
     offset = F.when(plain.isNotNull(), F.lit(None)).when(long_form, number(size)).otherwise(number(F.lit(1)))
     partition = F.when(plain.isNull() & long_form, F.array_join(F.slice(parts, 1, F.greatest(size - 2, F.lit(1))), "-")).otherwise("")
@@ -98,7 +105,7 @@ def position(msg_nm: Column) -> Column:
 def arrival(msg_nm: Column, enqueued: Column) -> Column:
     """What orders messages: NULL for those that have neither a readable position nor, without any id, a time."""
     at = position(msg_nm)
-    plain = msg_nm.try_cast(_NUMBER).isNotNull()
+    plain = _plain(msg_nm).isNotNull()
     placed = F.struct(
         F.when(~plain, enqueued).alias("enqueued"), at["sequence"].alias("sequence"), at["offset"].alias("offset"), at["partition"].alias("partition")
     )

@@ -39,6 +39,7 @@ NO_MESSAGE, NO_KEY = "no message", "no encounter number that fits"
 NO_POSITION = "no position that can be read"
 # What the staged parse keeps beside the five parts.
 STAGED = ("raw", "is_valid", "msg_nm", "msg_enqueued_tsp", "insert_user_id", "place", "name")
+DELIVERED = schema_of("msg string, msg_nm string, msg_enqueued_tsp timestamp, insert_user_id string, place long, name binary")
 MARKS = schema_of("partition string, sequence decimal(38,0), offset decimal(38,0)")
 # A batch number of the table is the stream's batch number plus this times the generation.
 GENERATION = 10**12
@@ -114,7 +115,9 @@ class EncounterTables:
         self.rejected = FoldedTable(spark, f"{root}/rejected", REJECTED)
         self.ledger = FoldedTable(spark, f"{root}/ledger", ledger.SCHEMA)
         self.marks = FoldedTable(spark, f"{root}/marks", MARKS)
-        self.staged = Folders(spark, f"{root}/staged", messages.staged_schema(spark, list(STAGED)))
+        self.delivered = Folders(spark, f"{root}/delivered", DELIVERED)
+        staged = messages.staged_schema(spark, list(STAGED)).add("reason", "string")
+        self.staged = Folders(spark, f"{root}/staged", staged)
 
     def read(self, name: str) -> DataFrame:
         """A table by name, in its specified columns."""
@@ -128,9 +131,12 @@ class EncounterTables:
         Applying a batch again, under its own or another number, changes nothing: of a message the first delivery
         counts, those that an earlier batch brought are left out, with a number or without, and the folders are replaced.
         What is no message, has no encounter number that fits or no place in the order goes to ``rejected``.
-        The staged parse, which holds the raw text, is emptied once the tables are written.
+        A batch whose metrics are written, as they are last, is done. What earlier batches brought is left out before anything
+        is parsed. The staged parse, and the texts before it, are emptied once the tables are written.
         """
         begin = time.monotonic()
+        if self.metrics.changes.finished(number):
+            return self._unstage(number)
         moment = F.current_timestamp() if as_of is None else as_of
         refused = (
             F.when(~F.col("is_valid"), NO_MESSAGE)
@@ -141,25 +147,24 @@ class EncounterTables:
         counts = {"adt_hist": F.lit(1)}
         for name, p in parts.items():
             counts[f"{name}_hist"] = F.size(p) if p in ("dx", "reasons") else F.col(p).isNotNull().cast("int")
-        sized = {t: F.when(refused.isNull(), F.greatest(n, F.lit(0))) for t, n in counts.items()}
+        sized = {t: F.when(F.col("reason").isNull(), F.greatest(n, F.lit(0))) for t, n in counts.items()}
         # Which tables get rows, and what the metrics say of them.
         measures = [
-            F.count(refused).alias("rejected"), F.min("row_insert_tsp").alias("first"), F.max("row_insert_tsp").alias("last"),
+            F.count("reason").alias("rejected"), F.min("row_insert_tsp").alias("first"), F.max("row_insert_tsp").alias("last"),
             *(F.coalesce(F.sum(n), F.lit(0)).alias(t) for t, n in sized.items()),
             *(F.max(F.when(n > 0, F.col("encounter.msg_tm"))).alias(f"{t}_tm") for t, n in sized.items()),
         ]
-        # One staged write per batch: the source is read once and every message parsed once, what is to be known of the
-        # batch is counted on the way, and a lost executor costs a re-read of files.
+        # One staged write per batch: the source is read once and every message parsed once, why a text is refused is found once,
+        # what is to be known of the batch is counted on the way, and a lost executor costs a re-read of files. The raw text
+        # is kept of refused messages only.
         seen = Observation()
-        staged = self._staged(batch).withColumn("row_insert_tsp", moment)
-        self.staged.write(number, staged.observe(seen, *measures, *ledger.measures()))
+        parsed = messages.fan_out(messages.validate(self._fresh(batch, number).withColumn("raw", F.col("msg"))), carry=STAGED)
+        judged = parsed.withColumn("row_insert_tsp", moment).withColumn("reason", refused)
+        staged = judged.withColumn("raw", F.when(F.col("reason").isNotNull(), F.col("raw")))
+        self.staged.write(number, staged.observe(seen, *measures))
         found = seen.get
         parsed = self.staged.read([number])
-        again = self._repeats(parsed, number, ledger.ranges(found["low"], found["high"], found["parts"]))
-        if again is not None:
-            parsed = parsed.join(again, ["place", "name"], "left_anti")
-            found = parsed.agg(*measures).first().asDict()
-        sound = parsed.filter(refused.isNull())
+        sound = parsed.filter(F.col("reason").isNull())
 
         def stamped(rows: DataFrame, table: str) -> DataFrame:
             stamps = {"row_updt_tsp": F.col("row_insert_tsp"), "updt_user_id": F.col("insert_user_id")}
@@ -175,7 +180,7 @@ class EncounterTables:
             return change.incremental_since(rows, marks.select(F.col("last_insert_tsp").alias(self.cdc.updated)), self.cdc)
 
         def quarantined() -> DataFrame:
-            return parsed.withColumn("reason", refused).filter(F.col("reason").isNotNull()).withColumn("msg", F.col("raw"))
+            return parsed.filter(F.col("reason").isNotNull()).withColumn("msg", F.col("raw"))
 
         def children(name: str) -> DataFrame:
             rows = messages.children(sound.select(*messages.PARTS, "row_insert_tsp"), parts[name])
@@ -209,27 +214,50 @@ class EncounterTables:
         ]
         if measured:
             self.metrics.write(number, self.spark.createDataFrame(measured, METRICS))
-        self.staged.remove([number])
+        self._unstage(number)
 
-    def _staged(self, batch: DataFrame) -> DataFrame:
-        """The batch's messages, parsed, each once, with the raw text beside the parts."""
+    def _unstage(self, number: int) -> None:
+        for folders in (self.staged, self.delivered):
+            folders.remove([number])
+
+    def _fresh(self, batch: DataFrame, number: int) -> DataFrame:
+        """The batch's messages, each once, without those that earlier batches brought.
+
+        Only where there are earlier batches the texts are written first, so that the ranges that their names are in are known
+        before the ledger is read. Names decide alone, and the texts are joined with no more than the names that come again.
+        """
+        first = self._first(batch)
+        if not self.ledger.batches(before=number):
+            return first
+        seen = Observation()
+        self.delivered.write(number, first.observe(seen, F.count(F.lit(1)).alias("n"), *ledger.measures()))
+        found = seen.get
+        first = self.delivered.read([number]).drop(SEQUENCE)
+        again = self._repeats(first, number, ledger.ranges(found["low"], found["high"], found["parts"]))
+        if again is None:
+            return first
+        repeated, count = again
+        return first.limit(0) if count == found["n"] else first.join(repeated, ["place", "name"], "left_anti")
+
+    def _first(self, batch: DataFrame) -> DataFrame:
+        """The batch's messages under their names, of each name the first delivery."""
         spark = self.spark
         delivered = batch.withColumn("msg_nm", F.col("msg_nm").cast("string"))
         number, text = F.col("msg_nm"), F.col("msg")
         named = delivered.withColumns({"place": ledger.place_of(number, text), "name": ledger.name_of(number, text)})
         tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        first = dedup_by_id(named.repartition(tasks, "name"), ["name"], ["msg_enqueued_tsp", "msg"])
-        return messages.fan_out(messages.validate(first.withColumn("raw", text)), carry=STAGED)
+        return dedup_by_id(named.repartition(tasks, "name"), ["name"], ["msg_enqueued_tsp", "msg"])
 
-    def _repeats(self, parsed: DataFrame, number: int, spans: list[tuple[int, int]]) -> DataFrame | None:
-        """Names in the batch that earlier batches brought, None if there are none."""
-        if not spans or not self.ledger.batches(before=number):
+    def _repeats(self, first: DataFrame, number: int, spans: list[tuple[int, int]]) -> tuple[DataFrame, int] | None:
+        """Names in the batch that earlier batches brought, and how many, None if there are none."""
+        if not spans:
             return None
         known = self.ledger.read(before=number)
         count = Observation()
         path = scratch_path(self.spark, "repeats")
-        ledger.repeats(parsed, known, spans).observe(count, F.count(F.lit(1)).alias("n")).write.parquet(path)
-        return self.spark.read.schema(ledger.SCHEMA).parquet(path) if count.get["n"] else None
+        ledger.repeats(first, known, spans).observe(count, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        n = count.get["n"]
+        return (self.spark.read.schema(ledger.SCHEMA).parquet(path), n) if n else None
 
     def positions(self) -> DataFrame:
         """How far each partition of the bus has been taken in (see ``bus.beyond``)."""
@@ -273,7 +301,8 @@ class EncounterTables:
         self.flowsheet_metrics.compact(every)
         self.marks.compact(number, bus_marks)
         self.ledger.compact(number, None, (lambda df: clustered(df, ["place"], files)) if files else None)
-        self.staged.remove(self.staged.committed())
+        for folders in (self.staged, self.delivered):
+            folders.remove(folders.committed())
 
     def _keys(self, table: FoldedTable, number: int) -> DataFrame:
         path = scratch_path(self.spark, "keys")
