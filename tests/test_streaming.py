@@ -344,3 +344,16 @@ def test_messages_that_come_again_are_not_parsed_again(spark, scratch, monkeypat
     assert parsed == [4, 3, 0] and raw == [1, 1, 0]
     check_final(tables)
     assert tables.staged.committed() == tables.delivered.committed() == []
+
+
+def test_layout_ranges_grow_with_the_table(spark, scratch, monkeypatch):
+    """A task sorts one range, so a larger table has more of them; rows of unknown size take the number given."""
+    from tidefold.operators import retention
+
+    spark.range(20000).selectExpr("id", "id % 3 AS k").write.parquet(scratch)
+    stored = spark.read.parquet(scratch)
+    assert retention.clustered(stored, ["id"], 2).rdd.getNumPartitions() == 2
+    monkeypatch.setattr(retention, "RANGE_BYTES", 10_000)
+    laid_out = retention.clustered(stored, ["k"], 2, ["id"])
+    assert laid_out.rdd.getNumPartitions() > 4 and laid_out.exceptAll(stored).isEmpty() and laid_out.count() == 20000
+    assert retention.clustered(spark.createDataFrame(stored.rdd, stored.schema), ["id"], 2).rdd.getNumPartitions() == 2

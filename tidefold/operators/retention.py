@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefold.operators.cdc import delete_by_keys
+from tidefold.operators.skew import pieces_of
 from tidefold.session import scratch_path
 
 # Fixed value: days between discharge and removal.
 RETENTION_DAYS = 2
+# Stored bytes that one range of a layout takes.
+RANGE_BYTES = 16 * 2**20
 
 
 def retention_threshold(as_of: datetime.date | None, days: int) -> Column:
@@ -128,10 +131,11 @@ class DayTable:
 
 
 def clustered(df: DataFrame, keys: Sequence[str], files: int, spread: Sequence[str] = ()) -> DataFrame:
-    """Lay rows out in ``files`` key ranges, so that file statistics prune by key.
+    """Lay rows out in ``files`` key ranges, so that file statistics prune by key; in more where the rows come from more than
+    that many times ``RANGE_BYTES``, as a task sorts one range.
 
     ``spread`` columns extend the range key: a key with very many rows then spans several
     files instead of filling one.
     """
     order = [*keys, *spread]
-    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    return df.repartitionByRange(max(files, pieces_of(df, RANGE_BYTES)), *order).sortWithinPartitions(*order)

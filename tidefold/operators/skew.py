@@ -12,6 +12,15 @@ from pyspark.sql import types as T
 PIECE_ROWS = 1_000_000
 # A key is cut into at most so many pieces.
 MAX_PIECES = 1000
+# A table is cut into at most so many; the planner gives rows of unknown size the largest long.
+MAX_TASKS, UNKNOWN_BYTES = 10_000, 2**62
+
+
+def pieces_of(df: DataFrame, size: int) -> int:
+    """How many pieces of ``size`` the stored bytes make that rows are read from; those of unknown size do not count. Reads no data."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return min(MAX_TASKS, -(-sum(n for n in sizes if n < UNKNOWN_BYTES) // size))
 
 
 def hot_ranges(df: DataFrame, keys: Sequence[str], axis: str, rows: int = PIECE_ROWS) -> DataFrame:
