@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,3 +189,21 @@ def test_old_names(spark):
 def test_audit_stamp_defaults_to_now_and_the_current_user(spark):
     row = frames.audit_stamp(spark.range(1)).first()
     assert row.row_insert_tsp == row.row_updt_tsp and row.insert_user_id == row.updt_user_id != ""
+
+
+def test_visit_reasons_are_spread_by_the_size_of_their_table(spark, scratch, monkeypatch):
+    """More tasks for a larger table, and the same rows with repeated ids, encounters and names."""
+    from tidefold.plans import backfill
+
+    spark.range(6000).selectExpr("id % 500 AS pat_enc_csn_id", "id % 7 AS enc_reason_id").write.parquet(f"{scratch}/given")
+    names = spark.createDataFrame([(0, "a"), (1, "a"), (1, "b"), (2, None), (3, "c")], "reason_visit_id long, reason_visit_name string")
+    heads = spark.range(400).selectExpr("'S' AS msg_src", "current_date() AS msg_tm", "id AS pat_enc_csn_id")
+    t = {"pat_enc_rsn_visit": spark.read.parquet(f"{scratch}/given"), "cl_rsn_for_visit": names}
+    monkeypatch.setattr(backfill, "BYTES_PER_TASK", 200)
+    got = backfill.visit_reasons(heads.unionAll(heads), t).select("pat_enc_csn_id", "encntr_rsn")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    spread = [int(n) for n in re.findall(r"Exchange hashpartitioning\(pat_enc_csn_id#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert spread and spread[0] > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = {(i % 500, i % 7) for i in range(6000) if i % 500 < 400}
+    expected = {(k, v) for k, r in met for i, v in ((0, "a"), (1, "a"), (1, "b"), (2, None), (3, "c")) if i == r}
+    assert got.count() == len(expected) and {tuple(r) for r in got.collect()} == expected

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidefold.operators.asof import asof_join
 from tidefold.operators.latest import latest_per_key, ordered_string_agg, row_number_latest
+from tidefold.operators.skew import pieces_of
 from tidefold.plans.messages import SOURCE, TRIAGE_NOTE_TYPE
 from tidefold.session import scratch_path
 from tidefold.sources.buckets import bucketed
@@ -201,11 +202,19 @@ def _heads(detail: DataFrame) -> DataFrame:
     return detail.select("msg_src", "msg_tm", "pat_enc_csn_id")
 
 
+# Stored bytes of visit reasons that one task takes: two packed ids a row, which grow many times with their names.
+BYTES_PER_TASK = 8 * 2**20
+
+
 def visit_reasons(detail: DataFrame, t: Frames, loaded_at: Column | None = None) -> DataFrame:
-    # Repeats are dropped on the two id columns, before the names make the rows wide.
+    # Repeats are dropped on the two id columns, before the names make the rows wide. Ids shuffle to so little that adaptive
+    # execution would give one task more of them than it can hold with their names, so the number of tasks follows the table; by
+    # encounter, as the last distinct then needs no shuffle.
+    given = t["pat_enc_rsn_visit"].select("pat_enc_csn_id", F.col("enc_reason_id").alias("reason_visit_id"))
+    tasks = max(int(given.sparkSession.conf.get("spark.sql.shuffle.partitions")), pieces_of(given, BYTES_PER_TASK))
     named = (
-        t["pat_enc_rsn_visit"].select("pat_enc_csn_id", F.col("enc_reason_id").alias("reason_visit_id"))
-        .distinct()
+        given.distinct()
+        .repartition(tasks, "pat_enc_csn_id")
         .join(t["cl_rsn_for_visit"].select("reason_visit_id", "reason_visit_name"), "reason_visit_id")
         .select("pat_enc_csn_id", F.col("reason_visit_name").alias("encntr_rsn"))
     )
