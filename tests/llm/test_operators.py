@@ -358,6 +358,29 @@ def test_near_duplicates_of_a_crowd(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_near_duplicates_pairs_of_a_crowd(spark, monkeypatch):
+    """Texts near a common one, and others far from it, are not paired for what only their leader lacks."""
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(600)]
+
+    def edited(ats, i):
+        return " ".join(f"x{i}_{at}" if at in ats else w for at, w in enumerate(base))
+
+    texts = {i: edited({int(rng.integers(600))}, i) for i in range(60)}
+    texts |= {i: edited({10 + 49 * k + int(rng.integers(3)) for k in range(12)}, i) for i in range(60, 140)}
+    seen, candidates = [], minhash.candidates
+
+    def counted(*args):
+        found = candidates(*args).cache()
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(minhash, "candidates", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {i: r.class_id for i, r in by_id(minhash.classes(df)).items()} == near_oracle(texts)
+    assert seen and seen[0] < 2 * len(texts)
+
+
 def test_components(spark):
     rng = np.random.default_rng(0)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2)) if a < b] + [(k, k + 1) for k in range(1000, 1040)]

@@ -8,7 +8,7 @@ bucket. Equal texts are one text here.
 
 Candidates are verified by their exact weighted Jaccard similarity, without listing the pairs of a bucket. First all
 members are compared with the bucket's leader, the member that meets most others over all bands. Where a bucket still holds several
-classes, its texts are known by what they differ in from the leader, and those that share enough rare differences are compared
+classes, its texts are known by what they differ in from the leader, and those that can share enough of these differences are compared
 (``candidates``). So every pair of a bucket is verified, connected already, or ruled out exactly; what is left to chance is only
 whether a similar pair shares a bucket at all (missed once in 100 000 at similarity 0.8).
 
@@ -221,13 +221,13 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
     return classes if more.isEmpty() else components(near.unionAll(more))
 
 
-# What a row says of a text and its leader: that they are similar or not, with what a similar text shares of the differences at least;
-# or one difference with its weight.
+# What a row says of a text and its leader: that they are similar or not, with the text's and the leader's part of what a similar text
+# shares of the differences at least; or one difference with its weight.
 _NEAR, _FAR, _DIFFERENCE = range(3)
 
 
 def compared(pairs: DataFrame, held: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """Each text next to its leader: leader, rep, kind, element (a difference; equal ones from one leader are equal), weight."""
+    """Each text next to its leader: leader, rep, kind, element (a difference; equal ones from one leader are equal), weight, base."""
     # Of two texts with weights T and U that differ by D, the similarity is (T + U - D) / (T + U + D).
     share = (1 - threshold) / (1 + threshold)
     left, right = (held.select(F.col("id").alias(c), F.col("text").alias(name)) for c, name in (("rep", "text"), ("leader", "other")))
@@ -252,16 +252,18 @@ def compared(pairs: DataFrame, held: DataFrame, idf: np.ndarray, threshold: floa
             leader = batch.column("leader").to_numpy().view(np.uint64)
             element = mixed(mixed(key + less.astype(np.uint64)) ^ mixed(leader)[row])
             apart = np.bincount(row, weights=weight, minlength=n)
-            needed = (apart + share * (theirs - own)) / 2 * (1 - _SLACK)
+            part, base = (apart - share * own) / 2, share * theirs / 2
             at = pa.array(np.concatenate((np.arange(n), row)))
             yield {
                 "leader": batch.column("leader").take(at), "rep": batch.column("rep").take(at),
                 "kind": np.concatenate((np.where(near, _NEAR, _FAR), np.full(len(row), _DIFFERENCE))).astype(np.int32),
                 "element": np.concatenate((np.zeros(n, np.int64), signed(element))),
-                "weight": np.concatenate((needed, weight)).astype(np.float32),
+                "weight": np.concatenate((part, weight)).astype(np.float32),
+                "base": pa.array(np.concatenate((base, np.zeros(len(row)))).astype(np.float32)),
             }
 
-    return map_batches(pairs.join(right, "leader").join(left, "rep"), run, "leader long, rep long, kind int, element long, weight float")
+    schema = "leader long, rep long, kind int, element long, weight float, base float"
+    return map_batches(pairs.join(right, "leader").join(left, "rep"), run, schema)
 
 
 def candidates(rows: DataFrame, several: DataFrame) -> DataFrame:
@@ -270,24 +272,27 @@ def candidates(rows: DataFrame, several: DataFrame) -> DataFrame:
     A text is known by what it differs in from its leader: shingles it has more or less of. Two texts differ by what both differ from
     the leader, less twice what these differences have in common. Neither of two texts in question is similar to the leader and the other
     at once, so a text whose differences weigh D shares about D / 2 of them with the other. Then the two have one of their rarest differences in
-    common: one of those that come, in order of rarity, before the ones too light to make up what has to be shared. So copies with edits
-    of their own, which all resemble each other, do not meet here; pairs that do not meet are ruled out exactly.
+    common: one of those that come, in order of rarity, before the ones too light to make up what has to be shared. And of the first
+    one that they have in common, what follows it in either text has to be heavy enough for both: two texts whose differences weigh D
+    and E share (D + E) / 2 of them, less what similar texts of their weights may differ by. So neither copies with edits of their own
+    nor texts that have in common what only their leader lacks are paired here; pairs that are not are ruled out exactly.
     """
     known = rows.where(F.col("kind") != _DIFFERENCE).join(several, ["leader", "rep"])
-    known = written(known.withColumn("pair", F.xxhash64("leader", "rep")).withColumnRenamed("weight", "needed").drop("element"), "open_pairs")
-    open_ = rows.where(F.col("kind") == _DIFFERENCE).join(known.select("leader", "rep", "pair"), ["leader", "rep"])
+    known = written(known.withColumn("pair", F.xxhash64("leader", "rep")).withColumnRenamed("weight", "part").drop("element"), "open_pairs")
+    open_ = rows.where(F.col("kind") == _DIFFERENCE).drop("base").join(known.select("leader", "rep", "pair"), ["leader", "rep"])
     open_ = written(open_.select("element", "pair", "weight"), "differences")
     # Written, as an aggregation between shuffle and join would keep the rows of a common difference in one task.
     counts = written(open_.groupBy("element").agg(F.count("*").cast("int").alias("n")).where("n > 1"), "common")
     rest = Window.partitionBy("pair").orderBy(F.asc_nulls_first("n"), "element").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     ordered = open_.join(counts, "element", "left").withColumn("left", F.sum("weight").over(rest)).where("n IS NOT NULL")
-    first = (F.col("left") >= F.col("needed") * (1 - _SLACK) - _SLACK).alias("first")
-    met = ordered.join(known, "pair").select("element", "rep", "c", (F.col("kind") == _FAR).alias("far"), first).where("far OR first")
-    met = written(met, "shared")
+    first = _enough(F.col("left"), F.col("part"), F.col("base")).alias("first")
+    met = ordered.join(known, "pair").select("element", "rep", "c", "left", "part", (F.col("kind") == _FAR).alias("far"), first)
+    met = written(met.where("far OR first"), "shared")
 
     def meet(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
-        other = right.select("element", F.col("rep").alias("o_rep"), F.col("c").alias("o_c"))
-        both = left.join(other, "element").where(condition & (F.col("c") != F.col("o_c")))
+        other = right.select("element", *(F.col(c).alias(f"o_{c}") for c in ("rep", "c", "left", "part")))
+        enough = _enough(F.least("left", "o_left"), F.col("part"), F.col("o_part"))
+        both = left.join(other, "element").where(condition & (F.col("c") != F.col("o_c")) & enough)
         return both.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
 
     far, near = met.where("far AND first"), met.where("NOT far")
@@ -306,6 +311,11 @@ def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
 _SLACK = 1e-6
 
 
+def _enough(weight: Column, part: Column, other: Column) -> Column:
+    """Whether a weight may be as large as two parts together, which may be of different sign."""
+    return weight + (1 + F.abs(part) + F.abs(other)) * _SLACK >= part + other
+
+
 def _in_classes(led: DataFrame, classes: DataFrame | None) -> DataFrame:
     """``led`` with the class of the text, ``c``, and of its leader, ``leader_c``."""
     if classes is None:
