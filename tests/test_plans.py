@@ -54,6 +54,11 @@ def test_row_number_limits_before_the_shuffle(spark, data):
     assert re.search(r"Exchange.*\n.*WindowGroupLimit.*Partial", text)
 
 
+def test_medication_times_are_written_once_and_read_without_patterns(spark, data):
+    text = plan(QUERIES["hl7_medication"](spark, data))
+    assert text.count("date_format(") == 1 and "RLIKE" not in text and "rpad" not in text
+
+
 def test_date_filter_reaches_the_scan(spark, data):
     text = plan(QUERIES["retention_expired"](spark, data))
     assert re.search(r"PushedFilters: \[.*LessThan\(l_shipdate", text)
