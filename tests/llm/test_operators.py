@@ -381,6 +381,32 @@ def test_near_duplicates_pairs_of_a_crowd(spark, monkeypatch):
     assert seen and seen[0] < 2 * len(texts)
 
 
+def test_near_duplicates_of_a_crowd_far_from_its_leader(spark, monkeypatch):
+    """Texts that are near each other and not near their leader are connected without a comparison of all their pairs."""
+    rng = np.random.default_rng(5)
+    base, texts = [f"w{k}" for k in range(800)], {}
+    for i in range(120):
+        ats = {int(at) for at in rng.choice(800, 1 + i % 4, replace=False)}
+        texts[i] = " ".join(f"x{i}_{at}" if at in ats else w for at, w in enumerate(base))
+    written, verified, tables, seen = minhash.written, minhash.verified, {}, []
+
+    def least_popular(df, name):
+        if name == "leaders":
+            df = tables["buckets"].groupBy("key").agg(F.min(F.struct("popular", "rep"))["rep"].alias("leader"))
+        tables[name] = written(df, name)
+        return tables[name]
+
+    def counted(pairs, *args):
+        seen.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr(minhash, "written", least_popular)
+    monkeypatch.setattr(minhash, "verified", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {i: r.class_id for i, r in by_id(minhash.classes(df)).items()} == near_oracle(texts)
+    assert 0 < sum(seen) < 4 * len(texts), seen
+
+
 def test_components(spark):
     rng = np.random.default_rng(0)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2)) if a < b] + [(k, k + 1) for k in range(1000, 1040)]

@@ -8,7 +8,8 @@ bucket. Equal texts are one text here.
 
 Candidates are verified by their exact weighted Jaccard similarity, without listing the pairs of a bucket. First all
 members are compared with the bucket's leader, the member that meets most others over all bands. Where a bucket still holds several
-classes, its texts are known by what they differ in from the leader, and those that can share enough of these differences are compared
+classes, its texts are known by what they differ in from the leader, and those that can share enough of these differences are compared:
+first each text with the one of each difference that is nearest to others (``hub_pairs``), then, of those not connected yet, each pair
 (``candidates``). So every pair of a bucket is verified, connected already, or ruled out exactly; what is left to chance is only
 whether a similar pair shares a bucket at all (missed once in 100 000 at similarity 0.8).
 
@@ -183,20 +184,55 @@ def verified(pairs: DataFrame, held: DataFrame, idf: np.ndarray, threshold: floa
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Smallest member of each linked group: id, class_id. Rounds of joins, each a written table, until nothing changes."""
+    """Smallest member of each linked group: id, class_id. In each round members point to their smallest neighbour, pointers are followed
+    to their ends, and only links between different ends go on, so that later rounds are of what is left."""
     edges = written(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    label = written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")), "labels")
+    found = None
+    while True:
+        ends = _ends(written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")), "labels"))
+        found = ends.select(F.col("a").alias("id"), F.col("c").alias("class_id")) if found is None else written(_renamed(found, ends), "classes")
+        left, right = ends.select("a", F.col("c").alias("from")), ends.select(F.col("a").alias("b"), F.col("c").alias("to"))
+        rest = edges.join(left, "a").join(right, "b").where(F.col("from") != F.col("to"))
+        edges = written(rest.select(F.col("from").alias("a"), F.col("to").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
+            return found
+
+
+def _ends(label: DataFrame) -> DataFrame:
+    """Pointers from ``a`` to ``c``, followed to the members that point to themselves."""
     while True:
-        far = edges.join(label.select(F.col("a").alias("b"), F.col("c").alias("over")), "b")
-        low = far.groupBy("a").agg(F.min("over").alias("over"))
-        step = label.join(low, "a").select("a", F.least("c", "over").alias("n"), "c")
         jump = label.select(F.col("a").alias("n"), F.col("c").alias("m"))
-        new = written(step.join(jump, "n").select("a", F.least("n", "m").alias("c"), (F.least("n", "m") < F.col("c")).alias("moved")), "labels")
+        step = label.select("a", F.col("c").alias("n")).join(jump, "n")
+        new = written(step.select("a", F.col("m").alias("c"), (F.col("m") < F.col("n")).alias("moved")), "labels")
         if new.where("moved").isEmpty():
-            return label.select(F.col("a").alias("id"), F.col("c").alias("class_id"))
+            return label.select("a", "c")
         label = new.drop("moved")
 
 
+def _renamed(classes: DataFrame, ends: DataFrame) -> DataFrame:
+    """``classes`` (id, class_id) with the ends (c) of those classes that have one (a)."""
+    new = ends.select(F.col("a").alias("class_id"), "c")
+    return classes.join(new, "class_id", "left").select("id", F.coalesce("c", "class_id").alias("class_id"))
+
+
+def merged(classes: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """Classes with further links, which are followed between classes only."""
+    if classes is not None:
+        for column in ("a", "b"):
+            known = classes.select(F.col("id").alias(column), F.col("class_id").alias("c"))
+            links = links.join(known, column, "left").withColumn(column, F.coalesce("c", column)).drop("c")
+    links = written(links.where("a <> b").distinct(), "links")
+    if links.isEmpty():
+        return classes
+    found = components(links)
+    if classes is None:
+        return found
+    # A member of ``links`` is a class, whose smallest member is a row of ``classes``, or a text that had none.
+    alone = found.join(classes.select("id"), "id", "left_anti")
+    ends = found.select(F.col("id").alias("a"), F.col("class_id").alias("c"))
+    return written(_renamed(classes, ends).unionAll(alone.select("id", "class_id")), "classes")
+
+
 def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame | None:
     """Class of each of the distinct texts ``reps`` (rep, keys) that has any link: id, class_id. None if no two share a bucket."""
     members = reps.select("rep", F.explode("keys").alias("key"))
@@ -214,11 +250,17 @@ def linked(reps: DataFrame, docs: DataFrame, idf: np.ndarray, threshold: float)
     pairs = written(led.select("leader", "rep").distinct(), "pairs")
     rows = written(compared(pairs, held, idf, threshold), "compared")
     near = rows.where(F.col("kind") == _NEAR).select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-    classes = None if near.isEmpty() else components(near)
+    classes = merged(None, near)
     several = written(_several(_in_classes(led, classes)), "open")
-    found = written(candidates(rows, several), "pairs")
-    more = written(verified(found, held, idf, threshold).select("a", "b"), "links")
-    return classes if more.isEmpty() else components(near.unionAll(more))
+    met = shared_differences(rows, several)
+    # One pair a text and difference first: most of a crowd that its leader is not in the middle of is connected by these.
+    first = written(hub_pairs(met), "pairs")
+    links = written(verified(first, held, idf, threshold).select("a", "b"), "links")
+    if not links.isEmpty():
+        classes = merged(classes, links)
+        several = written(_several(_in_classes(led, classes)), "open")
+    found = written(candidates(met, several).join(first, ["a", "b"], "left_anti"), "pairs")
+    return merged(classes, written(verified(found, held, idf, threshold).select("a", "b"), "links"))
 
 
 # What a row says of a text and its leader: that they are similar or not, with the text's and the leader's part of what a similar text
@@ -266,14 +308,15 @@ def compared(pairs: DataFrame, held: DataFrame, idf: np.ndarray, threshold: floa
     return map_batches(pairs.join(right, "leader").join(left, "rep"), run, schema)
 
 
-def candidates(rows: DataFrame, several: DataFrame) -> DataFrame:
-    """Pairs (a, b) of texts with a leader in common, in open buckets (``several``: rep, leader, c), that may be similar enough.
+def shared_differences(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """What the texts in open buckets (``several``: rep, leader, c) differ in from their leader, where another text of that leader does
+    too and the two may be similar enough: element, leader, rep, c, left, part, far, first.
 
     A text is known by what it differs in from its leader: shingles it has more or less of. Two texts differ by what both differ from
     the leader, less twice what these differences have in common. Neither of two texts in question is similar to the leader and the other
     at once, so a text whose differences weigh D shares about D / 2 of them with the other. Then the two have one of their rarest differences in
-    common: one of those that come, in order of rarity, before the ones too light to make up what has to be shared. And of the first
-    one that they have in common, what follows it in either text has to be heavy enough for both: two texts whose differences weigh D
+    common: one of those that come, in order of rarity, before the ones too light to make up what has to be shared (``first``). And of the first
+    one that they have in common, what follows it in either text (``left``) has to be heavy enough for both: two texts whose differences weigh D
     and E share (D + E) / 2 of them, less what similar texts of their weights may differ by. So neither copies with edits of their own
     nor texts that have in common what only their leader lacks are paired here; pairs that are not are ruled out exactly.
     """
@@ -286,17 +329,32 @@ def candidates(rows: DataFrame, several: DataFrame) -> DataFrame:
     rest = Window.partitionBy("pair").orderBy(F.asc_nulls_first("n"), "element").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     ordered = open_.join(counts, "element", "left").withColumn("left", F.sum("weight").over(rest)).where("n IS NOT NULL")
     first = _enough(F.col("left"), F.col("part"), F.col("base")).alias("first")
-    met = ordered.join(known, "pair").select("element", "rep", "c", "left", "part", (F.col("kind") == _FAR).alias("far"), first)
-    met = written(met.where("far OR first"), "shared")
+    met = ordered.join(known, "pair").select("element", "leader", "rep", "c", "left", "part", (F.col("kind") == _FAR).alias("far"), first)
+    return written(met.where("far OR first"), "shared")
+
 
-    def meet(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
-        other = right.select("element", *(F.col(c).alias(f"o_{c}") for c in ("rep", "c", "left", "part")))
-        enough = _enough(F.least("left", "o_left"), F.col("part"), F.col("o_part"))
-        both = left.join(other, "element").where(condition & (F.col("c") != F.col("o_c")) & enough)
-        return both.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
+def hub_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each text and, for each of its shared differences, the text with that difference that needs least in common
+    with others. They are among the pairs of ``candidates``, but never more than ``met`` has rows."""
+    hub = F.min_by(F.struct("rep", "c", "left", "part", "far"), F.struct("part", "rep")).alias("hub")
+    # Written before it is joined, like the counts.
+    hubs = written(met.where("first").groupBy("element").agg(hub).select("element", "hub.*"), "hubs")
+    return _meet(met, hubs, (F.col("far") | F.col("o_far")) & (F.col("first") | ~F.col("o_far"))).distinct()
 
+
+def candidates(met: DataFrame, several: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts with a leader in common, in open buckets (``several``: rep, leader, c), that may be similar enough: those of
+    different classes whose ``shared_differences`` do not rule it out."""
+    met = written(met.drop("c").join(several, ["leader", "rep"]), "shared")
     far, near = met.where("far AND first"), met.where("NOT far")
-    return meet(far, far, F.col("rep") < F.col("o_rep")).unionAll(meet(near, met.where("far"), F.lit(True))).distinct()
+    return _meet(far, far, F.col("rep") < F.col("o_rep")).unionAll(_meet(near, met.where("far"), F.lit(True))).distinct()
+
+
+def _meet(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
+    other = right.select("element", *(F.col(c).alias(f"o_{c}") for c in ("rep", "c", "left", "part", "far")))
+    enough = _enough(F.least("left", "o_left"), F.col("part"), F.col("o_part"))
+    both = left.join(other, "element").where(condition & (F.col("c") != F.col("o_c")) & enough)
+    return both.select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b"))
 
 
 def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
