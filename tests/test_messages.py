@@ -7,7 +7,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidefold.functions import nested, times
+from tidefold.functions import hl7, nested, times
 from tidefold.plans import messages as plans
 
 ENCOUNTER = "\n".join(
@@ -195,6 +195,43 @@ def test_local_times_do_not_depend_on_the_session(spark, zone):
     assert got == [int(datetime.datetime(*w, tzinfo=utc).timestamp()) for w in want] + [None, None]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Chicago"])
+def test_shifted_times(spark, zone):
+    """14 digits that are a time, and nothing else; the wall clock is that of the zone, daylight time included."""
+    good = {"20240115105959": (2024, 1, 15, 4, 59, 59), "20240715000000": (2024, 7, 14, 19), "20240229235959": (2024, 2, 29, 17, 59, 59)}
+    bad = ["20230229120000", "20240115240000", "20240115106000", "20240115105960", "20241315105959", "20240100105959", "202401151059",
+           "2024011510595", "202401151059590", "20240115 05959", "2024011510595 ", " 0240115105959", "+0240115105959", "-0240115105959",
+           "2024011510595.", "2024.115105959", "2024011510595x", "\u0662\u0660240115105959", "", None]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in [*good, *bad]], "t string")
+        got = [r[0] for r in df.select(F.unix_seconds(times.parse_shifted("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    utc = datetime.timezone.utc
+    assert got == [int(datetime.datetime(*w, tzinfo=utc).timestamp()) for w in good.values()] + [None] * len(bad)
+
+
+def test_components(spark):
+    """A component that a value does not have is blank, one of no value is NULL."""
+    df = spark.createDataFrame([(["a^b~c^d"],), ([""],), ([None],), ([],)], "s array<string>")
+    for number, want in ((1, ["a", "", None, None]), (2, ["b", "", None, None]), (3, ["", "", None, None])):
+        assert [r[0] for r in df.select(hl7.raw(F.col("s"), 0, number)).collect()] == want
+        assert [r[0] for r in df.select(hl7.part(F.col("s"), 0, number)).collect()] == [w or None for w in want]
+
+
+def test_medication_with_missing_parts(spark):
+    """Segments that are not there, or shorter than what is wanted of them, leave NULLs; of repeated segments the first counts."""
+    texts = [("MSH|^~\\&|\rPV1|1\rORC|NW|7^S\rORC|XX|8^S\rRXA|||20240115105900||M1",), ("MSH|^~\\&",), ("",), (None,)]
+    df = spark.createDataFrame([(t, "n", None) for (t,) in texts], "msg string, msg_nm string, msg_enqueued_tsp timestamp")
+    got = [r.asDict() for r in plans.parse_medication(df).collect()]
+    fixed = {"msg_typ", "msg_nm"}
+    assert {k: str(v) for k, v in got[0].items() if v is not None and k not in fixed} == {
+        "ord_stat": "NW", "ord_id": "7", "admn_tm": "2024-01-15 04:59:00", "med_id": "M1",
+    }
+    assert all(v is None for row in got[1:] for k, v in row.items() if k not in fixed)
+
+
 def test_split_messages(spark):
     d = nested.MESSAGE_DELIMITER
     texts = [(f"\na\nb{d}\nc{d}",), ("alone",), (f"x{d}{d}y",)]

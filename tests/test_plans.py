@@ -59,6 +59,13 @@ def test_medication_times_are_written_once_and_read_without_patterns(spark, data
     assert text.count("date_format(") == 1 and "RLIKE" not in text and "rpad" not in text
 
 
+def test_medication_fields_are_split_once_and_times_read_without_zones(spark, data):
+    text = plan(QUERIES["hl7_medication"](spark, data))
+    assert "stringsplitsql" not in text and " UTC) as timestamp" not in text
+    # No projection hands on a segment's fields as an array.
+    assert not re.search(r"split\([^\n]*?-1\) AS _(msh|pid|pv1|orc|rxa|rxr)#", text)
+
+
 def test_date_filter_reaches_the_scan(spark, data):
     text = plan(QUERIES["retention_expired"](spark, data))
     assert re.search(r"PushedFilters: \[.*LessThan\(l_shipdate", text)
