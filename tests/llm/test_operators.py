@@ -434,6 +434,21 @@ def test_spotsigs(docs, texts):
     assert np.mean([r.near_edited > r.near_next for r in long]) > 0.95
 
 
+def test_neighbours_of_uneven_ids(spark, monkeypatch):
+    """Ids far from each other, ids in clusters and rows without id fill no bucket, and each finds the next of all rows."""
+    monkeypatch.setattr(spotsigs, "BUCKET_ROWS", 8)
+    ids = [*range(300), 2**62, -(2**63), 2**63 - 1, *(2**48 * s + i for s in (3, 7) for i in range(200)), *[None] * 200, 5]
+    docs = spark.createDataFrame([(i, f"text {n}") for n, i in enumerate(ids)], "doc_id long, text string")
+    hashed = docs.withColumn("order", F.xxhash64("text"))
+    rows = hashed.withColumn("bucket", spotsigs._bucket(hashed)).collect()
+    sizes = collections.Counter(r.bucket for r in rows)
+    assert max(sizes.values()) <= 40 and sum(sizes.values()) == len(ids)
+    rows = sorted(rows, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.order))
+    assert all(a.bucket >= b.bucket for a, b in zip(rows, rows[1:], strict=False))
+    want = {a.text: b.text for a, b in zip(rows, rows[1:] + rows[:1], strict=True)}
+    assert {r.text: r.next_text for r in spotsigs.with_next(docs).collect()} == want
+
+
 def test_spotsigs_signatures(spark):
     rows = [(1, "The quick Brown fox, the lazy dog of a town " * 3), (2, "zzz yyy xxx"), (3, ""), (4, "zzz yyy xxx"), (5, None), (6, "the the")]
     got = {r.doc_id: r.s for r in spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", spotsigs.signatures(F.coalesce("text", F.lit(""))).alias("s")).collect()}

@@ -21,6 +21,7 @@ CHAIN = 2
 # A text with fewer anchors has a chain at every content word; those at its anchors are among them.
 FEW = 8
 BUCKET_ROWS = 512
+RANGES = 256
 GROUP = 4096
 _MARK = "\u0001"
 
@@ -89,6 +90,30 @@ def _below(buckets: DataFrame) -> DataFrame:
     )
 
 
+def _bucket(docs: DataFrame) -> Column:
+    """A bucket number for each row of doc_id and order, lower for rows that come later by descending id.
+
+    Quantiles cut the ids into ranges of about equal rows, each of which has as many buckets of equal width. So ids that
+    lie far apart leave no more than a range to one bucket. Rows without id are dealt by their order, below all others.
+    """
+    ids = docs.agg(F.count("*"), F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
+    rows, known, low, high = ids[0], ids[1], ids[2] or 0, ids[3] or 0
+    ranges = max(1, min(RANGES, known // BUCKET_ROWS))
+    inner = max(1, known // ranges // BUCKET_ROWS)
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = sorted({low, *(docs.agg(F.percentile_approx("doc_id", shares)).first()[0] or ())} if shares else {low})
+    ends = [*cuts[1:], high + 1]
+    widths = F.array(*(F.lit((end - cut) / inner) for cut, end in zip(cuts, ends, strict=True)))
+    starts = F.array(*(F.lit(cut).cast("long") for cut in cuts))
+    at = F.size(F.filter(starts, lambda cut: F.col("doc_id") >= cut))
+    # In doubles, as the distance of two longs may be none; rounding keeps the order.
+    place = (F.col("doc_id").cast("double") - F.element_at(starts, at).cast("double")) / F.element_at(widths, at)
+    numbered = (at - 1).cast("long") * inner + F.least(F.floor(place), F.lit(inner - 1))
+    unknown = (rows - known) // BUCKET_ROWS + 1
+    dealt = F.least(F.floor((F.col("order") / F.lit(2.0**64) + 0.5) * unknown), F.lit(unknown - 1))
+    return F.when(F.col("doc_id").isNull(), -1 - dealt).otherwise(numbered)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, next_text: the text of the next document by descending id, after the last that of the first.
 
@@ -96,11 +121,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     the next bucket. The texts are shuffled once, by bucket.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    low, high = low or 0, high or 0
-    width = max(1, math.ceil((high - low + 1) / max(1, n // BUCKET_ROWS)))
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), F.lit(-1))
-    rows = docs.withColumn("bucket", bucket).withColumn("order", F.xxhash64("text"))
+    docs = docs.withColumn("order", F.xxhash64("text"))
+    bucket = _bucket(docs)
+    rows = docs.withColumn("bucket", bucket)
     downward = Window.partitionBy("bucket").orderBy(F.desc("doc_id"), "order")
     placed = rows.withColumn("next_text", F.lead("text").over(downward)).withColumn("place", F.row_number().over(downward))
     heads = placed.where("place = 1").select(F.col("bucket").alias("next_bucket"), F.col("text").alias("first_text"))
